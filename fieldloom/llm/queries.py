@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, toxicity
+from . import bpe, simhash, toxicity
 from .common import table
 
 
@@ -14,6 +14,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
 
 
+def word_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode(table(spark, sf_dir, "documents"), word_bpe_path(), keep=["doc_id"], decoded="decoded")
+    return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -21,6 +32,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_bpe": op2_bpe,
     "op5_simhash": op5_simhash,
 }
 
