@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, toxicity
+from . import bpe, decontaminate, simhash, toxicity
 from .common import table
 
 
@@ -25,6 +25,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    ids = F.array_join(F.array_sort("items"), ",")
+    return found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -33,7 +39,25 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+i as (select item_id, {_WORDS} as w from benchmark),
+iw as (select item_id, w, least(len(w), 13) as s, unnest(range(1, len(w) - least(len(w), 13) + 2)) as p from i where len(w) > 0),
+win as (select distinct item_id, s, array_to_string(w[p:p + s - 1], ' ') as k from iw),
+dp as (select doc_id, s, p, array_to_string(w[p:p + s - 1], ' ') as k
+       from (select doc_id, w, s, unnest(range(1, len(w) - s + 2)) as p from d, (select distinct s from win))),
+m as (select doc_id, item_id, p, s from dp join win using (s, k)),
+hits as (select doc_id, count(distinct q) as n from (select doc_id, unnest(range(p, p + s)) as q from m) group by 1),
+its as (select doc_id, count(*) as c, sha256(string_agg(item_id, ',' order by item_id)) as h
+        from (select distinct doc_id, item_id::varchar as item_id from m) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_hit, coalesce(c, 0)::bigint as n_items,
+       coalesce(h, sha256('')) as items_sha256, coalesce(n, 0) > 0 and 20 * coalesce(n, 0) >= len(w) as contaminated
+from d left join hits using (doc_id) left join its using (doc_id)""",
+}
