@@ -30,6 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ours, in whatever store it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: later steps read it from the shared folder, also after executors are lost."""
     shared_dir(df.sparkSession)
