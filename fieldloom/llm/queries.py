@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, simhash, toxicity
+from . import bpe, decontaminate, pii, shard, simhash, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.assign(table(spark, sf_dir, "documents"))
+
+
 #: A production run takes its key from a secret store; this one only makes the queries' results repeatable.
 PII_KEY = "demonstration key"
 
@@ -49,12 +53,32 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
+    "op7_shard": op7_shard,
     "op10_pii": op10_pii,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _descend_sql(node: shard.Node) -> str:
+    if not node.children:
+        return str(node.shard)
+    if len(node.children) == 1:
+        return _descend_sql(node.children[0])
+    draws = ", ".join(f"{{'d': -ln((('0x' || substr(md5(doc_id || '|{c.name}'), 1, 13))::bigint + 0.5) / 4503599627370496.0) / {c.weight}, 'i': {i}}}" for i, c in enumerate(node.children))
+    return f"case list_sort([{draws}])[1].i " + " ".join(f"when {i} then {_descend_sql(c)}" for i, c in enumerate(node.children)) + " end"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_shard": f"""
+with bits as (select n, list_reduce([n] || range(8), lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) t(n)),
+crc as (select list(c order by n) as tab from bits),
+d as (select doc_id, (octet_length(encode(coalesce(text, ''))) + 8)::bigint as size,
+             regexp_extract_all(hex(encode(coalesce(text, ''))), '..') as x from documents),
+s as (select doc_id, size, xor(list_reduce([4294967295] || list_transform(x, lambda h: ('0x' || h)::bigint), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) as text_crc32,
+             ({_descend_sql(shard.tree(24))})::int as shard, ({_descend_sql(shard.tree(25))})::int as grown_shard from d, crc)
+select doc_id, size, text_crc32, 'key' as law, shard, row_number() over (partition by shard order by doc_id, text_crc32, size) - 1 as slot, grown_shard from s""",
     "op3_decontaminate": f"""
 with d as (select doc_id, {_WORDS} as w from documents),
 i as (select item_id, {_WORDS} as w from benchmark),
