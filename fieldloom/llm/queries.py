@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, shard, simhash, toxicity
+from . import bpe, decontaminate, pii, shard, simhash, topk, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
+    "op6_topk": op6_topk,
     "op7_shard": op7_shard,
     "op10_pii": op10_pii,
 }
@@ -71,6 +76,12 @@ def _descend_sql(node: shard.Node) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_topk": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
+           where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+r as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s)
+select * from r where rank <= 20""",
     "op7_shard": f"""
 with bits as (select n, list_reduce([n] || range(8), lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) t(n)),
 crc as (select list(c order by n) as tab from bits),
