@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, shard, simhash, topk, toxicity
+from . import bpe, decontaminate, html_text, pii, shard, simhash, topk, toxicity
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id"])
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
+    "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,
     "op6_topk": op6_topk,
     "op7_shard": op7_shard,
