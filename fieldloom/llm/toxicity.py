@@ -12,11 +12,13 @@ value only gets that value's share. Other columns, whatever their names, are car
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,15 +169,32 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...] = CHAI
     sample = F.broadcast(values.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(most))
     texts = docs.select(F.col(doc_id).alias("labelled_id"), F.col(text).alias("t")).join(sample, "labelled_id").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "labelled_id"), F.lit(FOLDS)))
     ys = [f"y{i}" for i in range(len(chain))]
-    got = feature_lists(texts, "t", ["labelled_id", "fold", *ys]).limit(4 * most).toArrow().combine_chunks().sort_by("labelled_id")
-    lists = got.column("features").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
-    if not got.num_rows:
+    # one task of an executor fits what the limit bounds; the driver only gets the weights
+    fits = feature_lists(texts, "t", ["labelled_id", "fold", *ys]).limit(4 * most).mapInArrow(_fit_task(ys), "model int, hashes array<long>, weights array<double>, chained array<double>, constant double, threshold double")
+    got = sorted(fits.collect(), key=lambda r: r.model)
+    if not got:
         return Chain([Linear() for _ in chain])
-    sizes = np.diff(lists.offsets.to_numpy())
-    rows, hashes = np.repeat(np.arange(got.num_rows), sizes), lists.flatten().to_numpy()
-    y = [got.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ys]
-    return fit_chain(rows, hashes, y, got.column("fold").to_numpy())
+    return Chain([Linear(np.array(r.hashes, np.int64), np.array(r.weights, float), np.array(r.chained, float), r.constant) for r in got], got[0].threshold)
+
+
+def _fit_task(ys: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.select(["labelled_id", "fold", *ys]), b.column("features").flatten().to_numpy().astype(np.uint32), np.diff(b.column("features").offsets.to_numpy())) for b in batches if b.num_rows]
+        if not parts:
+            return
+        about = pa.Table.from_batches([p[0] for p in parts]).combine_chunks()
+        order = pc.sort_indices(about.column("labelled_id")).to_numpy()
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        rows, hashes = np.repeat(place, np.concatenate([p[2] for p in parts])), np.concatenate([p[1] for p in parts])
+        parts.clear()
+        about = about.take(order)
+        chain = fit_chain(rows, hashes, [about.column(y).to_numpy(zero_copy_only=False).astype(float) for y in ys], about.column("fold").to_numpy())
+        columns = [[i for i, _ in enumerate(chain.models)], [m.hashes.astype(np.int64) for m in chain.models], [m.weights for m in chain.models], [m.chained for m in chain.models], [float(m.constant) for m in chain.models], [chain.threshold] * len(chain.models)]
+        types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["model", "hashes", "weights", "chained", "constant", "threshold"])
+
+    return run
 
 
 def scorer(chain: Chain, text: str):
