@@ -92,4 +92,9 @@ def coded_words(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     coded = lists.flatten().dictionary_encode()
     starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), starts
+    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:  # at white space at a text's ends
+        stay = codes != empty
+        starts, codes = np.concatenate([[0], np.cumsum(stay)])[starts], codes[stay]
+    return words, codes, starts

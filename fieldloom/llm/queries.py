@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, pii, shard, simhash, topk, toxicity
+from . import bpe, decontaminate, html_text, pii, pseudo, shard, simhash, topk, toxicity
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"))
 
 
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo.score(table(spark, sf_dir, "documents"))
+
+
 #: A production run takes its key from a secret store; this one only makes the queries' results repeatable.
 PII_KEY = "demonstration key"
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_topk": op6_topk,
     "op7_shard": op7_shard,
+    "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_pii": op10_pii,
 }
 
