@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, pii, pseudo, shard, simhash, topk, toxicity
+from . import bpe, decontaminate, html_text, pii, pseudo, shard, simhash, suffix_dedup, topk, toxicity
 from .common import table
 
 
@@ -48,6 +48,12 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated(table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo.score(table(spark, sf_dir, "documents"))
 
@@ -68,6 +74,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_topk": op6_topk,
     "op7_shard": op7_shard,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_pii": op10_pii,
 }
