@@ -29,35 +29,65 @@ TITLES_M = "Mr Mister Herr Monsieur Señor Sr Signor господин κύριο
 TITLES_N = "Dr Prof Doktor Professor".split()
 
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}+"
-_GIVEN = "|".join(FEMALE + MALE)
-_TITLE = "|".join(sorted(TITLES_F + TITLES_M + TITLES_N, key=len, reverse=True))
-#: (kind, pattern), tried in this order at each place. Repeats are bounded or possessive, so the time is linear in the text.
-PATTERNS = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}"),
-    ("secret", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
-    ("secret", r"(?<![A-Za-z0-9])(?=[0-9a-f]{0,31}[0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])"),
-    ("assigned", r"(?<![A-Za-z0-9])(?=[PpSsTtAa])(?:[Pp]assword|[Pp]asswd|PASSWORD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {0,2}[:=] {0,2}[\"']?[A-Za-z0-9+/_.-]{6,100}+"),
-    ("ip", r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}(?![0-9]|\.[0-9])"),
-    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
-    ("card", r"(?<![0-9])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"),
-    ("phone", r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"),
-    ("phone", r"(?<![0-9A-Za-z+])\+[0-9]{8,15}(?![0-9])"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("name", rf"(?<![\p{{L}}0-9])(?=[\p{{L}}])(?:(?:{_TITLE})(?:\. ?| )(?:{_NAME})(?: {_NAME})?|(?=\p{{Lu}})(?:{_GIVEN}) {_NAME})"),
+
+
+def _one_word_of(words: list[str]) -> str:
+    """A pattern for some words, longer ones first, that is quickly done where none begins with the character at hand."""
+    by_first: dict[str, list[str]] = {}
+    for w in sorted(words, key=len, reverse=True):
+        by_first.setdefault(w[0], []).append(w[1:])
+    return "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_first.items())
+
+
+_GIVEN, _TITLE = _one_word_of(FEMALE + MALE), _one_word_of(TITLES_F + TITLES_M + TITLES_N)
+#: The first letters of titles and given names, Greek and Cyrillic ones included.
+_FIRST = r"(?=[A-Z\u0370-\u04FF])"
+#: kind: patterns. Repeats are bounded or possessive, so the time is linear in the text. Each begins after something other than an
+#: ASCII letter or digit.
+KINDS = {
+    "email": [r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}"],
+    "access": [r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"],
+    "hex": [r"[0-9a-f]{32,64}+(?![A-Za-z0-9])"],
+    "assigned": [r"(?:[Pp]assword|[Pp]asswd|PASSWORD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {0,2}[:=] {0,2}[\"']?[A-Za-z0-9+/_.-]{6,100}+"],
+    "ip": [r"(?<![.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}(?![0-9]|\.[0-9])"],
+    "ssn": [r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"],
+    "card": [r"(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"],
+    "phone": [r"(?<![+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", r"(?<![+])\+[0-9]{8,15}(?![0-9])"],
+    "iban": [r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"],
+    "name": [rf"(?<!\p{{L}})(?:(?:{_TITLE})(?:\. ?| )(?:{_NAME})(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"],
+}
+
+
+def _any(*kinds: str) -> str:
+    return "|".join(f"(?:{p})" for k in KINDS if k in kinds for p in KINDS[k])
+
+
+#: By an entity's first character only a few kinds are left to try.
+PATTERN = (
+    r"(?<![A-Za-z0-9])(?:(?=[a-z])(?:" + _any("email", "hex", "assigned") + r")|(?=[A-Z])(?:" + _any("email", "access", "assigned", "iban", "name") + r")"
+    r"|(?=[0-9])(?:" + _any("email", "hex", "ip", "ssn", "card", "phone") + r")|(?=[+(])(?:" + _any("phone") + r")|(?=[^\x00-\x7F])(?:" + _any("name") + r"))"
 )
-PATTERN = "|".join(f"(?:{p})" for _, p in PATTERNS)
+#: A text without any of these holds no entity but names; most texts are told by this alone.
+SIGNS, NAMES = "[0-9@=:]", rf"(?<![A-Za-z0-9]){_FIRST}(?:" + _any("name") + ")"
 ROUNDS = 64
 _SEPARATOR = "\u0001"
 
 
+def holds(text: Column) -> Column:
+    """Whether a text holds an entity: cheap tests first."""
+    return (text.rlike(SIGNS) | text.rlike(NAMES)) & text.rlike(PATTERN)
+
+
 def entities(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    """The entities of a text in order; null for a null text."""
+    some = text.rlike(SIGNS) | text.rlike(NAMES)
+    return F.when(some, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def _kind(entity: Column) -> Column:
     out = F.lit(None).cast("string")
-    for kind, pattern in reversed(PATTERNS):
-        out = F.when(entity.rlike(rf"\A(?:{pattern})\z"), kind).otherwise(out)
+    for kind in reversed(KINDS):
+        out = F.when(entity.rlike(rf"\A(?:{_any(kind)})\z"), kind).otherwise(out)
     return out
 
 
@@ -96,7 +126,7 @@ def _units(kind: Column, entity: Column) -> Column:
     named = F.transform(words, lambda w, i: _unit(F.when((i == 0) & ((F.size(words) > 1) | known), given).otherwise(family), F.lower(w)))
     return (
         F.when(kind == "email", F.array(_unit("email", F.lower(entity))))
-        .when(kind == "secret", F.array(_unit("secret", entity)))
+        .when(kind.isin("access", "hex"), F.array(_unit("secret", entity)))
         .when(kind == "assigned", F.array(_unit("secret", F.regexp_extract(entity, r"([A-Za-z0-9+/_.-]{6,100})\z", 1))))
         .when(kind == "phone", F.array(_unit("phone", national)))
         .when(kind.isin("ssn", "card"), F.array(_unit(kind, _digits(entity))))
@@ -107,14 +137,15 @@ def _units(kind: Column, entity: Column) -> Column:
 
 
 def _stream(key: str, *parts: Column) -> Column:
+    """208 draws of 16 bits, by the key and what they are for."""
     seed = F.concat_ws("|", F.lit(key), *parts)
-    return F.concat(*(F.sha2(F.concat(seed, F.lit(f"|{j}")), 256) for j in range(13)))
+    hashes = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(12)), lambda j: F.sha2(F.concat_ws("|", seed, j.cast("string")), 256)), "")
+    return F.transform(F.regexp_extract_all(hashes, F.lit("[0-9a-f]{4}"), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("int"))
 
 
 def _draw(stream: Column, i: Column | int, n: int) -> Column:
     """The i-th draw from 0 to n - 1."""
-    i = F.lit(i) if isinstance(i, int) else i
-    return (F.conv(F.substr(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % n).cast("int")
+    return stream[i] % n
 
 
 def _pick(stream: Column, i: Column | int, alphabet: str) -> Column:
@@ -237,10 +268,9 @@ def _rendered(kind: Column, entity: Column, got: Column) -> Column:
     title = F.regexp_extract(entity, rf"\A((?:{_TITLE})(?:\. ?| ))", 1)
     words = F.zip_with(_words(entity), got, lambda w, s: F.when(w == F.upper(w), F.upper(s)).otherwise(F.concat(F.upper(F.substr(s, F.lit(1), F.lit(1))), F.substr(s, F.lit(2)))))
     email = F.when(entity == F.upper(entity), F.upper(new)).otherwise(new)
-    before = F.regexp_extract(entity, r"\A(.*?)[A-Za-z0-9+/_.-]{6,100}\z", 1)
     return (
         F.when(kind == "email", email)
-        .when(kind.isin("secret", "ip"), new)
+        .when(kind.isin("access", "hex", "ip"), new)
         .when(kind == "assigned", F.concat(F.regexp_extract(entity, r"\A([A-Za-z_-]+ {0,2}[:=] {0,2}[\"']?)", 1), new))
         .when(kind == "name", F.concat(title, F.array_join(words, " ")))
         .otherwise(filled)
@@ -260,7 +290,7 @@ def replacements(lists: DataFrame, key: str) -> DataFrame:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities") -> DataFrame:
     """`docs` with the entities in its texts replaced, and how many each text held (if `count` names a column)."""
     columns = [c for c in docs.columns if c != count]
-    found = docs.select(*columns, F.when(F.col(text).isNotNull(), entities(F.col(text))).alias("__found"))
+    found = docs.select(*columns, entities(F.col(text)).alias("__found"))
     list_key = F.md5(F.array_join("__found", _SEPARATOR))
     lists = cut(found.where(F.size("__found") > 0).select(list_key.alias("list_key"), F.col("__found").alias("found")).groupBy("list_key").agg(F.first("found").alias("found")))
     new = replacements(lists, key).select(F.col("list_key").alias("__key"), F.col("new").alias("__new"))
@@ -270,5 +300,5 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     counted = [F.size("__found").alias(count)] if count else []
     none = [F.lit(0).alias(count)] if count else []
     changed = held.select(*(done.alias(c) if c == text else F.col(c) for c in columns), *counted)
-    clean = docs.where(F.col(text).isNull() | ~F.col(text).rlike(PATTERN)).select(*columns, *none)
+    clean = docs.where(F.col(text).isNull() | ~holds(F.col(text))).select(*columns, *none)
     return clean.unionByName(changed)
