@@ -1,5 +1,468 @@
 """The engine's queries over the driver's tables, and SQL that gives the same rows."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import fixtures as fx
+from .functions import brackets, countries, lists, text, urls
+from .operators import filters, frames, links, manifests, sampling
+from .sources.inventory import video_index
+
 FLAGSHIP = "frame_plan_by_location"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+SEED, TARGET = "7", 100
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str, fixtures: bool = True):
+    """Registers a query by its function's name, with the SQL of its rows."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = (fx.SQL if fixtures else "") + sql
+        return f
+
+    return add
+
+
+# Fixed values of the SQL side: white space, and the cleaning of names.
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _strip_sql(c: str) -> str:
+    return rf"regexp_replace({c}, '\A{_WS}+|{_WS}+\z', '', 'g')"
+
+
+def _clean_sql(c: str, missing: tuple[str, ...] = text.MISSING_NAME) -> str:
+    safe = rf"""regexp_replace({_strip_sql(c)}, '[<>:"/\\|?*]+', '_', 'g')"""
+    tidy = _strip_sql(f"regexp_replace({safe}, '{_WS}+', ' ', 'g')")
+    return f"case when {c} is null or {_strip_sql(c)} in ({', '.join(repr(m) for m in missing)}) or {tidy} = '' then 'unknown' else {tidy} end"
+
+
+_STEM = r"'^((?:.*/)?[^/]*[^./][^/]*)\.[^./]*$', '\1'"
+
+
+def _draw_sql(level: str, *keys: str) -> str:
+    return f"md5(concat_ws('|', '{SEED}', '{level}', {', '.join(keys)}))"
+
+
+@query("select continent, country, state, day_night, vehicle, count(*) as n_frames, count(distinct vid) as n_videos, max(round_even(t * 29.97, 0))::bigint as last_frame from fx_placed group by all")
+def frame_plan_by_location(spark, sf):
+    frame = text.frame_index(F.col("t"), F.lit(29.97))
+    return fx.placed_frames(spark, sf).groupBy("continent", "country", "state", "day_night", "vehicle").agg(F.count("*").alias("n_frames"), F.countDistinct("vid").alias("n_videos"), F.max(frame).alias("last_frame"))
+
+
+@query(f"select doc_id, md5({_clean_sql('text')}) as clean_md5, length({_clean_sql('text')})::bigint as clean_length from documents", False)
+def clean_name_docs(spark, sf):
+    clean = text.clean_name(F.col("text"))
+    return fx.table(spark, sf, "documents").select("doc_id", clean.alias("c")).select("doc_id", F.md5("c").alias("clean_md5"), F.length("c").cast("long").alias("clean_length"))
+
+
+@query(f"select page_id, {_clean_sql('url', text.MISSING_FILTER_NAME)} as name from pages", False)
+def clean_name_urls(spark, sf):
+    return fx.table(spark, sf, "pages").select("page_id", text.clean_name(F.col("url"), text.MISSING_FILTER_NAME).alias("name"))
+
+
+_MARKERS = ["", " ", "[]", "{}", ".", "/", "None", "null", "nan", "NaN", "unknown", "Unknown", "all", " ALL ", "x", "\tnan\t"]
+
+
+def _marker_rows(spark, sf):
+    made = spark.createDataFrame([(m,) for m in _MARKERS], "v string").unionByName(spark.createDataFrame([(None,)], "v string"))
+    return made.unionByName(fx.table(spark, sf, "part").select(F.col("p_name").alias("v")))
+
+
+@query(
+    "with m as (select unnest(["
+    + ", ".join(repr(m) for m in _MARKERS).replace("'\\tnan\\t'", "chr(9) || 'nan' || chr(9)")
+    + f", null]) as v union all select p_name from part), s as (select v, {_strip_sql('v')} as t from m) "
+    "select v, v is null or t in ('', '[]', 'None', 'null', 'nan', 'unknown') as missing, v is null or t in ('', '.', '/', '[]', '{}', 'None', 'null', 'nan') as empty_marker, "
+    "v is null or t in ('', '.', '/', '[]', '{}', 'None', 'null', 'nan') or lower(t) = 'all' as wildcard from s",
+    False,
+)
+def missing_markers(spark, sf):
+    v = F.col("v")
+    return _marker_rows(spark, sf).select("v", text.is_missing(v).alias("missing"), text.is_empty_marker(v).alias("empty_marker"), text.is_wildcard(v).alias("wildcard"))
+
+
+@query(f"select page_id, regexp_replace(url, {_STEM}) as stem, split_part(url, '/', -1) as base from pages", False)
+def splitext_stem(spark, sf):
+    return fx.table(spark, sf, "pages").select("page_id", text.stem(F.col("url")).alias("stem"), text.basename(F.col("url")).alias("base"))
+
+
+@query(f"select page_id, coalesce(regexp_replace(lower({_strip_sql('url')}), {_STEM}), '') as video_key from pages", False)
+def canonical_refs(spark, sf):
+    return fx.table(spark, sf, "pages").select("page_id", text.video_key(F.col("url")).alias("video_key"))
+
+
+def _cells(spark, sf):
+    """Bracketed start times of each customer's videos, as a mapping table would hold them."""
+    per_video = fx.segments(spark, sf).groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("l")).select("vid", F.concat(F.lit("["), F.array_join(F.col("l.s").cast("array<string>"), ","), F.lit("]")).alias("cell"))
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    joined = per_video.join(orders, F.col("vid") == F.col("o_orderkey"))
+    listed = joined.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("vid", "cell"))).alias("l"))
+    return listed.select("o_custkey", F.concat(F.lit("["), F.array_join("l.cell", ","), F.lit("]")).alias("cell"))
+
+
+@query("""select o_custkey, count(distinct vid) as n_videos, count(*) as n_values, sum(s)::bigint as total, 0::bigint as first_value, max(pos) * 20 as last_value
+from fx_segments join orders on o_orderkey = vid group by o_custkey""")
+def bracket_parse_roundtrip(spark, sf):
+    parsed = _cells(spark, sf).withColumn("t", brackets.bracket_table(F.col("cell"))).withColumn("v", lists.seconds(lists.flat_values(F.col("t"))))
+    total = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x)
+    return parsed.select("o_custkey", F.size("t").cast("long").alias("n_videos"), F.size("v").cast("long").alias("n_values"), total.alias("total"), lists.first_scalar(F.col("t")).cast("long").alias("first_value"), F.array_max("v").alias("last_value"))
+
+
+@query("select o_custkey, count(distinct vid) as n_videos, count(*) as n_values from fx_segments join orders on o_orderkey = vid group by o_custkey")
+def bracket_parse_native(spark, sf):
+    parsed = _cells(spark, sf).withColumn("t", brackets.well_formed_table(F.col("cell")))
+    return parsed.select("o_custkey", F.size("t").cast("long").alias("n_videos"), F.size(F.flatten("t")).cast("long").alias("n_values"))
+
+
+@query("select vid, pos, tcode::bigint as tcode, vcode::bigint as vcode from fx_aligned")
+def align_metadata(spark, sf):
+    own = fx.segments(spark, sf)
+    listed = own.groupBy("vid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "tcode_raw", "vcode_raw"))).alias("l"))
+    given = F.slice("l", 1, F.least("n", 1 + F.col("vid") % 4).cast("int"))
+    field = lambda c: F.transform(given, lambda x: x[c].cast("bigint"))
+    codes = [lists.align(field(c), F.col("n")) for c in ("tcode_raw", "vcode_raw")]
+    zipped = listed.select("vid", F.posexplode(F.arrays_zip(codes[0].alias("t"), codes[1].alias("v"))).alias("pos", "z"))
+    return zipped.select("vid", F.col("pos").cast("long").alias("pos"), F.col("z.t").alias("tcode"), F.col("z.v").alias("vcode"))
+
+
+@query("select vid, s as start_s, e as end_s from fx_segments where e >= s")
+def range_pairs_valid(spark, sf):
+    listed = fx.segments(spark, sf).groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("pos", "s", "e"))).alias("l"))
+    starts, ends = (lists.seconds(F.transform(F.col(f"l.{c}"), lambda x: x.cast("string"))) for c in "se")
+    pairs = listed.select("vid", F.explode(lists.paired(starts, ends)).alias("p"))
+    return pairs.select("vid", F.col("p.start").alias("start_s"), F.col("p.end").alias("end_s")).where("end_s >= start_s")
+
+
+@query("select vid, day_night, vehicle, t from fx_frames")
+def frame_times_dedup(spark, sf):
+    return fx.frames(spark, sf)
+
+
+@query("select vid, t, round_even(t * 29.97, 0)::bigint as frame_2997, round_even(t * 0.25, 0)::bigint as frame_025 from (select distinct vid, t from fx_frames)")
+def frame_index_half_even(spark, sf):
+    t = F.col("t")
+    return fx.frames(spark, sf).select("vid", "t").distinct().select("vid", "t", text.frame_index(t, F.lit(29.97)).alias("frame_2997"), text.frame_index(t, F.lit(0.25)).alias("frame_025"))
+
+
+@query("select case when tcode is null then 'Unknown' when tcode = 0 then 'Day' when tcode = 1 then 'Night' else concat('Unknown_', tcode) end as day_night, count(*) as n from fx_aligned group by 1")
+def time_labels(spark, sf):
+    return fx.aligned(spark, sf).groupBy(text.time_label(F.col("tcode")).alias("day_night")).agg(F.count("*").alias("n"))
+
+
+@query(f"select {fx.VEHICLE_CASE} as vehicle, count(*) as n from fx_aligned group by 1")
+def vehicle_labels(spark, sf):
+    return fx.aligned(spark, sf).groupBy(text.vehicle_label(F.col("vcode")).alias("vehicle")).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"select l_orderkey, concat({fx.VEHICLE_CASE.replace('vcode', '(l_orderkey % 16)')}, '__', {fx.VEHICLE_CASE.replace('vcode', '(l_suppkey % 5)')}) as vehicles, count(*) as n from lineitem group by 1, 2",
+    False,
+)
+def vehicle_list_labels(spark, sf):
+    codes = F.array((F.col("l_orderkey") % 16).cast("string"), (F.col("l_suppkey") % 5).cast("string"))
+    return fx.table(spark, sf, "lineitem").groupBy("l_orderkey", text.vehicle_list_label(codes).alias("vehicles")).agg(F.count("*").alias("n"))
+
+
+@query("select vid, t, concat('data/', continent, '/', country, '/', state, '/', locality, '/', day_night, '/', vehicle, '/', vid, '/', vid, '_', t, '.png') as path from fx_placed")
+def output_paths(spark, sf):
+    vid = F.concat(F.col("vid").cast("string"), F.lit(".mp4"))
+    folder = text.output_folder("data", *(F.col(c) for c in ("continent", "country", "state_raw", "locality", "day_night", "vehicle")), text.stem(vid))
+    # an empty state is unknown
+    return fx.placed_frames(spark, sf).select("vid", "t", F.concat_ws("/", folder, text.frame_name(vid, F.col("t"))).alias("path"))
+
+
+def _references(spark, sf):
+    form = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(" Video"), F.col("o_custkey").cast("string"), F.lit(".MP4"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("video"), F.col("o_custkey").cast("string"))).otherwise("  ")
+    return fx.table(spark, sf, "orders").select("o_orderkey", form.alias("video"))
+
+
+@query("select concat('video', o_custkey) as video_key, count(*) as uses from orders where o_orderkey % 3 <> 2 group by 1", False)
+def video_usage_counts(spark, sf):
+    return frames.use_counts(_references(spark, sf), "video")
+
+
+@query("select o_orderkey, o_custkey, count(*) over (partition by o_custkey) - row_number() over (partition by o_custkey order by o_orderkey) as remaining from orders", False)
+def remaining_uses(spark, sf):
+    return frames.remaining_uses(fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", ["o_orderkey"])
+
+
+@query(
+    """select o_orderkey, o_custkey % 2 = 0 and row_number() over (partition by o_custkey order by o_orderkey desc) = 1 as deletable from orders""",
+    False,
+)
+def deletable_videos(spark, sf):
+    uses = frames.remaining_uses(fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", ["o_orderkey"])
+    return frames.deletable(uses.withColumn("was_downloaded", F.col("o_custkey") % 2 == 0)).select("o_orderkey", "deletable")
+
+
+@query("select distinct l_orderkey, case when l_orderkey % 5 <> 0 then concat('/videos/', l_orderkey, '.MP4') end as path from lineitem where l_orderkey in (select o_orderkey from orders)", False)
+def video_index_lookup(spark, sf):
+    orders = fx.table(spark, sf, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").cast("string").alias("k"))
+    files = orders.select(F.concat(F.lit("/videos/"), "k", F.lit(".MP4")).alias("path"), F.concat("k", F.lit(".MP4")).alias("file_name"))
+    known = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    refs = fx.table(spark, sf, "lineitem").select("l_orderkey").distinct().join(known, "l_orderkey", "left_semi")
+    named = refs.withColumn("ref", F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.col("l_orderkey").cast("string"), F.lit(".mp4"))).otherwise(F.col("l_orderkey").cast("string")))
+    return frames.resolve_videos(named, "ref", video_index(files)).select("l_orderkey", "path")
+
+
+_GROUP, _FRAME = ["vid", "day_night", "vehicle"], ["vid", "day_night", "vehicle", "t"]
+_COUNTS = "counts as (select p.vid, p.day_night, p.vehicle, count(*) as total, count(e.vid) as existing from fx_frames p left join fx_existing e using (vid, day_night, vehicle, t) group by all)"
+
+
+@query(f", {_COUNTS} select * from counts")
+def frames_existing_counts(spark, sf):
+    return frames.existing_counts(fx.frames(spark, sf), fx.existing(spark, sf), _GROUP, _FRAME)
+
+
+@query(f", {_COUNTS} select * from counts where existing < total")
+def pending_groups(spark, sf):
+    return frames.pending(frames.existing_counts(fx.frames(spark, sf), fx.existing(spark, sf), _GROUP, _FRAME))
+
+
+@query(f", {_COUNTS} select f.vid, f.day_night, f.vehicle, f.t from fx_frames f join counts using (vid, day_night, vehicle) where existing < total")
+def pending_frames(spark, sf):
+    return frames.pending_frames(fx.frames(spark, sf), fx.existing(spark, sf), _GROUP, _FRAME).select(*_FRAME)
+
+
+@query("select day_night, vehicle, count(*) as n_groups, sum(n)::bigint as n_ranges, sum(long)::bigint as seconds from (select vid, day_night, vehicle, count(*) as n, sum(e - s) as long from fx_labels group by all) group by all")
+def grouped_ranges(spark, sf):
+    from .operators.segments import grouped_ranges as group
+
+    rows = fx.labels(spark, sf).select("vid", F.col("pos").alias("range_pos"), F.col("s").alias("start"), F.col("e").alias("end"), "day_night", "vehicle")
+    long = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return group(rows, "vid").select("day_night", "vehicle", F.size("ranges").alias("n"), long.alias("long")).groupBy("day_night", "vehicle").agg(F.count("*").alias("n_groups"), F.sum("n").alias("n_ranges"), F.sum("long").alias("seconds"))
+
+
+_CITIES = ", city as (select distinct continent, country, state, locality as city from fx_location)"
+_COVER = "(f.continent is null or f.continent = c.continent) and (f.country is null or f.country = c.country) and (f.state is null or f.state = c.state) and (f.city is null or f.city = c.city)"
+
+
+def _cities(spark, sf):
+    return fx.locations(spark, sf).withColumnRenamed("locality", "city")
+
+
+@query(f"{_CITIES} select distinct c.* from city c join fx_filters f on {_COVER}")
+def expand_cities(spark, sf):
+    return filters.expand_cities(_cities(spark, sf), fx.filters(spark))
+
+
+@query(f"select c_custkey from fx_location l join (select *, locality as city from fx_location) c using (c_custkey) where exists (select 1 from fx_filters f where {_COVER})")
+def location_filter_wildcard(spark, sf):
+    return filters.matching(_cities(spark, sf), fx.filters(spark)).select("c_custkey")
+
+
+@query("select url from fx_inventory where day_night in ('Day', 'Night') and vehicle in ('Car', 'Bus', 'Truck')")
+def filter_day_vehicle_video(spark, sf):
+    return filters.select_frames(fx.inventory(spark, sf), ["DAY", "night"], ["Car", "BUS", "truck"], []).select("url")
+
+
+@query(", w as (select unnest(['Car', 'pedestrian', 'Tram']) as wanted), g as (select distinct continent, country, day_night from fx_inventory) select g.continent, g.country, g.day_night, wanted from g, w where not exists (select 1 from fx_inventory i where i.continent = g.continent and i.country = g.country and i.day_night = g.day_night and lower(i.vehicle) = lower(wanted))")
+def missing_vehicle_report(spark, sf):
+    wanted = spark.createDataFrame([("Car",), ("pedestrian",), ("Tram",)], "wanted string")
+    return filters.missing_values(fx.inventory(spark, sf), ["continent", "country", "day_night"], "vehicle", wanted)
+
+
+# The sampler in SQL, over a table of frames named inv.
+_CITY = ["continent", "country", "state", "city"]
+_PATH = [*_CITY, "day_night", "vehicle", "video_id"]
+_WALK = ", ".join([_draw_sql("day", *_CITY, "day_night"), _draw_sql("vehicle", *_CITY, "day_night", "vehicle"), _draw_sql("video", *_PATH), _draw_sql("image", "url"), "url"])
+_ORDER = f"""rounds as (select *, row_number() over (partition by continent, country order by {_draw_sql("city", *_CITY)}, {", ".join(_CITY)}) as round from (select distinct {", ".join(_CITY)} from inv)),
+cities as (select *, row_number() over (order by round, {_draw_sql("turn", "round::varchar", "continent", "country")}, continent, country) as city_order from rounds)"""
+_CAP = f"select *, row_number() over (partition by {', '.join(_PATH)} order by {_draw_sql('image', 'url')}, url) as in_folder from"
+_BALANCED = f""", inv as (select * from fx_inventory), {_ORDER},
+quota as (select greatest(1, ceil({TARGET} / least(count(*), {TARGET})))::bigint as q from cities),
+picked as (select * from (select *, row_number() over (partition by {', '.join(_CITY)} order by {_WALK}) as pick from ({_CAP} inv) where in_folder <= 1), quota where pick <= q),
+own as (select {', '.join(_CITY)}, count(*) as n from picked group by all),
+opened as (select * from (select *, coalesce(sum(n) over (order by city_order rows between unbounded preceding and 1 preceding), 0) as before from cities join own using ({', '.join(_CITY)})) where before < {TARGET}),
+one as (select p.* from picked p join opened using ({', '.join(_CITY)})),
+rest as (select *, row_number() over (order by {_draw_sql('fill', *_CITY)}, {_WALK}) as nth from ({_CAP} (select * from inv where url not in (select url from one))) where in_folder <= 5),
+both_passes as (select url, filename, alias, {', '.join(_PATH)} from one union all select url, filename, alias, {', '.join(_PATH)} from rest where nth <= greatest(0, {TARGET} - (select count(*) from one))),
+sample as (select * from (select *, row_number() over (order by {_draw_sql('final', 'url')}, url) as f from both_passes) where f <= {TARGET})"""
+
+
+@query(f", inv as (select * from fx_inventory), {_ORDER} select * from cities")
+def country_round_robin(spark, sf):
+    return sampling.country_round_robin(fx.inventory(spark, sf), SEED)
+
+
+@query(f"select url from ({_CAP} fx_inventory) where in_folder <= 1")
+def cap_per_folder(spark, sf):
+    return sampling.cap_per_folder(fx.inventory(spark, sf), 1, SEED).select("url")
+
+
+@query(f"{_BALANCED} select url, filename, alias, {', '.join(_PATH)} from sample")
+def balanced_sample(spark, sf):
+    return sampling.balanced_sample(fx.inventory(spark, sf), TARGET, SEED)
+
+
+# A thin inventory, of which the first pass cannot fill the target.
+_THIN = f"{_BALANCED} select url from sample".replace("inv as (select * from fx_inventory)", "inv as (select * from fx_inventory where city in (select min(locality) from fx_location group by continent))")
+
+
+@query(_THIN)
+def balanced_sample_with_fill(spark, sf):
+    few = fx.locations(spark, sf).groupBy("continent").agg(F.min("locality").alias("city")).select("city")
+    return sampling.balanced_sample(fx.inventory(spark, sf).join(F.broadcast(few), "city", "left_semi"), TARGET, SEED).select("url")
+
+
+@query(f", inv as (select * from fx_inventory), {_ORDER} select url from (select url, row_number() over (order by city_order, {_WALK}) as n from ({_CAP} inv) join cities using ({', '.join(_CITY)}) where in_folder <= 1) where n <= {TARGET}")
+def unbalanced_sample(spark, sf):
+    return sampling.unbalanced_sample(fx.inventory(spark, sf), TARGET, SEED).select("url")
+
+
+@query(f"select url from (select url, row_number() over (order by {_draw_sql('final', 'url')}, url) as n from fx_inventory) where n <= {TARGET}")
+def random_topk_md5(spark, sf):
+    from .operators.ranking import random_first
+
+    return random_first(fx.inventory(spark, sf), TARGET, SEED, "final", "url").select("url")
+
+
+@query("select url, case when n = 0 then name else concat(name[:-5], '_', n, '.png') end as local_name from (select url, concat(day_night, '_', city, '.png') as name, row_number() over (partition by city, day_night order by url) - 1 as n from fx_inventory)")
+def collision_suffix(spark, sf):
+    named = fx.inventory(spark, sf).select("url", F.concat("day_night", F.lit("_"), "city", F.lit(".png")).alias("name"))
+    return manifests.without_collisions(named, "name", ["url"]).select("url", "local_name")
+
+
+@query(f"{_BALANCED} select concat('random_frames/', filename) as local_path, url as source_url, alias, continent, country, state, city, day_night, vehicle, video_id, filename as file_name from sample")
+def manifest(spark, sf):
+    return manifests.manifest(sampling.balanced_sample(fx.inventory(spark, sf), TARGET, SEED), "random_frames", ["url"])
+
+
+@query(f"{_BALANCED} select continent, country, count(*) as frames, count(distinct city) as cities, count(distinct video_id) as videos from sample group by all")
+def sample_counts_by_country(spark, sf):
+    return sampling.counts_by_country(sampling.balanced_sample(fx.inventory(spark, sf), TARGET, SEED))
+
+
+@query("select concat('u', o_custkey) as url, max_by(o_orderkey, o_orderkey) as last_order, max_by(o_orderpriority, o_orderkey) as priority from orders group by 1", False)
+def distinct_urls(spark, sf):
+    rows = fx.table(spark, sf, "orders").select(F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("url"), F.col("o_orderkey").alias("last_order"), F.col("o_orderpriority").alias("priority"))
+    return sampling.distinct_urls(rows, "last_order")
+
+
+_LINKS = r"l as (select url as page_url, unnest(regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*[""''']([^""''']*)[""''']', 1)) as href, generate_subscripts(regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*[""''']([^""''']*)[""''']', 1), 1) - 1 as ord from pages)".replace('""', '"').replace("'''", "''")
+_PATHS = r"'^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)'"
+
+
+@query(f"with {_LINKS} select page_url, ord::int as ord, href, case when href like '/%' then concat(regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1), href) end as url from l", False)
+def page_links(spark, sf):
+    found = links.hrefs(fx.table(spark, sf, "pages"))
+    return found.select("page_url", "ord", "href", F.when(F.col("href").startswith("/"), urls.join(F.col("page_url"), F.col("href"))).alias("url"))
+
+
+@query(rf"select url, regexp_matches(lower(url_decode(regexp_extract(url, {_PATHS}, 1))), '\.(png|jpg|jpeg|webp)$') as is_image from (select url from fx_inventory union all select url from pages)")
+def image_links(spark, sf):
+    every = fx.inventory(spark, sf).select("url").unionByName(fx.table(spark, sf, "pages").select("url"))
+    return every.select("url", urls.is_image(F.col("url")).alias("is_image"))
+
+
+@query(f"select url, {_clean_sql('n', text.MISSING_FILTER_NAME)} as name from (select url, split_part(url_decode(regexp_extract(url, {_PATHS}, 1)), '/', -1) as n from fx_inventory union all select url, split_part(url_decode(regexp_extract(url, {_PATHS}, 1)), '/', -1) from pages)")
+def file_names_from_url(spark, sf):
+    every = fx.inventory(spark, sf).select("url").unionByName(fx.table(spark, sf, "pages").select("url"))
+    return every.select("url", urls.file_name(F.col("url")).alias("name"))
+
+
+_REACH = ", reach(node, depth) as (select '/v/a5/browse', 0 union select child, depth + 1 from reach join fx_browse on parent = node)"
+
+
+@query(f"{_REACH} select node, min(depth)::int as depth from reach group by 1")
+def crawl_reachable(spark, sf):
+    return links.reachable(fx.browse(spark, sf), spark.createDataFrame([("/v/a5/browse",)], "node string"))
+
+
+def _wanted(spark, sf):
+    return fx.locations(spark, sf).where("c_custkey % 10 = 0").select(F.concat(F.upper("locality"), F.lit(".mp4")).alias("name"))
+
+
+@query(f"{_REACH} select concat(upper(locality), '.mp4') as name, min(node) as url from fx_location join reach on lower(split_part(node, '/', -1)) = concat(lower(locality), '.mp4') where c_custkey % 10 = 0 and node like '%/files/%' group by 1")
+def locate_file(spark, sf):
+    found = links.reachable(fx.browse(spark, sf), spark.createDataFrame([("/v/a5/browse",)], "node string"))
+    files = found.where(urls.is_file_link(F.col("node"))).select(F.col("node").alias("url"), "depth", F.lit(1).alias("priority"))
+    return links.locate(files, _wanted(spark, sf))
+
+
+@query("select concat(upper(locality), '.mp4') as name, i::int as priority, concat('https://files.test/v/', a, '/files/', replace(url_encode(concat(upper(locality), '.mp4')), '+', '%20')) as url from fx_location, (values (0, 'a1'), (1, 'a2')) t(i, a) where c_custkey % 10 = 0")
+def direct_video_urls(spark, sf):
+    return links.direct_urls(_wanted(spark, sf), fx.BASE, ["a1", "a2"])
+
+
+@query("select distinct child as page_url, concat('<', child, '>') as html from fx_browse where child not like '%.mp4'")
+def folder_pages(spark, sf):
+    """Every second page is known with a slash at its end, the others without."""
+    folders = fx.browse(spark, sf).where("child not like '%.mp4'").select(F.col("child").alias("url")).distinct()
+    slash = F.when(F.length("url") % 2 == 0, F.concat("url", F.lit("/"))).otherwise(F.col("url"))
+    pages = folders.select(slash.alias("url"), F.concat(F.lit("<"), "url", F.lit(">")).alias("html"))
+    return links.fetched(folders, pages).select(F.col("url").alias("page_url"), "html")
+
+
+@query("select concat('https://files.test', parent, '/') as page_url, case when child like '%.mp4' then split_part(child, '/', -1) else split_part(child, '/', -1) end as name, concat('https://files.test', child) as url, case when child like '%.mp4' then 'file' else 'folder' end as kind from fx_browse")
+def browse_page_links(spark, sf):
+    """Pages with links back, made of the tree, then read again."""
+    at = lambda c: F.concat(F.lit(fx.BASE), F.col(c))
+    anchor = F.concat(F.lit('<li><a class="x" href="'), "child", F.lit('">'), F.element_at(F.split("child", "/"), -1), F.lit("</a>"))
+    pages = fx.browse(spark, sf).groupBy("parent").agg(F.array_join(F.sort_array(F.collect_list(anchor)), "\n").alias("a"))
+    html = F.concat(F.lit('<a href="/v/a5/browse">..</a><a href="../">⬅ Back</a><a>none</a>'), "a")
+    return links.browse_links(links.anchors(pages.select(F.concat(at("parent"), F.lit("/")).alias("url"), html.alias("html"))))
+
+
+@query("select p_partkey, replace(url_encode(p_name || ' ~*+ü/' || p_type), '+', '%20') as quoted, p_name || ' ~*+ü/' || p_type as back from part", False)
+def url_quote_roundtrip(spark, sf):
+    name = F.concat("p_name", F.lit(" ~*+ü/"), "p_type")
+    return fx.table(spark, sf, "part").select("p_partkey", urls.quote(name).alias("quoted")).select("p_partkey", "quoted", urls.unquote(F.col("quoted")).alias("back"))
+
+
+@query("select c_custkey, concat('https://files.test/v/a5/browse/', continent, '/', country, '/', state, '/', replace(replace(locality, '#', '%23'), ' ', '%20'), '/') as url from fx_location")
+def browse_urls(spark, sf):
+    parts = F.array("continent", F.concat(F.lit("/"), "country", F.lit("/ ")), F.lit(""), "state", "locality")
+    return fx.locations(spark, sf).select("c_custkey", urls.browse_url(fx.BASE + "/", "a5", parts, slash=True).alias("url"))
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+_NAMES = [*countries.CORRECTIONS, "Kosovo", "France", "Atlantis", "Germany"]
+
+
+@query(f"select country, case country {' '.join(f'when {_sql_text(a)} then {_sql_text(b)}' for a, b in countries.CORRECTIONS.items())} else country end as corrected from (select unnest([{', '.join(map(_sql_text, _NAMES))}]) as country)", False)
+def country_corrections(spark, sf):
+    return spark.createDataFrame([(n,) for n in _NAMES], "country string").select("country", countries.correct_country(F.col("country")).alias("corrected"))
+
+
+_ISO_SQL = f"(values {', '.join(f'({_sql_text(a)}, {_sql_text(b)}, {_sql_text(c)})' for a, b, c in countries.ISO)}) iso(name, a2, a3)"
+
+
+@query(f"select n as country, case when n = 'Kosovo' then 'XK' else coalesce(a2, 'Country not found') end as iso2, case when n = 'Kosovo' then 'XKX' else coalesce(a3, 'Country not found') end as iso3, name as country_name from (select unnest([{', '.join(map(_sql_text, _NAMES))}]) as n) left join {_ISO_SQL} on name = n", False)
+def iso_codes(spark, sf):
+    iso = countries.iso_table(spark)
+    coded = countries.with_codes(spark.createDataFrame([(n,) for n in _NAMES], "country string"), "country", iso)
+    return countries.with_country_name(coded.withColumn("low", F.lower("iso3")), "low", iso).select("country", "iso2", "iso3", "country_name")
+
+
+@query("select p_partkey, case when contains('abc', p_name) or contains(p_name, 'abc') then 'k1' when contains('part', p_name[:2]) or contains(p_name[:2], 'part') then 'k2' end as found from (select p_partkey, case when p_partkey % 3 = 0 then 'xabcx' when p_partkey % 3 = 1 then 'pa' else 'zz' end as p_name from part)", False)
+def dict_search(spark, sf):
+    table = F.create_map(F.lit("k1"), F.lit("abc"), F.lit("k2"), F.lit("part"))
+    needle = F.when(F.col("p_partkey") % 3 == 0, "xabcx").when(F.col("p_partkey") % 3 == 1, "pa").otherwise("zz")
+    return fx.table(spark, sf, "part").select("p_partkey", lists.search_map(table, needle).alias("found"))
+
+
+_VALUES = ["0", "day", " DayTime ", "1", "night", "1.9", "2", "ALL", "[]", "dusk", "nan", "Car", "cAR", "bus", "13", "14"]
+
+
+@query(
+    "select * from (values ('0', 'Day', 'Car'), ('day', 'Day', 'day'), (' DayTime ', 'Day', 'DayTime'), ('1', 'Night', 'Bus'), ('night', 'Night', 'night'), ('1.9', 'Night', 'Bus'), ('2', '2', 'Truck'), ('ALL', null, null), ('[]', null, null), ('dusk', 'dusk', 'dusk'), ('nan', null, null), ('Car', 'Car', 'Car'), ('cAR', 'cAR', 'Car'), ('bus', 'bus', 'Bus'), ('13', '13', 'Pedestrian'), ('14', '14', '14')) t(v, day_night, vehicle)",
+    False,
+)
+def filter_values(spark, sf):
+    return spark.createDataFrame([(v,) for v in _VALUES], "v string").select("v", text.day_filter(F.col("v")).alias("day_night"), text.vehicle_filter(F.col("v")).alias("vehicle"))
+
+
+@query("select p_partkey, case when p_size % 5 > 0 and p_partkey % 3 > 0 then concat(p_size % 5, 'x', p_partkey % 3) else 'unknown' end as resolution from part", False)
+def video_resolution(spark, sf):
+    return fx.table(spark, sf, "part").select("p_partkey", text.resolution((F.col("p_size") % 5).cast("int"), (F.col("p_partkey") % 3).cast("int")).alias("resolution"))
