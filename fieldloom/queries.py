@@ -346,7 +346,8 @@ def distinct_urls(spark, sf):
     return sampling.distinct_urls(rows, "last_order")
 
 
-_LINKS = r"l as (select url as page_url, unnest(regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*[""''']([^""''']*)[""''']', 1)) as href, generate_subscripts(regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*[""''']([^""''']*)[""''']', 1), 1) - 1 as ord from pages)".replace('""', '"').replace("'''", "''")
+_HREF_SQL = links.HREF.replace("'", "''")
+_LINKS = f"l as (select url as page_url, unnest(x) as href, generate_subscripts(x, 1) - 1 as ord from (select url, regexp_extract_all(html, '{_HREF_SQL}', 1) as x from pages))"
 _PATHS = r"'^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)'"
 
 
@@ -380,10 +381,10 @@ def _wanted(spark, sf):
     return fx.locations(spark, sf).where("c_custkey % 10 = 0").select(F.concat(F.upper("locality"), F.lit(".mp4")).alias("name"))
 
 
-@query(f"{_REACH} select concat(upper(locality), '.mp4') as name, min(node) as url from fx_location join reach on lower(split_part(node, '/', -1)) = concat(lower(locality), '.mp4') where c_custkey % 10 = 0 and node like '%/files/%' group by 1")
+@query(f"{_REACH} select concat(upper(locality), '.mp4') as name, replace(min(node), '#', '%23') as url from fx_location join reach on lower(split_part(node, '/', -1)) = concat(lower(locality), '.mp4') where c_custkey % 10 = 0 and node like '%/files/%' group by 1")
 def locate_file(spark, sf):
     found = links.reachable(fx.browse(spark, sf), spark.createDataFrame([("/v/a5/browse",)], "node string"))
-    files = found.where(urls.is_file_link(F.col("node"))).select(F.col("node").alias("url"), "depth", F.lit(1).alias("priority"))
+    files = found.where(urls.is_file_link(F.col("node"))).select(F.replace("node", F.lit("#"), F.lit("%23")).alias("url"), "depth", F.lit(1).alias("priority"))
     return links.locate(files, _wanted(spark, sf))
 
 
@@ -401,11 +402,12 @@ def folder_pages(spark, sf):
     return links.fetched(folders, pages).select(F.col("url").alias("page_url"), "html")
 
 
-@query("select concat('https://files.test', parent, '/') as page_url, case when child like '%.mp4' then split_part(child, '/', -1) else split_part(child, '/', -1) end as name, concat('https://files.test', child) as url, case when child like '%.mp4' then 'file' else 'folder' end as kind from fx_browse")
+@query("select concat('https://files.test', replace(parent, ' ', '%20'), '/') as page_url, split_part(child, '/', -1) as name, concat('https://files.test', replace(replace(child, ' ', '%20'), '#', '%23')) as url, case when child like '%.mp4' then 'file' else 'folder' end as kind from fx_browse")
 def browse_page_links(spark, sf):
     """Pages with links back, made of the tree, then read again."""
-    at = lambda c: F.concat(F.lit(fx.BASE), F.col(c))
-    anchor = F.concat(F.lit('<li><a class="x" href="'), "child", F.lit('">'), F.element_at(F.split("child", "/"), -1), F.lit("</a>"))
+    coded = lambda c: F.replace(F.replace(c, F.lit(" "), F.lit("%20")), F.lit("#"), F.lit("%23"))
+    at = lambda c: F.concat(F.lit(fx.BASE), coded(F.col(c)))
+    anchor = F.concat(F.lit('<li><a class="x" href="'), coded(F.col("child")), F.lit('">'), F.element_at(F.split("child", "/"), -1), F.lit("</a>"))
     pages = fx.browse(spark, sf).groupBy("parent").agg(F.array_join(F.sort_array(F.collect_list(anchor)), "\n").alias("a"))
     html = F.concat(F.lit('<a href="/v/a5/browse">..</a><a href="../">⬅ Back</a><a>none</a>'), "a")
     return links.browse_links(links.anchors(pages.select(F.concat(at("parent"), F.lit("/")).alias("url"), html.alias("html"))))
@@ -417,7 +419,7 @@ def url_quote_roundtrip(spark, sf):
     return fx.table(spark, sf, "part").select("p_partkey", urls.quote(name).alias("quoted")).select("p_partkey", "quoted", urls.unquote(F.col("quoted")).alias("back"))
 
 
-@query("select c_custkey, concat('https://files.test/v/a5/browse/', continent, '/', country, '/', state, '/', replace(replace(locality, '#', '%23'), ' ', '%20'), '/') as url from fx_location")
+@query("select c_custkey, concat('https://files.test/v/a5/browse/', replace(continent, ' ', '%20'), '/', country, '/', state, '/', replace(replace(locality, '#', '%23'), ' ', '%20'), '/') as url from fx_location")
 def browse_urls(spark, sf):
     parts = F.array("continent", F.concat(F.lit("/"), "country", F.lit("/ ")), F.lit(""), "state", "locality")
     return fx.locations(spark, sf).select("c_custkey", urls.browse_url(fx.BASE + "/", "a5", parts, slash=True).alias("url"))
