@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import MISSING_FILTER_NAME, basename, clean_name
 from ..functions.urls import is_file_link, is_folder_link, join, path_of, unquote
+from ..sources.folders import cut
 
 HREF = r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
@@ -78,20 +79,13 @@ def reachable(edges: DataFrame, roots: DataFrame, most: int = 64) -> DataFrame:
     frontier = seen
     for depth in range(1, most + 1):
         step = frontier.select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
-        frontier = _cut(step.join(seen, "node", "left_anti").select("node", F.lit(depth).alias("depth")))
+        frontier = cut(step.join(seen, "node", "left_anti").select("node", F.lit(depth).alias("depth")))
         if frontier.isEmpty():
             break
-        seen = _cut(seen.unionByName(frontier))
+        seen = cut(seen.unionByName(frontier))
     return seen
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    from ..sources.folders import shared_folder
-
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def locate(files: DataFrame, wanted: DataFrame) -> DataFrame:
     """name, url of the first file of each wanted name, in any case: by priority, then depth, then address."""
     asked = wanted.select(F.lower("name").alias("key"), F.col("name").alias("asked")).distinct()

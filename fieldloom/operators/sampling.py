@@ -10,6 +10,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.folders import cut
 from .filters import LEVELS
 from .ranking import draw, random_first
 
@@ -75,8 +76,9 @@ def balanced_sample(inventory: DataFrame, target: int, seed: str, per_folder: in
     """At most `target` frames: first pass, then fill pass, each address once. Ordered by nothing; see `random_first`."""
     near = first_folders(inventory, folders, seed)
     columns = inventory.columns
-    cities = country_round_robin(near, seed)
-    one = first_pass(near, cities, target, seed, per_folder).select(*columns)
+    # the cities, and what the first pass takes (a quota of each city), are small and used again
+    cities = cut(country_round_robin(inventory, seed))
+    one = cut(first_pass(near, cities, target, seed, per_folder).select(*columns))
     n = one.count()
     if n >= target:
         return random_first(one.dropDuplicates(["url"]), target, seed, "final", "url")

@@ -6,7 +6,7 @@ import os
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,6 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder: computed once, and still there if executors are lost."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def safe_parts(*parts: str) -> str:
     """A relative path of these parts; `.` and `..` are refused."""
     for p in parts:
