@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .folders import safe_parts
+
 
 class Fetcher(Protocol):
     def __call__(self, url: str) -> bytes | None:
@@ -77,6 +80,21 @@ def extract(plan: DataFrame, decode: Decoder, store: Store) -> DataFrame:
     return plan.select("video_path", "frame", "path").groupBy("video_path").applyInPandas(run, "path string, stored boolean")
 
 
+class LocalStore:
+    """Files below a folder that all tasks see. A file is written beside its place first, then moved there."""
+
+    def __init__(self, root: str) -> None:
+        self.root = root
+
+    def __call__(self, path: str, content: bytes) -> None:
+        at = os.path.join(self.root, safe_parts(*path.strip("/").split("/")))
+        os.makedirs(os.path.dirname(at), exist_ok=True)
+        beside = f"{at}.{os.getpid()}.tmp"
+        with open(beside, "wb") as f:
+            f.write(content)
+        os.replace(beside, at)
+
+
 class MemoryFiles:
     """Fakes of the three for tests in one process."""
 

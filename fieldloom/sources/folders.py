@@ -32,6 +32,16 @@ def safe_parts(*parts: str) -> str:
     return "/".join(parts)
 
 
+def free_name(path: str) -> str:
+    """The path, or with _1, _2, ... before its extension the first that is not taken."""
+    stem, dot = os.path.splitext(path)
+    n, at = 0, path
+    while os.path.exists(at):
+        n += 1
+        at = f"{stem}_{n}{dot}"
+    return at
+
+
 def refuse_precious(path: str) -> Path:
     """The path, unless it is the root, the home folder or the working folder (or above one of them)."""
     at = Path(path).resolve()

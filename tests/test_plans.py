@@ -7,7 +7,7 @@ from fieldloom.operators import links, manifests
 from fieldloom.operators.filters import location_rows
 from fieldloom.plans.extraction import decode_plan, plan_extraction
 from fieldloom.plans.sample import sample_manifest
-from fieldloom.sources import adapters, folders
+from fieldloom.sources import adapters, folders, logs
 from fieldloom.sources.inventory import add_video, remove_video, scan_files, video_index
 from fieldloom.sources.mapping import read_mapping, require_columns
 from fieldloom.sources.settings import Settings, complete, read_settings
@@ -149,3 +149,18 @@ def test_stream_of_mapping_files(spark, tmp_path):
     write_frames(rows, str(tmp_path / "out"), str(tmp_path / "ck"), "data", 10).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 12
     assert spark.read.parquet(str(tmp_path / "out")).select(F.min("t")).first()[0] == 0
+
+
+def test_local_store_names_and_logs(tmp_path, caplog):
+    store = adapters.LocalStore(str(tmp_path))
+    store("a/b.png", b"1")
+    store("a/b.png", b"2")
+    assert (tmp_path / "a" / "b.png").read_bytes() == b"2" and [p.name for p in (tmp_path / "a").iterdir()] == ["b.png"]
+    with pytest.raises(ValueError):
+        store("../x.png", b"")
+    assert folders.free_name(str(tmp_path / "a" / "b.png")) == str(tmp_path / "a" / "b_1.png") and folders.free_name("/none/x.csv") == "/none/x.csv"
+    logs.logger("fieldloom.test", "INFO", str(tmp_path / "log")).info("%s", "{braces} and 100%")
+    assert "{braces} and 100%" in (tmp_path / "log").read_text()
+    for bad in ("loud", 99):
+        with pytest.raises(ValueError):
+            logs.level_of(bad)
