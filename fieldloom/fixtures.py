@@ -50,10 +50,14 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
     return frame_times(labels(spark, sf), ["vid", "day_night", "vehicle"], "s", "e", STEP)
 
 
-def placed_frames(spark: SparkSession, sf: str) -> DataFrame:
-    """Frames with their location. Orders are joined before frames are exploded further, on keys that both sides are dealt by."""
+def placed(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
+    """Rows of videos (vid) with their location."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return frames(spark, sf).join(orders, F.col("vid") == F.col("o_orderkey")).join(locations(spark, sf), F.col("c_custkey") == F.col("o_custkey"))
+    return rows.join(orders, F.col("vid") == F.col("o_orderkey")).join(locations(spark, sf), F.col("c_custkey") == F.col("o_custkey"))
+
+
+def placed_frames(spark: SparkSession, sf: str) -> DataFrame:
+    return placed(spark, sf, frames(spark, sf))
 
 
 def inventory(spark: SparkSession, sf: str) -> DataFrame:

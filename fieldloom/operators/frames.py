@@ -27,7 +27,15 @@ def frame_times(ranges: DataFrame, keys: list[str], start: str, end: str, step:
 
 
 def existing_counts(planned: DataFrame, existing: DataFrame, group: list[str], key: list[str]) -> DataFrame:
-    """total and existing frames of each group. Both sides are dealt by the frame; the counts are summed before they move."""
+    """total and existing frames of each group; planned frames are distinct.
+
+    Where the group is part of the frame's key, both sides are dealt by the group once, and frames and groups are counted where they
+    then are. Otherwise existing frames are joined by key and the counts are summed before they move.
+    """
+    if set(group) <= set(key):
+        flagged = planned.select(*key, F.lit(True).alias("__planned")).unionByName(existing.select(*key, F.lit(False).alias("__planned")))
+        frames = flagged.repartition(*group).groupBy(*key).agg(F.bool_or("__planned").alias("__p"), F.bool_or(~F.col("__planned")).alias("__e"))
+        return frames.where("__p").groupBy(*group).agg(F.count("*").alias("total"), F.count_if("__e").alias("existing"))
     there = existing.select(*key).distinct().withColumn("there", F.lit(1))
     return planned.join(there, key, "left").groupBy(*group).agg(F.count("*").alias("total"), F.count("there").alias("existing"))
 

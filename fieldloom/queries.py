@@ -52,8 +52,9 @@ def _draw_sql(level: str, *keys: str) -> str:
 
 @query("select continent, country, state, day_night, vehicle, count(*) as n_frames, count(distinct vid) as n_videos, max(round_even(t * 29.97, 0))::bigint as last_frame from fx_placed group by all")
 def frame_plan_by_location(spark, sf):
-    frame = text.frame_index(F.col("t"), F.lit(29.97))
-    return fx.placed_frames(spark, sf).groupBy("continent", "country", "state", "day_night", "vehicle").agg(F.count("*").alias("n_frames"), F.countDistinct("vid").alias("n_videos"), F.max(frame).alias("last_frame"))
+    # counted for each video first, where its frames are; only those counts are dealt by customer and by place
+    per_video = fx.frames(spark, sf).groupBy("vid", "day_night", "vehicle").agg(F.count("*").alias("n"), F.max("t").alias("t"))
+    return fx.placed(spark, sf, per_video).groupBy("continent", "country", "state", "day_night", "vehicle").agg(F.sum("n").alias("n_frames"), F.count("*").alias("n_videos"), F.max(text.frame_index(F.col("t"), F.lit(29.97))).alias("last_frame"))
 
 
 @query(f"select doc_id, md5({_clean_sql('text')}) as clean_md5, length({_clean_sql('text')})::bigint as clean_length from documents", False)
