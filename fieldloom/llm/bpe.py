@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .common import coded_words, with_columns
 
 #: Entries that a worker keeps of words' ids and of pairs' tests; beyond that it starts anew.
-KEPT_WORDS, KEPT_PAIRS = 200_000, 400_000
+KEPT_WORDS, KEPT_PAIRS = 150_000, 300_000
 #: Below this, lower-casing and composing a text is what the library does, character by character.
 PLAIN = 0x250
 
@@ -90,7 +90,7 @@ class Vocabulary:
     def _automaton(self, order: list[str], letters: dict[str, int]) -> None:
         """States are prefixes of tokens; `ends[s]`: the tokens that are suffixes of s, longest first, with their lengths."""
         children: list[dict[int, int]] = [{}]
-        own = [-1]
+        own = array("i", [-1])
         for r, name in enumerate(order):
             state, symbols = 0, self._symbols(name, letters)
             self.length[r] = len(symbols)
@@ -115,7 +115,9 @@ class Vocabulary:
             for d, after in children[state].items():
                 parent[after] = state
                 queue.append((d, after))
-        self.children, self.back = children, back
+        # one table for all states is far smaller than a table for each
+        self.step = {s << 9 | c: after for s, to in enumerate(children) for c, after in to.items()}
+        self.back = array("i", back)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens a, b stay next to each other: no pair that meets at their border on the way down is merged first."""
@@ -135,17 +137,17 @@ class Vocabulary:
 
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one word by the last token of each of its prefixes."""
-        n, children, back, ends, pairs = len(word), self.children, self.back, self.ends, self.pairs
+        n, step, back, ends, pairs = len(word), self.step, self.back, self.ends, self.pairs
         symbols = list(word)
         if self.suffix:
             symbols[-1] += 256
         last, state, size = [0] * (n + 1), 0, self.n
         for i in range(1, n + 1):
             c = symbols[i - 1]
-            after = children[state].get(c)
+            after = step.get(state << 9 | c)
             while after is None and state:
                 state = back[state]
-                after = children[state].get(c)
+                after = step.get(state << 9 | c)
             state = after or 0
             for token, length in ends[state]:
                 if length == i:
@@ -215,7 +217,7 @@ class Vocabulary:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), names), " ")
 
 
-@lru_cache(2)
+@lru_cache(1)
 def vocabulary(source: str) -> Vocabulary:
     return Vocabulary(source)
 
@@ -254,7 +256,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
         return each
 
-    return with_columns(docs, text, [(out, T.BinaryType()), *([(decoded, T.StringType())] if decoded else [])], make, keep)
+    return with_columns(docs, text, [(out, T.BinaryType()), *([(decoded, T.StringType())] if decoded else [])], make, keep, holds=("bpe", vocabulary.cache_clear))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None, out: str = "decoded") -> DataFrame:
@@ -265,4 +267,4 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: list[str] | No
         vocab = vocabulary(source.value)
         return lambda part: {out: vocab.decode(*unpacked(part.column(ids)))}
 
-    return with_columns(encoded, ids, [(out, T.StringType())], make, keep)
+    return with_columns(encoded, ids, [(out, T.StringType())], make, keep, holds=("bpe", vocabulary.cache_clear))

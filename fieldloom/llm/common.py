@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -42,6 +44,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Returns memory that this worker no longer uses to the system; workers live on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold_only(name: str = "", clear: Callable[[], None] | None = None) -> None:
+    """Called where a task starts: tables that other operators have left in this worker are dropped; `clear` drops this one's."""
+    others = [n for n in _held if n != name]
+    for n in others:
+        _held.pop(n)()
+    if others:
+        gc.collect()
+        give_back()
+    if clear is not None:
+        _held[name] = clear
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows with about `most` bytes of text; one longer text is a slice of its own."""
     n = batch.num_rows
@@ -56,11 +82,12 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
         start = end
 
 
-def with_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[pa.RecordBatch], dict[str, pa.Array]]], keep: list[str] | None = None, only: Callable[[dict[str, pa.Array]], pa.Array] | None = None) -> DataFrame:
+def with_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[pa.RecordBatch], dict[str, pa.Array]]], keep: list[str] | None = None, most: int = SLICE_BYTES, holds: tuple[str, Callable[[], None]] | None = None) -> DataFrame:
     """Adds columns that Python makes from a text column, a slice of rows at a time.
 
     `make()` runs once in each task and returns the function for slices. A column of `df` with the name of a new one is replaced.
-    `keep` names the columns of `df` to carry along (all if None). `only` says which rows stay.
+    `keep` names the columns of `df` to carry along (all if None). Slices have about `most` bytes of text.
+    `holds` names tables that `make` keeps in the worker for later tasks, and how to drop them.
     """
     new = [name for name, _ in fields]
     source = df if keep is None else df.select(*dict.fromkeys([*keep, text]))
@@ -68,12 +95,13 @@ def with_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     schema = T.StructType([*kept, *(T.StructField(n, t) for n, t in fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only(holds[0], holds[1]) if holds else hold_only()
         each = make()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 made = each(part)
-                out = pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), *(made[n] for n in new)], names=[*(f.name for f in kept), *new])
-                yield out if only is None else out.filter(only(made))
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), *(made[n] for n in new)], names=[*(f.name for f in kept), *new])
+        give_back()
 
     return source.mapInArrow(run, schema)
 
@@ -89,10 +117,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def coded_words(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Words between ASCII white space: the distinct ones, a code for each word, and the first word of each text."""
+    words, codes, starts = coded_word_array(column)
+    return words.to_pylist(), codes, starts
+
+
+def coded_word_array(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The same with the distinct words as an Arrow array."""
     lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     coded = lists.flatten().dictionary_encode()
     starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     empty = pc.index(coded.dictionary, "").as_py()
     if empty >= 0:  # at white space at a text's ends
         stay = codes != empty

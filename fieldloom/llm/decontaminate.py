@@ -25,9 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, text_bytes, with_columns
+from .common import hold_only, slices, text_bytes, with_columns
 
 SIZE, SHINGLE, BLOCK_BYTES = 13, 5, 8_000_000
+#: Bytes of text that are hashed at once: each takes some 60 bytes of memory meanwhile.
+SLICE = 1_000_000
 #: What is kept of a byte: a-z, 0-9 and all beyond ASCII are parts of words; A-Z too, in lower case; 32 is none.
 BYTES = np.array([b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -177,9 +179,10 @@ def _counts(docs: DataFrame, text: str, index: Broadcast) -> dict[tuple[int, int
     """How often each of the block's shingles occurs in all documents; as many rows as the block has shingles at most."""
 
     def run(batches):
+        hold_only("decontaminate", _powers.cache_clear)
         known = index.value.known
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 words = Words(part.column(text))
                 for k, table in known.items():
                     place, times = np.unique(table.places(words.shingles(k))[1], return_counts=True)
@@ -198,10 +201,10 @@ def find(docs: DataFrame, items: DataFrame, doc_id_text: str = "text", item_id:
     passes = 0
     for block in _blocks(items, item_id, item_text, size, shingle, block_bytes):
         block.choose(_counts(docs, text, sc.broadcast(block)))
-        out = with_columns(out, text, fields, _pass(sc.broadcast(block), text, passes > 0))
+        out = with_columns(out, text, fields, _pass(sc.broadcast(block), text, passes > 0), most=SLICE, holds=("decontaminate", _powers.cache_clear))
         passes += 1
     if not passes:
-        out = with_columns(out, text, fields, _pass(None, text, False))
+        out = with_columns(out, text, fields, _pass(None, text, False), most=SLICE, holds=("decontaminate", _powers.cache_clear))
     return out if keep is None else out.select(*keep, *(n for n, _ in fields))
 
 

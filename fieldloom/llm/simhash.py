@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, with_columns
+from .common import cut, hold_only, with_columns
 
 BITS, SEGMENTS, MOST, SEED = 64, 5, 2, 42
 #: A bucket of more distinct fingerprints is linked by masked keys, whose groups have at most 4 members, over all tasks.
@@ -143,6 +143,7 @@ def link_buckets(large: int, m: int, d: int):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["kind", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only()
         start, key, fp = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         over = None  # the bucket that is passed on
 
@@ -251,10 +252,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """The rows of `docs` without near duplicates: of each component the row of the smallest doc_id (of repeated ones, one row).
     Rows without a doc_id cannot be told apart by it and stay."""
     found = near_duplicates(docs, doc_id, text)
-    stay = cut(found.where(F.col(doc_id) == F.col("component_id")).groupBy(F.col(doc_id).alias("stay")).agg(F.count("*").alias("rows_of_it")))
+    stay = cut(found.where(F.col(doc_id) == F.col("component_id")).groupBy(F.col(doc_id).alias("__stay")).agg(F.count("*").alias("rows_of_it")))
     repeated = not stay.where("rows_of_it > 1").isEmpty()
-    single = stay.where("rows_of_it = 1").select("stay")
-    kept = docs.join(single, docs[doc_id] == F.col("stay"), "left_semi")
+    single = stay.where("rows_of_it = 1").select("__stay")
+    kept = docs.join(single, docs[doc_id] == F.col("__stay"), "left_semi")
     if repeated:
-        kept = kept.unionByName(docs.join(stay.where("rows_of_it > 1").select("stay"), docs[doc_id] == F.col("stay"), "left_semi").dropDuplicates([doc_id]))
+        kept = kept.unionByName(docs.join(stay.where("rows_of_it > 1").select("__stay"), docs[doc_id] == F.col("__stay"), "left_semi").dropDuplicates([doc_id]))
     return kept.unionByName(docs.where(F.col(doc_id).isNull()))

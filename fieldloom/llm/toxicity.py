@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import coded_words, slices, with_columns
+from .common import coded_words, give_back, hold_only, slices, with_columns
 
 
 @dataclass(frozen=True)
@@ -125,17 +125,19 @@ class Chain:
 def fit_chain(rows: np.ndarray, hashes: np.ndarray, labels: list[np.ndarray], fold: np.ndarray) -> Chain:
     """One model for each category; labels hold nan where unknown. rows, hashes: which document has which feature."""
     n, models, earlier, threshold = len(fold), [], np.zeros((len(fold), 0)), 0.5
-    distinct, columns, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    often = count >= LEAST
-    columns, rows = (np.cumsum(often) - 1)[columns[often[columns]]], rows[often[columns]]
-    distinct = distinct[often]
+    distinct, count = np.unique(hashes, return_counts=True)
+    distinct = distinct[count >= LEAST]
+    columns = np.searchsorted(distinct, hashes).astype(np.int32)
+    often = distinct[np.minimum(columns, max(0, len(distinct) - 1))] == hashes if len(distinct) else np.zeros(len(hashes), bool)
+    rows, columns = rows[often].astype(np.int32), columns[often]
+    del hashes, often, count
     for y in labels:
         known = ~np.isnan(y)
         outside = np.zeros(n)
 
         def among(chosen: np.ndarray) -> Linear:
             mine = chosen[rows]
-            return fit((np.cumsum(chosen) - 1)[rows[mine]], columns[mine], distinct, y[chosen], earlier[chosen])
+            return fit((np.cumsum(chosen, dtype=np.int32) - 1)[rows[mine]], columns[mine], distinct, y[chosen], earlier[chosen])
 
         for f in range(FOLDS):
             there = fold == f
@@ -179,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...] = CHAI
 
 def _fit_task(ys: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only()
         parts = [(b.select(["labelled_id", "fold", *ys]), b.column("features").flatten().to_numpy().astype(np.uint32), np.diff(b.column("features").offsets.to_numpy())) for b in batches if b.num_rows]
         if not parts:
             return
@@ -189,9 +192,12 @@ def _fit_task(ys: list[str]):
         rows, hashes = np.repeat(place, np.concatenate([p[2] for p in parts])), np.concatenate([p[1] for p in parts])
         parts.clear()
         about = about.take(order)
+        give_back()
         chain = fit_chain(rows, hashes, [about.column(y).to_numpy(zero_copy_only=False).astype(float) for y in ys], about.column("fold").to_numpy())
         columns = [[i for i, _ in enumerate(chain.models)], [m.hashes.astype(np.int64) for m in chain.models], [m.weights for m in chain.models], [m.chained for m in chain.models], [float(m.constant) for m in chain.models], [chain.threshold] * len(chain.models)]
         types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64()]
+        del rows, hashes
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["model", "hashes", "weights", "chained", "constant", "threshold"])
 
     return run
@@ -243,9 +249,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFr
     fitted = train(docs, labels, text=text)
 
     def run(batches):
+        hold_only()
         each = scorer(fitted, text)
         for batch in batches:
             for part in slices(batch, text):
                 yield part.filter(pa.array(each(part)[:, -1] < fitted.threshold))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
