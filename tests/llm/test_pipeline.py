@@ -39,3 +39,23 @@ def test_stages_against_brute_force(spark):
         assert five[i].n_tokens == len(ids) and five[i].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert five[i].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert {r.doc_id: r for r in p.run(spark, SF).collect()} == five
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    extra = "stay fp component_id rows_of_it n_words spans items ids decoded rejected p_toxic features labelled_id t fold list_key found new n_entities entity kind".split()
+    rows = [(1, None, None, None, None), (1, None, None, None, None), (2, "", "en", "s", 0), (None, "a b c d e", "en", "s", 9), (None, "a b c d e", "en", "s", 9), (3, "x " * 200_000, "en", None, 1), (4, "same words here now", "en", "s", 2), (4, "same words here now", "en", "s", 2), (5, "Mail a.b@c.example.com", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *(f"'e' as {c}" for c in extra))
+    for data in (docs, docs.limit(0)):
+        kept = data
+        for name, stage in p.STAGES[:-1]:
+            kept = stage(spark, kept, SF)
+            assert kept.columns == docs.columns, name
+            path = f"{tmp_path}/{name}-{data is docs}"
+            kept.write.parquet(path)
+            kept = spark.read.parquet(path)
+        ids = sorted(str(r.doc_id) for r in kept.collect())
+        done = p.STAGES[-1][1](spark, kept, SF)
+        assert done.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and done.count() == len(ids)
+        if data is docs:
+            assert ids == ["1", "3", "4", "5", "None", "None"]
+            assert "a.b@c.example.com" not in {r.text for r in kept.collect()}
