@@ -290,7 +290,7 @@ sample as (select * from (select *, row_number() over (order by {_draw_sql('fina
 
 @query(f", inv as (select * from fx_inventory), {_ORDER} select * from cities")
 def country_round_robin(spark, sf):
-    return sampling.country_round_robin(fx.inventory(spark, sf), SEED)
+    return sampling.country_round_robin(fx.inventory(spark, sf), SEED).select(*_CITY, F.col("round").cast("long"), F.col("city_order").cast("long"))
 
 
 @query(f"select url from ({_CAP} fx_inventory) where in_folder <= 1")
