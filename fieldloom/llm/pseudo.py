@@ -2,12 +2,14 @@
 
 Each token is predicted from the tokens around it, SIDE on the left and SIDE on the right, never from itself: their vectors, one table
 for each place, are added, go through tanh, and a softmax of two levels (class, word within its class) gives the probability. A
-document's score is the sum over its tokens of the logarithm of that probability.
+document's score is the sum over its tokens of the logarithm of that probability. The network knows the most frequent words; each
+other word is its bucket (by length and last letter) to it, and `word_score` multiplies the bucket's probability by the word's own
+within its bucket, from the counts of all words of the corpus. That table grows with the corpus and is only joined, in the cluster.
 
 All documents take part: their words are counted for the vocabulary (other words share buckets by length and last letter) and every
 token is trained on once. Each task trains a copy in numpy, from the counts' unigram model on; the copies are averaged, weighted by
-their tokens, in the cluster, by blocks of parameters. Only the vocabulary and the averaged network, both of a fixed size, reach the
-driver. The result depends on how the rows are dealt to tasks as any such training does, not on their number.
+their tokens, in the cluster, by blocks of parameters. Only the network's words, the totals of the buckets and the averaged network,
+all of a fixed size, reach the driver. The result depends on how the rows are dealt to tasks as any such training does, not on their number.
 
 Defined cases: null or empty text has no tokens and score 0 (mean null); whole texts are scored; repeated rows get the same score and
 count as often in training; other columns are ignored. An empty table gives an empty one.
@@ -20,11 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import coded_word_array, hold_only, slices, with_columns
+from .common import coded_word_array, cut, give_back, hold_only, slices, with_columns
 
 SIDE, WIDTH, CLASSES, MEMBERS, BATCH, RATE, BLOCKS = 2, 12, 32, 32, 8192, 0.08, 16
 #: The last class holds the buckets of words outside the vocabulary.
@@ -36,16 +39,26 @@ def _normal(words: pa.Array) -> pa.Array:
     return pc.utf8_trim(pc.utf8_lower(words), characters=TRIM)
 
 
-def _tokens(column: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(token of each word, first word of each text)."""
-    words, codes, starts = coded_word_array(column)
-    normal = _normal(words)
-    known = pc.fill_null(pc.index_in(normal, vocabulary), -1).to_numpy(zero_copy_only=False)
+def _buckets(normal: pa.Array) -> np.ndarray:
+    """The bucket of each word, by its length in bytes and its last byte."""
     offsets = np.frombuffer(normal.buffers()[1], np.int32, len(normal) + 1) if len(normal) else np.zeros(1, np.int32)
     data = np.frombuffer(normal.buffers()[2], np.uint8) if len(normal) and normal.buffers()[2] is not None and normal.buffers()[2].size else np.zeros(1, np.uint8)
     size = np.diff(offsets)
     last = np.where(size > 0, data[np.maximum(offsets[1:] - 1, 0)], 0).astype(np.int64)
-    ids = np.where(known >= 0, known, KNOWN + (last * 7 + size) % MEMBERS).astype(np.int32)
+    return (last * 7 + size) % MEMBERS
+
+
+def _coded(column: pa.Array, vocabulary: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words, their tokens, code of each word of the texts, first word of each text)."""
+    words, codes, starts = coded_word_array(column)
+    normal = _normal(words)
+    known = pc.fill_null(pc.index_in(normal, vocabulary), -1).to_numpy(zero_copy_only=False)
+    return normal, np.where(known >= 0, known, KNOWN + _buckets(normal)).astype(np.int32), codes, starts
+
+
+def _tokens(column: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(token of each word, first word of each text)."""
+    _, ids, codes, starts = _coded(column, vocabulary)
     return (ids[codes] if len(codes) else np.zeros(0, np.int32)), starts
 
 
@@ -155,17 +168,23 @@ class Network:
         return sums[starts[1:]] - sums[starts[:-1]]
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray]:
-    """The KNOWN most frequent words of all documents, and the counts of all tokens (what is left, evenly over the buckets)."""
+def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, bucket, n) of all distinct words of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
                 words, codes, _ = coded_word_array(part.column(text))
                 if len(words):
-                    yield pa.RecordBatch.from_arrays([_normal(words), pa.array(np.bincount(codes, minlength=len(words)))], names=["word", "n"])
+                    normal = _normal(words)
+                    yield pa.RecordBatch.from_arrays([normal, pa.array(_buckets(normal).astype(np.int32)), pa.array(np.bincount(codes, minlength=len(words)))], names=["word", "bucket", "n"])
+
+    return docs.select(text).mapInArrow(run, "word string, bucket int, n long").groupBy("word").agg(F.min("bucket").alias("bucket"), F.sum("n").alias("n"))
 
-    counts = docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+def vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[list[str], np.ndarray]:
+    """The KNOWN most frequent words of all documents, and the counts of all tokens (what is left, evenly over the buckets)."""
+    counts = (counted(docs, text) if counts is None else counts).select("word", "n")
     top = counts.where("word != ''").orderBy(F.desc("n"), "word").limit(KNOWN).withColumn("kind", F.lit(0))
     every = counts.agg(F.sum("n").alias("n")).select(F.lit("").alias("word"), "n", F.lit(1).alias("kind"))
     rows = top.unionByName(every).collect()
@@ -211,7 +230,8 @@ def fit(docs: DataFrame, words: list[str], counts: np.ndarray, text: str = "text
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trained_on: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_tokens, log_prob (summed), mean_log_prob of each document, under a network trained on all of them."""
+    """doc_id, n_tokens, log_prob (summed), mean_log_prob of each document's tokens (a word beyond the network's is its bucket), under a
+    network trained on all of them. `word_score` tells the words of a bucket apart."""
     corpus = docs if trained_on is None else trained_on
     words, counts = vocabulary(corpus, text)
     sent = docs.sparkSession.sparkContext.broadcast((words, fit(corpus, words, counts, text)))
@@ -228,3 +248,58 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trained_o
         return each
 
     return with_columns(docs, text, [("n_tokens", T.LongType()), ("log_prob", T.DoubleType()), ("mean_log_prob", T.DoubleType())], make, [doc_id])
+
+
+def _within(counts: DataFrame, words: list[str]) -> tuple[DataFrame, Column]:
+    """(word, within) of the words outside of `words`: the logarithm of each one's probability within its bucket. And the same for a word
+    that the corpus lacks, of columns `word` and `bucket`: such words share what as many further tokens as the bucket has distinct words,
+    and one, would have (Witten and Bell), by a code of 257 equal signs, its bytes and an end."""
+    rest = counts.where(~F.col("word").isin(words)) if words else counts
+    totals, kinds = np.zeros(MEMBERS), np.zeros(MEMBERS)
+    for r in rest.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
+        totals[r.bucket], kinds[r.bucket] = r.n, r.kinds
+    every = np.log(totals + kinds + 1)
+    of = lambda values: F.element_at(F.array(*(F.lit(float(v)) for v in values)), F.col("bucket") + 1)
+    lacking = of(np.log(kinds + 1) - every) - (F.octet_length("word") + 1) * float(np.log(257))
+    return rest.select("word", (F.log(F.col("n").cast("double")) - of(every)).alias("within")), lacking
+
+
+def word_score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trained_on: DataFrame | None = None) -> DataFrame:
+    """The columns of `score`, for the words themselves: a word beyond the network's counts with its probability within its bucket."""
+    corpus = docs if trained_on is None else trained_on
+    counts = cut(counted(corpus, text))
+    words, known_counts = vocabulary(corpus, text, counts)
+    within, lacking = _within(counts, words)
+    sent = docs.sparkSession.sparkContext.broadcast((words, fit(corpus, words, known_counts, text)))
+    source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    fields = [("word", T.StringType()), ("bucket", T.IntegerType()), ("rows", T.ArrayType(T.LongType())), ("id", source.schema["id"].dataType), ("n_tokens", T.LongType()), ("log_prob", T.DoubleType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, and one for each other word of a slice with the texts that it stands in, as often as it does."""
+        hold_only()
+        known, net = pa.array(sent.value[0], pa.string()), Network().load(sent.value[1])
+        base, names = TaskContext.get().partitionId() << 33, [n for n, _ in fields]
+        for batch in batches:
+            for part in slices(batch, "text"):
+                normal, ids, codes, starts = _coded(part.column("text"), known)
+                total, n = net.score(ids[codes] if len(codes) else np.zeros(0, np.int32), starts), np.diff(starts).astype(np.int64)
+                rows = base + np.arange(len(n))
+                base += len(n)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32)), pa.array(rows))
+                none = pa.nulls(len(n), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([f" {r}" for r in rows.tolist()], pa.string()), none, lists, part.column("id"), pa.array(n), pa.array(total)], names=names)  # no word has a space
+                other = np.flatnonzero(ids[codes] >= KNOWN) if len(codes) else np.zeros(0, np.int64)
+                if len(other):
+                    order = other[np.argsort(codes[other], kind="stable")]
+                    kinds, first = np.unique(codes[order], return_index=True)
+                    places = np.repeat(rows, n)[order]
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), pa.array(places))
+                    m = len(kinds)
+                    yield pa.RecordBatch.from_arrays([normal.take(pa.array(kinds)), pa.array(ids[kinds] - KNOWN, pa.int32()), lists, pa.nulls(m, part.column("id").type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())], names=names)
+        give_back()
+
+    made = source.mapInArrow(run, T.StructType([T.StructField(n, t) for n, t in fields]))
+    own = F.coalesce("within", F.when(F.col("bucket").isNotNull(), lacking), F.col("log_prob"))
+    each = made.join(within, "word", "left").select(own.alias("log_prob"), "id", "n_tokens", F.explode("rows").alias("row"))
+    summed = each.groupBy("row").agg(F.first("id", ignorenulls=True).alias(doc_id), F.max("n_tokens").alias("n_tokens"), F.sum("log_prob").alias("log_prob"))
+    return summed.select(doc_id, "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))

@@ -55,7 +55,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudo.score(table(spark, sf_dir, "documents"))
+    return pseudo.word_score(table(spark, sf_dir, "documents"))
 
 
 #: A production run takes its key from a secret store; this one only makes the queries' results repeatable.

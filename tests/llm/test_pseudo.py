@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 
-from fieldloom.llm import pseudo
+from fieldloom.llm import pseudo, queries
 
 
 def test_gradient_and_probabilities():
@@ -60,3 +60,26 @@ def test_edges(spark):
     got = pseudo.score(docs).collect()
     assert len(got) == 5 and [r.n_tokens for r in got] == [0, 0, 0, 2, 300_000] and got[0].log_prob == 0 and got[0].mean_log_prob is None and got[3].log_prob < 0
     assert pseudo.score(docs.limit(0)).count() == 0
+
+
+def test_words_of_a_bucket_differ_by_their_counts(spark):
+    common = " ".join(f"k{i:04d}" for i in range(pseudo.KNOWN))
+    rows = [(i, common) for i in range(4)] + [(10, "zzqa"), (11, "zzya"), (12, "zzqa zzqa"), (None, None), (13, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in pseudo.word_score(docs).collect()}
+    assert len(got) == 9 and abs(got[10].log_prob - got[11].log_prob - np.log(3)) < 1e-6 and got[12].n_tokens == 2
+    assert got[None].n_tokens == got[13].n_tokens == 0 and got[13].log_prob == 0 and got[13].mean_log_prob is None
+    net = {r.doc_id: r for r in pseudo.score(docs).collect()}
+    assert abs(got[0].log_prob - net[0].log_prob) < 0.1 and abs(got[10].log_prob - net[10].log_prob - np.log(3 / 7)) < 0.1  # 4 tokens, 2 words, and 1
+    held = spark.createDataFrame([(1, "zzya"), (2, "zzua"), (3, "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzua")], "doc_id long, text string")
+    new = {r.doc_id: r.log_prob for r in pseudo.word_score(held, trained_on=docs).collect()}
+    assert new[1] > new[2] > new[3]
+    assert pseudo.word_score(docs.limit(0)).count() == 0
+
+
+def test_query_tells_rare_words_apart(spark, tmp_path):
+    common = " ".join(f"k{i:04d}" for i in range(pseudo.KNOWN))
+    rows = [(i, common) for i in range(4)] + [(10, "zzqa"), (11, "zzya"), (12, "zzqa zzqa")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.log_prob for r in queries.op9_pseudo_likelihood(spark, str(tmp_path)).collect()}
+    assert got[10] > got[11] + 1
