@@ -43,9 +43,9 @@ _GIVEN, _TITLE = _one_word_of(FEMALE + MALE), _one_word_of(TITLES_F + TITLES_M +
 #: The first letters of titles and given names, Greek and Cyrillic ones included.
 _FIRST = r"(?=[A-Z\u0370-\u04FF])"
 #: kind: patterns. Repeats are bounded or possessive, so the time is linear in the text. Each begins after something other than an
-#: ASCII letter or digit.
+#: ASCII letter or digit; addresses of machines, social security and card numbers also right after an ASCII letter.
 KINDS = {
-    "email": [r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}"],
+    "email": [r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}", r"(?<![._%+-])[._%+-]{1,64}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}"],
     "access": [r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"],
     "hex": [r"[0-9a-f]{32,64}+(?![A-Za-z0-9])"],
     "assigned": [r"(?:[Pp]assword|[Pp]asswd|PASSWORD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {0,2}[:=] {0,2}[\"']?[A-Za-z0-9+/_.-]{6,100}+"],
@@ -65,23 +65,28 @@ def _any(*kinds: str) -> str:
 #: By an entity's first character only a few kinds are left to try.
 PATTERN = (
     r"(?<![A-Za-z0-9])(?:(?=[a-z])(?:" + _any("email", "hex", "assigned") + r")|(?=[A-Z])(?:" + _any("email", "access", "assigned", "iban", "name") + r")"
-    r"|(?=[0-9])(?:" + _any("email", "hex", "ip", "ssn", "card", "phone") + r")|(?=[+(])(?:" + _any("phone") + r")|(?=[^\x00-\x7F])(?:" + _any("name") + r"))"
+    r"|(?=[0-9])(?:" + _any("email", "hex", "ip", "ssn", "card", "phone") + r")|(?=[+(])(?:" + _any("phone") + r")|(?=[^\x00-\x7F])(?:" + _any("name") + r")|(?=[._%+-])(?:" + _any("email") + r"))"
+    r"|(?=[0-9])(?<=[A-Za-z])(?:" + _any("ip", "ssn", "card") + r")"
 )
-#: A text without any of these holds no entity but names; most texts are told by this alone.
+#: A text without any of these holds no entity but names and secrets of letters only; most texts are told by this alone.
 SIGNS, NAMES = "[0-9@=:]", rf"(?<![A-Za-z0-9]){_FIRST}(?:" + _any("name") + ")"
 ROUNDS = 64
 _SEPARATOR = "\u0001"
 
 
+def _may_hold(text: Column) -> Column:
+    """False only for texts without entities."""
+    return text.rlike(SIGNS) | text.contains("AKIA") | text.contains("ASIA") | text.rlike("[a-f]{32}") | text.rlike(NAMES)
+
+
 def holds(text: Column) -> Column:
     """Whether a text holds an entity: cheap tests first."""
-    return (text.rlike(SIGNS) | text.rlike(NAMES)) & text.rlike(PATTERN)
+    return _may_hold(text) & text.rlike(PATTERN)
 
 
 def entities(text: Column) -> Column:
     """The entities of a text in order; null for a null text."""
-    some = text.rlike(SIGNS) | text.rlike(NAMES)
-    return F.when(some, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).when(text.isNotNull(), F.array().cast("array<string>"))
+    return F.when(_may_hold(text), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def _kind(entity: Column) -> Column:
