@@ -2,7 +2,7 @@
 
 A tree builder reads tags, supplies the end tags that HTML leaves out and ignores those that fit nothing; it gives balanced events, so
 nesting of any depth needs no recursion. A renderer drops what is not visible (scripts, the head, `hidden`, `display: none` and
-`visibility: hidden` of the element or of a simple rule in a style sheet, closed details, ...) and lays out the rest: blocks on lines
+`visibility: hidden` of the element or of the rule in a style sheet that wins, closed details, ...) and lays out the rest: blocks on lines
 of their own, paragraphs, headings, lists and tables set off by an empty line, list items with their marks and hanging indents,
 preformatted text as it is, table cells in columns that are aligned, spans included.
 
@@ -34,7 +34,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 hr listing menu ol p pre table ul xmp".split())
 CLOSES_P = (BLOCK - {"body", "legend", "optgroup", "option"}) | {"plaintext"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas svg math noembed noframes datalist col colgroup area map param rp".split())
+UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas noembed noframes datalist col colgroup area map param rp".split())
 IN_HEAD = frozenset("base link meta script style title template noscript head html".split())
 TABLE_PARTS = frozenset("caption colgroup tbody thead tfoot tr td th".split())
 #: Looking for an open element ends here, unless the tag is a part of a table itself.
@@ -48,9 +48,217 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-RULE = re.compile(r"([^{}]{1,2000})\{([^{}]{0,2000})\}")
-HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-NONE, UNSEEN_STYLE, SEEN_STYLE = re.compile(r"display\s*:\s*none", re.I), re.compile(r"visibility\s*:\s*(?:hidden|collapse)", re.I), re.compile(r"visibility\s*:\s*visible", re.I)
+
+# Drawings and formulas have parts that are not shown, and end where these tags of a page begin.
+FOREIGN = frozenset({"svg", "math"})
+UNSHOWN = frozenset("defs desc metadata symbol marker clippath mask pattern lineargradient radialgradient filter annotation annotation-xml mphantom".split())
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+#: A tag that closes itself, which holds in drawings and formulas; at the end of a value without quotes the slash belongs to it.
+CLOSED = re.compile(r"(?<!=)(?:^|[\s\"'])/\Z|\A[^=]*/\Z|\s[^\s=\"']+/\Z")
+
+# Style sheets: the screen that conditions are tried on, and the values of the two properties that count here.
+SCREEN = {"width": 1280.0, "height": 800.0, "orientation": "landscape", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "scripting": "none"}
+COMMON = "inherit initial unset revert revert-layer"
+VALUES = {
+    "display": frozenset(f"{COMMON} none contents block inline inline-block flow-root flex inline-flex grid inline-grid list-item run-in table inline-table table-row table-cell table-caption table-column table-column-group table-row-group table-header-group table-footer-group ruby ruby-base ruby-text -webkit-box -webkit-flex -webkit-inline-box -ms-flexbox -ms-grid math".split()),
+    "visibility": frozenset(f"{COMMON} visible hidden collapse".split()),
+}
+COMMENT, CSS = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL), re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|\\.|[{};]", re.DOTALL)
+DECLARED = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+)(?:\s+[a-z-]+)?\s*(!\s*important)?\s*", re.I)
+_IDENT = r"(?:[\w-]|[^\x00-\x7f]|\\[0-9a-fA-F]{1,6}\s?|\\.)++"
+SIMPLE = re.compile(rf"(\*)|([#.]?)({_IDENT})|\[\s*([\w-]+)\s*(?:([~|^$*]?=)\s*(\"[^\"]*\"|'[^']*'|[^\]\s]+)\s*[is]?\s*)?\]", re.I)
+COMBINED = re.compile(r"\s*(>)\s*|\s+")
+FEATURE = re.compile(r"(min-|max-)?([a-z-]+)\s*(?:(:|>=|<=|>|<|=)\s*(.+))?")
+LENGTH = re.compile(r"([0-9.]+)\s*(px|em|rem|)")
+
+
+def _name(written: str) -> str:
+    """A name of a style sheet without its escapes."""
+    return re.sub(r"\\(?:([0-9a-fA-F]{1,6})\s?|(.))", lambda m: m[2] or (chr(int(m[1], 16)) if int(m[1], 16) < 0x110000 else ""), written) if "\\" in written else written
+
+
+def _feature(text: str) -> bool:
+    """Whether the screen has a feature, as in `min-width: 600px` or `width >= 600px`; false for what is not known."""
+    m = FEATURE.fullmatch(text.strip())
+    if not m or m[2] not in SCREEN:
+        return False
+    have = SCREEN[m[2]]
+    if m[3] is None:
+        return have != "none"
+    if isinstance(have, str):
+        return m[3] == ":" and have == m[4].strip()
+    size = LENGTH.fullmatch(m[4].strip())
+    if not size or size[1].count(".") > 1 or size[1] == ".":
+        return False
+    want = float(size[1]) * (16 if size[2] in ("em", "rem") else 1)
+    sign = ">=" if m[1] == "min-" else "<=" if m[1] == "max-" else m[3]
+    return {">=": have >= want, "<=": have <= want, ">": have > want, "<": have < want}.get(sign, have == want)
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries holds for the screen."""
+    if not media.strip():
+        return True
+    for query in media.lower().split(","):
+        words = re.findall(r"\([^()]*\)|[^\s()]+", query)
+        turned = words[:1] == ["not"]
+        words = words[1:] if words[:1] in (["not"], ["only"]) else words
+        either = [[]]
+        for w in words:
+            if w == "or":
+                either.append([])
+            elif w != "and":
+                either[-1].append(_feature(w[1:-1]) if w[0] == "(" else w in ("screen", "all"))
+        if bool(words) and any(map(all, either)) != turned:
+            return True
+    return False
+
+
+def declared(text: str) -> tuple[str, str, bool] | None:
+    """(property, value, whether it is important) of a declaration that counts here."""
+    m = DECLARED.fullmatch(text)
+    return (m[1].lower(), m[2].lower(), bool(m[3])) if m and m[2].lower() in VALUES[m[1].lower()] else None
+
+
+def selector(text: str) -> tuple[tuple[int, int, int], list[tuple[str, list[tuple]]]] | None:
+    """(specificity, parts) of a selector; a part is what stands before it (`>` or nothing for any depth) and its conditions. None for
+    selectors with what is not read here."""
+    text, at, before = text.strip(), 0, ""
+    parts: list[tuple[str, list[tuple]]] = [("", [])]
+    ids = names = tags = 0
+    if not text:
+        return None
+    while at < len(text):
+        if m := SIMPLE.match(text, at):
+            if m[1]:
+                parts[-1][1].append(("*", "", "", ""))
+            elif m[4]:
+                value = m[6] or ""
+                parts[-1][1].append(("[", m[4].lower(), m[5] or "", _name(value[1:-1] if value[:1] in ("'", '"') else value)))
+                names += 1
+            elif m[2]:
+                parts[-1][1].append((m[2], _name(m[3]), "", ""))
+                ids, names = ids + (m[2] == "#"), names + (m[2] == ".")
+            elif parts[-1][1]:
+                return None
+            else:
+                parts[-1][1].append(("", m[3].lower(), "", ""))
+                tags += 1
+        elif (m := COMBINED.match(text, at)) and parts[-1][1]:
+            before = m[1] or ""
+            parts.append((before, []))
+        else:
+            return None
+        at = m.end()
+    return ((ids, names, tags), parts) if parts[-1][1] else None
+
+
+def _meets(condition: tuple, tag: str, a: dict[str, str], classes: list[str]) -> bool:
+    kind, name, sign, value = condition
+    if kind == "*":
+        return True
+    if kind != "[":
+        return tag == name if not kind else name in classes if kind == "." else a.get("id") == name
+    have = a.get(name)
+    if have is None or not sign:
+        return have is not None
+    if sign == "=":
+        return have == value
+    if sign == "|=":
+        return have == value or have.startswith(value + "-")
+    if not value:
+        return False
+    return value in have.split() if sign == "~=" else have.startswith(value) if sign == "^=" else have.endswith(value) if sign == "$=" else value in have
+
+
+class Styles:
+    """Rules on `display` and `visibility`. Each part of a selector has a bit; an element's bits say which parts it, with what is around
+    it, meets, so an element costs the same at any depth."""
+
+    def __init__(self) -> None:
+        self.parts: dict[tuple[str, str], list[tuple[int, int, str, list[tuple]]]] = {}  # by one condition: bit, the bit before, how, conditions
+        self.ends: dict[int, list[tuple]] = {}  # by a selector's last bit: property, weight, value
+        self.bits = self.rules = 0
+
+    def __bool__(self) -> bool:
+        return bool(self.ends)
+
+    def add(self, written: str, found: list[tuple[str, str, bool]]) -> None:
+        for text in written.split(","):
+            if read := selector(text):
+                last = 0
+                for how, conditions in read[1]:
+                    bit, self.bits = 1 << self.bits, self.bits + 1
+                    key = next((c for k in ("#", ".", "") for c in conditions if c[0] == k), ("*", "", "", ""))
+                    self.parts.setdefault(key[:2], []).append((bit, last, how, conditions))
+                    last = bit
+                self.ends[last] = [(prop, (important, False, read[0], self.rules + i), value) for i, (prop, value, important) in enumerate(found)]
+        self.rules += len(found)
+
+    def read(self, css: str) -> None:
+        css = COMMENT.sub(" ", css).replace("<!--", " ").replace("-->", " ")
+        blocks: list[tuple[bool, str, list]] = []  # of open blocks: whether it applies, its selectors, its declarations
+        start = 0
+
+        def note(end: int) -> None:
+            if blocks and blocks[-1][0] and blocks[-1][1] and (d := declared(css[start:end])):
+                blocks[-1][2].append(d)
+
+        def done() -> None:
+            _, selectors, found = blocks.pop()
+            if found:
+                self.add(selectors, found)
+
+        for m in CSS.finditer(css):
+            if m[0] == "{":
+                head = css[start : m.start()].strip()
+                live, outer = (blocks[-1][0], blocks[-1][1]) if blocks else (True, "")
+                if head.startswith("@"):
+                    name, _, rest = head[1:].replace("(", " (", 1).partition(" ")
+                    name = name.lower()
+                    ok = on_screen(rest) if name == "media" else name == "layer" or (name == "supports" and not rest.strip().lower().startswith("not"))
+                    blocks.append((live and ok, outer, []))
+                else:
+                    blocks.append((live and not outer, head, []))
+            elif m[0] == "}":
+                note(m.start())
+                if blocks:
+                    done()
+            elif m[0] == ";":
+                note(m.start())
+            else:
+                continue
+            start = m.end()
+        note(len(css))
+        while blocks:
+            done()
+
+    def meets(self, tag: str, a: dict[str, str], around: tuple[int, int]) -> tuple[int, int]:
+        """(bits met by the element or one around it, bits met by the element); `around`: those of its parent."""
+        classes, own = a.get("class", "").split(), 0
+        keys = [("*", ""), ("", tag), ("#", a.get("id", "")), *((".", c) for c in dict.fromkeys(classes))]
+        for key in keys:
+            for bit, last, how, conditions in self.parts.get(key, ()):
+                if (not last or last & around[1 if how else 0]) and all(_meets(c, tag, a, classes) for c in conditions):
+                    own |= bit
+        return around[0] | own, own
+
+    def won(self, own: int, style: str) -> dict[str, str]:
+        """The values of the two properties by the rules that an element meets and its own style."""
+        best: dict[str, tuple] = {}
+        found = []
+        while own:
+            bit = own & -own
+            own ^= bit
+            found += self.ends.get(bit, ())
+        for i, d in enumerate(map(declared, style.split(";")) if style else ()):
+            if d:
+                found.append((d[0], (d[2], True, (0, 0, 0), i), d[1]))
+        for prop, weight, value in found:
+            if prop not in best or weight > best[prop][0]:
+                best[prop] = (weight, value)
+        return {p: v for p, (_, v) in best.items()}
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -70,7 +278,7 @@ class Tree:
         self.open: list[str] = []
         self.count: Counter[str] = Counter()  # of open elements by tag
         self.out: list[tuple] = []
-        self.rules: list[tuple[str, str, str]] = []  # tag, kind and name of what style sheets hide
+        self.styles = Styles()
 
     def _pop(self, depth: int) -> None:
         while len(self.open) > depth:
@@ -92,7 +300,7 @@ class Tree:
                 break
         return -1
 
-    def _close_open(self, tags: set, borders: frozenset) -> None:
+    def _close_open(self, tags: frozenset | set, borders: frozenset) -> None:
         at = self._find(tags, borders)
         if at >= 0:
             self._pop(at)
@@ -100,6 +308,8 @@ class Tree:
     def start(self, tag: str, written: str) -> None:
         if self.count["head"] and tag not in IN_HEAD:
             self._close_open({"head"}, frozenset())
+        if tag in BREAKS_OUT:
+            self._close_open(FOREIGN, HTML_INSIDE)
         if tag in ("html", "body", "head") and self.count[tag]:
             return
         if tag in CLOSES_P:
@@ -129,7 +339,7 @@ class Tree:
         if tag in TABLE_PARTS and not self.count["table"]:
             return  # a part of a table outside of one has no box
         self.out.append(("open", tag, written))
-        if tag in VOID:
+        if tag in VOID or ((self.count["svg"] or self.count["math"] or tag in FOREIGN) and written.endswith("/") and CLOSED.search(written)):
             self.out.append(("close", tag))
         else:
             self._push(tag)
@@ -172,8 +382,8 @@ class Tree:
                 if tag in RAW and self.open and self.open[-1] == tag:
                     stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
                     body, at = page[at : stop.start() if stop else n], stop.end() if stop else n
-                    if tag == "style":
-                        self._sheet(body)
+                    if tag == "style" and on_screen(attributes(m[3]).get("media", "")):
+                        self.styles.read(body)
                     self.out.append(("text", entities.unescape(body) if tag in ("textarea", "title") else body))
                     self._pop(len(self.open) - 1)
             elif m[1]:
@@ -183,13 +393,6 @@ class Tree:
         self._pop(0)
         return self.out
 
-    def _sheet(self, css: str) -> None:
-        for selectors, body in RULE.findall(re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.DOTALL)):
-            if HIDES.search(body):
-                for s in selectors.split(","):
-                    if m := re.fullmatch(r"\s*([a-zA-Z][\w-]*)?(?:([.#])([\w-]+))?\s*", s):
-                        self.rules.append(((m[1] or "").lower(), m[2] or "", m[3] or ""))
-
 
 class Flow:
     """Lines of one block context: the page or a table cell."""
@@ -300,33 +503,40 @@ def _number(text: str, most: int) -> int:
 
 
 class Renderer:
-    def __init__(self, rules: list[tuple[str, str, str]]) -> None:
-        self.rules = rules
+    def __init__(self, styles: Styles, without: tuple[str, ...] = ()) -> None:
+        """`without`: the elements around all others whose tags the page leaves out."""
+        self.styles = styles
+        self.met = [(0, 0)]  # of each open element
+        for tag in without:
+            self.met[0] = styles.meets(tag, {}, self.met[0])
+        self.drawn = 0  # open elements of drawings and formulas
         self.flows, self.tables = [Flow()], []
         self.lists: list[list] = []  # of each open list: its next number, or None
         self.stack: list[tuple[str, bool, int]] = []  # tag, whether its text is seen, prefixes that it has added
         self.skip = self.pre = 0
 
-    def _seen(self, tag: str, a: dict[str, str]) -> bool | None:
+    def _seen(self, tag: str, a: dict[str, str], own: int) -> bool | None:
         """None: no box at all. False: no text of its own. True: text is seen."""
-        style = a.get("style", "")
-        if "hidden" in a or NONE.search(style) or (tag == "input" and a.get("type", "").lower() == "hidden") or (tag == "dialog" and "open" not in a):
+        style, around = a.get("style", ""), self.stack[-1][1] if self.stack else True
+        won = self.styles.won(own, style) if own or style else {}
+        if self.drawn:  # attributes of drawings are the weakest rules
+            won = {k: a[k].strip().lower() for k in VALUES if k in a} | won
+        display, visibility = won.get("display"), won.get("visibility", "inherit")
+        if display == "none" or (tag == "input" and a.get("type", "").lower() == "hidden"):
             return None
-        for t, kind, name in self.rules:
-            if (not t or t == tag) and (not kind or (kind == "." and name in a.get("class", "").split()) or (kind == "#" and name == a.get("id"))) and not re.search(r"display\s*:\s*(?!none)\w", style):
-                return None
-        if UNSEEN_STYLE.search(style):
-            return False
-        return True if SEEN_STYLE.search(style) else self.stack[-1][1] if self.stack else True
+        if ("hidden" in a or (tag == "dialog" and "open" not in a)) and display in (None, "revert", "revert-layer"):
+            return None
+        return visibility in ("visible", "initial") or (visibility not in ("hidden", "collapse") and around)
 
     def start(self, tag: str, written: str) -> None:
         if self.skip:
             self.skip += 1
             return
-        a = attributes(written) if written and (self.rules or "=" in written or "hidden" in written or "open" in written or "reversed" in written) else {}
-        seen = self._seen(tag, a) if a or self.rules else self.stack[-1][1] if self.stack else True
+        a = attributes(written) if written and (self.styles or self.drawn or "=" in written or "hidden" in written or "open" in written or "reversed" in written) else {}
+        met = self.styles.meets(tag, a, self.met[-1]) if self.styles else (0, 0)
+        seen = self._seen(tag, a, met[1]) if a or met[1] else self.stack[-1][1] if self.stack else True
         closed = bool(self.stack) and self.stack[-1][0] == "details" and tag != "summary"
-        if tag in UNSEEN or seen is None or closed:
+        if tag in UNSEEN or seen is None or closed or (self.drawn and tag in UNSHOWN):
             self.skip = 1
             return
         flow, added = self.flows[-1], 0
@@ -366,6 +576,11 @@ class Renderer:
             self.pre += 1
         elif tag == "q" and seen:
             flow.add("“")
+        elif self.drawn and tag == "text":
+            flow.add(" ")
+        if self.drawn or tag in FOREIGN:
+            self.drawn += 1
+        self.met.append(met)
         self.stack.append((("details" if tag == "details" and "open" not in a else tag if tag != "details" else "details open"), bool(seen), added))
 
     def end(self, tag: str) -> None:
@@ -373,6 +588,9 @@ class Renderer:
             self.skip -= 1
             return
         _, seen, added = self.stack.pop()
+        self.met.pop()
+        if self.drawn:
+            self.drawn -= 1
         flow = self.flows[-1]
         if tag in ("td", "th"):
             flow.flush()
@@ -405,6 +623,8 @@ class Renderer:
             flow.add(" ")
         elif tag == "q" and seen:
             flow.add("”")
+        elif self.drawn and tag == "text":
+            flow.add(" ")
 
     def text(self, text: str) -> None:
         if self.skip or (self.stack and not self.stack[-1][1]):
@@ -432,7 +652,8 @@ def render(page: str | None) -> str | None:
         return None
     tree = Tree()
     events = tree.read(page)
-    r = Renderer(tree.rules)
+    tags = {e[1] for e in events if e[0] == "open"} if tree.styles else ()
+    r = Renderer(tree.styles, tuple(t for t in ("html", "body") if t not in tags) if tree.styles else ())
     for e in events:
         if e[0] == "text":
             r.text(e[1])

@@ -77,3 +77,31 @@ def test_edges(spark):
     assert len(got) == 6 and got[0].text is None and got[2].text == "" and got[4].text.count("word") == 300_000
     assert re.sub(r"\s", "", got[3].text) == "xy"
     assert h.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("css", "body", "text"),
+    [
+        ("@media print{.nav{display:none}}", "<p class=nav>n", "n"),
+        ("@media screen and (max-width: 600px){.nav{display:none}} @media (min-width:600px){.m{display:none}}", "<p class=nav>n<p class=m>m", "n"),
+        (".desk{display:none} .desk{display:block}", "<p class=desk>d", "d"),
+        ("#a{display:block} p{display:none}", "<p id=a>a<p>b", "a"),
+        ("p{display:none!important} #a{display:block}", "<p id=a style='display:block'>a<div>d</div>", "d"),
+        (".x{visibility:hidden}", "<div class=x>a<p style='visibility:visible'>b</p></div>", "b"),
+        ("body .menu > li.off, .\\31 0{display:none}", "<ul class=menu><li class=off>a<li>b</ul><b class=10>c</b>", "- b"),
+        ("body > .x{display:none}", "<div class=x>a</div><div><i class=x>b</i></div>", "b"),
+        (",".join(f".c{i}" for i in range(900)) + "{color:red;" + "margin:0;" * 900 + "display:none}", "<p class=c7>a<p>b", "b"),
+        ("@import 'x'; @font-face{font-family:x} p::before{content:'}{'} .x{content:';';display:none", "<p class=x>a<p>b", "b"),
+        ("[hidden]{display:block}", "<p hidden>a", "a"),
+    ],
+)
+def test_style_sheets(css, body, text):
+    assert h.render(f"<style>{css}</style>{body}") == text
+
+
+def test_drawings_formulas_and_sheets_for_paper():
+    assert h.render("<p>a <svg><defs><text>n</text></defs><path d='M0'/><title/><text>One</text><text x=1>Two <tspan>x</tspan></text></svg> b") == "a One Two x b"
+    assert h.render("<p>e <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>n</annotation></math> f<svg><defs><p>out") == "e x=2 f\n\nout"
+    assert h.render("<style media=print>p{display:none}</style><p>a") == "a"
+    deep = "<style>.a div > .b{display:none}</style>" + "<div>" * 30_000 + "x<i class=b>y</i>"
+    assert h.render(deep) == "xy"
