@@ -138,6 +138,7 @@ def _find_runs(span: int, piece: int, limits: Limits):
 def _resolve(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (v, t, hi - lo). kind 0: repeated as a whole; 1: asked for its bytes; 2: both."""
     held: list[np.ndarray] | None = None
+    flushed = None  # a key whose runs were asked without waiting for all: its last kind of run is asked too
 
     def out(cols: list[np.ndarray], pick: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
         v, _, h, nb, lo, hi, _ = (x[pick] for x in cols)
@@ -145,6 +146,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
 
     def work(cols: list[np.ndarray], sure: bool) -> pa.RecordBatch:
         v, t, _, _, lo, hi, c = cols
+        sure = np.full(len(v), sure) if flushed is None else sure | (v == flushed)
         inner, c = c >= WITHIN, c % WITHIN
         n, length = len(v), hi - lo
         new_v, new_t = np.ones(n, bool), np.ones(n, bool)
@@ -175,7 +177,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
             final = (cols[1] == cols[1][-1]) & (cols[5] - cols[4] == cols[5][-1] - cols[4][-1])
             if not final.all():
                 yield work([x[~final] for x in cols], True)
-                cols = [x[final] for x in cols]
+                flushed, cols = cols[0][-1], [x[final] for x in cols]
             if len(cols[0]) > 2:  # the middle of many of one kind is repeated; the first stands for it
                 cols[6] = np.where(np.arange(len(cols[6])) == 0, 2, 3).astype(np.int32)
                 middle = cols[6] == 3

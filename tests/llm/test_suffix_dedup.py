@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from fieldloom.llm import suffix_dedup as s
@@ -70,3 +71,14 @@ def test_edges(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "word " * 100_000, "b"), (3, "é" * 150, "c"), (4, "é" * 150, "c")], "doc_id long, text string, kept string")
     got = {r.doc_id: (r.n_bytes, r.spans, len(r.kept)) for r in s.repeated(docs).collect()}
     assert got == {1: (0, [], 0), 2: (500_000, [0, 500_000], 0), 3: (300, [0, 300], 0), 4: (300, [0, 300], 0)}
+
+
+def test_last_kind_of_a_flushed_key_is_asked():
+    rows = [(5, t, t, 10, 0, 3, 1) for t in range(4)] + [(6, 1, 90, 10, 0, 3, 1)]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    for cuts in ([4], [4, 5], [2, 4], [1, 2, 3, 4]):  # the key's rows end where a batch ends
+        ends = sorted({*cuts, 5})
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:b]), types)], names=list("vthnlhc")) for a, b in zip([0, *ends], ends)]
+        for some in (batches, batches[:-1]):
+            got = [r for b in s._resolve(iter(some), 3) for r in zip(b.column("h").to_pylist(), b.column("kind").to_pylist())]
+            assert sorted(got) == [(t, 1) for t in range(4)], cuts
