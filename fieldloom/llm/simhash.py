@@ -235,11 +235,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, doc_id: str = "doc_id", fp: str = "fp", m: int = SEGMENTS, d: int = MOST, large: int = LARGE) -> DataFrame:
-    """(fp, component_id) for each distinct fingerprint of `prints`."""
+    """(fp, component_id, root) for each distinct fingerprint of `prints`; root is the component's smallest fingerprint."""
     nodes = prints.groupBy(fp).agg(F.min(doc_id).alias("least"))
     joined = nodes.join(components(links(prints, fp, m, d, large)), nodes[fp] == F.col("node"), "left").select(nodes[fp], "least", F.coalesce("root", nodes[fp]).alias("root"))
     lowest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return joined.join(lowest, "root").select(fp, "component_id")
+    return joined.join(lowest, "root").select(fp, "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m: int = SEGMENTS, d: int = MOST, large: int = LARGE) -> DataFrame:
@@ -249,13 +249,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` without near duplicates: of each component the row of the smallest doc_id (of repeated ones, one row).
-    Rows without a doc_id cannot be told apart by it and stay."""
-    found = near_duplicates(docs, doc_id, text)
-    stay = cut(found.where(F.col(doc_id) == F.col("component_id")).groupBy(F.col(doc_id).alias("__stay")).agg(F.count("*").alias("rows_of_it")))
-    repeated = not stay.where("rows_of_it > 1").isEmpty()
-    single = stay.where("rows_of_it = 1").select("__stay")
+    """The rows of `docs` without near duplicates: of each component one row, that of the smallest doc_id (rows without one come last),
+    then of the smallest fingerprint."""
+    prints = cut(with_fingerprints(docs, text, [doc_id]).select(F.col(doc_id).alias("__id"), "fp"))
+    found = prints.join(classes(prints, "__id", "fp"), "fp")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "fp")).alias("w"))
+    stay = cut(best.select(F.col("w.__id").alias("__stay"), F.col("w.fp").alias("__fp")))
+    repeated = cut(prints.where("__id is not null").groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"))
+    several, some_null = not repeated.isEmpty(), not prints.where("__id is null").isEmpty()
+    single = stay.join(repeated, F.col("__stay") == F.col("__id"), "left_anti") if several else stay
     kept = docs.join(single, docs[doc_id] == F.col("__stay"), "left_semi")
-    if repeated:
-        kept = kept.unionByName(docs.join(stay.where("rows_of_it > 1").select("__stay"), docs[doc_id] == F.col("__stay"), "left_semi").dropDuplicates([doc_id]))
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    # only rows whose doc_id does not name them are told apart by their fingerprints too
+    unnamed = [docs.join(repeated, docs[doc_id] == F.col("__id"), "left_semi")] if several else []
+    unnamed += [docs.where(F.col(doc_id).isNull())] if some_null else []
+    for rows in unnamed:
+        told = with_fingerprints(rows, text, out="__print")
+        same = (told["__print"] == stay["__fp"]) & told[doc_id].eqNullSafe(stay["__stay"])
+        kept = kept.unionByName(told.join(stay, same, "left_semi").dropDuplicates([doc_id, "__print"]).drop("__print"))
+    return kept

@@ -82,3 +82,12 @@ def test_edges(spark):
     got = sorted((r.doc_id or -1, r.component_id) for r in simhash.near_duplicates(odd).collect())
     assert got[1:] == [(1, 1), (1, 1), (2, 1), (7, 7), (8, 7)] and len(got) == 6
     assert sorted(r.doc_id or -1 for r in simhash.keep_one(odd).collect()) == [-1, 1, 7]
+
+
+def test_keep_one_with_repeated_and_missing_ids(spark):
+    a, b, c, d = ("".join(f"{w}{i} " for i in range(60)) for w in ("alpha", "beta", "gamma", "delta"))
+    rows = [(1, a, "x"), (1, b, "y"), (2, b, "z"), (3, c, "x"), (4, c, "y"), (4, a, "x"), (None, c, "x"), (None, d, "x"), (None, d, "y"), (5, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text) for r in got.collect()) == sorted([(1, a), (1, b), (3, c), (0, d)])
