@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -70,14 +71,14 @@ def browse_links(links: DataFrame) -> DataFrame:
     return at.select("page_url", clean_name(basename(unquote(path)), MISSING_FILTER_NAME).alias("name"), "url", kind.alias("kind")).where("kind is not null").distinct()
 
 
-def reachable(edges: DataFrame, roots: DataFrame, most: int = 64) -> DataFrame:
-    """node, depth: what can be reached along edges (parent, child), at its least depth.
+def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, depth: all that can be reached along edges (parent, child), at its least depth, however deep.
 
     Each round joins the frontier with the edges and keeps what is new; the reached nodes are checkpointed, so plans stay short.
     """
     seen = roots.select("node", F.lit(0).alias("depth")).distinct()
     frontier = seen
-    for depth in range(1, most + 1):
+    for depth in count(1):
         step = frontier.select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
         frontier = cut(step.join(seen, "node", "left_anti").select("node", F.lit(depth).alias("depth")))
         if frontier.isEmpty():

@@ -164,3 +164,9 @@ def test_local_store_names_and_logs(tmp_path, caplog):
     for bad in ("loud", 99):
         with pytest.raises(ValueError):
             logs.level_of(bad)
+
+
+def test_reachable_at_any_depth(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(66)], "parent string, child string").coalesce(1)
+    got = {r.node: r.depth for r in links.reachable(chain, spark.createDataFrame([("n0",)], "node string")).collect()}
+    assert got == {f"n{i}": i for i in range(67)}
