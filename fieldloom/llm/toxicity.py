@@ -169,10 +169,12 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...] = CHAI
     values = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("labelled_id")).agg(*(F.max(F.when(F.col(c.label).isNotNull(), (F.col(c.label) == c.positive).cast("double"))).alias(f"y{i}") for i, c in enumerate(chain)))
     # bounded by `most` rows, so it can be broadcast
     sample = F.broadcast(values.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(most))
-    texts = docs.select(F.col(doc_id).alias("labelled_id"), F.col(text).alias("t")).join(sample, "labelled_id").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "labelled_id"), F.lit(FOLDS)))
+    texts = docs.select(F.col(doc_id).alias("labelled_id"), F.col(text).alias("t")).join(sample, "labelled_id")
     ys = [f"y{i}" for i in range(len(chain))]
-    # one task of an executor fits what the limit bounds; the driver only gets the weights
-    fits = feature_lists(texts, "t", ["labelled_id", "fold", *ys]).limit(4 * most).mapInArrow(_fit_task(ys), "model int, hashes array<long>, weights array<double>, chained array<double>, constant double, threshold double")
+    # of a labelled id that stands on several rows the smallest text counts
+    texts = texts.groupBy("labelled_id", *ys).agg(F.min("t").alias("t")).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "labelled_id"), F.lit(FOLDS)))
+    # one task of an executor fits them, which the limit brings together; the driver only gets the weights
+    fits = feature_lists(texts, "t", ["labelled_id", "fold", *ys]).limit(most).mapInArrow(_fit_task(ys), "model int, hashes array<long>, weights array<double>, chained array<double>, constant double, threshold double")
     got = sorted(fits.collect(), key=lambda r: r.model)
     if not got:
         return Chain([Linear() for _ in chain])

@@ -38,3 +38,13 @@ def test_edges(spark):
     odd = spark.createDataFrame([(1, None, None), (None, 1, 1), (2, 1, 1), (2, 1, 0), (9, 0, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.drop_toxic(docs, odd).count() in range(5)
     assert toxicity.score(docs.limit(0), models).count() == 0
+
+
+def test_repeated_ids_are_fitted_once_in_any_order(spark):
+    rows = [(i, f"{'fine good' if i % 2 else 'vile bad'} word{i} row{j}") for i in range(12) for j in range(9)]
+    labels = spark.createDataFrame([(i, i % 3 % 2, 1 - i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame([r for r in rows if r[1].endswith("row0")], "doc_id long, text string")
+    got = [toxicity.train(d, labels, most=8) for d in (once, spark.createDataFrame(rows, once.schema), spark.createDataFrame(rows[::-1], once.schema).repartition(5))]
+    for other in got[1:]:
+        for a, b in zip(got[0].models, other.models):
+            assert a.hashes.tolist() == b.hashes.tolist() and np.allclose(a.weights, b.weights)
