@@ -1,34 +1,49 @@
 """Personal data replaced by keyed surrogates, with DataFrame functions only.
 
-Entities are found by one pattern. Each is taken apart into units (an address, a number without its punctuation, a given name, a
-family name), and each distinct unit gets a surrogate of its kind: drawn from a keyed hash of kind, unit and attempt, with the same
-script, gender, character classes, lengths and check digits. Rounds of checks find surrogates that two units share or that are real
-units of the corpus; the later unit draws again, until all are distinct. A unit has one surrogate everywhere, so what referred to the
-same person or account still does, whatever its format; the text between entities stays as it is.
+Entities are found by one pattern. Each is taken apart into units (an address of mail and its domain, a number without its punctuation, a
+given name, a family name), and each distinct unit gets a surrogate of its kind with the same script, gender, character classes, lengths
+and check digits. Numbers, secrets and local parts of up to SHORT characters are permuted by a keyed Feistel network within their own
+format, so two of them can only meet where check digits or reserved parts interfere; longer ones, names and domains are drawn from a keyed
+hash. Rounds of checks find surrogates that two units share or that are real units of the corpus; the later unit draws again. Names and
+domains get longer with each attempt, so there is always room. If a format has more units than free values after ROUNDS attempts (all
+one-letter addresses of a domain, say), its units take the plain permutation of the format, which is distinct for any number of them, and
+surrogates that are real units too are kept. A unit has one surrogate everywhere, so what referred to the same person or account
+still does, whatever its format; a given name has the gender that its mentions agree on. The text between entities stays as it is.
 
 Only entities are shuffled, and texts that hold some, to meet their replacements; a text's replacements are found by the list of its
-entities, each distinct list once.
+entities, each distinct list once. First draws are worked out where they are needed; only units that drew again, and given names, are
+joined, so a domain of very many addresses is no hot key.
 
-Defined cases: null text stays null with no entities, empty text stays empty; whole texts of any length are searched; repeated rows
-are replaced alike; other columns are kept, but `n_entities` replaces a column of that name. An empty table gives an empty one. If a
-kind has more units than surrogates, which only short numbers could, a ValueError names it.
+Defined cases: null text stays null with no entities, empty text stays empty; whole texts of any length are searched, and entities of any
+length; a run of 32 or more equal hexadecimal digits is no entity; repeated rows are replaced alike; other columns are kept, but
+`n_entities` replaces a column of that name. An empty table gives an empty one. No number of units stops a run. Given names without
+a title are found by the list below only.
 """
 
 from __future__ import annotations
 
+from itertools import count as naturals
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
 # Given names by gender and script, and titles by gender.
-FEMALE = "Anna Maria Mary Emma Julia Laura Sarah Sofia Elena Claire Camille Marie Lucia Carmen Ingrid Katharina Ursula Jennifer Linda Elizabeth Анна Мария Елена Ольга Наталья Татьяна Ирина Μαρία Ελένη Κατερίνα".split()
-MALE = "John James Robert Michael David Peter Paul Thomas Hans Jürgen Karl Pierre Jean Louis Carlos Juan José Miguel Luigi Marco Иван Алексей Дмитрий Сергей Николай Владимир Михаил Γιώργος Νίκος Δημήτρης".split()
+FEMALE = (
+    "Anna Maria Mary Emma Julia Laura Sarah Sofia Elena Claire Camille Marie Lucia Carmen Ingrid Katharina Ursula Jennifer Linda Elizabeth Анна Мария Елена Ольга Наталья Татьяна Ирина Μαρία Ελένη Κατερίνα "
+    "Alice Angela Barbara Brigitte Catherine Chiara Christine Clara Emily Eva Fatima Francesca Giulia Hannah Heidi Helen Irene Isabel Jane Jessica Julie Karen Lena Lisa Lucy Margaret Martha Mei Monika Natalie Nicole Nina Olivia Patricia Petra Priya Rachel Ruth Sabine Silvia Sophie Susan Teresa Valentina Yuki Zoe"
+).split()
+MALE = (
+    "John James Robert Michael David Peter Paul Thomas Hans Jürgen Karl Pierre Jean Louis Carlos Juan José Miguel Luigi Marco Иван Алексей Дмитрий Сергей Николай Владимир Михаил Γιώργος Νίκος Δημήτρης "
+    "Ahmed Alexander Ali Andreas Andrew Antonio Benjamin Charles Chen Christian Daniel Diego Edward Fernando Francisco François Georg George Giovanni Hassan Henry Hiroshi Jack Jacques Javier Joseph Kevin Klaus Luca Lukas Martin Matthew Max Mohammed Pablo Pedro Philippe Rafael Raj Richard Stefan Steven Sven Wei William Wolfgang"
+).split()
 TITLES_F = "Mrs Ms Miss Frau Madame Mme Mademoiselle Señora Sra Signora госпожа κυρία".split()
 TITLES_M = "Mr Mister Herr Monsieur Señor Sr Signor господин κύριος".split()
 TITLES_N = "Dr Prof Doktor Professor".split()
 
-_NAME = r"\p{Lu}[\p{L}'’-]{1,30}+"
+_NAME = r"\p{Lu}[\p{L}\p{M}'’-]++"
+_LOUD = r"\p{Lu}[\p{Lu}\p{M}'’-]++(?!\p{Ll})"
 
 
 def _one_word_of(words: list[str]) -> str:
@@ -40,21 +55,46 @@ def _one_word_of(words: list[str]) -> str:
 
 
 _GIVEN, _TITLE = _one_word_of(FEMALE + MALE), _one_word_of(TITLES_F + TITLES_M + TITLES_N)
+_LOUD_GIVEN = _one_word_of([n.upper() for n in FEMALE + MALE])
 #: The first letters of titles and given names, Greek and Cyrillic ones included.
 _FIRST = r"(?=[A-Z\u0370-\u04FF])"
-#: kind: patterns. Repeats are bounded or possessive, so the time is linear in the text. Each begins after something other than an
-#: ASCII letter or digit; addresses of machines, social security and card numbers also right after an ASCII letter.
+_LETTERS = r"\u00C0-\u024F\u0370-\u052F"
+_LOCAL, _LABEL = rf"A-Za-z0-9._%+{_LETTERS}-", rf"[A-Za-z0-9{_LETTERS}-]++"
+_DOMAIN = rf"{_LABEL}(?:\.{_LABEL})++"
+_VALUE = "[A-Za-z0-9+/_.=@#$%^&*!?~-]"
+
+
+def _hex(letters: str) -> str:
+    """32 or more hexadecimal digits, but not one of them again and again."""
+    own = f"[0-9{letters[0]}-{letters[-1]}]"
+    return f"(?={own}{{32}})(?!" + "|".join(f"{c}++(?!{own})" for c in "0123456789" + letters) + f"){own}++(?![A-Za-z0-9])"
+
+
+#: kind: patterns. Repeats are possessive or begin where a run of their characters begins, so the time is linear in the text and no length
+#: is too much. Each begins after something other than an ASCII letter or digit; addresses of machines, social security and card numbers
+#: also right after an ASCII letter.
 KINDS = {
-    "email": [r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}", r"(?<![._%+-])[._%+-]{1,64}+@[A-Za-z0-9-]{1,40}+(?:\.[A-Za-z0-9-]{1,24}+){1,4}"],
-    "access": [r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"],
-    "hex": [r"[0-9a-f]{32,64}+(?![A-Za-z0-9])"],
-    "assigned": [r"(?:[Pp]assword|[Pp]asswd|PASSWORD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {0,2}[:=] {0,2}[\"']?[A-Za-z0-9+/_.-]{6,100}+"],
+    "key": [r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:\s|\\[nr])*+(?:(?:Proc-Type|DEK-Info): [^\r\n\\]*+(?:\s|\\[nr])++)*+(?:[A-Za-z0-9+/=]++(?:\s|\\[nr])*+)++"],
+    "email": [rf"(?<![{_LOCAL}])[{_LOCAL}]++@{_DOMAIN}"],
+    "access": [
+        r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", r"sk-[A-Za-z0-9_-]{20,}+", r"gh[pousr]_[A-Za-z0-9]{20,}+", r"xox[abprs]-[A-Za-z0-9-]{10,}+",
+        r"AIza[A-Za-z0-9_-]{30,}+", r"eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++",
+    ],
+    "hex": [_hex("abcdef"), _hex("ABCDEF")],
+    "assigned": [rf"(?:[Pp]assword|[Pp]asswd|PASSWORD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {{0,2}}[:=] {{0,2}}[\"']?(?![{_LOCAL}]++@{_DOMAIN}){_VALUE}{{6,}}+"],
     "ip": [r"(?<![.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}(?![0-9]|\.[0-9])"],
+    "ipv6": [r"(?<![:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])"],
     "ssn": [r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"],
     "card": [r"(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"],
-    "phone": [r"(?<![+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", r"(?<![+])\+[0-9]{8,15}(?![0-9])"],
+    "phone": [
+        r"(?<![+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", r"(?<![+])\+[0-9]{8,15}(?![0-9])",
+        r"(?<![+])\+[0-9]{1,3}(?:[ .()-]{0,2}[0-9]){6,13}(?![0-9])", r"0[1-9](?:[ .-]?[0-9]{2}){4}(?![0-9])", r"0[1-9][0-9]{1,3}[ /-][0-9]{4,8}(?![0-9])",
+        r"(?:9[0-9]{1,2}|6[0-9]{2}) [0-9]{2,3} [0-9]{2,3} [0-9]{2}(?![0-9])", r"(?<!-)555-[0-9]{4}(?![0-9]|-[0-9])",
+    ],
     "iban": [r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"],
-    "name": [rf"(?<!\p{{L}})(?:(?:{_TITLE})(?:\. ?| )(?:{_NAME})(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"],
+    "name": [
+        rf"(?<!\p{{L}})(?:(?:{_TITLE})(?:\. ?| )(?:{_NAME})(?: (?:{_GIVEN})(?= \p{{Lu}}))?(?: {_NAME})?|(?:{_GIVEN})(?: (?:{_GIVEN})(?= \p{{Lu}}))?+ {_NAME}|(?:{_LOUD_GIVEN}) {_LOUD})"
+    ],
 }
 
 
@@ -64,19 +104,24 @@ def _any(*kinds: str) -> str:
 
 #: By an entity's first character only a few kinds are left to try.
 PATTERN = (
-    r"(?<![A-Za-z0-9])(?:(?=[a-z])(?:" + _any("email", "hex", "assigned") + r")|(?=[A-Z])(?:" + _any("email", "access", "assigned", "iban", "name") + r")"
-    r"|(?=[0-9])(?:" + _any("email", "hex", "ip", "ssn", "card", "phone") + r")|(?=[+(])(?:" + _any("phone") + r")|(?=[^\x00-\x7F])(?:" + _any("name") + r")|(?=[._%+-])(?:" + _any("email") + r"))"
+    r"(?<![A-Za-z0-9])(?:(?=[a-z])(?:" + _any("email", "access", "hex", "assigned", "ipv6") + r")|(?=[A-Z])(?:" + _any("email", "access", "hex", "assigned", "ipv6", "iban", "name") + r")"
+    r"|(?=[0-9])(?:" + _any("email", "hex", "ip", "ipv6", "ssn", "card", "phone") + r")|(?=[+(])(?:" + _any("email", "phone") + r")|(?=[^\x00-\x7F])(?:" + _any("email", "name") + r")"
+    r"|(?=-)(?:" + _any("key", "email") + r")|(?=[._%])(?:" + _any("email") + r"))"
     r"|(?=[0-9])(?<=[A-Za-z])(?:" + _any("ip", "ssn", "card") + r")"
 )
 #: A text without any of these holds no entity but names and secrets of letters only; most texts are told by this alone.
 SIGNS, NAMES = "[0-9@=:]", rf"(?<![A-Za-z0-9]){_FIRST}(?:" + _any("name") + ")"
-ROUNDS = 64
+SPELT = ("AKIA", "ASIA", "AIza", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "eyJ", "PRIVATE KEY-----")
+ROUNDS, SHORT, TURNS = 6, 32, 8
 _SEPARATOR = "\u0001"
 
 
 def _may_hold(text: Column) -> Column:
     """False only for texts without entities."""
-    return text.rlike(SIGNS) | text.contains("AKIA") | text.contains("ASIA") | text.rlike("[a-f]{32}") | text.rlike(NAMES)
+    out = text.rlike(SIGNS)
+    for s in SPELT:
+        out = out | text.contains(s)
+    return out | text.rlike("[a-f]{32}|[A-F]{32}") | text.rlike(NAMES)
 
 
 def holds(text: Column) -> Column:
@@ -90,7 +135,7 @@ def entities(text: Column) -> Column:
 
 
 def _kind(entity: Column) -> Column:
-    out = F.lit(None).cast("string")
+    out = F.lit("phone")  # what is one by the words before it only
     for kind in reversed(KINDS):
         out = F.when(entity.rlike(rf"\A(?:{_any(kind)})\z"), kind).otherwise(out)
     return out
@@ -110,62 +155,108 @@ def _words(entity: Column) -> Column:
 
 
 def _gender(entity: Column) -> Column:
+    """What a mention says of the gender of its given name."""
     title = F.regexp_extract(entity, rf"\A({_TITLE})(?:\. ?| )", 1)
-    first = F.element_at(_words(entity), 1)
-    female = title.isin(TITLES_F) | (~title.isin(TITLES_M) & first.isin(FEMALE))
-    male = title.isin(TITLES_M) | (~title.isin(TITLES_F) & first.isin(MALE))
-    return F.when(female, "f").when(male, "m").otherwise("n")
+    first = F.lower(F.element_at(_words(entity), 1))
+    female, male = first.isin([n.lower() for n in FEMALE]), first.isin([n.lower() for n in MALE])
+    return F.when(female, "f").when(male, "m").when(title.isin(TITLES_F), "f").when(title.isin(TITLES_M), "m").otherwise("n")
 
 
-def _unit(kind: str | Column, norm: Column) -> Column:
-    return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), norm.alias("norm"))
+def _unit(kind: str | Column, norm: Column, gender: Column | None = None) -> Column:
+    return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), norm.alias("norm"), (F.lit("n") if gender is None else gender).alias("gender"))
+
+
+#: What stands before the value of an assignment, before a key's body, and before the first letter or digit of an address.
+_ASSIGNS, _BEGINS, _LEADS = r"\A[A-Za-z_-]+ {0,2}[:=] {0,2}[\"']?", r"\A-----BEGIN [A-Z ]*-----", r"\A[._%+-]+(?=[^@._%+-])"
 
 
 def _units(kind: Column, entity: Column) -> Column:
-    """What gets a surrogate of its own, as an array of (kind, norm)."""
-    national = F.regexp_replace(_digits(F.regexp_replace(entity, r"\A\+1(?![0-9])", "")), r"\A1(?=[0-9]{10}\z)", "")
-    national = F.when(entity.rlike(r"\A\+1[0-9]{10}\z"), F.substr(_digits(entity), F.lit(2))).otherwise(national)
-    words, given = _words(entity), F.concat(F.lit("given "), _gender(entity), F.lit(" "), _script(entity))
-    family = F.concat(F.lit("family "), _script(entity))
-    known = F.element_at(words, 1).isin(FEMALE + MALE)
-    named = F.transform(words, lambda w, i: _unit(F.when((i == 0) & ((F.size(words) > 1) | known), given).otherwise(family), F.lower(w)))
+    """What gets a surrogate of its own, as an array of (kind, norm, gender)."""
+    # fixed values: country codes whose numbers are also written with a 0 in their place, or without them
+    national = _digits(F.regexp_replace(F.regexp_replace(entity, r"\A\+(?:1|33|34|39|44|49)", ""), r"\(0\)", ""))
+    national = F.regexp_replace(F.regexp_replace(national, r"\A1(?=[0-9]{10}\z)", ""), r"\A0(?=[1-9])", "")
+    words = _words(entity)
+    given, family = F.concat(F.lit("given "), _script(entity)), F.concat(F.lit("family "), _script(entity))
+    known = F.lower(F.element_at(words, 1)).isin([n.lower() for n in FEMALE + MALE])
+    named = F.transform(words, lambda w, i: _unit(F.when((i == 0) & ((F.size(words) > 1) | known), given).otherwise(family), F.lower(w), F.when(i == 0, _gender(entity)).otherwise("n")))
+    address = F.lower(F.regexp_replace(entity, _LEADS, ""))
     return (
-        F.when(kind == "email", F.array(_unit("email", F.lower(entity))))
+        F.when(kind == "email", F.array(_unit("email", address), _unit("domain", F.split(address, "@")[1])))
         .when(kind.isin("access", "hex"), F.array(_unit("secret", entity)))
-        .when(kind == "assigned", F.array(_unit("secret", F.regexp_extract(entity, r"([A-Za-z0-9+/_.-]{6,100})\z", 1))))
+        .when(kind == "assigned", F.array(_unit("secret", F.regexp_replace(entity, _ASSIGNS, ""))))
+        .when(kind == "key", F.array(_unit("secret", F.regexp_replace(entity, _BEGINS, ""))))
         .when(kind == "phone", F.array(_unit("phone", national)))
         .when(kind.isin("ssn", "card"), F.array(_unit(kind, _digits(entity))))
         .when(kind == "iban", F.array(_unit("iban", F.regexp_replace(entity, " ", ""))))
         .when(kind == "ip", F.array(_unit("ip", entity)))
+        .when(kind == "ipv6", F.array(_unit("ipv6", F.lower(entity))))
         .otherwise(named)
     )
 
 
-def _stream(key: str, *parts: Column) -> Column:
-    """208 draws of 16 bits, by the key and what they are for."""
-    seed = F.concat_ws("|", F.lit(key), *parts)
-    hashes = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(12)), lambda j: F.sha2(F.concat_ws("|", seed, j.cast("string")), 256)), "")
+def _stream(seed: Column, n: Column | int) -> Column:
+    """At least n draws of 16 bits."""
+    blocks = F.ceil((F.lit(n) if isinstance(n, int) else n) / 16).cast("int")
+    hashes = F.array_join(F.transform(F.sequence(F.lit(0), blocks), lambda j: F.sha2(F.concat_ws("|", seed, j.cast("string")), 256)), "")
     return F.transform(F.regexp_extract_all(hashes, F.lit("[0-9a-f]{4}"), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("int"))
 
 
-def _draw(stream: Column, i: Column | int, n: int) -> Column:
-    """The i-th draw from 0 to n - 1."""
-    return stream[i] % n
+def _constant(values: list) -> Column:
+    return F.expr(f"array({', '.join(map(repr, values))})")
+
+
+def _with(value: Column, use) -> Column:
+    """`use(value)`, with the value worked out once."""
+    return F.transform(F.array(value), use)[0]
 
 
-def _pick(stream: Column, i: Column | int, alphabet: str) -> Column:
-    return F.substr(F.lit(alphabet), _draw(stream, i, len(alphabet)) + 1, F.lit(1))
+def _permuted(values: Column, sizes: Column, seed: Column) -> Column:
+    """A keyed permutation of the arrays with 0 <= values[i] < sizes[i]: a Feistel network of the places with even and with odd numbers."""
 
+    def turn(now: Column, k: Column) -> Column:
+        other = F.array_join(F.filter(now, lambda x, i: i % 2 != k % 2), ",")
+        draws = _stream(F.concat_ws("|", seed, k.cast("string"), other), F.size(values))
+        return _with(draws, lambda d: F.transform(now, lambda x, i: F.when(i % 2 == k % 2, (x + d[i]) % F.get(sizes, i)).otherwise(x)))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(TURNS - 1)), values, turn)
+
+
+#: What characters stand for each other: places in a row of all digits and letters.
+_ROW = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PREFIX = r"\A(?:(?:AKIA|ASIA)(?=[A-Z0-9]{16}\z)|sk-|gh[pousr]_|xox[abprs]-|AIza|eyJ)"
+
+
+def _slots(kind: Column, norm: Column, plain: Column) -> Column:
+    """(c, start, size) of each character: it may become any of `size` characters of the row from `start` on; itself only if `size` is 1.
+
+    `plain`: digits for digits and letters for letters everywhere."""
+    chars = F.regexp_extract_all(norm, F.lit("(?s)."), F.lit(0))
+    n = F.length(norm)
+    hexadecimal = ~plain & ((kind == "ipv6") | norm.rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z"))
+    kept = F.when(kind == "iban", 4).when(kind == "card", 1).when(kind == "secret", F.length(F.regexp_extract(norm, _PREFIX, 0))).when(kind == "ipv6", F.length(F.regexp_extract(norm, "^[^:]*", 0))).otherwise(0)
+    exchange = F.when(norm.rlike(r"\A[0-9]{3}555[0-9]{4}\z"), 3).when(norm.rlike(r"\A555[0-9]{4}\z"), 0).otherwise(-9)
+
+    def one(c: Column, i: Column) -> Column:
+        phone = (kind == "phone") & ~plain
+        fixed = (~plain & ((i < kept) | ((kind == "card") & (i == n - 1)))) | (phone & (i >= exchange) & (i < exchange + 3))
+        start = F.when(fixed, 0).when(c.rlike("[0-9]"), F.when(phone & (i == 0) & (c >= "2"), 3).otherwise(1)).when(c.rlike("[a-z]"), 11).when(c.rlike("[A-Z]"), 37).otherwise(0)
+        size = F.when(start == 0, 1).when(start == 3, 8).when(start == 1, F.when(phone & (i == 0), 2).otherwise(10)).when(hexadecimal & c.rlike("[a-fA-F]"), 6).otherwise(26)
+        return F.struct(c.alias("c"), start.alias("start"), size.alias("size"))
 
-def _same_classes(norm: Column, stream: Column, hexadecimal: Column) -> Column:
-    """Digits for digits, letters for letters of the same case; hexadecimal stays so; anything else stays itself."""
-    lower, upper, ten = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    return F.transform(chars, one)
 
-    def one(i: Column) -> Column:
-        c = F.substr(norm, i + 1, F.lit(1))
-        return F.when(c.rlike("[0-9]"), _pick(stream, i, ten)).when(c.rlike("[a-f]") & hexadecimal, _pick(stream, i, lower[:6])).when(c.rlike("[a-z]"), _pick(stream, i, lower)).when(c.rlike("[A-Z]"), _pick(stream, i, upper)).otherwise(c)
 
-    return F.when(F.length(norm) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.length(norm) - 1), one), "")).otherwise("")
+def _filled(kind: Column, norm: Column, seed: Column, plain: Column) -> Column:
+    """The norm with other characters of the same classes: permuted if it is short, drawn if it is long."""
+
+    def use(slots: Column) -> Column:
+        values = F.transform(slots, lambda s: F.when(s["size"] == 1, 0).otherwise(F.position(s["c"], F.lit(_ROW)) - s["start"]))
+        sizes = F.transform(slots, lambda s: s["size"])
+        drawn = _with(_stream(F.concat_ws("|", seed, norm), F.size(slots)), lambda d: F.transform(sizes, lambda n, i: d[i] % n))
+        new = F.when(F.size(slots) <= SHORT, _permuted(values, sizes, seed)).otherwise(drawn)
+        return F.array_join(F.zip_with(slots, new, lambda s, x: F.when(s["size"] == 1, s["c"]).otherwise(F.substr(F.lit(_ROW), s["start"] + x, F.lit(1)))), "")
+
+    return _with(_slots(kind, norm, plain), use)
 
 
 def _luhn(digits: Column) -> Column:
@@ -191,69 +282,119 @@ _PARTS = {
 }
 
 
-def _one_of(stream: Column, i: int, values: list[str]) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), _draw(stream, i, len(values)) + 1)
+def _made_up(kind: Column, gender: Column, seed: Column, attempt: Column) -> Column:
+    """A made-up name of the kind's script and of a gender. Each attempt has one more syllable than the last, so there is always room."""
+    size = F.lit(2) + attempt
+    choose = lambda values, draw: F.element_at(_constant(values), draw % len(values) + 1)
 
+    def use(d: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for script, (onsets, vowels, given, family) in _PARTS.items():
+            stem = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(choose(onsets, d[2 * i]), choose(vowels, d[2 * i + 1]))), "")
+            end = choose(family, d[0])
+            for g, ends in given.items():
+                end = F.when((kind == f"given {script}") & (gender == g), choose(ends, d[0])).otherwise(end)
+            out = F.when(kind.isin(f"given {script}", f"family {script}"), F.concat(stem, end)).otherwise(out)
+        return out
 
-def _made_up(kind: Column, stream: Column, attempt: Column) -> Column:
-    """A made-up name of the kind's script and gender. Later attempts have another syllable, so there is always room."""
-    out = F.lit(None).cast("string")
-    for script, (onsets, vowels, given, family) in _PARTS.items():
-        syllables = [F.concat(_one_of(stream, 2 * i, onsets), _one_of(stream, 2 * i + 1, vowels)) for i in range(4)]
-        stem = F.concat(syllables[0], syllables[1], F.when(attempt > 0, syllables[2]).otherwise(""), F.when(attempt > 4, syllables[3]).otherwise(""))
-        out = F.when(kind == f"family {script}", F.concat(stem, _one_of(stream, 40, family))).otherwise(out)
-        for gender, ends in given.items():
-            out = F.when(kind == f"given {gender} {script}", F.concat(stem, _one_of(stream, 40, ends))).otherwise(out)
-    return out
+    return _with(_stream(seed, 2 * size + 2), use)
+
+
+# First parts of addresses of machines whose networks are told by two parts, and those of other networks.
+_TWO = (0, 100, 169, 172, 192, *range(224, 256))
+_OPEN = [i for i in range(1, 224) if i not in (*_TWO, 10, 127)]
+
+
+def _machine(norm: Column, seed: Column) -> Column:
+    """An address of the same kind of network: private, local and reserved ones stay so. A permutation of all addresses."""
+    parts = F.transform(F.split(norm, r"\."), lambda x: x.cast("int"))
+
+    def use(p: Column) -> Column:
+        first = p[0]
+        kept = F.when(first.isin(10, 127), 1).when(first.isin(*_TWO), 2).otherwise(0)
+        values = F.transform(p, lambda x, i: F.when(i < kept, 0).when(i == 0, F.array_position(_constant(_OPEN), x).cast("int") - 1).otherwise(x))
+        sizes = F.transform(p, lambda x, i: F.when(i < kept, 1).when(i == 0, len(_OPEN)).otherwise(256))
+        new = _permuted(values, sizes, F.concat_ws("|", seed, F.when(kept > 0, first.cast("string")).otherwise(""), F.when(kept > 1, p[1].cast("string")).otherwise("")))
+        return F.array_join(F.transform(F.zip_with(p, new, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda z, i: F.when(i < kept, z["x"]).when(i == 0, F.element_at(_constant(_OPEN), z["y"] + 1)).otherwise(z["y"]).cast("string")), ".")
 
+    return _with(parts, use)
 
-def _drawn(units: DataFrame, key: str) -> DataFrame:
-    """Adds `surrogate` to (kind, norm, attempt). The streams are columns of their own, so that each is hashed once."""
-    domain = F.when(F.col("kind") == "email", _stream(key, F.lit("domain"), F.split("norm", "@")[1]))
-    streams = units.withColumns({"stream": _stream(key, F.col("kind"), F.col("norm"), F.col("attempt").cast("string")), "by_domain": domain})
-    return streams.withColumn("surrogate", _surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("stream"), F.col("by_domain"))).drop("stream", "by_domain")
 
+PLAIN = -1
 
-def _surrogate(kind: Column, norm: Column, attempt: Column, stream: Column, by_domain: Column) -> Column:
-    no = F.lit(False)
+
+def drawn(units: DataFrame, key: str) -> DataFrame:
+    """Adds `surrogate` to units (kind, norm, gender, attempt); PLAIN is the permutation of its format. That of an email is its local part's
+    only. What is used twice is a column of its own, so that it is worked out once."""
+    kind, norm, attempt, plain = F.col("kind"), F.col("norm"), F.col("attempt"), F.col("attempt") == PLAIN
     local, domain = F.split(norm, "@")[0], F.split(norm, "@")[1]
-    host = F.concat(_same_classes(F.regexp_extract(domain, r"\A([^.]+)", 1), by_domain, no), F.lit(".example."), F.element_at(F.split(domain, r"\."), -1))
-    masked = _same_classes(norm, stream, no)
-    phone = F.when(norm.rlike(r"\A[0-9]{3}555[0-9]{4}\z"), F.concat(_pick(stream, 0, "23456789"), F.substr(masked, F.lit(2), F.lit(2)), F.lit("555"), F.substr(masked, F.lit(7)))).otherwise(F.concat(_pick(stream, 0, "23456789"), F.substr(masked, F.lit(2))))
-    card = F.concat(F.substr(norm, F.lit(1), F.lit(1)), F.substr(masked, F.lit(2)))
-    body = F.substr(card, F.lit(1), F.length(card) - 1)
-    card = F.when(_luhn(norm) == 0, F.concat(body, (F.lit(10) - _luhn(F.concat(body, F.lit("0")))) % 10)).otherwise(card)
-    country, rest = F.substr(norm, F.lit(1), F.lit(2)), F.substr(masked, F.lit(5))
-    iban = F.concat(country, F.lpad((F.lit(98) - _mod97(F.concat(rest, country, F.lit("00")))).cast("string"), 2, "0"), rest)
-    ip = F.concat_ws(".", *((_draw(stream, i, 254) + 1).cast("string") for i in range(4)))
-    prefix = F.regexp_extract(norm, r"\A(AKIA|ASIA)[A-Z0-9]{16}\z", 1)
-    secret = F.concat(prefix, F.substr(_same_classes(norm, stream, norm.rlike(r"\A[0-9a-f]+\z")), F.length(prefix) + 1))
-    return (
-        F.when(kind == "email", F.concat(_same_classes(local, stream, no), F.lit("@"), host))
-        .when(kind == "phone", phone)
-        .when(kind == "card", card)
-        .when(kind == "ssn", F.concat(_pick(stream, 0, "12345"), F.substr(masked, F.lit(2))))
-        .when(kind == "iban", iban)
-        .when(kind == "ip", ip)
-        .when(kind == "secret", secret)
-        .otherwise(_made_up(kind, stream, attempt))
+    seed = F.concat_ws("|", F.lit(key), kind, F.when(kind == "ip", F.greatest(attempt, F.lit(0))).otherwise(attempt).cast("string"))
+    random = kind.rlike("^(?:domain|given .*|family .*)$")
+    seed = F.concat_ws("|", seed, F.when(random, norm).when(kind == "email", domain))
+    part = F.when(kind == "email", local).when(kind == "domain", F.regexp_extract(norm, r"\A([^.]*)", 1)).otherwise(norm)
+    rows = units.withColumns({"__part": part, "__seed": seed})
+    part, seed = F.col("__part"), F.col("__seed")
+    rows = rows.withColumn("__new", F.when(kind == "ip", _machine(norm, seed)).when(kind.rlike("^(?:given|family) "), _made_up(kind, F.col("gender"), seed, attempt)).otherwise(_filled(kind, part, seed, plain)))
+    new = F.col("__new")
+    country, rest = F.substr(norm, F.lit(1), F.lit(2)), F.substr(new, F.lit(5))
+    # of a card but its last digit, before and after; this digit is as far from the right one as it was
+    body = lambda c: F.substr(c, F.lit(1), F.length(norm) - 1)
+    right = lambda digits: (F.lit(10) - _luhn(F.concat(digits, F.lit("0")))) % 10
+    off = F.substr(norm, F.length(norm), F.lit(1)).cast("int") - right(body(norm))
+    longer = _with(_stream(seed, 2 * attempt), lambda d: F.array_join(F.transform(F.sequence(F.lit(1), 2 * (attempt - 1)), lambda i: F.substr(F.lit(_ROW), d[i] % 26 + 11, F.lit(1))), ""))
+    full = (
+        F.when(kind == "domain", F.concat(new, F.when(attempt > 1, longer).otherwise(""), F.lit(".example."), F.element_at(F.split(norm, r"\."), -1)))
+        .when((kind == "card") & ~plain, F.concat(body(new), F.pmod(right(body(new)) + off, F.lit(10))))
+        .when((kind == "iban") & ~plain, F.concat(country, F.lpad((F.lit(98) - _mod97(F.concat(rest, country, F.lit("00")))).cast("string"), 2, "0"), rest))
+        .otherwise(new)
     )
+    return rows.withColumn("surrogate", full).drop("__part", "__seed", "__new")
+
+
+def _grows() -> Column:
+    """Whether later attempts of a kind are longer."""
+    return (F.col("kind") == "domain") | F.col("kind").rlike("^(?:given|family) ")
+
+
+def _scope() -> Column:
+    """Within what surrogates are distinct: addresses within their domain, all else within its kind."""
+    return F.when(F.col("kind") == "email", F.split("norm", "@")[1]).otherwise("")
+
+
+def _space() -> Column:
+    """The format that a plain permutation stays within; its own units only."""
+    form = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.split("norm", "@")[0], "[0-9]", "9"), "[a-z]", "a"), "[A-Z]", "A")
+    return F.when(F.col("kind") == "ip", "").otherwise(form)
 
 
 def surrogates(units: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, norm, surrogate) for distinct (kind, norm): surrogates are distinct within a kind and none is a norm of that kind."""
-    units = cut(units.select("kind", "norm").distinct())
-    real = units.select("kind", F.col("norm").alias("surrogate"))
-    state = cut(_drawn(units.withColumn("attempt", F.lit(0)), key))
-    for _ in range(rounds):
-        first = state.groupBy("kind", "surrogate").agg(F.min_by("norm", F.struct("attempt", "norm")).alias("norm"))
-        good = first.join(real, ["kind", "surrogate"], "left_anti").select("kind", "norm")
-        bad = cut(state.join(good, ["kind", "norm"], "left_anti").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")))
+    """(kind, norm, gender, attempt, surrogate) for distinct (kind, norm) of `units`, which may tell a gender: surrogates are distinct
+    within a kind, those of emails within a domain. None is a norm of that kind, unless the format had no room for that."""
+    told = F.when(F.col("gender") != "n", F.col("gender")) if "gender" in units.columns else F.lit(None).cast("string")
+    gender = F.when(F.min("__g") == F.max("__g"), F.min("__g")).otherwise("n")
+    units = cut(units.withColumn("__g", told).groupBy("kind", "norm").agg(gender.alias("gender")).withColumn("scope", _scope()))
+    real = units.select("kind", "scope", F.when(F.col("kind") == "email", F.split("norm", "@")[0]).otherwise(F.col("norm")).alias("surrogate"))
+    place = ["kind", "scope", "surrogate"]
+    state, settled = cut(drawn(units.withColumn("attempt", F.lit(0)), key)), None
+    for n in naturals(1):
+        first = state.groupBy(*place).agg(F.min_by("norm", F.struct("attempt", "norm")).alias("norm"))
+        good = first.join(real, place, "left_anti").select("kind", "norm")
+        bad = cut(state.join(good, ["kind", "norm"], "left_anti").select("kind", "norm", "gender", "scope", (F.col("attempt") + 1).alias("attempt")))
         if bad.isEmpty():
-            return state.select("kind", "norm", "surrogate")
-        again = _drawn(bad, key)
-        state = cut(state.join(bad.select("kind", "norm"), ["kind", "norm"], "left_anti").unionByName(again))
-    raise ValueError(f"no distinct surrogates are left for {bad.first()['kind']}")
+            break
+        if n > rounds and settled is None:
+            # formats that are full: where two units still share a surrogate, all of the format take its plain permutation
+            fixed = state.where(~_grows()).withColumn("space", _space())
+            full = fixed.join(first, [*place, "norm"], "left_anti").select("kind", "scope", "space").distinct()
+            free = fixed.join(full, ["kind", "scope", "space"], "left_anti").drop("space")
+            plain = drawn(fixed.join(full, ["kind", "scope", "space"], "left_semi").drop("space", "surrogate").withColumn("attempt", F.lit(PLAIN)), key)
+            settled = cut(free.unionByName(plain.select(*free.columns)))
+            state = cut(state.where(_grows()))
+            continue
+        again = drawn(bad, key)
+        state = cut(state.join(bad.select("kind", "norm"), ["kind", "norm"], "left_anti").unionByName(again.select(*state.columns)))
+    done = state if settled is None else settled.unionByName(state)
+    return done.select("kind", "norm", "gender", "attempt", "surrogate")
 
 
 def _rendered(kind: Column, entity: Column, got: Column) -> Column:
@@ -271,12 +412,14 @@ def _rendered(kind: Column, entity: Column, got: Column) -> Column:
 
     filled = F.array_join(F.transform(F.sequence(F.lit(1), size), one), "")
     title = F.regexp_extract(entity, rf"\A((?:{_TITLE})(?:\. ?| ))", 1)
-    words = F.zip_with(_words(entity), got, lambda w, s: F.when(w == F.upper(w), F.upper(s)).otherwise(F.concat(F.upper(F.substr(s, F.lit(1), F.lit(1))), F.substr(s, F.lit(2)))))
-    email = F.when(entity == F.upper(entity), F.upper(new)).otherwise(new)
+    words = F.zip_with(_words(entity), got, lambda w, s: F.when((w == F.upper(w)) & (F.length(w) > 1), F.upper(s)).otherwise(F.concat(F.upper(F.substr(s, F.lit(1), F.lit(1))), F.substr(s, F.lit(2)))))
+    email = F.concat(F.regexp_extract(entity, _LEADS, 0), F.concat_ws("@", got))
     return (
-        F.when(kind == "email", email)
+        F.when(kind == "email", F.when(entity == F.upper(entity), F.upper(email)).otherwise(email))
         .when(kind.isin("access", "hex", "ip"), new)
-        .when(kind == "assigned", F.concat(F.regexp_extract(entity, r"\A([A-Za-z_-]+ {0,2}[:=] {0,2}[\"']?)", 1), new))
+        .when(kind == "ipv6", F.when(entity == F.upper(entity), F.upper(new)).otherwise(new))
+        .when(kind == "assigned", F.concat(F.regexp_extract(entity, _ASSIGNS, 0), new))
+        .when(kind == "key", F.concat(F.regexp_extract(entity, _BEGINS, 0), new))
         .when(kind == "name", F.concat(title, F.array_join(words, " ")))
         .otherwise(filled)
     )
@@ -285,8 +428,13 @@ def _rendered(kind: Column, entity: Column, got: Column) -> Column:
 def replacements(lists: DataFrame, key: str) -> DataFrame:
     """(list_key, found, new): for each distinct list of entities `found` the list of their replacements."""
     single = cut(lists.select(F.explode("found").alias("entity")).distinct().withColumn("kind", _kind(F.col("entity"))))
-    parts = single.select("entity", "kind", F.posexplode(_units(F.col("kind"), F.col("entity"))).alias("at", "unit")).select("entity", F.col("kind").alias("what"), "at", "unit.kind", "unit.norm")
-    got = parts.join(surrogates(parts, key), ["kind", "norm"]).groupBy("entity", "what").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("got"))
+    units = _units(F.col("kind"), F.col("entity"))
+    parts = single.select("entity", F.col("kind").alias("what"), F.posexplode(units).alias("at", "unit")).select("entity", "what", "at", "unit.kind", "unit.norm")
+    final = surrogates(single.select(F.explode(units).alias("u")).select("u.*"), key)
+    # only where the first draw did not stand, or needs what other mentions say, is it looked up
+    told = final.where((F.col("attempt") != 0) | F.col("kind").startswith("given ")).select("kind", "norm", F.col("surrogate").alias("told"))
+    first = drawn(parts.join(told, ["kind", "norm"], "left").withColumns({"gender": F.lit("n"), "attempt": F.lit(0)}), key)
+    got = first.withColumn("surrogate", F.coalesce("told", "surrogate")).groupBy("entity", "what").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("got"))
     mapped = cut(got.select("entity", _rendered(F.col("what"), F.col("entity"), F.col("got.surrogate")).alias("new")))
     each = lists.select("list_key", F.posexplode("found").alias("at", "entity"))
     return each.join(mapped, "entity").groupBy("list_key").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("all")).select("list_key", F.col("all.new").alias("new"))
