@@ -7,7 +7,7 @@ of their own, paragraphs, headings, lists and tables set off by an empty line, l
 preformatted text as it is, table cells in columns that are aligned, spans included.
 
 Defined cases: null html gives null text, empty html the empty text; unclosed tags, comments and quotes end where the page ends; all
-options of a choice are shown; columns are padded to at most WIDEST, longer cells push the rest of their own line on, so the text
+options of a choice are shown; list numbers may be zero, below it, letters or Roman, and count down; columns are padded to at most WIDEST, longer cells push the rest of their own line on, so the text
 grows with the page and nothing is cut. Repeated rows give the same text. Other columns are kept, one named like the output is
 replaced. An empty table gives an empty one.
 """
@@ -43,7 +43,7 @@ BORDER = frozenset("table td th caption html template button object".split())
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|(?<==)\"[^\"]{0,20000}\"|(?<==)'[^']{0,20000}'|[\"'])*+)(?:>|\Z)",
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)(?:>|\Z)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
@@ -497,9 +497,48 @@ def shown(text: str) -> int:
     return len(text) if text.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def _number(text: str, most: int) -> int:
-    m = re.match(r"\s*(\d{1,6})", text)
-    return max(1, min(most, int(m[1]))) if m else 1
+def _span(text: str, most: int) -> int:
+    """How many columns or rows a cell takes; `most` is the bound that HTML sets."""
+    m = re.match(r"\s*\+?0*([0-9]*)", text)
+    return max(1, min(most, int(m[1][:9] or 0)))
+
+
+def _whole(text: str) -> int | None:
+    """The whole number that a text begins with, within 32 bits as browsers have it."""
+    m = re.match(r"\s*([+-]?)0*([0-9]*)", text)
+    if not m[2] and not re.match(r"\s*[+-]?0", text):
+        return None
+    n = int(m[2] or 0) if len(m[2]) <= 10 else 1 << 31
+    return (-n if m[1] == "-" else n) if n < 1 << 31 else None
+
+
+def _letters(n: int) -> str:
+    """a, b, ..., z, aa, ab, ..."""
+    out = ""
+    while n > 0:
+        n, r = divmod(n - 1, 26)
+        out = chr(97 + r) + out
+    return out
+
+
+def _roman(n: int) -> str:
+    out = ""
+    # fixed values: Roman numerals
+    for size, sign in ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+        out += sign * (n // size)
+        n %= size
+    return out
+
+
+def mark_of(kind: str, n: int) -> str:
+    """The mark of a list item: `kind` is the list's type (1, a, A, i or I); numbers beyond what it can write are written in digits."""
+    if kind in ("a", "A") and n > 0:
+        text = _letters(n)
+    elif kind in ("i", "I") and 0 < n < 4000:
+        text = _roman(n)
+    else:
+        return f"{n}. "
+    return (text.upper() if kind.isupper() else text) + ". "
 
 
 class Renderer:
@@ -511,7 +550,8 @@ class Renderer:
             self.met[0] = styles.meets(tag, {}, self.met[0])
         self.drawn = 0  # open elements of drawings and formulas
         self.flows, self.tables = [Flow()], []
-        self.lists: list[list] = []  # of each open list: its next number, or None
+        self.lists: list[list] = []  # of each open list: its next number or None, the step to the one after it, its type
+        self.items = 0  # of the list that begins
         self.stack: list[tuple[str, bool, int]] = []  # tag, whether its text is seen, prefixes that it has added
         self.skip = self.pre = 0
 
@@ -532,7 +572,7 @@ class Renderer:
         if self.skip:
             self.skip += 1
             return
-        a = attributes(written) if written and (self.styles or self.drawn or "=" in written or "hidden" in written or "open" in written or "reversed" in written) else {}
+        a = attributes(written) if written and (self.styles or self.drawn or "=" in written or "hidden" in written or "open" in written or "reversed" in written.lower()) else {}
         met = self.styles.meets(tag, a, self.met[-1]) if self.styles else (0, 0)
         seen = self._seen(tag, a, met[1]) if a or met[1] else self.stack[-1][1] if self.stack else True
         closed = bool(self.stack) and self.stack[-1][0] == "details" and tag != "summary"
@@ -551,18 +591,20 @@ class Renderer:
             if tag != "caption":
                 if not self.tables[-1].rows:
                     self.tables[-1].rows.append([])
-                self.tables[-1].rows[-1].append(([], _number(a.get("colspan", ""), 1000), _number(a.get("rowspan", ""), 65534)))
+                self.tables[-1].rows[-1].append(([], _span(a.get("colspan", ""), 1000), _span(a.get("rowspan", ""), 65534)))
         elif tag == "tr":
             self.tables[-1].rows.append([])
         elif tag in BLOCK:
             flow.block(2 if tag in SPACED and not (tag in ("ul", "ol", "menu") and self.lists) else 1)
             if tag in ("ul", "ol", "menu", "dir"):
-                self.lists.append([_number(a.get("start", "1"), 999_999) if tag == "ol" else None])
+                first, down = _whole(a.get("start", "")), tag == "ol" and "reversed" in a
+                self.lists.append([(first if first is not None else self.items if down else 1) if tag == "ol" else None, -1 if down else 1, a.get("type", "1")])
             elif tag == "li":
                 mark = "- "
                 if self.lists and self.lists[-1][0] is not None:
-                    value = _number(a["value"], 999_999) if "value" in a else self.lists[-1][0]
-                    mark, self.lists[-1][0] = f"{value}. ", value + 1
+                    given = _whole(a.get("value", ""))
+                    value = given if given is not None else self.lists[-1][0]
+                    mark, self.lists[-1][0] = mark_of(a.get("type", self.lists[-1][2]), value), value + self.lists[-1][1]
                 flow.prefix.append(" " * len(mark))
                 flow.mark, added = (len(flow.prefix) - 1, mark), 1
             elif tag in ("blockquote", "dd", "figure"):
@@ -646,6 +688,19 @@ class Renderer:
             flow.add(text)
 
 
+def reversed_items(events: list[tuple]) -> dict[int, int]:
+    """How many items each list has that counts down, by the place where it begins."""
+    found = {i: 0 for i, e in enumerate(events) if e[0] == "open" and e[1] == "ol" and "reversed" in e[2].lower()}
+    if found:
+        open_lists: list[int] = []
+        for i, e in enumerate(events):
+            if e[0] != "text" and e[1] in ("ul", "ol", "menu", "dir"):
+                open_lists.append(i) if e[0] == "open" else open_lists.pop()
+            elif e[0] == "open" and e[1] == "li" and open_lists and open_lists[-1] in found:
+                found[open_lists[-1]] += 1
+    return found
+
+
 def render(page: str | None) -> str | None:
     """The visible text of a page."""
     if page is None:
@@ -654,10 +709,12 @@ def render(page: str | None) -> str | None:
     events = tree.read(page)
     tags = {e[1] for e in events if e[0] == "open"} if tree.styles else ()
     r = Renderer(tree.styles, tuple(t for t in ("html", "body") if t not in tags) if tree.styles else ())
-    for e in events:
+    items = reversed_items(events)
+    for i, e in enumerate(events):
         if e[0] == "text":
             r.text(e[1])
         elif e[0] == "open":
+            r.items = items.get(i, 0)
             r.start(e[1], e[2])
         else:
             r.end(e[1])

@@ -105,3 +105,38 @@ def test_drawings_formulas_and_sheets_for_paper():
     assert h.render("<style media=print>p{display:none}</style><p>a") == "a"
     deep = "<style>.a div > .b{display:none}</style>" + "<div>" * 30_000 + "x<i class=b>y</i>"
     assert h.render(deep) == "xy"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p title='" + "a>" * 20_000 + "'>x", "x"),
+        ('<p title = "a > b">x', "x"),
+        ("<ol start=1234567><li>a<li>b</ol>", "1234567. a\n1234568. b"),
+        ("<ol start=0><li>a<li>b</ol><ol start=-5><li>c<li value=-9>d<li>e</ol>", "0. a\n1. b\n\n-5. c\n-9. d\n-8. e"),
+        ("<ol reversed><li>a<li>b<ul><li>x</ul><li>c</ol>", "3. a\n2. b\n   - x\n1. c"),
+        ("<ol type=a start=26><li>a<li>b</ol><ol type=I><li>c<li type=i value=49>d<li>e</ol>", "z. a\naa. b\n\nI. c\nxlix. d\nL. e"),
+        ("<style>@media print{.h{display:none}}</style><p class=h>x", "x"),
+        ("<style>.a,.b{" + "x:y;" * 900 + "display:none}</style><p class=b>x<p>y", "y"),
+        ("<ol start=99999999999><li value=x>a</ol>", "1. a"),
+    ],
+)
+def test_numbers_and_long_values(page, text):
+    assert h.render(page) == text
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.text("ab ü中", max_size=9), min_size=1, max_size=5), min_size=1, max_size=6))
+def test_tables_by_brute_force(rows):
+    """A column begins two places after the longest cell of the one before it, in every row."""
+    rows = [[" ".join(c.split()) for c in row] for row in rows]
+    wide = max(map(len, rows))
+    width = [max([h.shown(r[c]) for r in rows if c < len(r)], default=0) for c in range(wide)]
+    want = []
+    for row in rows:
+        line = ""
+        for c, cell in enumerate(row):
+            line += " " * (sum(width[:c]) + 2 * c - h.shown(line)) + cell if cell else ""
+        want.append(line)
+    page = "<table>" + "".join("<tr>" + "".join(f"<td>{c}" for c in row) for row in rows) + "</table>"
+    assert [x for x in h.render(page).split("\n") if x] == [x for x in want if x]
