@@ -5,10 +5,12 @@ their positions; to contain it a document must contain each of them, so one is e
 shingles occur in all documents. Documents' shingles are joined to the prefixes; a match fixes where the window would lie, which
 must be within the document (length and position bound); then its words are compared one by one.
 
-The benchmark is taken in blocks of about BLOCK_BYTES of text, hashed by item, each sent to the executors by itself and passed over
-the documents by itself, so what is sent does not grow with the benchmark. The documents are not shuffled.
+The benchmark is taken in blocks of about BLOCK_BYTES of text, hashed by item. One block is sent to the executors and passed over the
+documents, which are not shuffled. Several are sent and passed one after the other: each pass stores what it finds by a hash of the text
+(md5), then its block is dropped, so memory does not grow with the benchmark; at the end the finds, which only contaminated texts have,
+are joined to the documents once.
 
-Defined cases: null text has no words and no hits; an item without words has no windows; words of an item with a null id are hit but
+Defined cases: texts of any length are read whole, a slice of rows at a time; null text has no words and no hits; an item without words has no windows; words of an item with a null id are hit but
 the item is not listed; repeated items are listed once; repeated documents each get a row. Columns of the documents are kept unless
 named like an output; other columns of the benchmark are ignored. Without documents the result is empty, without items all is clean.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hold_only, slices, text_bytes, with_columns
+from .common import cut, hold_only, slices, text_bytes, with_columns
 
 SIZE, SHINGLE, BLOCK_BYTES = 13, 5, 8_000_000
 #: Bytes of text that are hashed at once: each takes some 60 bytes of memory meanwhile.
@@ -163,16 +165,21 @@ class Index:
         return found
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, size: int, shingle: int, block_bytes: int) -> Iterator[Index]:
+def _blocks(items: DataFrame, item_id: str, text: str, size: int, shingle: int, block_bytes: int) -> tuple[int, Iterator[Index]]:
+    """How many blocks there are, and those that have words."""
     items = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-total // block_bytes)
-    for b in range(n):  # each block has about block_bytes of text
-        got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).distinct().toArrow().combine_chunks()
-        if got.num_rows:
-            index = Index(got.column("i").to_pylist(), got.column("t").combine_chunks() if isinstance(got.column("t"), pa.ChunkedArray) else got.column("t"), size, shingle)
-            if index.texts:
-                yield index
+
+    def each() -> Iterator[Index]:
+        for b in range(n):  # each block has about block_bytes of text
+            got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).distinct().toArrow().combine_chunks()
+            if got.num_rows:
+                index = Index(got.column("i").to_pylist(), got.column("t").combine_chunks() if isinstance(got.column("t"), pa.ChunkedArray) else got.column("t"), size, shingle)
+                if index.texts:
+                    yield index
+
+    return n, each()
 
 
 def _counts(docs: DataFrame, text: str, index: Broadcast) -> dict[tuple[int, int], int]:
@@ -198,17 +205,35 @@ def find(docs: DataFrame, items: DataFrame, doc_id_text: str = "text", item_id:
     fields = [("n_words", T.LongType()), ("spans", T.ArrayType(T.LongType())), ("items", T.ArrayType(T.StringType()))]
     out = docs if keep is None else docs.select(*dict.fromkeys([*keep, text]))
     out = out.drop("n_words", "spans", "items")
-    passes = 0
-    for block in _blocks(items, item_id, item_text, size, shingle, block_bytes):
-        block.choose(_counts(docs, text, sc.broadcast(block)))
-        out = with_columns(out, text, fields, _pass(sc.broadcast(block), text, passes > 0), most=SLICE, holds=("decontaminate", _powers.cache_clear))
-        passes += 1
-    if not passes:
-        out = with_columns(out, text, fields, _pass(None, text, False), most=SLICE, holds=("decontaminate", _powers.cache_clear))
+    holds = ("decontaminate", _powers.cache_clear)
+    n, blocks = _blocks(items, item_id, item_text, size, shingle, block_bytes)
+    if n <= 1:
+        block = next(blocks, None)
+        if block is not None:
+            block.choose(_counts(docs, text, sc.broadcast(block)))
+        out = with_columns(out, text, fields, _pass(block and sc.broadcast(block), text), most=SLICE, holds=holds)
+    else:
+        stored = None
+        hashed = docs.select(F.col(text).alias("text"), F.md5(text).alias("__hash"))
+        for block in blocks:
+            first = sc.broadcast(block)
+            block.choose(_counts(docs, text, first))
+            sent = sc.broadcast(block)
+            found = cut(with_columns(hashed, "text", fields, _pass(sent, "text"), ["__hash"], SLICE, holds).where(F.size("spans") > 0).groupBy("__hash").agg(F.first("spans").alias("s"), F.first("items").alias("i")))
+            first.destroy()
+            sent.destroy()
+            stored = found if stored is None else stored.unionByName(found)
+        merged = stored.groupBy("__hash").agg(F.flatten(F.collect_list("s")).alias("__s"), F.flatten(F.collect_list("i")).alias("__i")) if stored is not None else None
+        if merged is None:
+            out = with_columns(out, text, fields, _pass(None, text), most=SLICE, holds=holds)
+        else:
+            joined = out.withColumn("__hash", F.md5(text)).join(merged, "__hash", "left").drop("__hash")
+            out = with_columns(joined, text, fields, _pass(None, text, ("__s", "__i")), most=SLICE, holds=holds).drop("__s", "__i")
     return out if keep is None else out.select(*keep, *(n for n, _ in fields))
 
 
-def _pass(index: Broadcast | None, text: str, more: bool):
+def _pass(index: Broadcast | None, text: str, found: tuple[str, str] | None = None):
+    """n_words, spans and items by an index, and by what is `found` in two columns: spans in any order, items."""
     def make():
         def each(part: pa.RecordBatch) -> dict[str, pa.Array]:
             words = Words(part.column(text))
@@ -220,13 +245,13 @@ def _pass(index: Broadcast | None, text: str, more: bool):
                     hit[start] += 1
                     hit[start + int(index.value.sizes[window])] -= 1
                     names[t] |= index.value.items[window]
-            if more:  # what earlier blocks have found
-                for t, spans in enumerate(part.column("spans").to_pylist()):
-                    for a, b in zip(spans[::2], spans[1::2]):
+            if found:
+                for t, spans in enumerate(part.column(found[0]).to_pylist()):
+                    for a, b in zip((spans or ())[::2], (spans or ())[1::2]):
                         hit[words.first[t] + a] += 1
                         hit[words.first[t] + b] -= 1
-                for t, earlier in enumerate(part.column("items").to_pylist()):
-                    names[t] |= set(earlier)
+                for t, earlier in enumerate(part.column(found[1]).to_pylist()):
+                    names[t] |= set(earlier or ())
             covered = np.cumsum(hit[:-1]) > 0
             begin = covered.copy()
             begin[1:] &= ~covered[:-1]

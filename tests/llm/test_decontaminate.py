@@ -62,3 +62,12 @@ def test_edges(spark):
     assert d.find(docs.limit(0), none).count() == 0
     long = spark.createDataFrame([(1, "lorem " * 300_000 + "ipsum")], "doc_id long, text string")
     assert run(long, spark.createDataFrame([(5, "lorem ipsum")], "item_id long, text string")) == [(1, 300_001, 2, ["5"], False)]
+
+
+def test_many_blocks_do_not_pile_up(spark):
+    docs = spark.createDataFrame([(i, f"alpha beta {i} gamma {i % 7} delta") for i in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"beta {i} gamma") for i in range(30)], "item_id long, text string")
+    found = d.find(docs, items, keep=["doc_id"], block_bytes=40)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Broadcast" not in plan.replace("BroadcastHashJoin", "").replace("BroadcastExchange", "")
+    assert {r.doc_id for r in found.where("size(items) = 1").collect()} == set(range(30)) and found.count() == 40
