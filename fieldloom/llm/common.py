@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares. Only where the session names none (tests), a local one is set."""
+    """The folder that the cluster shares. Only where the session names none and runs in one process (tests), a local one is set."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="fieldloom-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)

@@ -4,19 +4,21 @@ Vectors are turned into integers. A task holds its vectors in vertical layout, o
 products are accumulated block by block of dimensions. After each block the rest of a product is at most the product of the norms
 of what is left of both vectors (the remaining mass); candidates whose accumulated score plus that cannot reach the k-th best
 score known so far are dropped, and the survivors are compacted before the next block. The k-th best is known from the start: a pilot of
-at most PILOT vectors, fully scored, gives each query a lower bound that holds for all tasks, so they return few candidates.
+at most PILOT vectors, fully scored in tasks, gives each query a lower bound that holds for all tasks, so they return few candidates.
 
-Queries are taken in blocks of at most QUERIES, whose size is bounded, each passed over all vectors; results of the tasks are
-merged by the k best of each query. Nothing is shuffled but these candidates.
+Queries and their bounds are made once. They are taken in blocks of about QUERIES, whose size is bounded: one block is passed over all
+vectors; several are stored in the shared folder, one part each, and passed one after the other, and each adds its k best to a stored
+table, so neither plans nor memory grow with the queries. Nothing is shuffled but the tasks' candidates.
 
 Defined cases: rows whose id or vector is null, or whose vector holds null or non-finite components, take no part; shorter vectors
-count as filled up with zeros, an empty one as all zeros. Of rows with one id the query is the smallest vector, and all of them are
+count as filled up with zeros, an empty one as all zeros. Of rows with one id the query is the smallest vector (ties between them are equal vectors), and all of them are
 its own; as candidates of other queries each counts by itself. Sums are exact up to 2^53, beyond that Python integers would be
 needed and a ValueError is raised. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut, remove, shared_dir
+
 K, BLOCK, QUERIES, PILOT, ROWS = 20, 8, 4096, 2048, 32768
 
 
@@ -86,16 +90,32 @@ class Search:
         return self.ids[alive[order]], score[order]
 
 
-def _search_block(vectors: DataFrame, queries: pa.Table, k: int, block: int, rows: int, pilot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    ids, m = queries.column("id").to_numpy(), _matrix(queries.column("v").combine_chunks())
-    width = max(m.shape[1], pilot[1].shape[1])
-    first, limits = Search(pilot[0], _width(pilot[1], width), block), np.full(len(ids), -np.inf)
-    full, left = _width(m, width), masses(_width(m, width), block)
-    for i in range(len(ids)):
-        _, scores = first.best(full[i], ids[i], k, -np.inf, left[i])
-        if len(scores) == k:
-            limits[i] = scores[-1]
-    sent = vectors.sparkSession.sparkContext.broadcast((ids, m, limits))
+def _with_floors(asked: DataFrame, pilot: tuple[np.ndarray, np.ndarray], k: int, block: int) -> DataFrame:
+    """Adds `low`: the k-th best score of each query (id, v) among the pilot's vectors; minus infinity if it has fewer."""
+    sent = asked.sparkSession.sparkContext.broadcast(pilot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, m = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            if first is None or first.columns.shape[0] < m.shape[1]:
+                first = Search(sent.value[0], _width(sent.value[1], max(m.shape[1], sent.value[1].shape[1])), block)
+            full = _width(m, first.columns.shape[0])
+            left, low = masses(full, block), np.full(len(ids), -np.inf)
+            for i in range(len(ids)):
+                _, scores = first.best(full[i], ids[i], k, -np.inf, left[i])
+                if len(scores) == k:
+                    low[i] = scores[-1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low)], names=["id", "v", "low"])
+
+    return asked.select("id", "v").mapInArrow(run, "id long, v array<double>, low double")
+
+
+def _search_block(vectors: DataFrame, queries: pa.Table, k: int, block: int, rows: int) -> DataFrame:
+    """The k best of each query of a block: query_id, rank, vec_id, score."""
+    sent = vectors.sparkSession.sparkContext.broadcast((queries.column("id").to_numpy(), _matrix(queries.column("v").combine_chunks()), queries.column("low").to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, m, limits = sent.value
@@ -120,26 +140,29 @@ def _search_block(vectors: DataFrame, queries: pa.Table, k: int, block: int, row
         if held:
             yield work()
 
-    return vectors.mapInArrow(run, "query_id long, vec_id long, score long")
+    found = vectors.mapInArrow(run, "query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = K, scale: int = 64, block: int = BLOCK, queries: int = QUERIES, pilot: int = PILOT, rows: int = ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest inner products, ties to the smaller vec_id."""
     taking = vectors.where(F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("id"), integers(F.col(vector), scale).alias("v"), is_query.alias("q")).where("v is not null")
-    asked = taking.where("q").groupBy("id").agg(F.min("v").alias("v"))
-    total = asked.count()
     spark = vectors.sparkSession
+    some = taking.select("id", "v").limit(pilot).toArrow().combine_chunks()
+    first = (some.column("id").to_numpy(), _matrix(some.column("v").combine_chunks())) if some.num_rows else (np.zeros(0, np.int64), np.zeros((0, 0)))
+    asked = cut(_with_floors(taking.where("q").groupBy("id").agg(F.min("v").alias("v")), first, k, block))
+    total, every = asked.count(), taking.select("id", "v")
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    parts = -(-total // queries)
-    some = taking.select("id", "v").limit(pilot).toArrow().combine_chunks()
-    first = (some.column("id").to_numpy(), _matrix(some.column("v").combine_chunks()))
-    every = taking.select("id", "v")
-    found = None
+    if total <= queries:
+        return _search_block(every, asked.toArrow().combine_chunks(), k, block, rows)
+    parts, folder = -(-total // queries), f"{shared_dir(spark).rstrip('/')}/top-k-{uuid.uuid4().hex}"
+    asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).repartition(parts, "part").write.partitionBy("part").parquet(f"{folder}/asked")
+    stored = spark.read.schema("id long, v array<double>, low double, part int").parquet(f"{folder}/asked")
     for p in range(parts):
-        part = asked.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == p).toArrow().combine_chunks()
-        if part.num_rows:
-            one = _search_block(every, part, k, block, rows, first)
-            found = one if found is None else found.unionByName(one)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        one = stored.where(F.col("part") == p).select("id", "v", "low").toArrow().combine_chunks()
+        if one.num_rows:
+            _search_block(every, one, k, block, rows).write.mode("append").parquet(f"{folder}/found")
+    remove(spark, f"{folder}/asked")
+    return spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(f"{folder}/found")
