@@ -3,11 +3,13 @@ import zlib
 from collections import Counter, defaultdict
 from hashlib import md5
 
+import pytest
+
 from fieldloom.llm import shard
 
 
-def brute(key, n):
-    node = shard.tree(n)
+def brute(key, n, base=None):
+    node = shard.tree(n, base=base)
     while node.children:
         draw = lambda c: -math.log((int(md5(f"{key}|{c.name}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52) / c.weight
         node = min(node.children, key=draw)
@@ -39,6 +41,18 @@ def test_weights_and_movement(spark):
     assert abs(share[5] / sum(share.values()) - 0.3) < 0.04
 
 
+def test_law_key_for_every_number_of_shards(spark):
+    keys = spark.range(600)
+    for base in (1, 7, 8, 24):
+        for n in range(base, 41):
+            rows = keys.select(shard.place(keys.id, shard.tree(n, base=base)).alias("a"), shard.place(keys.id, shard.tree(n + 1, base=base)).alias("b")).distinct().collect() if n % 5 == base % 5 else ()
+            assert all(r.b in (r.a, n) for r in rows)
+    with pytest.raises(ValueError, match="base"):
+        shard.assign(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 20)
+    few = shard.assign(keys.selectExpr("id as doc_id", "'x' as text"), 20, base=16).collect()
+    assert all(r.shard == brute(r.doc_id, 20, 16) and r.grown_shard in (r.shard, 20) for r in few)
+
+
 def test_edges(spark):
     rows = [(1, None, 5), (1, None, 5), (2, "", 6), (None, "é" * 100_000, 7), (None, "é" * 100_000, 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
