@@ -5,15 +5,17 @@ equal strings have equal keys, and a text falls into runs of starts with the sam
 
 1. Runs are dealt by key, each with a hash of all its bytes. A run that occurs twice as a whole is repeated in every byte. Where a key
    has several different runs, one of each kind is asked for its bytes.
-2. Their bytes are dealt by key (and two more such keys, which keeps groups small). A task takes them in batches: a batch gets a suffix
-   array of its starts, sorted by the SPAN bytes that follow; neighbours with equal bytes are matches, and the array is merge-scanned
-   against the levels that it has, for matches with earlier batches. Then it joins them as a new level, and levels of equal size merge,
-   so their sizes grow geometrically. As rows come sorted by key, levels give up what the stream has passed.
+2. Their bytes are dealt by key (and two more such keys, which keeps groups small) to as many tasks as it takes for each to have about
+   PER_TASK starts. A task takes what comes in batches, in any order. A batch gets a suffix array of its starts, by the SPAN bytes that
+   follow each; neighbours with equal bytes are matches, and the array is merge-scanned against every level that the task has, for matches
+   with earlier batches. Then it becomes a level itself, and levels of equal size merge, so their sizes grow geometrically. A level
+   keeps the bytes of its runs once, and places in them in the order of their suffixes.
 3. Each text gets its repeated starts, and loses the bytes that they cover.
 
-Keys with more than HOT different runs would make levels too large for a task; their starts are dealt one by one by a 128-bit hash of
-their bytes instead. Texts are told apart by a 64-bit hash and their length, whole runs by their key, a 64-bit hash and their length;
-all other matches compare bytes.
+The starts of keys with more than HOT different runs are dealt one by one by a 128-bit hash of their bytes instead, so that no key makes a
+task larger; of those that occur twice in a slice one is sent on. A task sends a run that it has sent twice no more, it is repeated for
+certain. Texts are told apart by a 64-bit hash and their length, whole runs by their key, a 64-bit hash and their length; all
+other matches compare bytes.
 
 Defined cases: null text is empty; texts of fewer than SPAN bytes lose nothing; of equal texts of SPAN bytes or more nothing stays, in
 either; texts of any length are taken whole; null ids are kept; other columns are ignored. An empty table gives an empty one.
@@ -26,18 +28,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, slices, text_bytes, with_columns
+from .common import cut, give_back, hold_only, slices, text_bytes, with_columns
 
 SPAN, PIECE, HOT = 200, 32, 20_000
-#: A run is cut after so many starts; a suffix array is built over about so many; that many rows of a key are held at most.
-Limits = namedtuple("Limits", "longest starts held")
-LIMITS = Limits(512, 100_000, 200_000)
-WITHIN = 10
+#: A run is cut after so many starts; a suffix array is built over about so many; that many rows of a key are held at most; a task of the
+#: family gets about so many starts.
+Limits = namedtuple("Limits", "longest starts held per_task")
+LIMITS = Limits(512, 60_000, 200_000, 400_000)
+#: Bytes of text that are hashed at once (each takes some 60 bytes of memory meanwhile); kinds of runs that a task remembers to have sent.
+SLICE, REMEMBERED = 2_000_000, 400_000
+WITHIN, HOTTER = 10, 10
 _RNG = np.random.default_rng(11)
 LETTERS = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 ODD = [np.uint64(int(x) | 1) for x in _RNG.integers(1, 2**63, 8, dtype=np.uint64)]
@@ -105,8 +111,10 @@ def _find_runs(span: int, piece: int, limits: Limits):
     if it may repeat a string within itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only()
+        once, often = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # hashes of runs that this task has sent, sorted
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 data, starts = text_bytes(part.column("text"))
                 if len(data) < span:
                     continue
@@ -126,6 +134,18 @@ def _find_runs(span: int, piece: int, limits: Limits):
                 c[order[same]] = 3
                 again = np.append(same[1:], False) & ~same
                 c[order[again]] = 2
+                head = ~same
+                before, sure = np.isin(t, once, kind="sort"), np.isin(t, often, kind="sort")
+                c[before & (c == 1)] = 2
+                c[sure] = 3
+                first = t[order[head]]
+                kinds, now = np.unique(first, return_index=True)
+                two = (again[head] | before[order[head]])[now]
+                often = np.union1d(often, kinds[two])
+                once = np.union1d(once, kinds[~two])
+                if len(once) + len(often) > REMEMBERED:
+                    once = once[: REMEMBERED // 2]
+                    often = often[: REMEMBERED // 2]
                 # a run in which its key's piece occurs twice may repeat a string within itself
                 inner = np.fromiter((np.count_nonzero(pieces[a : b + span - piece + 1] == k) > 1 for a, b, k in zip(low.tolist(), high.tolist(), v)), bool, len(low))
                 c[inner & (c < 3)] += WITHIN
@@ -135,8 +155,9 @@ def _find_runs(span: int, piece: int, limits: Limits):
     return run
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (v, t, hi - lo). kind 0: repeated as a whole; 1: asked for its bytes; 2: both."""
+def _resolve(batches: Iterator[pa.RecordBatch], most: int, hot: int = HOT) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (v, t, hi - lo). kind 0: repeated as a whole; 1: asked for its bytes; 2: both; HOTTER more if its key has more than
+    `hot` different runs."""
     held: list[np.ndarray] | None = None
     flushed = None  # a key whose runs were asked without waiting for all: its last kind of run is asked too
 
@@ -156,7 +177,8 @@ def _resolve(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
         again[:-1] |= ~new_t[1:]
         kinds = np.add.reduceat(new_t.astype(np.int64), np.flatnonzero(new_v))[np.cumsum(new_v) - 1]
         asked = new_t & ((kinds > 1) | inner | sure)
-        return out(cols, again | asked, np.where(asked, np.where(again, 2, 1), 0).astype(np.int32))
+        hotter = HOTTER * ((kinds > hot) | sure)
+        return out(cols, again | asked, np.where(asked, np.where(again, 2, 1) + hotter, 0).astype(np.int32))
 
     for batch in batches:
         cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
@@ -188,81 +210,120 @@ def _resolve(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
         yield work(held, False)
 
 
+GIVEN = "k1 long, k2 long, kind int, h long, nb int, lo int, bytes binary"
+
+
 def _give_bytes(span: int, piece: int):
-    """The bytes of the runs that were asked, cut further by two more keys (kind 0); of hot keys each start's hash (kind 1)."""
+    """The bytes of the runs that were asked, cut further by two more keys (kind 0); of hot keys each start's hash (kind 1), and starts that
+    are repeated for certain (kind 2)."""
     names = ["k1", "k2", "kind", "h", "nb", "lo", "bytes"]
 
+    def batch_of(k1: np.ndarray, k2: np.ndarray, kind: int, h: np.ndarray, nb: np.ndarray, lo: np.ndarray, data: pa.Array | None = None) -> pa.RecordBatch:
+        data = pa.nulls(len(h), pa.binary()) if data is None else data
+        return pa.RecordBatch.from_arrays([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(np.full(len(h), kind, np.int32)), pa.array(h), pa.array(nb), pa.array(lo.astype(np.int32)), data], names=names)
+
+    def cut_up(runs: list[bytes], about: np.ndarray) -> pa.RecordBatch:
+        raw = b"".join(runs)
+        data, ends = np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+        keys = run_keys(data, span, piece, (1, 2))
+        at, low, high = runs_of(data, ends, keys, span)
+        h, nb, lo, v = about[at].T
+        size = high - low + span
+        first = np.concatenate([[0], np.cumsum(size)])
+        take = np.repeat(low - first[:-1], size) + np.arange(first[-1])
+        own = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(data[take])])
+        return batch_of(v.astype(np.int64).view(np.uint64), keys[0][low] * np.uint64(31) + keys[1][low], 0, h, nb.astype(np.int32), lo + low - ends[at], own)
+
+    def hashed(runs: list[bytes], about: np.ndarray) -> Iterator[pa.RecordBatch]:
+        counts = np.array([len(r) - span + 1 for r in runs])
+        marks = [xxhash.xxh3_128_intdigest(r[k : k + span]) for r in runs for k in range(len(r) - span + 1)]
+        high = np.fromiter((m >> 64 for m in marks), np.uint64, len(marks))
+        low = np.fromiter((m & (2**64 - 1) for m in marks), np.uint64, len(marks))
+        h, nb, lo, _ = np.repeat(about, counts, axis=0).T
+        lo = lo + np.arange(len(marks)) - np.repeat(np.cumsum(counts) - counts, counts)
+        nb = nb.astype(np.int32)
+        order = np.lexsort((low, high))
+        new = np.append(True, (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]]))
+        several = ~new | np.append(~new[1:], False)
+        one, sure = order[new], order[several]
+        yield batch_of(high[one], low[one], 1, h[one], nb[one], lo[one])
+        if len(sure):  # dealt by their place
+            yield batch_of(h[sure].astype(np.int64).view(np.uint64), lo[sure].astype(np.uint64), 2, h[sure], nb[sure], lo[sure])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only()
+        before = None
         for batch in batches:
-            for part in slices(batch, "text"):
-                out: list[tuple] = []
+            for part in slices(batch, "text", SLICE):
+                cold: tuple[list, list] = ([], [])
+                hot: tuple[list, list] = ([], [])
+                held = 0
                 for text, h, nb, asked in zip(*(part.column(c).to_pylist() for c in ("text", "h", "nb", "asked"))):
-                    raw = text.encode()
+                    if (h, nb) == before:  # a copy, which is repeated as a whole
+                        continue
+                    before, raw = (h, nb), text.encode()
                     for one in asked:
-                        lo, hi = one["lo"], one["hi"]
-                        own = raw[lo : hi + span]
-                        if one["hot"]:
-                            for s in range(hi - lo + 1):
-                                d = xxhash.xxh3_128_intdigest(own[s : s + span])
-                                out.append((d >> 64, d & (2**64 - 1), 1, h, nb, lo + s, None))
-                            continue
-                        data = np.frombuffer(own, np.uint8)
-                        keys = run_keys(data, span, piece, (1, 2))
-                        _, low, high = runs_of(data, np.array([0, len(data)]), keys, span)
-                        k1 = one["v"] & (2**64 - 1)
-                        for a, b in zip(low.tolist(), high.tolist()):
-                            k2 = (int(keys[0][a]) * 31 + int(keys[1][a])) & (2**64 - 1)
-                            out.append((k1, k2, 0, h, nb, lo + a, own[a : b + span]))
-                    if len(out) > 50_000:
-                        yield _rows(out, names)
-                        out = []
-                if out:
-                    yield _rows(out, names)
+                        runs, about = hot if one["hot"] else cold
+                        runs.append(raw[one["lo"] : one["hi"] + span])
+                        about.append((h, nb, one["lo"], one["v"]))
+                        held += len(runs[-1])
+                        if held > SLICE:
+                            if cold[0]:
+                                yield cut_up(cold[0], np.array(cold[1], np.int64))
+                            if hot[0]:
+                                yield from hashed(hot[0], np.array(hot[1], np.int64))
+                            cold, hot, held = ([], []), ([], []), 0
+                if cold[0]:
+                    yield cut_up(cold[0], np.array(cold[1], np.int64))
+                if hot[0]:
+                    yield from hashed(hot[0], np.array(hot[1], np.int64))
+        give_back()
 
     return run
 
 
-def _rows(out: list[tuple], names: list[str]) -> pa.RecordBatch:
-    k1, k2, kind, h, nb, lo, data = zip(*out)
-    keys = [pa.array(np.array(k, np.uint64).view(np.int64)) for k in (k1, k2)]
-    return pa.RecordBatch.from_arrays([*keys, pa.array(kind, pa.int32()), pa.array(h, pa.int64()), pa.array(nb, pa.int32()), pa.array(lo, pa.int32()), pa.array(data, pa.binary())], names=names)
-
-
 class Level:
-    """A suffix array: the strings of SPAN bytes in order, each once, with one place where it starts."""
+    """A suffix array: `data` has the bytes of runs one after the other, `at` where suffixes begin in it, in the order of their first SPAN
+    bytes, each string once; `place` is one place (h, nb, start) of each, `found` whether it is known to be repeated."""
 
-    def __init__(self, strings: np.ndarray, key: np.ndarray, place: np.ndarray, found: np.ndarray) -> None:
-        self.strings, self.key, self.place, self.found = strings, key, place, found
+    def __init__(self, data: np.ndarray, at: np.ndarray, place: np.ndarray, found: np.ndarray, span: int) -> None:
+        self.data, self.at, self.place, self.found, self.span = data, at, place, found, span
 
     def __len__(self) -> int:
-        return len(self.strings)
+        return len(self.at)
 
-    def keep(self, pick: np.ndarray) -> Level:
-        return Level(self.strings[pick], self.key[pick], self.place[pick], self.found[pick])
+    def strings(self) -> np.ndarray:
+        return strings_at(self.data, self.at, self.span)
 
     def merged(self, other: Level) -> Level:
-        strings = np.concatenate([self.strings, other.strings])
-        order = np.argsort(strings, kind="stable")  # two sorted runs, which timsort merges
-        return Level(strings[order], *(np.concatenate([getattr(self, n), getattr(other, n)])[order] for n in ("key", "place", "found")))
+        """Both as one; a string is in one of them only, because matches are not kept twice."""
+        both = np.concatenate([self.strings(), other.strings()])
+        order = np.argsort(both, kind="stable")  # two sorted runs, which timsort merges
+        at = np.concatenate([self.at, other.at + len(self.data)])
+        return Level(np.concatenate([self.data, other.data]), at[order], np.concatenate([self.place, other.place])[order], np.concatenate([self.found, other.found])[order], self.span)
+
+
+def strings_at(data: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(data, span)[at].view(f"S{span}").ravel()
 
 
 class Family:
-    """Levels of sizes that grow geometrically. A place is (h, nb, start)."""
+    """Levels of sizes that grow geometrically."""
 
     def __init__(self, span: int) -> None:
         self.span, self.levels = span, []
 
-    def add(self, rows: list[tuple], keys: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """rows: (h, nb, lo, bytes), in the order of `keys`; returns (h, nb, first, last start) of repeated starts."""
+    def add(self, data: np.ndarray, ends: np.ndarray, about: np.ndarray) -> np.ndarray:
+        """Runs that lie one after the other in `data`, run i from ends[i] to ends[i + 1], of about[i] = (h, nb, lo). Returns rows (h, nb,
+        first, last start) of starts that are found to be repeated now."""
         span, out = self.span, []
-        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-        size = np.array([len(r[3]) for r in rows])
-        count, first = size - span + 1, np.cumsum(size) - size
-        row = np.repeat(np.arange(len(rows)), count)
+        count = np.diff(ends) - span + 1
+        row = np.repeat(np.arange(len(count)), count)
         within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        strings = np.lib.stride_tricks.sliding_window_view(data, span)[first[row] + within].view(f"S{span}").ravel()
-        place = np.array([r[:3] for r in rows], np.int64)[row]
+        at = ends[row] + within
+        place = about[row]
         place[:, 2] += within
+        strings = strings_at(data, at, span)
         order = np.argsort(strings, kind="stable")
         ordered = strings[order]
         same = ordered[1:] == ordered[:-1]
@@ -271,69 +332,73 @@ class Family:
         found[1:] |= same
         found[:-1] |= same
         distinct = np.flatnonzero(head)
-        names, seen = ordered[distinct], found[distinct]
+        names, seen, there = ordered[distinct], found[distinct], np.zeros(len(distinct), bool)
+        del strings, ordered
         for level in self.levels:  # merge-scan
-            at = np.minimum(np.searchsorted(level.strings, names), len(level) - 1)
-            hit = level.strings[at] == names
+            own = level.strings()
+            near = np.minimum(np.searchsorted(own, names), len(level) - 1)
+            hit = own[near] == names
             seen |= hit
-            fresh = at[hit & ~level.found[at]]
-            out += [(h, nb, s, s) for h, nb, s in level.place[fresh].tolist()]
+            there |= hit
+            fresh = np.unique(near[hit & ~level.found[near]])
+            out.append(level.place[fresh][:, [0, 1, 2, 2]])
             level.found[fresh] = True
         marked = np.zeros(len(order), bool)
         marked[order] = seen[np.cumsum(head) - 1]
-        begin = marked.copy()
+        begin, stop = marked.copy(), marked.copy()
         begin[1:] &= ~(marked[:-1] & (row[1:] == row[:-1]))
-        stop = marked.copy()
         stop[:-1] &= ~(marked[1:] & (row[1:] == row[:-1]))
-        for a, b in zip(np.flatnonzero(begin).tolist(), np.flatnonzero(stop).tolist()):
-            h, nb, s = place[a].tolist()
-            out.append((h, nb, s, int(place[b, 2])))
-        # what the stream has passed cannot occur again
-        new = Level(names, keys[row[order[distinct]]], place[order[distinct]], seen)
-        current = keys[-1]
-        self.levels = [x for x in (level.keep(level.key == current) for level in [*self.levels, new]) if len(x)]
+        out.append(np.column_stack([place[begin], place[stop][:, 2]]))
+        new = order[distinct[~there]]
+        if len(new):
+            self.levels.append(Level(data, at[new], place[new], seen[~there], span))
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
             last = self.levels.pop()
             self.levels[-1] = self.levels[-1].merged(last)
-        return out
+        return np.concatenate(out)
 
 
-def _match(span: int, limits: Limits):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, before, hashed = Family(span), None, None
+FOUND = "h long, nb int, lo int, hi int"
 
-        def give(out: list[tuple]) -> Iterator[pa.RecordBatch]:
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["h", "nb", "lo", "hi"])
 
+def _match(span: int, limits: Limits):
+    def rows(found: np.ndarray) -> pa.RecordBatch:
+        h, nb, lo, hi = found.T
+        return pa.RecordBatch.from_arrays([pa.array(h), *(pa.array(x.astype(np.int32)) for x in (nb, lo, hi))], names=["h", "nb", "lo", "hi"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only()
+        family, hashes = Family(span), {}
         for batch in batches:
-            rows: list[tuple] = []
-            keys: list[int] = []
-            starts, out = 0, []
-            for k1, k2, kind, h, nb, lo, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if kind:
-                    now = (k1, k2)
-                    if hashed is not None and hashed[0] == now and hashed[1] != (h, nb, lo):
-                        if not hashed[2]:
-                            out.append((*hashed[1], hashed[1][2]))
-                        out.append((h, nb, lo, lo))
-                        hashed = (now, hashed[1], True)
-                    elif hashed is None or hashed[0] != now:
-                        hashed = (now, (h, nb, lo), False)
-                    continue
-                now = (k1, k2, h, nb, lo)
-                if now == before:  # the same text again
-                    continue
-                before = now
-                rows.append((h, nb, lo, data))
-                keys.append(hash((k1, k2)))
-                starts += len(data) - span + 1
-                if starts >= limits.starts:
-                    out += family.add(rows, np.array(keys, np.int64))
-                    rows, keys, starts = [], [], 0
-            if rows:
-                out += family.add(rows, np.array(keys, np.int64))
-            yield from give(out)
+            kind = batch.column("kind").to_numpy()
+            about = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in ("h", "nb", "lo")])
+            sure = about[kind == 2]
+            if len(sure):
+                yield rows(sure[:, [0, 1, 2, 2]])
+            one, out = np.flatnonzero(kind == 1), []
+            for k1, k2, i in zip(batch.column("k1").to_numpy()[one].tolist(), batch.column("k2").to_numpy()[one].tolist(), one.tolist()):
+                earlier = hashes.setdefault((k1, k2), i := (*about[i].tolist(), 0))
+                if earlier is not i:
+                    if not earlier[3]:
+                        out.append(earlier[:3])
+                        hashes[k1, k2] = (*earlier[:3], 1)
+                    out.append(i[:3])
+            if out:
+                yield rows(np.array(out, np.int64)[:, [0, 1, 2, 2]])
+            cold = np.flatnonzero(kind == 0)
+            runs = batch.column("bytes").take(pa.array(cold))
+            about, size = about[cold], pc.binary_length(runs).to_numpy(zero_copy_only=False).astype(np.int64)
+            done = np.cumsum(size - span + 1)
+            a = 0
+            while a < len(cold):
+                b = max(a + 1, int(np.searchsorted(done, (done[a - 1] if a else 0) + limits.starts, "right")))
+                data = np.frombuffer(b"".join(runs.slice(a, b - a).to_pylist()), np.uint8)
+                found = family.add(data, np.concatenate([[0], np.cumsum(size[a:b])]), about[a:b])
+                if len(found):
+                    yield rows(found)
+                a = b
+        del family, hashes
+        give_back()
 
     return run
 
@@ -345,14 +410,14 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span:
     source = docs.select(F.col(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"), F.octet_length(body).alias("nb"))
     runs = source.mapInArrow(_find_runs(span, piece, limits), "v long, t long, h long, nb int, lo int, hi int, c int")
     dealt = runs.withColumn("deal", F.when(F.col("c") == 3, F.xxhash64("h", "lo")).otherwise(F.col("v"))).repartition("deal").drop("deal")
-    known = cut(dealt.withColumn("len", F.col("hi") - F.col("lo")).sortWithinPartitions("v", "t", "len").drop("len").mapInArrow(lambda batches: _resolve(batches, limits.held), "h long, nb int, lo int, hi int, v long, kind int"))
-    asked = known.where("kind > 0")
-    busy = asked.groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("v", F.lit(True).alias("hot"))
-    wanted = asked.join(busy, "v", "left").select("h", "nb", "lo", "hi", "v", F.coalesce("hot", F.lit(False)).alias("hot"))
-    by_text = wanted.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi", "v", "hot")).alias("asked"))
-    given = source.join(by_text, ["h", "nb"]).select("id", "text", "h", "nb", "asked").mapInArrow(_give_bytes(span, piece), "k1 long, k2 long, kind int, h long, nb int, lo int, bytes binary")
-    matched = given.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "h", "nb", "lo").mapInArrow(_match(span, limits), "h long, nb int, lo int, hi int")
-    starts = known.where("kind != 1").select("h", "nb", "lo", "hi").unionByName(matched)
+    known = cut(dealt.withColumn("len", F.col("hi") - F.col("lo")).sortWithinPartitions("v", "t", "len").drop("len").mapInArrow(lambda batches: _resolve(batches, limits.held, hot), "h long, nb int, lo int, hi int, v long, kind int"))
+    asked = known.where("kind > 0").select("h", "nb", "lo", "hi", "v", (F.col("kind") >= HOTTER).alias("hot"))
+    total = asked.agg(F.sum(F.col("hi") - F.col("lo") + 1)).first()[0] or 0
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limits.per_task))
+    by_text = asked.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi", "v", "hot")).alias("asked"))
+    given = source.join(by_text, ["h", "nb"]).select("id", "text", "h", "nb", "asked").mapInArrow(_give_bytes(span, piece), GIVEN)
+    matched = given.repartition(tasks, "k1", "k2").mapInArrow(_match(span, limits), FOUND)
+    starts = known.where(F.col("kind") % HOTTER != 1).select("h", "nb", "lo", "hi").unionByName(matched)
     per_text = starts.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
     joined = source.join(per_text, ["h", "nb"], "left").select("id", "text", "starts")
     fields = [("n_bytes", T.LongType()), ("spans", T.ArrayType(T.LongType())), ("kept", T.BinaryType())]
