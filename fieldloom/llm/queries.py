@@ -82,7 +82,6 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
-
 def _descend_sql(node: shard.Node) -> str:
     if not node.children:
         return str(node.shard)
@@ -121,4 +120,18 @@ its as (select doc_id, count(*) as c, sha256(string_agg(item_id, ',' order by it
 select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_hit, coalesce(c, 0)::bigint as n_items,
        coalesce(h, sha256('')) as items_sha256, coalesce(n, 0) > 0 and 20 * coalesce(n, 0) >= len(w) as contaminated
 from d left join hits using (doc_id) left join its using (doc_id)""",
+    "op8_suffix_dedup": """
+with d as materialized (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as x from documents),
+c as materialized (select r, i, substr(x, 2 * i + 1, 2398) as p, length(x) // 2 as n from (select r, x, unnest(range(0, length(x) // 2 - 199, 1000)) as i from d)),
+w as materialized (select r, i + j as s, md5_number(substr(p, 2 * j + 1, 400)) as k from (select r, i, p, unnest(range(0, least(1000, n - 199 - i))) as j from c)),
+g as (select k from w group by k having count(*) > 1),
+s as materialized (select r, s from w semi join g using (k)),
+m as (select r, s, case when s <= lag(s) over (partition by r order by s) + 200 then 0 else 1 end as new from s),
+i as (select r, s, sum(new) over (partition by r order by s rows unbounded preceding) as island from m),
+e as materialized (select r, island, min(s) as a, max(s) + 200 as b from i group by r, island),
+k as (select r, a, lag(b, 1, 0) over (partition by r order by a) as from_, a as to_ from e union all select r, null, max(b), null from e group by r),
+p as (select d.r, string_agg(substr(x, 2 * from_ + 1, 2 * (coalesce(to_, length(x) // 2) - from_)), '' order by from_) as kept from d join k using (r) group by d.r),
+t as (select r, sum(b - a)::bigint as n_removed, count(*) as n_spans from e group by r)
+select doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, x))) as kept_sha256
+from d left join t using (r) left join p using (r)""",
 }
