@@ -6,13 +6,15 @@ document's score is the sum over its tokens of the logarithm of that probability
 other word is its bucket (by length and last letter) to it, and `word_score` multiplies the bucket's probability by the word's own
 within its bucket, from the counts of all words of the corpus. That table grows with the corpus and is only joined, in the cluster.
 
-All documents take part: their words are counted for the vocabulary (other words share buckets by length and last letter) and every
-token is trained on once. Each task trains a copy in numpy, from the counts' unigram model on; the copies are averaged, weighted by
-their tokens, in the cluster, by blocks of parameters. Only the network's words, the totals of the buckets and the averaged network,
-all of a fixed size, reach the driver. The result depends on how the rows are dealt to tasks as any such training does, not on their number.
-
-Defined cases: null or empty text has no tokens and score 0 (mean null); whole texts are scored; repeated rows get the same score and
-count as often in training; other columns are ignored. An empty table gives an empty one.
+All documents take part: their words are counted for the vocabulary (of equally frequent words the smaller comes first; other words
+share buckets) and every token is trained on once. Texts, as tokens, are dealt by a hash of id and text to parts of about PART tokens, in
+the order of that hash, so parts are the same on every run, however the rows lie and whichever executors are lost. A task trains a copy
+in numpy on each of its parts, from the counts' unigram model on, in steps of BATCH tokens. The copies are averaged, weighted by their
+tokens, by blocks of parameters and in levels of FAN, each in the order of the parts. Only the network's words, the totals of the buckets
+and the averaged network, all of a fixed size, reach the driver.
+
+Defined cases: null or empty text has no tokens and score 0 (mean null); texts of any length are scored and trained on whole; repeated
+rows get the same score and count as often in training; other columns are ignored. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql import types as T
 from .common import coded_word_array, cut, give_back, hold_only, slices, with_columns
 
 SIDE, WIDTH, CLASSES, MEMBERS, BATCH, RATE, BLOCKS = 2, 12, 32, 32, 8192, 0.08, 16
+#: Tokens of a part that one copy is trained on, about; copies that are averaged at once; tokens that are laid out at once.
+PART, FAN, LAID = 2_000_000, 64, 16 * BATCH
 #: The last class holds the buckets of words outside the vocabulary.
 SIZE, KNOWN = CLASSES * MEMBERS, (CLASSES - 1) * MEMBERS
 TRIM = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
@@ -164,8 +168,10 @@ class Network:
         """Summed log-probability of each text."""
         around = contexts(x, starts)
         logs = np.concatenate([np.zeros(0), *(self.step(x[a : a + BATCH], around[:, a : a + BATCH]) for a in range(0, len(x), BATCH))])
-        sums = np.concatenate([[0.0], np.cumsum(logs, dtype=np.float64)])
-        return sums[starts[1:]] - sums[starts[:-1]]
+        out, some = np.zeros(len(starts) - 1), np.flatnonzero(np.diff(starts))
+        if len(some):  # each text's own logarithms only, in their order
+            out[some] = np.add.reduceat(logs.astype(np.float64), starts[some])
+        return out
 
 
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -195,37 +201,104 @@ def vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = N
     return [w for _, w in words], np.concatenate([known, np.full(MEMBERS, (total - known.sum()) / MEMBERS)])
 
 
-def fit(docs: DataFrame, words: list[str], counts: np.ndarray, text: str = "text") -> np.ndarray:
-    """The averaged network's parameters after one pass over all tokens."""
-    sent = docs.sparkSession.sparkContext.broadcast((words, counts))
-    schema = "block int, weight double, values array<float>"
+def _token_rows(docs: DataFrame, words: list[str], text: str, key: Column, parts: int) -> DataFrame:
+    """(part, h, x): the tokens of each text that has some, as 16-bit numbers, dealt to parts and in the order that they are trained in."""
+    sent = docs.sparkSession.sparkContext.broadcast(words)
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold_only()
-        known, counts = pa.array(sent.value[0], pa.string()), sent.value[1]
-        net, tokens = Network(counts), 0
-        seen = {n: np.full_like(getattr(net, n), 1e-4) for n in net.NAMES}
+        known = pa.array(sent.value, pa.string())
         for batch in batches:
-            for part in slices(batch, text):
-                x, starts = _tokens(part.column(text), known)
+            for piece in slices(batch, "text"):
+                x, starts = _tokens(piece.column("text"), known)
+                some = np.flatnonzero(np.diff(starts))
+                if len(some):
+                    raw, ends = pa.py_buffer(x.astype(np.uint16)), np.append(starts[some], starts[-1]) * 2
+                    rows = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends.astype(np.int32)), raw])
+                    yield pa.RecordBatch.from_arrays([piece.column("h").take(pa.array(some)), rows], names=["h", "x"])
+        give_back()
+
+    rows = docs.select(F.col(text).alias("text"), key.alias("h")).mapInArrow(run, "h long, x binary")
+    own = rows.select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h", "x")
+    return own.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "h", "x")
+
+
+MODEL = "part int, block int, weight double, values array<float>"
+
+
+def _trained(broadcast):
+    """Trains a copy on each part of rows sorted by (part, h, x). What a step sees depends on these rows only."""
+    names = ["part", "block", "weight", "values"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only()
+        now, net, seen, tokens = None, None, None, 0
+        texts: list[np.ndarray] = []
+        held = 0
+
+        def learn() -> None:
+            nonlocal texts, held
+            if texts:
+                x, starts = np.concatenate(texts).astype(np.int32), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
                 net.train(x, contexts(x, starts), seen)
-                tokens += len(x)
-        if tokens:
-            for b, part in enumerate(np.array_split(net.flat(), BLOCKS)):
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([float(tokens)]), pa.array([part * np.float32(1)], pa.list_(pa.float32()))], names=["block", "weight", "values"])
-
-    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        weights: dict[int, float] = {}
+            texts, held = [], 0
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for b, piece in enumerate(np.array_split(net.flat(), BLOCKS)):
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([b], pa.int32()), pa.array([float(tokens)]), pa.array([piece], pa.list_(pa.float32()))], names=names)
+
         for batch in batches:
-            for b, w, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                values = v.values.to_numpy().astype(np.float64) * w
-                sums[b] = sums[b] + values if b in sums else values
-                weights[b] = weights.get(b, 0.0) + w
-        for b, s in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([weights[b]]), pa.array([(s / weights[b]).astype(np.float32)], pa.list_(pa.float32()))], names=["block", "weight", "values"])
-
-    rows = docs.select(text).mapInArrow(local, schema).repartition(BLOCKS, "block").mapInArrow(average, schema).collect()
+            for part, raw in zip(batch.column(0).to_numpy().tolist(), batch.column(2)):
+                if part != now:
+                    if net is not None:
+                        learn()
+                        yield from give()
+                    now, net, tokens = part, Network(broadcast.value), 0
+                    seen = {n: np.full_like(getattr(net, n), 1e-4) for n in net.NAMES}
+                texts.append(np.frombuffer(raw.as_buffer(), np.uint16))
+                held += len(texts[-1])
+                tokens += len(texts[-1])
+                if held >= LAID:
+                    learn()
+        if net is not None:
+            learn()
+            yield from give()
+        give_back()
+
+    return run
+
+
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of each (part, block), of rows sorted by them."""
+    now, sums, weight = None, None, 0.0
+
+    def give() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([weight]), pa.array([(sums / weight).astype(np.float32)], pa.list_(pa.float32()))], names=["part", "block", "weight", "values"])
+
+    for batch in batches:
+        for part, block, w, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            if (part, block) != now:
+                if now is not None:
+                    yield give()
+                now, sums, weight = (part, block), 0.0, 0.0
+            sums, weight = sums + values.values.to_numpy().astype(np.float64) * w, weight + w
+    if now is not None:
+        yield give()
+
+
+def fit(docs: DataFrame, words: list[str], counts: np.ndarray, text: str = "text", doc_id: str | None = "doc_id", part: int = PART) -> np.ndarray:
+    """The averaged network's parameters after one pass over all tokens."""
+    key = F.xxhash64(*([F.col(doc_id)] if doc_id in docs.columns else []), F.col(text))
+    n = max(1, -(-int(counts.sum()) // part))
+    trained = _trained(docs.sparkSession.sparkContext.broadcast(counts))
+    models = _token_rows(docs, words, text, key, n).mapInArrow(trained, MODEL)
+    while True:
+        n = -(-n // FAN)
+        grouped = models.withColumn("own", F.col("part")).withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
+        models = grouped.repartition(min(n * BLOCKS, 4096), "part", "block").sortWithinPartitions("part", "block", "own").drop("own").mapInArrow(_averaged, MODEL)
+        if n == 1:
+            break
+    rows = models.collect()
     return np.concatenate([np.array(r["values"], np.float32) for r in sorted(rows, key=lambda r: r.block)]) if rows else Network(counts).flat()
 
 
@@ -234,7 +307,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trained_o
     network trained on all of them. `word_score` tells the words of a bucket apart."""
     corpus = docs if trained_on is None else trained_on
     words, counts = vocabulary(corpus, text)
-    sent = docs.sparkSession.sparkContext.broadcast((words, fit(corpus, words, counts, text)))
+    sent = docs.sparkSession.sparkContext.broadcast((words, fit(corpus, words, counts, text, doc_id)))
 
     def make():
         known, net = pa.array(sent.value[0], pa.string()), Network().load(sent.value[1])
@@ -270,7 +343,7 @@ def word_score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trai
     counts = cut(counted(corpus, text))
     words, known_counts = vocabulary(corpus, text, counts)
     within, lacking = _within(counts, words)
-    sent = docs.sparkSession.sparkContext.broadcast((words, fit(corpus, words, known_counts, text)))
+    sent = docs.sparkSession.sparkContext.broadcast((words, fit(corpus, words, known_counts, text, doc_id)))
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     fields = [("word", T.StringType()), ("bucket", T.IntegerType()), ("rows", T.ArrayType(T.LongType())), ("id", source.schema["id"].dataType), ("n_tokens", T.LongType()), ("log_prob", T.DoubleType())]
 

@@ -83,3 +83,33 @@ def test_query_tells_rare_words_apart(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.log_prob for r in queries.op9_pseudo_likelihood(spark, str(tmp_path)).collect()}
     assert got[10] > got[11] + 1
+
+
+def brute_score(flat, counts, tokens):
+    """The network written out for one text, token by token."""
+    net = pseudo.Network(counts).load(flat)
+    out = 0.0
+    for i, x in enumerate(tokens):
+        around = [tokens[i + o] if 0 <= i + o < len(tokens) else pseudo.SIZE for o in range(-pseudo.SIDE, pseudo.SIDE + 1) if o]
+        hidden = np.tanh(net.middle + sum(table[a] for table, a in zip(net.around, around)))
+        for weights, bias, at in ((net.classes, net.class_bias, x // pseudo.MEMBERS), (net.words[x // pseudo.MEMBERS], net.word_bias[x // pseudo.MEMBERS], x % pseudo.MEMBERS)):
+            z = (hidden @ weights + bias).astype(float)
+            out += z[at] - np.log(np.exp(z - z.max()).sum()) - z.max()
+    return out
+
+
+def test_scores_by_brute_force_and_under_any_deal(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(None, "a b c"), (None, "a b c"), (900, None)], "doc_id long, text string"))
+    got = {}
+    for n in (2, 6):
+        words, counts = pseudo.vocabulary(docs.repartition(n))
+        got[n] = pseudo.fit(docs.repartition(n), words, counts, part=3000)
+        assert np.array_equal(got[n], pseudo.fit(docs.repartition(n, "text"), words, counts, part=3000))
+    assert np.array_equal(got[2], got[6])  # one network, however the rows lie
+    few = docs.where("doc_id < 12")
+    scored = [{r.doc_id: r.log_prob for r in pseudo.score(few.repartition(n), trained_on=docs).collect()} for n in (1, 5)]
+    flat = pseudo.fit(docs, words, counts)
+    for r in few.collect():
+        x, _ = pseudo._tokens(pa.array([r.text]), pa.array(words))
+        want = brute_score(flat, counts, x.tolist())
+        assert all(abs(s[r.doc_id] - want) < 1e-4 * (1 + abs(want)) for s in scored)
