@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.text import time_label, vehicle_label
 from .operators.frames import align_by_position, frame_times
+from .sources.folders import shared_folder
 
 STEP = 10
 FILTERS = [("ASIA", None, None, None), ("EUROPE", "NATION_3", None, None), ("AFRICA", "NATION_0", "unknown", None), ("AMERICA", "NATION_1", "BUILDING", "no such city"), ("europe", "NATION_8", None, None)]
@@ -88,6 +91,28 @@ def browse(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def labels_of_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that only the text of their link tells, beside those of the tree: edges (parent, child, label)."""
+    at = locations(spark, sf)
+    folder = F.concat_ws("/", "continent", "country", "state")
+    child = F.concat(F.lit("/v/a5/files/"), folder, F.lit("/f"), F.col("c_custkey").cast("string"))
+    return at.select(F.concat(F.lit("/v/a5/browse/"), folder).alias("parent"), child.alias("child"), F.concat(F.lit(" "), "locality", F.lit(".MOV ")).alias("label"))
+
+
+def mapping_csv(spark: SparkSession, sf: str) -> str:
+    """A mapping table with a row for each nation, of which there are 25, as a CSV file below the shared folder; returns its path."""
+    n = F.col("n_nationkey")
+    name = n.cast("string")
+    listed = F.when(n % 5 == 0, "[]").otherwise(F.concat(F.lit("[v"), name, F.lit(",w"), name, F.lit(".mp4]")))
+    rows = table(spark, sf, "nation").select(
+        F.lit("a, \"b\"\nc").alias("continent"), F.col("n_name").alias("country"), F.when(n % 2 == 0, "").otherwise("s").alias("state"), F.concat(F.lit("city "), name).alias("locality"), listed.alias("videos"),
+        F.lit("[[0,1],[0]]").alias("time_of_day"), F.when(n % 5 == 1, "[[30],[9]]").otherwise("[[0,30],[5]]").alias("start_time"), F.lit("[[20,10],[5]]").alias("end_time"), F.lit("[[2],[14]]").alias("vehicle_type"), n.alias("order"),
+    )
+    path = f"{shared_folder(spark).rstrip('/')}/mapping-{uuid.uuid4().hex}"
+    rows.coalesce(1).sortWithinPartitions("order").drop("order").write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
 # The same in SQL.
 VEHICLE_CASE = """case vcode when 0 then 'Car' when 1 then 'Bus' when 2 then 'Truck' when 3 then 'Two wheeler' when 4 then 'Bicycle' when 5 then 'Automated car'
  when 6 then 'Electric scooter' when 7 then 'Monowheel unicycle' when 8 then 'Emergency vehicle' when 9 then 'Automated bus' when 10 then 'Automated truck'
@@ -101,11 +126,11 @@ fx_segments as (select l_orderkey as vid, pos, n, pos * 20 as s, pos * 20 + q -
   row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) - 1 as pos, count(*) over (partition by l_orderkey) as n from lineitem)),
 fx_aligned as (select a.vid, a.pos, a.s, a.e, b.tcode_raw as tcode, b.vcode_raw as vcode from fx_segments a left join fx_segments b on a.vid = b.vid and b.pos = least(a.pos, least(a.n, 1 + a.vid % 4) - 1)),
 fx_labels as (select vid, pos, s, e, case when tcode is null then 'Unknown' when tcode = 0 then 'Day' when tcode = 1 then 'Night' else concat('Unknown_', tcode) end as day_night, {VEHICLE_CASE} as vehicle from fx_aligned where e >= s),
-fx_frames as (select distinct vid, day_night, vehicle, unnest(generate_series(s, e, {STEP})) as t from fx_labels),
+fx_frames as materialized (select distinct vid, day_night, vehicle, unnest(generate_series(s, e, {STEP})) as t from fx_labels),
 fx_placed as (select * from fx_frames join orders on o_orderkey = vid join fx_location on c_custkey = o_custkey),
 fx_inventory as (select concat('{BASE}/v/a5/files/', continent, '/', country, '/', state, '/', locality, '/', day_night, '/', vehicle, '/', vid, '/', vid, '_', t, '.png') as url,
  concat(vid, '_', t, '.png') as filename, 'a5' as alias, continent, country, state, locality as city, day_night, vehicle, vid::varchar as video_id from fx_placed),
-fx_existing as (select * from fx_frames where vid % 3 = 0 or (vid % 3 = 1 and t % 20 = 0)),
+fx_existing as materialized (select * from fx_frames where vid % 3 = 0 or (vid % 3 = 1 and t % 20 = 0)),
 fx_filters as (select * from (values ('ASIA', null, null, null), ('EUROPE', 'NATION_3', null, null), ('AFRICA', 'NATION_0', 'unknown', null), ('AMERICA', 'NATION_1', 'BUILDING', 'no such city'), ('europe', 'NATION_8', null, null)) f(continent, country, state, city)),
 fx_browse as (select distinct '/v/a5/browse' as parent, concat('/v/a5/browse/', continent) as child from fx_location
  union all select distinct concat('/v/a5/browse/', continent), concat('/v/a5/browse/', continent, '/', country) from fx_location

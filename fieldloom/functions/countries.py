@@ -43,10 +43,10 @@ def iso_table(spark: SparkSession, rows: list[tuple[str, str, str]] | None = Non
 
 
 def with_codes(df: DataFrame, country: str, iso: DataFrame) -> DataFrame:
-    """Adds iso2 and iso3 of a country's name. The table has a row for each country, a few hundred at most, so it is broadcast."""
+    """Adds iso2 and iso3 of a country's name. AQE broadcasts the table if it is as small as it should be."""
     kosovo = F.col(country) == "Kosovo"
     codes = iso.select(F.col("name").alias("__name"), F.col("alpha2").alias("__a2"), F.col("alpha3").alias("__a3"))
-    joined = df.join(F.broadcast(codes), F.col(country) == F.col("__name"), "left")
+    joined = df.join(codes, F.col(country) == F.col("__name"), "left")
     code = lambda c, special: F.when(kosovo, special).otherwise(F.coalesce(c, F.lit(NOT_FOUND)))
     return joined.select(*df.columns, code(F.col("__a2"), "XK").alias("iso2"), code(F.col("__a3"), "XKX").alias("iso3"))
 
@@ -54,4 +54,4 @@ def with_codes(df: DataFrame, country: str, iso: DataFrame) -> DataFrame:
 def with_country_name(df: DataFrame, iso3: str, iso: DataFrame) -> DataFrame:
     """Adds country_name of a three-letter code in any case, null for an unknown one."""
     names = iso.select(F.col("alpha3").alias("__a3"), F.col("name").alias("country_name"))
-    return df.join(F.broadcast(names), F.upper(iso3) == F.col("__a3"), "left").drop("__a3")
+    return df.join(names, F.upper(iso3) == F.col("__a3"), "left").drop("__a3")

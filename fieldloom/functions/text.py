@@ -6,10 +6,10 @@ null, blank and any other text.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .codes import TIMES, VEHICLES, label_of
 
@@ -27,11 +27,16 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean_name(c: Column, missing: tuple[str, ...] = MISSING_NAME) -> Column:
     """A folder-safe name: `unknown` if missing, forbidden characters to `_`, white space runs to one space."""
-    safe = F.regexp_replace(strip(c), r'[<>:"/\\|?*]+', "_")
-    tidy = strip(F.regexp_replace(safe, f"{WS}+", " "))
-    return F.when(c.isNull() | strip(c).isin(*missing) | (tidy == ""), F.lit("unknown")).otherwise(tidy)
+    tidy = lambda s: strip(F.regexp_replace(F.regexp_replace(s, r'[<>:"/\\|?*]+', "_"), f"{WS}+", " "))
+    named = lambda s: _once(tidy(s), lambda t: F.when(t == "", F.lit("unknown")).otherwise(t))
+    return _once(strip(c), lambda s: F.when(s.isNull() | s.isin(*missing), F.lit("unknown")).otherwise(named(s)))
 
 
 def is_missing(c: Column) -> Column:
@@ -47,15 +52,16 @@ def is_wildcard(c: Column) -> Column:
     return is_empty_marker(c) | (F.lower(strip(c)) == "all")
 
 
-@F.pandas_udf(T.StringType())
-def _casefold(c: pd.Series) -> pd.Series:
-    return c.map(lambda x: None if x is None else x.casefold())
+def folded(c: Column) -> Column:
+    """Without regard to case, letters such as ß and ς included: their small letters after their capitals. The dotless i has a capital of
+    another letter and stays itself."""
+    kept = F.replace(F.lower(c), F.lit("ı"), F.lit("\ue000"))
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(F.lower(F.translate(F.upper(kept), "\ue000", "ı")), "ς", "σ")).otherwise(F.lower(c))
 
 
-def match_key(c: Column, full: bool = False) -> Column:
-    """What names are compared by. `full` folds letters such as ß too, in Python and only where a text is not ASCII."""
-    clean = clean_name(c, MISSING_FILTER_NAME)
-    return F.when(clean.rlike(r"[^\x00-\x7f]"), _casefold(clean)).otherwise(F.lower(clean)) if full else F.lower(clean)
+def match_key(c: Column) -> Column:
+    """What names are compared by."""
+    return folded(clean_name(c, MISSING_FILTER_NAME))
 
 
 def whole_number(c: Column) -> Column:

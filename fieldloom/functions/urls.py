@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote as _python_unquote
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .codes import IMAGE_EXTENSIONS
 from .text import MISSING_FILTER_NAME, basename, clean_name
@@ -24,15 +20,10 @@ def quote_path(parts: Column) -> Column:
     return F.array_join(F.transform(F.filter(clean, lambda p: p != ""), quote), "/")
 
 
-@F.pandas_udf(T.StringType())
-def _unquote(c: pd.Series) -> pd.Series:
-    return c.map(lambda x: None if x is None else _python_unquote(x))
-
-
-def unquote(c: Column, exact: bool = False) -> Column:
-    """Decoded percent-escapes; `+` stays, and a text with a bad escape stays as it is (`exact` decodes its good ones, in Python)."""
-    decoded = F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    return F.coalesce(decoded, _unquote(F.when(decoded.isNull(), c)), c) if exact else F.coalesce(decoded, c)
+def unquote(c: Column) -> Column:
+    """Decoded percent-escapes; `+` stays, and so do bad escapes. Only their percent sign is escaped, so the good ones beside them are decoded."""
+    good = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(good), c)
 
 
 def browse_url(base: Column | str, alias: Column | str, parts: Column, slash: bool = False) -> Column:
@@ -47,17 +38,27 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without `.` and `..` segments; nothing lies above the root."""
+    up = lambda acc: F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))
+    step = lambda acc, s: F.when(s == ".", acc).when(s == "..", up(acc)).otherwise(F.concat(acc, F.array(s)))
+    parts = F.concat(F.split(path, "/"), F.when(path.rlike(r"(?:^|/)\.\.?$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")).otherwise(path)
+
+
 def join(page: Column, href: Column) -> Column:
-    """An address as seen from a page. Dot segments are resolved one level up only, as browse pages use them."""
+    """An address as seen from a page, by the rules of RFC 3986."""
     origin = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     folder = F.regexp_replace(path_of(page), "[^/]*$", "")
-    relative = F.concat(origin, F.regexp_replace(F.concat(folder, href), r"/\./", "/"))
+    own, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    from_root = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own))
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(page, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("#") | href.startswith("?"), F.concat(origin, path_of(page), href))
-        .otherwise(relative)
+        .when(href == "", page)
+        .when(href.startswith("#"), F.concat(F.regexp_replace(page, "#.*$", ""), href))
+        .when(href.startswith("?"), F.concat(origin, path_of(page), href))
+        .otherwise(F.concat(origin, _without_dots(from_root), rest))
     )
 
 

@@ -7,17 +7,16 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import MISSING_FILTER_NAME
+from ..functions.text import EMPTY_MARKERS, MISSING_FILTER_NAME, folded
 
 LEVELS = ("continent", "country", "state", "city")
 _SCHEMA = "continent string, country string, state string, city string"
-_EMPTY = {"", ".", "/", "[]", "{}", "None", "null", "nan", "all"}
 
 
 def _everything(value: Any) -> bool:
     if value is None or value == [] or value == {} or value == ():
         return True
-    return isinstance(value, str) and (value.strip() in _EMPTY or value.strip().casefold() == "all")
+    return isinstance(value, str) and (value.strip() in EMPTY_MARKERS or value.strip().casefold() == "all")
 
 
 def _name(value: Any) -> str:
@@ -86,16 +85,16 @@ def matching(inventory: DataFrame, filters: DataFrame) -> DataFrame:
 
 def among(column: str, wanted: list[str]) -> Column:
     """Membership without regard to case; an empty list takes all."""
-    return F.lower(column).isin([w.lower() for w in wanted]) if wanted else F.lit(True)
+    return folded(F.col(column)).isin([w.casefold() for w in wanted]) if wanted else F.lit(True)
 
 
 def select_frames(inventory: DataFrame, days: list[str], vehicles: list[str], videos: list[str]) -> DataFrame:
     return inventory.where(among("day_night", days) & among("vehicle", vehicles) & among("video_id", videos))
 
 
-def missing_values(inventory: DataFrame, by: list[str], column: str, wanted: DataFrame) -> DataFrame:
-    """For each `by`: wanted values (column `wanted`) that no row of it has. The wanted list is a setting, so it is broadcast."""
-    there = inventory.select(*by, F.lower(column).alias("__low")).distinct()
-    groups = there.select(*by).distinct()
-    asked = groups.join(F.broadcast(wanted.select("wanted").distinct()), F.lit(True)).withColumn("__low", F.lower("wanted"))
+def missing_values(inventory: DataFrame, by: list[str], column: str, wanted: list[str]) -> DataFrame:
+    """For each `by`: wanted values (column `wanted`) that no row of it has. The wanted list is a setting, a few values."""
+    there = inventory.select(*by, folded(F.col(column)).alias("__low")).distinct()
+    values = F.array(*(F.struct(F.lit(w).alias("wanted"), F.lit(w.casefold()).alias("__low")) for w in dict.fromkeys(wanted)))
+    asked = there.select(*by).distinct().select(*by, F.inline(values))
     return asked.join(there, [*by, "__low"], "left_anti").select(*by, "wanted")

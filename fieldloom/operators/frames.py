@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import video_key
+from ..functions.text import strip, video_key
 
 
 def align_by_position(values: DataFrame, keys: list[str], pos: str, n: str, columns: dict[str, str], count: str) -> DataFrame:
@@ -26,6 +26,12 @@ def frame_times(ranges: DataFrame, keys: list[str], start: str, end: str, step:
     return valid.select(*keys, F.explode(F.sequence(F.col(start), F.col(end), F.lit(step).cast("bigint"))).alias(out)).distinct()
 
 
+def _told(planned: DataFrame, existing: DataFrame, group: list[str], key: list[str]) -> DataFrame:
+    """Planned frames with `__e`, whether each exists; dealt by the group once, both sides together."""
+    flagged = planned.select(*key, F.lit(True).alias("__planned")).unionByName(existing.select(*key, F.lit(False).alias("__planned")))
+    return flagged.repartition(*group).groupBy(*key).agg(F.bool_or("__planned").alias("__p"), F.bool_or(~F.col("__planned")).alias("__e")).where("__p")
+
+
 def existing_counts(planned: DataFrame, existing: DataFrame, group: list[str], key: list[str]) -> DataFrame:
     """total and existing frames of each group; planned frames are distinct.
 
@@ -33,9 +39,7 @@ def existing_counts(planned: DataFrame, existing: DataFrame, group: list[str], k
     then are. Otherwise existing frames are joined by key and the counts are summed before they move.
     """
     if set(group) <= set(key):
-        flagged = planned.select(*key, F.lit(True).alias("__planned")).unionByName(existing.select(*key, F.lit(False).alias("__planned")))
-        frames = flagged.repartition(*group).groupBy(*key).agg(F.bool_or("__planned").alias("__p"), F.bool_or(~F.col("__planned")).alias("__e"))
-        return frames.where("__p").groupBy(*group).agg(F.count("*").alias("total"), F.count_if("__e").alias("existing"))
+        return _told(planned, existing, group, key).groupBy(*group).agg(F.count("*").alias("total"), F.count_if("__e").alias("existing"))
     there = existing.select(*key).distinct().withColumn("there", F.lit(1))
     return planned.join(there, key, "left").groupBy(*group).agg(F.count("*").alias("total"), F.count("there").alias("existing"))
 
@@ -46,6 +50,11 @@ def pending(counts: DataFrame) -> DataFrame:
 
 
 def pending_frames(planned: DataFrame, existing: DataFrame, group: list[str], key: list[str]) -> DataFrame:
+    """The frames of incomplete groups, each once. Where the group is part of the frame's key, they are counted where they were dealt to, so
+    nothing is planned twice."""
+    if set(group) <= set(key) and set(planned.columns) == set(key):
+        told = _told(planned, existing, group, key).withColumn("__missing", F.count_if(~F.col("__e")).over(Window.partitionBy(*group)))
+        return told.where(F.col("__missing") > 0).select(*planned.columns)
     return planned.join(pending(existing_counts(planned, existing, group, key)).select(*group), group, "left_semi")
 
 
@@ -68,6 +77,6 @@ def deletable(uses: DataFrame, downloaded: str = "was_downloaded") -> DataFrame:
 
 def resolve_videos(references: DataFrame, ref: str, index: DataFrame) -> DataFrame:
     """Adds path: the file of the reference's name, else of its stem, in any case; null if there is none."""
-    name = references.withColumn("__full", F.lower(F.trim(ref))).withColumn("__stem", video_key(F.col(ref)))
+    name = references.withColumn("__full", F.lower(strip(F.col(ref)))).withColumn("__stem", video_key(F.col(ref)))
     full, short = index.select(F.col("key").alias("__full"), F.col("path").alias("__p1")), index.select(F.col("key").alias("__stem"), F.col("path").alias("__p2"))
     return name.join(full, "__full", "left").join(short, "__stem", "left").withColumn("path", F.coalesce("__p1", "__p2")).drop("__full", "__stem", "__p1", "__p2")

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from functools import reduce
 from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MISSING_FILTER_NAME, basename, clean_name
-from ..functions.urls import is_file_link, is_folder_link, join, path_of, unquote
+from ..functions.text import MISSING_FILTER_NAME, basename, clean_name, folded
+from ..functions.urls import is_file_link, is_folder_link, join, path_of, quote, unquote
 from ..sources.folders import cut
+from ..sources.logs import logger
 
+MOST_TABLES = 16
 HREF = r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
 
@@ -71,33 +74,43 @@ def browse_links(links: DataFrame) -> DataFrame:
     return at.select("page_url", clean_name(basename(unquote(path)), MISSING_FILTER_NAME).alias("name"), "url", kind.alias("kind")).where("kind is not null").distinct()
 
 
-def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
+def reachable(edges: DataFrame, roots: DataFrame, pages: int | None = None) -> DataFrame:
     """node, depth: all that can be reached along edges (parent, child), at its least depth, however deep.
 
-    Each round joins the frontier with the edges and keeps what is new; the reached nodes are checkpointed, so plans stay short.
+    Each round joins the frontier with the edges, keeps what is new and stores it; what was found is stored anew as one table only when
+    there are as many tables as MOST_TABLES, so plans stay short and nothing is copied each round. With `pages` the walk ends after so many nodes, by depth
+    and then by name, and a warning tells that it was cut.
     """
-    seen = roots.select("node", F.lit(0).alias("depth")).distinct()
-    frontier = seen
+    found = [cut(roots.select("node", F.lit(0).alias("depth")).distinct())]
+    every = lambda: reduce(DataFrame.unionByName, found)
+    total = found[0].count()
     for depth in count(1):
-        step = frontier.select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
-        frontier = cut(step.join(seen, "node", "left_anti").select("node", F.lit(depth).alias("depth")))
-        if frontier.isEmpty():
-            break
-        seen = cut(seen.unionByName(frontier))
-    return seen
+        if pages is not None and total > pages:
+            logger("fieldloom.links").warning("walk cut after %d of at least %d nodes", pages, total)
+            return every().orderBy("depth", "node").limit(pages)
+        step = found[-1].where(F.col("depth") == depth - 1).select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
+        frontier = cut(step.join(every(), "node", "left_anti").select("node", F.lit(depth).alias("depth")))
+        new = frontier.count()
+        if not new:
+            return every()
+        total += new
+        found.append(frontier)
+        if len(found) > MOST_TABLES:
+            found = [cut(every())]
 
 
 def locate(files: DataFrame, wanted: DataFrame) -> DataFrame:
-    """name, url of the first file of each wanted name, in any case: by priority, then depth, then address."""
-    asked = wanted.select(F.lower("name").alias("key"), F.col("name").alias("asked")).distinct()
-    found = files.withColumn("key", F.lower(basename(unquote(path_of(F.col("url"))))))
+    """name, url of the first file of each wanted name, in any case: by priority, then depth, then address. A file is named by the end of its
+    address and, where `files` has a `label`, by its anchor's text."""
+    asked = wanted.select(folded(F.col("name")).alias("key"), F.col("name").alias("asked")).distinct()
+    tail = folded(basename(unquote(path_of(F.col("url")))))
+    names = F.array(tail, folded(F.trim("label"))) if "label" in files.columns else F.array(tail)
+    found = files.withColumn("key", F.explode(F.array_distinct(F.filter(names, lambda x: x.isNotNull() & (x != "")))))
     return found.join(asked, "key").groupBy("asked").agg(F.min_by("url", F.struct("priority", "depth", "url")).alias("url")).withColumnRenamed("asked", "name")
 
 
 def direct_urls(wanted: DataFrame, base: str, aliases: list[str]) -> DataFrame:
     """Where each name would lie directly, for each alias in the order they are tried."""
-    from ..functions.urls import quote
-
     tried = F.explode(F.array(*(F.struct(F.lit(i).alias("priority"), F.lit(a).alias("alias")) for i, a in enumerate(aliases))))
     return wanted.select("name", tried.alias("a")).select("name", "a.priority", F.concat(F.lit(base.rstrip("/") + "/v/"), F.col("a.alias"), F.lit("/files/"), quote(F.col("name"))).alias("url"))
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import stem
+from ..sources.folders import cut
 
+# The columns of a manifest.
 COLUMNS = ("local_path", "source_url", "alias", "continent", "country", "state", "city", "day_night", "vehicle", "video_id", "file_name")
 
 
@@ -25,7 +27,7 @@ def without_collisions(files: DataFrame, name: str, order: list[str], out: str =
         return named.drop("__n")
     clash = F.row_number().over(Window.partitionBy(out).orderBy("__n", *order)) - 1
     again = F.when(F.col("__c") == 0, F.col(out)).otherwise(F.concat(stem(F.col(out)), F.lit("_"), F.col("__c").cast("string"), dot))
-    renamed = named.withColumn("__c", clash).withColumn("__next", again).drop("__c", "__n", out)
+    renamed = cut(named.withColumn("__c", clash).withColumn("__next", again).drop("__c", "__n", out))
     return without_collisions(renamed, "__next", order, out).drop("__next")
 
 

@@ -43,27 +43,39 @@ def walk_order(seed: str) -> list[Column]:
     ]
 
 
-def first_folders(inventory: DataFrame, most: int, seed: str) -> DataFrame:
-    """The frames of the first folders of each city's walk."""
-    order = walk_order(seed)[:3]
-    folders = inventory.select(*FOLDER).distinct()
-    ranked = folders.withColumn("__n", F.row_number().over(Window.partitionBy(*LEVELS).orderBy(*order, *FOLDER[4:]))).where(F.col("__n") <= most)
-    return inventory.join(ranked.select(*FOLDER), list(FOLDER), "left_semi")
+def folder_counts(inventory: DataFrame) -> DataFrame:
+    """A row for each video folder with its number of frames, `n`. Stored, because all that follows is decided by it."""
+    return cut(inventory.groupBy(*FOLDER).agg(F.count("*").alias("n")))
 
 
-def first_pass(inventory: DataFrame, cities: DataFrame, target: int, seed: str, per_folder: int = 1) -> DataFrame:
-    """Each city's quota in the cities' order, until a city finds the target reached. Adds city_order and pick (within the city)."""
+def first_folders(folders: DataFrame, most: int, seed: str) -> DataFrame:
+    """The first folders of each city's walk; all of them, unranked, if no city has more."""
+    if (folders.groupBy(*LEVELS).count().agg(F.max("count")).first()[0] or 0) <= most:
+        return folders
+    ranked = folders.withColumn("__n", F.row_number().over(Window.partitionBy(*LEVELS).orderBy(*walk_order(seed)[:3], *FOLDER[4:])))
+    return ranked.where(F.col("__n") <= most).drop("__n")
+
+
+def first_pass(inventory: DataFrame, folders: DataFrame, cities: DataFrame, target: int, seed: str, per_folder: int = 1) -> DataFrame:
+    """Each city's quota in the cities' order, until a city finds the target reached. Adds city_order and pick (within the city).
+
+    The folders' counts tell what each city will give, so which cities are reached and which of their folders, at most about twice the
+    target; frames are ranked in these folders only, and the rest of the inventory is not shuffled.
+    """
     n_cities = cities.count()
     if not n_cities:
         return inventory.withColumns({"city_order": F.lit(0), "pick": F.lit(0)}).limit(0)
     quota = max(1, ceil(target / min(n_cities, target)))
-    capped = cap_per_folder(inventory, per_folder, seed)
-    picked = capped.withColumn("pick", F.row_number().over(Window.partitionBy(*LEVELS).orderBy(*walk_order(seed)))).where(F.col("pick") <= quota)
-    own = picked.groupBy(*LEVELS).agg(F.count("*").alias("n"))
+    capped = folders.select(*FOLDER, F.least("n", F.lit(per_folder)).alias("n"))
+    own = capped.groupBy(*LEVELS).agg(F.least(F.sum("n"), F.lit(quota)).alias("n"))
     # a row for each city, so one task adds them up
     before = F.coalesce(F.sum("n").over(Window.orderBy("city_order").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    open_cities = cities.join(own, list(LEVELS)).withColumn("before", before).where(F.col("before") < target).select(*LEVELS, "city_order")
-    return picked.join(open_cities, list(LEVELS))
+    open_cities = cut(cities.join(own, list(LEVELS)).withColumn("before", before).where(F.col("before") < target).select(*LEVELS, "city_order"))
+    earlier = Window.partitionBy(*LEVELS).orderBy(*walk_order(seed)[:3], *FOLDER[4:]).rowsBetween(Window.unboundedPreceding, -1)
+    reached = capped.join(open_cities, list(LEVELS)).withColumn("__before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("__before") < quota)
+    chosen = cut(reached.select(*FOLDER, "city_order"))
+    frames = cap_per_folder(inventory.join(chosen, list(FOLDER)), per_folder, seed)
+    return frames.withColumn("pick", F.row_number().over(Window.partitionBy(*LEVELS).orderBy(*walk_order(seed)))).where(F.col("pick") <= quota)
 
 
 def fill_pass(inventory: DataFrame, taken: DataFrame, remaining: int, seed: str, per_folder: int = 5) -> DataFrame:
@@ -74,14 +86,16 @@ def fill_pass(inventory: DataFrame, taken: DataFrame, remaining: int, seed: str,
 
 def balanced_sample(inventory: DataFrame, target: int, seed: str, per_folder: int = 1, fill_per_folder: int = 5, folders: int = 5000) -> DataFrame:
     """At most `target` frames: first pass, then fill pass, each address once. Ordered by nothing; see `random_first`."""
-    near = first_folders(inventory, folders, seed)
     columns = inventory.columns
+    every = folder_counts(inventory)
+    walked = first_folders(every, folders, seed)
     # the cities, and what the first pass takes (a quota of each city), are small and used again
-    cities = cut(country_round_robin(inventory, seed))
-    one = cut(first_pass(near, cities, target, seed, per_folder).select(*columns))
+    cities = cut(country_round_robin(every, seed))
+    one = cut(first_pass(inventory, walked, cities, target, seed, per_folder).select(*columns))
     n = one.count()
     if n >= target:
         return random_first(one.dropDuplicates(["url"]), target, seed, "final", "url")
+    near = inventory.join(walked.select(*FOLDER), list(FOLDER), "left_semi")
     both = one.unionByName(fill_pass(near, one, target - n, seed, fill_per_folder).select(*columns))
     return random_first(both.dropDuplicates(["url"]), target, seed, "final", "url")
 

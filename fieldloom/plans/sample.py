@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import day_filter, vehicle_filter, video_filter
 from ..functions.lists import wanted
 from ..operators.filters import location_filters, matching, select_frames
-from ..operators.manifests import manifest
+from ..operators.manifests import manifest, write_manifest
 from ..operators.sampling import balanced_sample, unbalanced_sample
+from ..sources.folders import cut
 from ..sources.settings import Settings
 
 
@@ -35,3 +36,12 @@ def plan_sample(inventory: DataFrame, settings: Settings) -> DataFrame:
 
 def sample_manifest(inventory: DataFrame, settings: Settings) -> DataFrame:
     return manifest(plan_sample(inventory, settings), settings.local_output_root, ["url"])
+
+
+def save_sample(inventory: DataFrame, settings: Settings, path: str) -> DataFrame:
+    """The manifest of a sample; also written to `path` if the settings ask for it."""
+    rows = sample_manifest(inventory, settings)
+    if settings.save_manifest:
+        rows = cut(rows)
+        write_manifest(rows, path, overwrite=True)
+    return rows

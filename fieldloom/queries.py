@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions import brackets, countries, lists, text, urls
 from .operators import filters, frames, links, manifests, sampling
+from .plans.extraction import plan_extraction
+from .plans.sample import plan_sample
+from .sources import adapters
 from .sources.inventory import video_index
+from .sources.mapping import read_mapping
+from .sources.settings import Settings
 
 FLAGSHIP = "frame_plan_by_location"
 SEED, TARGET = "7", 100
@@ -214,7 +219,7 @@ def video_index_lookup(spark, sf):
 
 
 _GROUP, _FRAME = ["vid", "day_night", "vehicle"], ["vid", "day_night", "vehicle", "t"]
-_COUNTS = "counts as (select p.vid, p.day_night, p.vehicle, count(*) as total, count(e.vid) as existing from fx_frames p left join fx_existing e using (vid, day_night, vehicle, t) group by all)"
+_COUNTS = "counts as materialized (select p.vid, p.day_night, p.vehicle, count(*) as total, count(e.vid) as existing from fx_frames p left join fx_existing e using (vid, day_night, vehicle, t) group by all)"
 
 
 @query(f", {_COUNTS} select * from counts")
@@ -266,8 +271,7 @@ def filter_day_vehicle_video(spark, sf):
 
 @query(", w as (select unnest(['Car', 'pedestrian', 'Tram']) as wanted), g as (select distinct continent, country, day_night from fx_inventory) select g.continent, g.country, g.day_night, wanted from g, w where not exists (select 1 from fx_inventory i where i.continent = g.continent and i.country = g.country and i.day_night = g.day_night and lower(i.vehicle) = lower(wanted))")
 def missing_vehicle_report(spark, sf):
-    wanted = spark.createDataFrame([("Car",), ("pedestrian",), ("Tram",)], "wanted string")
-    return filters.missing_values(fx.inventory(spark, sf), ["continent", "country", "day_night"], "vehicle", wanted)
+    return filters.missing_values(fx.inventory(spark, sf), ["continent", "country", "day_night"], "vehicle", ["Car", "pedestrian", "Tram"])
 
 
 # The sampler in SQL, over a table of frames named inv.
@@ -310,7 +314,7 @@ _THIN = f"{_BALANCED} select url from sample".replace("inv as (select * from fx_
 @query(_THIN)
 def balanced_sample_with_fill(spark, sf):
     few = fx.locations(spark, sf).groupBy("continent").agg(F.min("locality").alias("city")).select("city")
-    return sampling.balanced_sample(fx.inventory(spark, sf).join(F.broadcast(few), "city", "left_semi"), TARGET, SEED).select("url")
+    return sampling.balanced_sample(fx.inventory(spark, sf).join(few, "city", "left_semi"), TARGET, SEED).select("url")
 
 
 @query(f", inv as (select * from fx_inventory), {_ORDER} select url from (select url, row_number() over (order by city_order, {_WALK}) as n from ({_CAP} inv) join cities using ({', '.join(_CITY)}) where in_folder <= 1) where n <= {TARGET}")
@@ -375,25 +379,62 @@ _REACH = ", reach(node, depth) as (select '/v/a5/browse', 0 union select child,
 
 @query(f"{_REACH} select node, min(depth)::int as depth from reach group by 1")
 def crawl_reachable(spark, sf):
-    return links.reachable(fx.browse(spark, sf), spark.createDataFrame([("/v/a5/browse",)], "node string"))
+    return links.reachable(fx.browse(spark, sf), _root(spark))
+
+
+def _root(spark):
+    return spark.createDataFrame([("/v/a5/browse",)], "node string")
+
+
+@query(f"{_REACH}, first as (select node, min(depth)::int as depth from reach where node not like '%/files/%' group by 1 order by 2, 1 limit 20) select * from first")
+def crawl_first_pages(spark, sf):
+    edges = fx.browse(spark, sf)
+    return links.reachable(edges.where(~urls.is_file_link(F.col("child"))), _root(spark), pages=20)
+
+
+@query("select concat('n', i) as node, i::int as depth from range(71) t(i)", False)
+def crawl_deep(spark, sf):
+    """A chain, deeper than any tree of folders."""
+    chain = spark.range(70).select(F.concat(F.lit("n"), "id").alias("parent"), F.concat(F.lit("n"), (F.col("id") + 1).cast("string")).alias("child"))
+    return links.reachable(chain.coalesce(1), spark.createDataFrame([("n0",)], "node string"))
 
 
 def _wanted(spark, sf):
-    return fx.locations(spark, sf).where("c_custkey % 10 = 0").select(F.concat(F.upper("locality"), F.lit(".mp4")).alias("name"))
+    """Each location's video by the end of its address, and one that only the text of its link tells."""
+    return fx.locations(spark, sf).select(F.explode(F.array(F.concat(F.upper("locality"), F.lit(".mp4")), F.concat(F.upper("locality"), F.lit(".mov")))).alias("name"))
+
+
+_PLACED_FILES = f"""{_REACH} select concat(upper(locality), '.mp4') as name, replace(min(node), '#', '%23') as url from fx_location join reach on lower(split_part(node, '/', -1)) = concat(lower(locality), '.mp4') where node like '%/files/%' group by 1
+union all select concat(upper(locality), '.mov'), min(concat('/v/a5/files/', continent, '/', country, '/', state, '/f', c_custkey)) from fx_location group by 1"""
+
 
+def _labelled(spark, sf):
+    coded = F.replace("child", F.lit("#"), F.lit("%23")).alias("child")
+    return fx.browse(spark, sf).select("parent", coded, F.lit("").alias("label")).unionByName(fx.labels_of_links(spark, sf))
 
-@query(f"{_REACH} select concat(upper(locality), '.mp4') as name, replace(min(node), '#', '%23') as url from fx_location join reach on lower(split_part(node, '/', -1)) = concat(lower(locality), '.mp4') where c_custkey % 10 = 0 and node like '%/files/%' group by 1")
+
+@query(_PLACED_FILES)
 def locate_file(spark, sf):
-    found = links.reachable(fx.browse(spark, sf), spark.createDataFrame([("/v/a5/browse",)], "node string"))
-    files = found.where(urls.is_file_link(F.col("node"))).select(F.replace("node", F.lit("#"), F.lit("%23")).alias("url"), "depth", F.lit(1).alias("priority"))
-    return links.locate(files, _wanted(spark, sf))
+    from .plans.lookup import walked_files
+
+    return links.locate(walked_files(_labelled(spark, sf), _root(spark), Settings(crawl_pages=100_000)), _wanted(spark, sf))
+
 
+_DIRECT = "select concat(upper(locality), kind) as name, i::int as priority, concat('https://files.test/v/', a, '/files/', replace(url_encode(concat(upper(locality), kind)), '+', '%20')) as url from fx_location, (values (0, 'a1'), (1, 'a2')) t(i, a), (values ('.mp4'), ('.mov')) k(kind)"
 
-@query("select concat(upper(locality), '.mp4') as name, i::int as priority, concat('https://files.test/v/', a, '/files/', replace(url_encode(concat(upper(locality), '.mp4')), '+', '%20')) as url from fx_location, (values (0, 'a1'), (1, 'a2')) t(i, a) where c_custkey % 10 = 0")
+
+@query(_DIRECT)
 def direct_video_urls(spark, sf):
     return links.direct_urls(_wanted(spark, sf), fx.BASE, ["a1", "a2"])
 
 
+@query(f", direct as ({_DIRECT}), found as (with recursive {_PLACED_FILES.removeprefix(', ')}) select * from direct union all select name, 2 as priority, url from found")
+def video_sources(spark, sf):
+    from .plans.lookup import video_sources as sources
+
+    return sources(_labelled(spark, sf), _root(spark), _wanted(spark, sf), Settings(base_url=fx.BASE, crawl_pages=100_000), ["a1", "a2"])
+
+
 @query("select distinct child as page_url, concat('<', child, '>') as html from fx_browse where child not like '%.mp4'")
 def folder_pages(spark, sf):
     """Every second page is known with a slash at its end, the others without."""
@@ -403,14 +444,17 @@ def folder_pages(spark, sf):
     return links.fetched(folders, pages).select(F.col("url").alias("page_url"), "html")
 
 
-@query("select concat('https://files.test', replace(parent, ' ', '%20'), '/') as page_url, split_part(child, '/', -1) as name, concat('https://files.test', replace(replace(child, ' ', '%20'), '#', '%23')) as url, case when child like '%.mp4' then 'file' else 'folder' end as kind from fx_browse")
+@query("""select concat('https://files.test', replace(parent, ' ', '%20'), '/') as page_url, split_part(child, '/', -1) as name, concat('https://files.test', replace(replace(child, ' ', '%20'), '#', '%23')) as url, case when child like '%.mp4' then 'file' else 'folder' end as kind from fx_browse
+union all select distinct concat('https://files.test', replace(parent, ' ', '%20'), '/'), 'y', concat('https://files.test', replace(parent, ' ', '%20'), '/sub%20x/y?z#f'), 'folder' from fx_browse""")
 def browse_page_links(spark, sf):
     """Pages with links back, made of the tree, then read again."""
     coded = lambda c: F.replace(F.replace(c, F.lit(" "), F.lit("%20")), F.lit("#"), F.lit("%23"))
     at = lambda c: F.concat(F.lit(fx.BASE), coded(F.col(c)))
     anchor = F.concat(F.lit('<li><a class="x" href="'), coded(F.col("child")), F.lit('">'), F.element_at(F.split("child", "/"), -1), F.lit("</a>"))
     pages = fx.browse(spark, sf).groupBy("parent").agg(F.array_join(F.sort_array(F.collect_list(anchor)), "\n").alias("a"))
-    html = F.concat(F.lit('<a href="/v/a5/browse">..</a><a href="../">⬅ Back</a><a>none</a>'), "a")
+    name = F.element_at(F.split(coded(F.col("parent")), "/"), -1)
+    relative = [F.lit('<a href="../beside">s</a><a href="../../up/">u</a><a href="./">here</a><a href="inner/../">again</a><a href="../'), name, F.lit('/sub%20x/./y?z#f">in</a>')]
+    html = F.concat(F.lit('<a href="/v/a5/browse">..</a><a href="../">⬅ Back</a><a>none</a>'), "a", *relative)
     return links.browse_links(links.anchors(pages.select(F.concat(at("parent"), F.lit("/")).alias("url"), html.alias("html"))))
 
 
@@ -469,3 +513,139 @@ def filter_values(spark, sf):
 @query("select p_partkey, case when p_size % 5 > 0 and p_partkey % 3 > 0 then concat(p_size % 5, 'x', p_partkey % 3) else 'unknown' end as resolution from part", False)
 def video_resolution(spark, sf):
     return fx.table(spark, sf, "part").select("p_partkey", text.resolution((F.col("p_size") % 5).cast("int"), (F.col("p_partkey") % 3).cast("int")).alias("resolution"))
+
+
+def _values_sql(rows: list[tuple], *names: str) -> str:
+    cell = lambda v: "null" if v is None else _sql_text(v) if isinstance(v, str) else str(v)
+    return f"select * from (values {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) t({', '.join(names)})"
+
+
+_KEYS = [("Straße", "strasse"), (" STRASSE ", "strasse"), ("ΟΔΟΣ", "οδοσ"), ("οδός", "οδόσ"), ("A  b/C", "a b_c"), ("ﬁn", "fin"), ("ı", "ı"), ("{}", "unknown"), (None, "unknown")]
+
+
+@query(_values_sql(_KEYS, "v", "key"), False)
+def match_keys(spark, sf):
+    return spark.createDataFrame([(v,) for v, _ in _KEYS], "v string").select("v", text.match_key(F.col("v")).alias("key"))
+
+
+_VIDEOS = [("a/b.c.mp4", "a_b.c"), (" x.MP4 ", "x"), ("all", None), ("[]", None), (".x", ".x"), ("a", "a"), (None, None)]
+
+
+@query(_values_sql(_VIDEOS, "v", "video"), False)
+def video_filters(spark, sf):
+    return spark.createDataFrame([(v,) for v, _ in _VIDEOS], "v string").select("v", text.video_filter(F.col("v")).alias("video"))
+
+
+_ANCHORS = [("  ", "http://h/a/b%20c/", "b c"), (" Name ", "/a/b", "Name"), (None, "/a/x%zzy", "x%zzy"), ("", "http://h/v/%C3%BC?q=/z", "ü")]
+
+
+@query(_values_sql(_ANCHORS, "label", "url", "name"), False)
+def anchor_names(spark, sf):
+    return spark.createDataFrame([r[:2] for r in _ANCHORS], "label string, url string").select("label", "url", urls.anchor_name(F.col("label"), F.col("url")).alias("name"))
+
+
+# What RFC 3986 gives for them.
+_JOINS = [
+    ("http://h/v/a/browse/x/", "../y", "http://h/v/a/browse/y"), ("http://h/v/a/browse/x/", "../../y/./z/..", "http://h/v/a/y/"), ("http://h/v/a/browse/x", "y", "http://h/v/a/browse/y"),
+    ("http://h/v/a", "../../../z", "http://h/z"), ("http://h/v/a/", "./", "http://h/v/a/"), ("http://h/v/a/?q=1", "#f", "http://h/v/a/?q=1#f"), ("http://h/v/a/b?q=1", "?r=../s", "http://h/v/a/b?r=../s"),
+    ("http://h/v/", "/w/../x?a=/../b", "http://h/x?a=/../b"), ("http://h", "y", "http://h/y"), ("http://h/v/", "//o/z", "http://o/z"), ("http://h/v/", "ftp://o/z", "ftp://o/z"), ("http://h/v/x", "", "http://h/v/x"),
+]
+
+
+@query(_values_sql(_JOINS, "page", "href", "url"), False)
+def joined_urls(spark, sf):
+    return spark.createDataFrame([r[:2] for r in _JOINS], "page string, href string").select("page", "href", urls.join(F.col("page"), F.col("href")).alias("url"))
+
+
+_LISTS = [("Day, Night", 1, "Day|Night", "Night"), ("[]", 1, "", None), (" ", 1, "", None), ("x", 1, "x", None), (None, 0, "", None), ("a,,b ,c", 1, "a|b|c", "b")]
+
+
+@query(_values_sql(_LISTS, "v", "n_scalar", "parts", "second"), False)
+def list_cells(spark, sf):
+    v, parts = F.col("v"), lists.as_filter_list(F.col("v"))
+    return spark.createDataFrame([r[:1] for r in _LISTS], "v string").select("v", F.size(lists.as_list(v)).alias("n_scalar"), F.array_join(parts, "|").alias("parts"), lists.pick(parts, F.lit(1)).alias("second"))
+
+
+_WANTED = [("Car|all", ""), ("unknown", ""), ("cAR|0|Bus|bus", "Car|Bus"), ("13|tram", "Pedestrian|tram"), ("", "")]
+
+
+@query(_values_sql(_WANTED, "given", "wanted"), False)
+def wanted_values(spark, sf):
+    rows = spark.createDataFrame([r[:1] for r in _WANTED], "given string")
+    return rows.select("given", F.array_join(lists.wanted(F.split("given", r"\|"), text.vehicle_filter), "|").alias("wanted"))
+
+
+_TREE = {"Asia": {"India": {"DL": ["New Delhi", "New Delhi"], "KA": "all"}, "Japan": None}, "Europe": {"Germany": {"unknown": "A, B"}, "Fr:ance": {"x": {}}}}
+
+
+@query(_values_sql([("Asia", "India", "DL", "New Delhi"), ("Asia", "India", "KA", None), ("Asia", "Japan", None, None), ("Europe", "Germany", "unknown", "A"), ("Europe", "Germany", "unknown", "B"), ("Europe", "Fr_ance", "x", None)], "continent", "country", "state", "city"), False)
+def location_tree(spark, sf):
+    return filters.location_filters(spark, _TREE)
+
+
+_MAPPED = """with m as (select row_number() over (order by n_nationkey) + 1 as row_num, n_nationkey as k, n_name as country, case when n_nationkey % 2 = 0 then '' else 's' end as state from nation)"""
+
+
+@query(
+    f"""{_MAPPED} select row_num, concat('a, "b"', chr(10), 'c') as continent, country, nullif(state, '') as state, concat('city ', k) as locality, case when k % 5 = 0 then '[]' else concat('[v', k, ',w', k, '.mp4]') end as videos,
+'[[0,1],[0]]' as time_of_day, case when k % 5 = 1 then '[[30],[9]]' else '[[0,30],[5]]' end as start_time, '[[20,10],[5]]' as end_time, '[[2],[14]]' as vehicle_type from m""",
+    False,
+)
+def mapping_rows(spark, sf):
+    return read_mapping(spark, fx.mapping_csv(spark, sf)).withColumn("state", F.when(F.col("state") != "", F.col("state")))
+
+
+@query(
+    f"""{_MAPPED}, f as (select *, case pos when 0 then concat('v', k) else concat('w', k) end as stem from m, (values (0, 0, 'Truck'), (0, 10, 'Truck'), (0, 20, 'Truck'), (1, 5, 'Unknown_14')) t(pos, t, vehicle) where k % 5 > 1)
+select row_num, pos::int as pos, t::bigint as t, concat('data/a, _b_ c/', country, '/', case when state = '' then 'unknown' else state end, '/city ', k, '/Day/', vehicle, '/', stem, '/', stem, '_', t, '.png') as path
+from f where row_num % 3 = 2 or (row_num % 3 = 1 and pos = 0)""",
+    False,
+)
+def extraction_todo(spark, sf):
+    """Of rows whose number is divisible by 3 all frames are there, of those after them all but each first."""
+    mapping = read_mapping(spark, fx.mapping_csv(spark, sf))
+    none, index = spark.createDataFrame([], "path string"), video_index(spark.createDataFrame([("/v/v2.mp4", "v2.mp4")], "path string, file_name string"))
+    there = plan_extraction(mapping, none, index, Settings()).frames.where("row_num % 3 = 0 or (row_num % 3 = 1 and t <> 0)").select("path")
+    return plan_extraction(mapping, there, index, Settings()).todo.select("row_num", "pos", "t", "path")
+
+
+@query(f"{_BALANCED} select url from sample".replace("inv as (select * from fx_inventory)", "inv as (select * from fx_inventory where day_night = 'Day' and vehicle in ('Car', 'Bus') and continent = 'ASIA')"))
+def planned_sample(spark, sf):
+    """A sample by settings: filters of place, day and vehicle, then both passes."""
+    return plan_sample(fx.inventory(spark, sf), Settings(num_images=TARGET, seed=SEED, day_nights=("0",), vehicles=("car", "Bus"), location_tree={"ASIA": "all"})).select("url")
+
+
+def _size_of(path: str) -> tuple[int, int, float] | None:
+    key = int(path.removesuffix(".mp4").rsplit("/", 1)[1])
+    if key % 7 == 0:
+        raise OSError(path)
+    return (key % 3 * 640, 480, 25.0 + key % 2) if key % 5 else None
+
+
+@query("select concat('/v/', p_partkey, '.mp4') as path, case when ok then p_partkey % 3 * 640 else 0 end::int as width, case when ok then 480 else 0 end::int as height, case when ok then 25.0 + p_partkey % 2 else 0 end::double as fps, case when ok and p_partkey % 3 > 0 then concat(p_partkey % 3 * 640, 'x480') else 'unknown' end as resolution from (select p_partkey, p_partkey % 7 > 0 and p_partkey % 5 > 0 as ok from part)", False)
+def video_probe(spark, sf):
+    return adapters.probe(fx.table(spark, sf, "part").select(F.concat(F.lit("/v/"), "p_partkey", F.lit(".mp4")).alias("path")), _size_of)
+
+
+def _remove(path: str) -> bool:
+    key = int(path.rsplit("/", 1)[1])
+    if key % 7 == 0:
+        raise OSError(path)
+    return key % 3 > 0
+
+
+@query("select concat('/v/', o_custkey) as path, case when o_custkey % 7 = 0 then 'failed' when o_custkey % 3 > 0 then 'deleted' else 'missing' end as outcome from (select distinct o_custkey from orders where o_custkey % 2 = 0)", False)
+def video_cleanup(spark, sf):
+    """Videos that this run has fetched go at their last use."""
+    uses = frames.remaining_uses(fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", ["o_orderkey"]).withColumn("was_downloaded", F.col("o_custkey") % 2 == 0)
+    return adapters.delete_videos(frames.deletable(uses).where("deletable").withColumn("path", F.concat(F.lit("/v/"), "o_custkey")), _remove)
+
+
+def _page(url: str) -> bytes | None:
+    bare = url.rstrip("/")
+    return f"<{bare}>".encode() if len(bare) % 3 and url.endswith("/") == (len(bare) % 3 == 1) else None
+
+
+@query("select distinct child as asked, case when length(child) % 3 = 1 then concat(child, '/') else child end as url, concat('<', child, '>') as html from fx_browse where child not like '%.mp4' and length(child) % 3 > 0")
+def fetched_pages(spark, sf):
+    return adapters.fetch_pages(fx.browse(spark, sf).where("child not like '%.mp4'").select(F.col("child").alias("url")), _page)

@@ -1,4 +1,4 @@
-"""What a run needs from outside: bytes of addresses, frames of videos. Both are given by the caller; tests use the fakes."""
+"""What a run needs from outside: bytes of addresses, frames and sizes of videos, files to put and delete. All are given by the caller; tests use the fakes."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.text import resolution
 from .folders import safe_parts
 
 
@@ -27,6 +29,16 @@ class Store(Protocol):
         """Puts a file in its place at once, so that no part of it is ever seen."""
 
 
+class Prober(Protocol):
+    def __call__(self, path: str) -> tuple[int, int, float] | None:
+        """Width, height and frames per second of a video, None if it cannot be read."""
+
+
+class Remover(Protocol):
+    def __call__(self, path: str) -> bool:
+        """Deletes a file; False if there is none."""
+
+
 def download(frames: DataFrame, fetch: Fetcher, store: Store, url: str = "source_url", path: str = "local_path") -> DataFrame:
     """url, path and whether its bytes were stored, for each row. A failed one does not stop the others."""
 
@@ -46,18 +58,96 @@ def download(frames: DataFrame, fetch: Fetcher, store: Store, url: str = "source
     return frames.select(url, path).mapInPandas(run, "url string, path string, stored boolean")
 
 
-def first_available(candidates: DataFrame, fetch: Callable[[str], bytes | None], name: str = "name") -> DataFrame:
-    """For each name the first address by priority that can be had; a failed one leads to the next. Columns: name, url, priority."""
+class Remembering:
+    """A fetcher that asks for each address once: what was had is given again, what failed is tried anew."""
+
+    def __init__(self, fetch: Fetcher) -> None:
+        self.fetch, self.had = fetch, {}
+
+    def __call__(self, url: str) -> bytes | None:
+        if url not in self.had and (content := self.fetch(url)) is not None:
+            self.had[url] = content
+        return self.had.get(url)
+
+
+def folder_page(fetch: Fetcher, url: str) -> tuple[str, bytes] | None:
+    """(address, content) of a browse page: with a slash at its end, else without."""
+    bare = url.rstrip("/")
+    for form in (f"{bare}/", bare):
+        try:
+            if (content := fetch(form)) is not None:
+                return form, content
+        except OSError:
+            pass
+    return None
+
+
+def fetch_pages(wanted: DataFrame, fetch: Fetcher, url: str = "url") -> DataFrame:
+    """asked, url, html of the distinct browse pages that can be had; each task asks for an address once."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembering = Remembering(fetch)
+        for pdf in batches:
+            rows = [(u, *got) for u in pdf[url] if (got := folder_page(remembering, u))]
+            yield pd.DataFrame([(u, form, content.decode("utf-8", "replace")) for u, form, content in rows], columns=["asked", "url", "html"])
+
+    return wanted.select(url).distinct().mapInPandas(run, "asked string, url string, html string")
+
+
+def first_available(candidates: DataFrame, fetch: Fetcher, name: str = "name", store: Store | None = None, path: Callable[[str], str] = str) -> DataFrame:
+    """For each name the first address by priority that can be had; a failed one leads to the next. With `store` its content is put
+    at path(name) as it was fetched, so that nothing is fetched twice."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         for row in pdf.sort_values(["priority", "url"]).itertuples():
-            if fetch(row.url) is not None:
+            try:
+                content = fetch(row.url)
+            except OSError:
+                continue
+            if content is not None:
+                if store is not None:
+                    store(path(getattr(row, name)), content)
                 return pd.DataFrame({name: [getattr(row, name)], "url": [row.url]})
         return pd.DataFrame({name: [], "url": []}, dtype=object)
 
     return candidates.select(name, "url", "priority").groupBy(name).applyInPandas(run, f"{name} string, url string")
 
 
+def probe(videos: DataFrame, read: Prober, path: str = "path") -> DataFrame:
+    """path, width, height, fps and resolution of each video; 0 and `unknown` where they cannot be read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for p in pdf[path]:
+                try:
+                    found.append((p, *(read(p) or (0, 0, 0.0))))
+                except OSError:
+                    found.append((p, 0, 0, 0.0))
+            yield pd.DataFrame(found, columns=["path", "width", "height", "fps"])
+
+    read_out = videos.select(path).distinct().mapInPandas(run, "path string, width int, height int, fps double")
+    return read_out.withColumn("resolution", resolution(F.col("width"), F.col("height")))
+
+
+def delete_videos(videos: DataFrame, remove: Remover, path: str = "path", downloaded: str = "was_downloaded") -> DataFrame:
+    """path and outcome (deleted, missing or failed) of each distinct video that this run has fetched; others are never touched. Given the rows that
+    `frames.deletable` allows, videos go at their last use; given all, it is the cleanup at the end of a run."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            done = []
+            for p in pdf["path"]:
+                try:
+                    done.append("deleted" if remove(p) else "missing")
+                except OSError:
+                    done.append("failed")
+            yield pd.DataFrame({"path": pdf["path"], "outcome": done})
+
+    mine = videos.where(F.col(downloaded) & F.col(path).isNotNull()).select(F.col(path).alias("path")).distinct()
+    return mine.mapInPandas(run, "path string, outcome string")
+
+
 def extract(plan: DataFrame, decode: Decoder, store: Store) -> DataFrame:
     """Decodes the planned frames of each video and stores them. Columns of the plan: video_path, frame, path.
 
@@ -95,8 +185,17 @@ class LocalStore:
         os.replace(beside, at)
 
 
+def remove_file(path: str) -> bool:
+    """Deletes a file of the store that all tasks see."""
+    try:
+        os.remove(path)
+        return True
+    except FileNotFoundError:
+        return False
+
+
 class MemoryFiles:
-    """Fakes of the three for tests in one process."""
+    """Fakes of them for tests in one process."""
 
     def __init__(self, contents: dict[str, bytes]) -> None:
         self.contents = dict(contents)
@@ -106,3 +205,6 @@ class MemoryFiles:
 
     def store(self, path: str, content: bytes) -> None:
         self.contents[path] = content
+
+    def remove(self, path: str) -> bool:
+        return self.contents.pop(path, None) is not None

@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where none is set (tests) a local folder."""
+    """spark.checkpoint.dir of the session; only where none is set and all runs in one process (tests) a local folder."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="fieldloom-")
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="fieldloom-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named

@@ -9,20 +9,18 @@ from ..operators.segments import mapping_frames, ranges_of, videos_of
 from ..sources.mapping import REQUIRED
 
 
-def stream_frames(spark: SparkSession, folder: str, root: str, step: int) -> DataFrame:
-    """A streaming DataFrame of the frames of new mapping files. Row numbers are not known here; a file's name and its rows stand in.
-
-    Frames of one row are made distinct within a batch (see `write_frames`).
-    """
+def stream_mapping(spark: SparkSession, folder: str) -> DataFrame:
+    """A streaming DataFrame of the rows of new mapping files. Their headers must name the required columns in order; others fail the query."""
     schema = ", ".join(f"{c} string" for c in REQUIRED)
-    rows = spark.readStream.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(folder)
-    return rows.withColumn("row_num", F.xxhash64(F.input_file_name(), *REQUIRED))
+    return spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True).csv(folder)
 
 
 def write_frames(rows: DataFrame, out: str, checkpoint: str, root: str, step: int):
-    """Plans each batch of files and appends its frames as Parquet, once for each batch even if it is retried."""
+    """Plans each batch of files and appends its frames as Parquet, once for each batch even if it is retried. Rows are numbered within
+    their batch, so equal rows stay apart."""
 
     def batch(df: DataFrame, n: int) -> None:
-        mapping_frames(ranges_of(videos_of(df)), root, step).write.mode("overwrite").parquet(f"{out}/batch={n}")
+        numbered = df.withColumn("row_num", F.monotonically_increasing_id())
+        mapping_frames(ranges_of(videos_of(numbered)), root, step).write.mode("overwrite").parquet(f"{out}/batch={n}")
 
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,17 +1,19 @@
+import hashlib
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.operators import links, manifests
+from fieldloom.operators import links, manifests, sampling
 from fieldloom.operators.filters import location_rows
 from fieldloom.plans.extraction import decode_plan, plan_extraction
-from fieldloom.plans.sample import sample_manifest
+from fieldloom.plans.sample import sample_manifest, save_sample
 from fieldloom.sources import adapters, folders, logs
 from fieldloom.sources.inventory import add_video, remove_video, scan_files, video_index
-from fieldloom.sources.mapping import read_mapping, require_columns
+from fieldloom.sources.mapping import numbered, read_mapping, require_columns
 from fieldloom.sources.settings import Settings, complete, read_settings
-from fieldloom.streaming.mapping_stream import stream_frames, write_frames
+from fieldloom.streaming.mapping_stream import stream_mapping, write_frames
 
 CSV = '''﻿continent,country,state,locality,videos,time_of_day,start_time,end_time,vehicle_type
 Asia,India,DL,New Delhi,"[va,vb.mp4]","[[0],[1]]","[[0,30],[5]]","[[20,10],[5]]","[[2],[14]]"
@@ -142,10 +144,50 @@ def test_adapters_and_guards(spark, tmp_path):
     assert [p.name for p in (tmp_path / "o").iterdir()] == ["keep.txt"]
 
 
+def test_videos_are_kept_probed_and_deleted(spark):
+    asked = []
+
+    def fetch(url):
+        asked.append(url)
+        return b"x" if url.endswith("b/") or url.endswith("c") else None
+
+    once = adapters.Remembering(fetch)
+    assert [once("u/b/"), once("u/b/"), once("u/d"), once("u/d")] == [b"x", b"x", None, None] and asked == ["u/b/", "u/d", "u/d"]
+    assert adapters.folder_page(fetch, "u/b") == ("u/b/", b"x") and adapters.folder_page(fetch, "u/c/") == ("u/c", b"x") and adapters.folder_page(fetch, "u/d") is None
+    files = adapters.MemoryFiles({"/v/a": b"1"})
+    assert files.remove("/v/a") and not files.remove("/v/a")
+
+
+def test_sample_is_saved_if_asked(spark, tmp_path):
+    rows = [(f"http://h/{i}.png", f"{i}.png", "a", "E", "X", "s", "city", "Day", "Car", f"v{i}") for i in range(9)]
+    inventory = spark.createDataFrame(rows, "url string, filename string, alias string, continent string, country string, state string, city string, day_night string, vehicle string, video_id string")
+    assert save_sample(inventory, Settings(num_images=5, save_manifest=False), str(tmp_path / "no")).count() == 5 and not (tmp_path / "no").exists()
+    got = save_sample(inventory, Settings(num_images=5), str(tmp_path / "yes"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / "yes")).collect()))
+
+
+def test_numbered_over_partitions(spark):
+    rows = spark.createDataFrame([(i,) for i in range(23)], "i int").repartition(5).sortWithinPartitions("i")
+    got = numbered(rows).collect()
+    assert [r.row_num for r in got] == list(range(2, 25))
+
+
+def test_equal_rows_of_a_stream_stay_apart_and_headers_count(spark, tmp_path):
+    line = 'E,G,s,l,"[va]","[[0]]","[[0]]","[[10]]","[[0]]"\n'
+    head = "continent,country,state,locality,videos,time_of_day,start_time,end_time,vehicle_type\n"
+    for name, text in (("a", head + line + line), ("b", head.replace("continent,country", "country,continent") + line)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "m.csv").write_text(text)
+    write_frames(stream_mapping(spark, str(tmp_path / "a")), str(tmp_path / "out"), str(tmp_path / "ck"), "data", 10).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+    with pytest.raises(Exception, match="header|CSV"):
+        write_frames(stream_mapping(spark, str(tmp_path / "b")), str(tmp_path / "out2"), str(tmp_path / "ck2"), "data", 10).awaitTermination(120)
+
+
 def test_stream_of_mapping_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "m.csv").write_text(CSV.lstrip("﻿"), encoding="utf-8")
-    rows = stream_frames(spark, str(tmp_path / "in"), "data", 10)
+    rows = stream_mapping(spark, str(tmp_path / "in"))
     write_frames(rows, str(tmp_path / "out"), str(tmp_path / "ck"), "data", 10).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 12
     assert spark.read.parquet(str(tmp_path / "out")).select(F.min("t")).first()[0] == 0
@@ -170,3 +212,30 @@ def test_reachable_at_any_depth(spark):
     chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(66)], "parent string, child string").coalesce(1)
     got = {r.node: r.depth for r in links.reachable(chain, spark.createDataFrame([("n0",)], "node string")).collect()}
     assert got == {f"n{i}": i for i in range(67)}
+
+
+def test_first_pass_by_brute_force(spark):
+    """The folders' counts choose as the whole inventory would."""
+    frames = [(f"u/{c}/{v}/{i}", f"{i}", "a", "E", f"C{c % 3}", "s", f"c{c}", "Day" if v % 2 else "Night", "Car", f"v{v}") for c in range(9) for v in range(c % 4 + 1) for i in range(1 + (c * v) % 3)]
+    inventory = spark.createDataFrame(frames, "url string, filename string, alias string, continent string, country string, state string, city string, day_night string, vehicle string, video_id string")
+    draw = lambda *parts: hashlib.md5("|".join(("5", *parts)).encode()).hexdigest()
+    city = lambda f: f[3:7]
+    order = {tuple(r[:4]): r.city_order for r in sampling.country_round_robin(inventory, "5").collect()}
+    walk = lambda f: (draw("day", *city(f), f[7]), draw("vehicle", *city(f), f[7], f[8]), draw("video", *f[3:10]), draw("image", f[0]), f[0])
+    for target, per_folder in ((7, 1), (12, 2), (40, 1), (3, 2)):
+        quota = max(1, -(-target // min(9, target)))
+        want, taken = set(), 0
+        for c in sorted(order, key=order.get):
+            if taken >= target:
+                break
+            capped = []
+            for folder in {f[3:10] for f in frames if city(f) == c}:
+                capped += sorted((f for f in frames if f[3:10] == folder), key=lambda f: (draw("image", f[0]), f[0]))[:per_folder]
+            picked = sorted(capped, key=walk)[:quota]
+            want |= {f[0] for f in picked}
+            taken += len(picked)
+        every = sampling.folder_counts(inventory)
+        got = sampling.first_pass(inventory, sampling.first_folders(every, 5000, "5"), sampling.country_round_robin(every, "5"), target, "5", per_folder)
+        assert {r.url for r in got.collect()} == want
+    few = sampling.first_folders(sampling.folder_counts(inventory), 2, "5").collect()
+    assert max(Counter(r.city for r in few).values()) == 2
