@@ -51,6 +51,9 @@ class Vocabulary:
         spec = json.loads(source)
         model, self.suffix = spec["model"], spec["model"]["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        if any(not t or t != t.strip() or len(t.split()) > 1 for t in self.special):
+            raise ValueError("special tokens with white space are not read")
+        self.special_signs = "".join(sorted({t[0] for t in self.special}))
         self.special_pattern = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         vocab, letters, self.library = model["vocab"], byte_letters(), Tokenizer.from_str(source)
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -185,7 +188,7 @@ class Vocabulary:
         """Packed ids of what lies between white space."""
         found = self.words.get(chunk)
         if found is None:
-            if self.special_pattern is not None and "<" in chunk and self.special_pattern.search(chunk):
+            if any(c in chunk for c in self.special_signs) and self.special_pattern.search(chunk):
                 ids, at = [], 0
                 for m in self.special_pattern.finditer(chunk):
                     ids += [*self._plain(chunk[at : m.start()]), self.special[m[0]]]
