@@ -4,7 +4,8 @@ A fingerprint of 64 bits is cut into M segments on a ring. If two differ in at m
 every l segments in a row differ in at most l * D / M bits together. With M = 5 and D = 2 the budgets are 0, 0, 1, 1, 2, so two
 segments in a row are equal: they are the join key, and the rest of the chain is tested before the full distance.
 
-Rows in a defined way: null text is the empty text; a text without words has fingerprint 0 and links like any other; repeated
+Rows in a defined way: null text is the empty text; texts of any length are hashed whole, BLOCK shingles at a time; a bit that is set in
+exactly half of the hashes is 0; a text without words has fingerprint 0 and links like any other; repeated
 rows share their fingerprint and component; null doc_ids take part but name no component unless no other id is reachable (then
 the component is null). Other columns of the input are ignored. An empty table gives an empty one.
 """

@@ -51,10 +51,10 @@ ODD = [np.uint64(int(x) | 1) for x in _RNG.integers(1, 2**63, 8, dtype=np.uint64
 
 def piece_hashes(data: np.ndarray, piece: int) -> np.ndarray:
     """A hash of the `piece` bytes (a power of two) from each place on."""
-    h, size, factor = LETTERS[data], 1, ODD[0]
+    h, size, factor = LETTERS[data], 1, int(ODD[0])
     while size < piece:
-        h = h[:-size] * factor + h[size:]
-        factor, size = factor * factor, 2 * size
+        h = h[:-size] * np.uint64(factor) + h[size:]
+        factor, size = factor * factor % 2**64, 2 * size
     return h
 
 
