@@ -7,6 +7,13 @@
 5. bpe: every text is encoded; the result has its ids' number and hash and the hash of what they decode to.
 
 All stages but the last return the columns of `documents`. Each is written as Parquet in the shared folder and read again.
+
+Defined cases, for every stage: null text counts as empty and stays null until it is encoded (no ids, the empty text's hashes); the toxicity
+chain and the benchmark reject none of those, near_dedup keeps one of all texts without words, as they share a fingerprint. Texts of any
+length are read whole. Repeated rows, a repeated doc_id included, are near copies of each other: one stays, of equal rows any. Of rows
+without a doc_id one stays for each component that has no id. Ties go to the smaller doc_id, then fingerprint. Columns may have any names, those
+that stages use inside included; they are kept as they are. An empty table stays empty through all stages; without labels nothing is toxic,
+without a benchmark nothing is contaminated.
 """
 
 from __future__ import annotations
