@@ -10,11 +10,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Python works on slices of about so many bytes of text, however large the batches are that Spark hands over.
 SLICE_BYTES = 6_000_000
+#: A key is split where it has more rows than this, and than one in so many of all rows: so fewer keys than the second are split.
+HOT_ROWS, HOT_KEYS = 200, 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +58,24 @@ def give_back() -> None:
         pass
 
 
+def hot_keys(counts: DataFrame, total: int, least: int = HOT_ROWS) -> DataFrame:
+    """The rows of `counts` (keys, n and any more) whose key has many of all `total` rows, with `salts` in place of n: the number of tasks to
+    deal them to. Fewer than HOT_KEYS rows, and about twice as many salts at most, so they can be broadcast."""
+    size = max(least, total // HOT_KEYS)
+    return cut(counts.where(F.col("n") > size).withColumn("salts", F.ceil(F.col("n") / size).cast("int")).drop("n"))
+
+
+def salted(rows: DataFrame, hot: DataFrame, on: list[str], salt: Column) -> DataFrame:
+    """Adds `salt` to rows: that of the column for hot keys, 0 where it is null and for all others."""
+    return rows.join(F.broadcast(hot), on, "left").select(*rows.columns, F.coalesce(F.when(F.col("salts").isNotNull(), salt), F.lit(0)).alias("salt"))
+
+
+def for_each_salt(rows: DataFrame, hot: DataFrame, on: list[str], more: int = 0) -> DataFrame:
+    """Rows once for each salt of their key, from 0 (and so many salts more for hot keys)."""
+    last = F.coalesce(F.col("salts") - 1 + more, F.lit(0))
+    return rows.join(F.broadcast(hot), on, "left").select(*rows.columns, F.explode(F.sequence(F.lit(0), last)).alias("salt"))
+
+
 _held: dict[str, Callable[[], None]] = {}
 
 

@@ -14,7 +14,8 @@ equal strings have equal keys, and a text falls into runs of starts with the sam
 
 The starts of keys with more than HOT different runs are dealt one by one by a 128-bit hash of their bytes instead, so that no key makes a
 task larger; of those that occur twice in a slice one is sent on. A task sends a run that it has sent twice no more, it is repeated for
-certain. Texts are told apart by a 64-bit hash and their length, whole runs by their key, a 64-bit hash and their length; all
+certain; nor does it look at a text again that it has seen twice. The rows of texts with very many copies are dealt to several tasks where
+texts get their starts; those with the smallest hash of an id stay together and give the text's bytes. Texts are told apart by a 64-bit hash and their length, whole runs by their key, a 64-bit hash and their length; all
 other matches compare bytes.
 
 Defined cases: null text is empty; texts of fewer than SPAN bytes lose nothing; of equal texts of SPAN bytes or more nothing stays, in
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, give_back, hold_only, slices, text_bytes, with_columns
+from .common import HOT_ROWS, cut, for_each_salt, give_back, hold_only, hot_keys, salted, slices, text_bytes, with_columns
 
 SPAN, PIECE, HOT = 200, 32, 20_000
 #: A run is cut after so many starts; a suffix array is built over about so many; that many rows of a key are held at most; a task of the
@@ -106,6 +107,18 @@ def runs_of(data: np.ndarray, starts: np.ndarray, keys: list[np.ndarray], span:
     return text, low, high
 
 
+def _first_two(batch: pa.RecordBatch, copies: dict[tuple[int, int], int]) -> pa.RecordBatch:
+    """The rows of texts that `copies` has not counted twice; what it forgets is only sent again."""
+    stay = np.ones(batch.num_rows, bool)
+    for i, text in enumerate(zip(batch.column("h").to_pylist(), batch.column("nb").to_pylist())):
+        n = copies.get(text, 0)
+        stay[i] = n < 2
+        copies[text] = n + 1
+    if len(copies) > REMEMBERED:
+        copies.clear()
+    return batch if stay.all() else batch.filter(pa.array(stay))
+
+
 def _find_runs(span: int, piece: int, limits: Limits):
     """Runs of each text, each kind once in a slice. c: 1 seen once, 2 seen again (the others of its kind have c = 3); WITHIN more
     if it may repeat a string within itself."""
@@ -113,8 +126,9 @@ def _find_runs(span: int, piece: int, limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold_only()
         once, often = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # hashes of runs that this task has sent, sorted
+        copies: dict[tuple[int, int], int] = {}
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in slices(_first_two(batch, copies), "text", SLICE):
                 data, starts = text_bytes(part.column("text"))
                 if len(data) < span:
                     continue
@@ -403,23 +417,26 @@ def _match(span: int, limits: Limits):
     return run
 
 
-def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, piece: int = PIECE, hot: int = HOT, limits: Limits = LIMITS) -> DataFrame:
+def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, piece: int = PIECE, hot: int = HOT, limits: Limits = LIMITS, copies: int = HOT_ROWS) -> DataFrame:
     """doc_id, n_bytes, spans (starts and ends of maximal removed runs of bytes, in turn) and kept (the other bytes) for each row."""
     body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"), F.octet_length(body).alias("nb"))
+    many = hot_keys(rows.groupBy("h", "nb").agg(F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("first")), docs.count(), copies)
     # one projection for both joins below, so that its shuffle is done once
-    source = docs.select(F.col(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"), F.octet_length(body).alias("nb"))
-    runs = source.mapInArrow(_find_runs(span, piece, limits), "v long, t long, h long, nb int, lo int, hi int, c int")
+    salt = F.when(F.xxhash64("id") != F.col("first"), F.lit(1) + F.pmod(F.xxhash64("id", F.spark_partition_id()), "salts").cast("int"))
+    source = salted(rows, many, ["h", "nb"], salt)
+    runs = rows.mapInArrow(_find_runs(span, piece, limits), "v long, t long, h long, nb int, lo int, hi int, c int")
     dealt = runs.withColumn("deal", F.when(F.col("c") == 3, F.xxhash64("h", "lo")).otherwise(F.col("v"))).repartition("deal").drop("deal")
     known = cut(dealt.withColumn("len", F.col("hi") - F.col("lo")).sortWithinPartitions("v", "t", "len").drop("len").mapInArrow(lambda batches: _resolve(batches, limits.held, hot), "h long, nb int, lo int, hi int, v long, kind int"))
     asked = known.where("kind > 0").select("h", "nb", "lo", "hi", "v", (F.col("kind") >= HOTTER).alias("hot"))
     total = asked.agg(F.sum(F.col("hi") - F.col("lo") + 1)).first()[0] or 0
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limits.per_task))
-    by_text = asked.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi", "v", "hot")).alias("asked"))
-    given = source.join(by_text, ["h", "nb"]).select("id", "text", "h", "nb", "asked").mapInArrow(_give_bytes(span, piece), GIVEN)
+    by_text = asked.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi", "v", "hot")).alias("asked"), F.min(F.lit(0)).alias("salt"))
+    given = source.join(by_text, ["h", "nb", "salt"]).select("id", "text", "h", "nb", "asked").mapInArrow(_give_bytes(span, piece), GIVEN)
     matched = given.repartition(tasks, "k1", "k2").mapInArrow(_match(span, limits), FOUND)
     starts = known.where(F.col("kind") % HOTTER != 1).select("h", "nb", "lo", "hi").unionByName(matched)
     per_text = starts.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
-    joined = source.join(per_text, ["h", "nb"], "left").select("id", "text", "starts")
+    joined = source.join(for_each_salt(per_text, many, ["h", "nb"], 1), ["h", "nb", "salt"], "left").select("id", "text", "starts")
     fields = [("n_bytes", T.LongType()), ("spans", T.ArrayType(T.LongType())), ("kept", T.BinaryType())]
     return with_columns(joined, "text", fields, lambda: lambda part: _removed(part, span), ["id", "starts"]).select(F.col("id").alias(doc_id), "n_bytes", "spans", "kept")
 

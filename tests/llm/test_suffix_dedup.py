@@ -37,11 +37,12 @@ def corpus(rng, span):
             parts.append("".join(rng.choices(words, k=rng.randrange(20))) if rng.random() < 0.6 else p[rng.randrange(len(p)) :][: rng.randrange(1, 2 * span)])
         docs.append((i, "".join(parts)))
     docs += [(100, docs[3][1]), (101, docs[3][1]), (102, "x" * (3 * span)), (103, "x" * (2 * span) + "y"), (104, "xy" * 2000), (105, None), (105, None), (106, ""), (None, "short"), (None, docs[5][1] + "!"), (107, "\x00" * span), (108, "b" + "\x00" * span)]
+    docs += [(i % 9 or None, docs[7][1]) for i in range(25)] + [(i, "") for i in range(9)]
     docs += [(200 + i, "".join(rng.choices(words, k=3)) + passages[0] + str(i)) for i in range(30)]
     return docs
 
 
-@pytest.mark.parametrize("options", [{}, {"hot": 3}, {"limits": s.Limits(7, 40, 3, 90)}])
+@pytest.mark.parametrize("options", [{}, {"hot": 3}, {"limits": s.Limits(7, 40, 3, 90)}, {"copies": 1}, {"copies": 3}])
 def test_random_against_brute_force(spark, options):
     docs = corpus(random.Random(8), 20)
     assert run(spark, docs, span=20, piece=4, **options) == brute(docs, 20)
@@ -89,3 +90,17 @@ def test_last_kind_of_a_flushed_key_is_asked():
         for some in (batches, batches[:-1]):
             got = [r for b in s._resolve(iter(some), 3) for r in zip(b.column("h").to_pylist(), b.column("kind").to_pylist())]
             assert [(h, kind % s.HOTTER) for h, kind in sorted(got)] == [(t, 1) for t in range(4)], cuts
+
+
+def test_many_copies_are_split_and_sent_twice(spark):
+    text = "".join(random.Random(5).choices("abcdefgh ", k=900))
+    docs = [(i, text) for i in range(400)] + [(1000, text[:450] + "Z" * 40 + text[450:]), (1001, "other" * 9)]
+    got = run(spark, docs)
+    assert got == brute(docs, 200)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    seen: dict = {}
+    batch = pa.RecordBatch.from_pylist([{"text": t, "h": hash(t), "nb": len(t)} for _, t in docs])
+    assert s._first_two(batch, seen).num_rows == 4 and s._first_two(batch, seen).num_rows == 2
+    rows = frame.selectExpr("doc_id as id", "text", "xxhash64(text) as h", "octet_length(text) as nb")
+    many = s.hot_keys(rows.groupBy("h", "nb").agg(s.F.count("*").alias("n")), len(docs), 50)
+    assert [r.salts for r in many.collect()] == [8]
