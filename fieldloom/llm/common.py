@@ -59,21 +59,21 @@ def give_back() -> None:
 
 
 def hot_keys(counts: DataFrame, total: int, least: int = HOT_ROWS) -> DataFrame:
-    """The rows of `counts` (keys, n and any more) whose key has many of all `total` rows, with `salts` in place of n: the number of tasks to
-    deal them to. Fewer than HOT_KEYS rows, and about twice as many salts at most, so they can be broadcast."""
+    """The rows of `counts` (keys, n and any more) whose key has many of all `total` rows, with `__salts` in place of n: the number of tasks
+    to deal them to. Fewer than HOT_KEYS rows, and at most twice as many salts, so they can be broadcast."""
     size = max(least, total // HOT_KEYS)
-    return cut(counts.where(F.col("n") > size).withColumn("salts", F.ceil(F.col("n") / size).cast("int")).drop("n"))
+    return cut(counts.where(F.col("n") > size).withColumn("__salts", F.ceil(F.col("n") / size).cast("int")).drop("n"))
 
 
 def salted(rows: DataFrame, hot: DataFrame, on: list[str], salt: Column) -> DataFrame:
-    """Adds `salt` to rows: that of the column for hot keys, 0 where it is null and for all others."""
-    return rows.join(F.broadcast(hot), on, "left").select(*rows.columns, F.coalesce(F.when(F.col("salts").isNotNull(), salt), F.lit(0)).alias("salt"))
+    """Adds `__salt` to rows: that of the column for hot keys, 0 where it is null and for all others."""
+    return rows.join(F.broadcast(hot), on, "left").select(*rows.columns, F.coalesce(F.when(F.col("__salts").isNotNull(), salt), F.lit(0)).alias("__salt"))
 
 
 def for_each_salt(rows: DataFrame, hot: DataFrame, on: list[str], more: int = 0) -> DataFrame:
     """Rows once for each salt of their key, from 0 (and so many salts more for hot keys)."""
-    last = F.coalesce(F.col("salts") - 1 + more, F.lit(0))
-    return rows.join(F.broadcast(hot), on, "left").select(*rows.columns, F.explode(F.sequence(F.lit(0), last)).alias("salt"))
+    last = F.coalesce(F.col("__salts") - 1 + more, F.lit(0))
+    return rows.join(F.broadcast(hot), on, "left").select(*rows.columns, F.explode(F.sequence(F.lit(0), last)).alias("__salt"))
 
 
 _held: dict[str, Callable[[], None]] = {}

@@ -27,7 +27,7 @@ from itertools import count as naturals
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import HOT_ROWS, cut, for_each_salt, hot_keys, salted
 
 # Given names by gender and script, and titles by gender.
 FEMALE = (
@@ -438,14 +438,17 @@ def replacements(lists: DataFrame, key: str) -> DataFrame:
     return each.join(mapped, "entity").groupBy("list_key").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("all")).select("list_key", F.col("all.new").alias("new"))
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities", copies: int = HOT_ROWS) -> DataFrame:
     """`docs` with the entities in its texts replaced, and how many each text held (if `count` names a column)."""
     columns = [c for c in docs.columns if c != count]
     found = docs.select(*columns, entities(F.col(text)).alias("__found"))
     list_key = F.md5(F.array_join("__found", _SEPARATOR))
-    lists = cut(found.where(F.size("__found") > 0).select(list_key.alias("list_key"), F.col("__found").alias("found")).groupBy("list_key").agg(F.first("found").alias("found")))
-    new = replacements(lists, key).select(F.col("list_key").alias("__key"), F.col("new").alias("__new"))
-    held = found.where(F.size("__found") > 0).withColumn("__key", list_key).join(new, "__key")
+    lists = cut(found.where(F.size("__found") > 0).select(list_key.alias("list_key"), F.col("__found").alias("found")).groupBy("list_key").agg(F.first("found").alias("found"), F.count("*").alias("n")))
+    # texts with the same entities as very many others, copies above all, are dealt to several tasks by the tasks that read them
+    many = hot_keys(lists.select(F.col("list_key").alias("__key"), "n"), lists.agg(F.sum("n")).first()[0] or 0, copies)
+    new = for_each_salt(replacements(lists.drop("n"), key).select(F.col("list_key").alias("__key"), F.col("new").alias("__new")), many, ["__key"])
+    own = found.where(F.size("__found") > 0).withColumn("__key", list_key)
+    held = salted(own, many, ["__key"], F.pmod(F.spark_partition_id(), F.col("__salts"))).join(new, ["__key", "__salt"])
     between = F.split(F.col(text), PATTERN, -1)
     done = F.array_join(F.zip_with(between, F.col("__new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     counted = [F.size("__found").alias(count)] if count else []

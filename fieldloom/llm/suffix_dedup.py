@@ -423,7 +423,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span:
     rows = docs.select(F.col(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"), F.octet_length(body).alias("nb"))
     many = hot_keys(rows.groupBy("h", "nb").agg(F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("first")), docs.count(), copies)
     # one projection for both joins below, so that its shuffle is done once
-    salt = F.when(F.xxhash64("id") != F.col("first"), F.lit(1) + F.pmod(F.xxhash64("id", F.spark_partition_id()), "salts").cast("int"))
+    salt = F.when(F.xxhash64("id") != F.col("first"), F.lit(1) + F.pmod(F.xxhash64("id", F.spark_partition_id()), "__salts").cast("int"))
     source = salted(rows, many, ["h", "nb"], salt)
     runs = rows.mapInArrow(_find_runs(span, piece, limits), "v long, t long, h long, nb int, lo int, hi int, c int")
     dealt = runs.withColumn("deal", F.when(F.col("c") == 3, F.xxhash64("h", "lo")).otherwise(F.col("v"))).repartition("deal").drop("deal")
@@ -431,12 +431,12 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span:
     asked = known.where("kind > 0").select("h", "nb", "lo", "hi", "v", (F.col("kind") >= HOTTER).alias("hot"))
     total = asked.agg(F.sum(F.col("hi") - F.col("lo") + 1)).first()[0] or 0
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limits.per_task))
-    by_text = asked.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi", "v", "hot")).alias("asked"), F.min(F.lit(0)).alias("salt"))
-    given = source.join(by_text, ["h", "nb", "salt"]).select("id", "text", "h", "nb", "asked").mapInArrow(_give_bytes(span, piece), GIVEN)
+    by_text = asked.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi", "v", "hot")).alias("asked"), F.min(F.lit(0)).alias("__salt"))
+    given = source.join(by_text, ["h", "nb", "__salt"]).select("id", "text", "h", "nb", "asked").mapInArrow(_give_bytes(span, piece), GIVEN)
     matched = given.repartition(tasks, "k1", "k2").mapInArrow(_match(span, limits), FOUND)
     starts = known.where(F.col("kind") % HOTTER != 1).select("h", "nb", "lo", "hi").unionByName(matched)
     per_text = starts.groupBy("h", "nb").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
-    joined = source.join(for_each_salt(per_text, many, ["h", "nb"], 1), ["h", "nb", "salt"], "left").select("id", "text", "starts")
+    joined = source.join(for_each_salt(per_text, many, ["h", "nb"], 1), ["h", "nb", "__salt"], "left").select("id", "text", "starts")
     fields = [("n_bytes", T.LongType()), ("spans", T.ArrayType(T.LongType())), ("kept", T.BinaryType())]
     return with_columns(joined, "text", fields, lambda: lambda part: _removed(part, span), ["id", "starts"]).select(F.col("id").alias(doc_id), "n_bytes", "spans", "kept")
 

@@ -103,4 +103,4 @@ def test_many_copies_are_split_and_sent_twice(spark):
     assert s._first_two(batch, seen).num_rows == 4 and s._first_two(batch, seen).num_rows == 2
     rows = frame.selectExpr("doc_id as id", "text", "xxhash64(text) as h", "octet_length(text) as nb")
     many = s.hot_keys(rows.groupBy("h", "nb").agg(s.F.count("*").alias("n")), len(docs), 50)
-    assert [r.salts for r in many.collect()] == [8]
+    assert [r["__salts"] for r in many.collect()] == [8]
