@@ -155,3 +155,17 @@ def coded_word_array(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray
         stay = codes != empty
         starts, codes = np.concatenate([[0], np.cumsum(stay)])[starts], codes[stay]
     return words, codes, starts
+
+
+#: Bytes of UTF-8 text to those of its plain words: A-Z in lower case, all other ASCII but letters and digits a space.
+PLAIN = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
+
+
+def item_blocks(items: DataFrame, text: str, by: str, most: int) -> Iterator[pa.Table]:
+    """Rows of a table that is small beside the documents, in blocks of about `most` bytes of text; rows with the same `by` stay together."""
+    total = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n = max(1, -(-total // most))
+    for b in range(n):
+        got = items.where(F.pmod(F.xxhash64(by), F.lit(n)) == b).toArrow().combine_chunks()
+        if got.num_rows:
+            yield got

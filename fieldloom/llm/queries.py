@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, pii, pseudo, shard, simhash, suffix_dedup, topk, toxicity
+from . import bpe, decontaminate, fim, html_text, pii, pseudo, search, shard, simhash, suffix_dedup, topk, toxicity
 from .common import table
 
 
@@ -66,6 +66,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), keep=["doc_id"], restored="restored")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -77,6 +86,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_pii": op10_pii,
+    "op12_search": op12_search,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -134,4 +145,26 @@ p as (select d.r, string_agg(substr(x, 2 * from_ + 1, 2 * (coalesce(to_, length(
 t as (select r, sum(b - a)::bigint as n_removed, count(*) as n_spans from e group by r)
 select doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, x))) as kept_sha256
 from d left join t using (r) left join p using (r)""",
+    "op12_search": r"""
+with dt as (select row_number() over () as r, doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as w from documents),
+low as (select r, doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w from dt),
+it as (select distinct item_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w
+       from (select item_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as w from benchmark)),
+len as (select r, count(*) as n from low group by r),
+tot as (select count(*) as nn, sum(n)::bigint as l from len),
+tf as (select r, any_value(doc_id) as doc_id, w, count(*) as tf from low where w in (select w from it) group by r, w),
+wt as (select w, floor(1000 * ln((2 * any_value(nn) + 2)::double / (2 * count(*) + 1)))::bigint as weight from tf, tot group by w),
+sc as (select item_id, r, any_value(doc_id) as doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::bigint as score
+       from it join tf using (w) join wt using (w) join len using (r), tot group by item_id, r),
+rk as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from sc where score > 0)
+select * from rk where rank <= 10""",
+    "op13_fill_in_middle": """
+with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, ''))::bigint as n, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+k as (select *, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+f as (select *, least(h1 % (n + 1), h2 % (n + 1)) as i, greatest(h1 % (n + 1), h2 % (n + 1)) as j,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from k),
+c as (select *, substring(t, 1, i) as p, substring(t, i + 1, j - i) as m, substring(t, j + 1) as s from f)
+select doc_id, n, form, case when form <> 'plain' then i end as prefix_chars, case when form <> 'plain' then j - i end as middle_chars,
+       sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else t end) as output_sha256, sha256(t) as restored_sha256
+from c""",
 }
