@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fim, html_text, pii, pseudo, search, shard, simhash, suffix_dedup, topk, toxicity
+from . import bpe, decontaminate, fim, html_text, licenses, pii, pseudo, search, shard, simhash, suffix_dedup, topk, toxicity
 from .common import table
 
 
@@ -66,6 +66,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    places = licenses.base_places()
+    return found.select(
+        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        F.array_join(licenses.labels(only_base=True), ",").alias("base_labels"), F.array_join(licenses.labels(), ",").alias("labels"), licenses.score().alias("score"),
+    )
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -86,6 +95,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_pii": op10_pii,
+    "op11_licenses": op11_licenses,
     "op12_search": op12_search,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
