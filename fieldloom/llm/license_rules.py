@@ -74,10 +74,11 @@ tag spdx-other spdx : spdx license identifier [^ ]+
 """
 
 GNU = r"""
-text agpl-3.0 licen,remote network : notwithstanding any other provision of this license if you modify the program your modified version must prominently offer all users interacting with it remotely through a computer network|13 remote network interaction use with the gnu (?:affero )?general public license
+text agpl-3.0 licen,remotely : notwithstanding any other provision of this license if you modify the program your modified version must prominently offer all users interacting with it remotely through a computer network
+text agpl-3.0 licen,remote network : 13 remote network interaction use with the gnu (?:affero )?general public license
 text gpl-3.0 licen,copyleft : the gnu general public license is a free copyleft license for software and other kinds of works
 text gpl-2.0 licen,freedom : the licenses for most software are designed to take away your freedom to share and change it
-text lgpl-2.1 licen,library : this license the lesser general public license applies to some specially designated software packages typically libraries|the gnu (?:lesser|library) general public license applies to some specially designated software packages typically libraries
+text lgpl-2.1 licen,librar : this license the lesser general public license applies to some specially designated software packages typically libraries|the gnu (?:lesser|library) general public license applies to some specially designated software packages typically libraries
 text lgpl-3.0 licen,incorporates : this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license
 text gfdl-1.3 licen,document : the purpose of this license is to make a manual textbook or other functional and useful document free in the sense of freedom
 text gpl-warranty warrant,useful : this (?:program|library|software|file) is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose
@@ -129,7 +130,7 @@ text bsd-2-clause redistribut,binary form must : redistributions in binary form
 text bsd-3-clause permission,endorse : neither the name of (?:the )?[^ ]+(?: [^ ]+){0,12} nor the names of (?:its|his|any|other|the)(?: [^ ]+){0,3} (?:contributors )?may be used to endorse or promote products derived from this software without specific prior written permission
 text bsd-4-clause advertising,acknowledg : all advertising materials mentioning features or use of this software must display the following acknowledge?ment
 text bsd redistribut,permitted : redistribution and use in source and binary forms with or without modification are permitted(?: provided that the following conditions are met)?
-text bsd-warranty warrant,contributors : this software is provided by (?:the )?[^ ]+(?: [^ ]+){0,8} as is and any express or implied warranties
+text bsd-warranty warrant,provided by : this software is provided by (?:the )?[^ ]+(?: [^ ]+){0,8} as is and any express or implied warranties
 text apache-2.0 licen,royalty : each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license
 text apache-2.0 licen,compliance : licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license
 text apache-2.0 licen,agreed to in writing : unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind
@@ -162,8 +163,8 @@ notice bsl-1.0 boost,licen : boost org license 1 0(?: txt)?
 notice wtfpl licen,what the : do what the fuck you want to public licen[cs]e(?: version [12])?
 notice artistic-2.0 licen,artistic : (?:the )?artistic licen[cs]e (?:v|version )?2(?: 0)?
 notice artistic-1.0 licen,artistic : (?:the )?artistic licen[cs]e (?:v|version )?1(?: 0)?
-notice perl licen,perl itself : (?:licensed|distributed|released|modify it) under the same (?:terms|license) as perl itself|same licen[cs]e as perl itself
-name mit-0 licen,no attribution : mit no attribution(?: licen[cs]e)?
+notice perl perl,same : (?:licensed|distributed|released|modify it) under the same (?:terms|license) as perl itself|same licen[cs]e as perl itself
+name mit-0 attribution,_mit_ : mit no attribution(?: licen[cs]e)?
 name mit licen,_mit_ : (?:the )?mit(?: x11| x)? licen[cs]e|licen[cs]e mit
 name mit licen,expat : (?:the )?expat licen[cs]e
 name x11 licen,x11 : (?:the )?x11 licen[cs]e
@@ -241,10 +242,10 @@ hint copyleft copyleft,licen : copyleft licen[cs]e
 
 CONTENT = r"""
 text cc-by creative,commons attribution : this work is licensed under (?:a|the) creative commons attribution (?:[1234] [05] )?(?:international|unported|generic)?(?: ?licen[cs]e)?
-text cc0-1.0 domain,waived : to the extent possible under law [^ ]+(?: [^ ]+){0,8} has waived all copyright and related or neighboring rights
+text cc0-1.0 waived,copyright : to the extent possible under law [^ ]+(?: [^ ]+){0,8} has waived all copyright and related or neighboring rights
 text cc0-1.0 domain,dedicat : (?:the person who associated a work with this deed has dedicated|the author has dedicated|has been dedicated) (?:the work )?to the public domain
 text unlicense domain,unencumbered : this is free and unencumbered software released into the public domain
-text unlicense domain,dedicate any : the authors? (?:or authors )?of this software dedicates? any and all copyright interest in the software to the public domain
+text unlicense domain,dedicate : the authors? (?:or authors )?of this software dedicates? any and all copyright interest in the software to the public domain
 text ofl-1.1 licen,font : this font software is licensed under the sil open font license version 1 1
 text odbl-1.0 licen,database : made available under the open database license(?: odbl)?(?: v?1 0)?
 notice cc-by-nc-nd creative,licen : creativecommons org licenses by nc nd(?: [1234] [05])?
@@ -261,7 +262,7 @@ notice cc-by-nc creative,noncommercial : creative commons attribution noncommerc
 notice cc-by-nd creative,derivat : creative commons attribution no ?derivat(?:ive)?s?(?: works)?(?: [1234] [05])?(?: international| unported| generic)?(?: public)?(?: licen[cs]e)?
 notice cc-by-sa creative,alike : creative commons attribution share ?alike(?: [1234] [05])?(?: international| unported| generic)?(?: public)?(?: licen[cs]e)?
 notice cc-by creative,attribution : creative commons attribution(?: [1234] [05])?(?: international| unported| generic)?(?: public)?(?: licen[cs]e)?
-notice cc0-1.0 creative,zero : creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?(?: public domain dedication)?|creative commons cc zero
+notice cc0-1.0 creative : creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?(?: public domain dedication)?|creative commons cc zero
 notice cc-by-4.0 licen,_cc_ : (?:licen[cs]ed? (?:under )?)(?:the |a )?cc by 4 0(?: international)?
 notice cc-by-3.0 licen,_cc_ : (?:licen[cs]ed? (?:under )?)(?:the |a )?cc by 3 0(?: unported)?
 notice cc-by licen,_cc_ : (?:licen[cs]ed? (?:under )?)(?:the |a )?cc by
@@ -293,11 +294,11 @@ hint open-data licen,open data : open data licen[cs]e
 """
 
 RESTRICTED = r"""
-text sspl-1.0 licen,service source code : if you make the functionality of the program or a modified version available to third parties as a service you must make the service source code available
+text sspl-1.0 third,service source code : if you make the functionality of the program or a modified version available to third parties as a service you must make the service source code available
 text busl-1.1 licen,production use : the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
-text elastic-2.0 licen,managed service : you may not provide the software to third parties as a hosted or managed service
+text elastic-2.0 hosted,managed service : you may not provide the software to third parties as a hosted or managed service
 text commons-clause licen,sell : the grant of rights under the license will not include and the license does not grant to you the right to sell the software
-text json copyright,good : the software shall be used for good not evil
+text json software,good not evil : the software shall be used for good not evil
 text proprietary confidential,proprietary : (?:this (?:software|document|file|material|program) (?:is|contains) )?(?:the )?(?:confidential and proprietary|proprietary and confidential)(?: information)?(?: of [^ ]+)?
 text proprietary copying,prohibited : unauthori[sz]ed copying (?:of this file )?(?:via any medium )?is strictly prohibited
 text proprietary reproduc,permission : no part of this (?:publication|book|document|work|website|site) may be reproduced(?: stored in a retrieval system)?(?: or transmitted| distributed or transmitted)?(?: [^ ]+){0,16} (?:without|written) (?:the )?(?:prior )?(?:written )?permission
@@ -307,7 +308,7 @@ notice busl-1.1 licen,business source : business source licen[cs]e(?: busl| bsl)
 notice elastic-2.0 licen,elastic : elastic licen[cs]e(?: (?:v|version )?2(?: 0)?)?
 notice commons-clause licen,commons clause : commons clause licen[cs]e condition(?: v?1 0)?
 notice polyform licen,polyform : polyform (?:noncommercial|small business|shield|strict|perimeter|internal use) licen[cs]e(?: 1 0 [01])?
-notice openrail licen,openrail : (?:creativeml )?(?:big ?science )?(?:bloom )?open ?rail(?: m| s)?(?: licen[cs]e)?|licen[cs]e openrail(?: m)?
+notice openrail rail : (?:creativeml )?(?:big ?science )?(?:bloom )?open ?rail(?: m| s)?(?: licen[cs]e)?|licen[cs]e openrail(?: m)?
 notice eula licen,end user : end user licen[cs]e agreement
 notice reserved reserved,all other : all other rights reserved
 notice reserved reserved,some rights : some rights reserved
