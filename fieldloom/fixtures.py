@@ -91,6 +91,21 @@ def browse(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def browse_two(spark: SparkSession, sf: str) -> DataFrame:
+    """The same tree, and below a second alias a page for each nation with a link to its page in the first, and a folder with the files of every
+    second location."""
+    at, root = locations(spark, sf), F.lit("/v/a6/browse")
+    page = F.concat_ws("/", root, "country")
+    deep = F.concat(page, F.lit("/deep"))
+    more = [at.select(root.alias("parent"), page.alias("child")).distinct(), at.select(page.alias("parent"), deep.alias("child")).distinct()]
+    more.append(at.select(page.alias("parent"), F.concat_ws("/", F.lit("/v/a5/browse"), "continent", "country").alias("child")).distinct())
+    more.append(at.where("c_custkey % 2 = 0").select(deep.alias("parent"), F.concat(F.lit("/v/a6/files/"), F.concat_ws("/", "country", "locality"), F.lit(".mp4")).alias("child")))
+    out = browse(spark, sf)
+    for edges in more:
+        out = out.unionByName(edges)
+    return out
+
+
 def labels_of_links(spark: SparkSession, sf: str) -> DataFrame:
     """Files that only the text of their link tells, beside those of the tree: edges (parent, child, label)."""
     at = locations(spark, sf)
@@ -135,5 +150,9 @@ fx_filters as (select * from (values ('ASIA', null, null, null), ('EUROPE', 'NAT
 fx_browse as (select distinct '/v/a5/browse' as parent, concat('/v/a5/browse/', continent) as child from fx_location
  union all select distinct concat('/v/a5/browse/', continent), concat('/v/a5/browse/', continent, '/', country) from fx_location
  union all select distinct concat('/v/a5/browse/', continent, '/', country), concat('/v/a5/browse/', continent, '/', country, '/', state) from fx_location
- union all select concat('/v/a5/browse/', continent, '/', country, '/', state), concat('/v/a5/files/', continent, '/', country, '/', state, '/', locality, '.mp4') from fx_location)
+ union all select concat('/v/a5/browse/', continent, '/', country, '/', state), concat('/v/a5/files/', continent, '/', country, '/', state, '/', locality, '.mp4') from fx_location),
+fx_browse_two as (select * from fx_browse union all select distinct '/v/a6/browse', concat('/v/a6/browse/', country) from fx_location
+ union all select distinct concat('/v/a6/browse/', country), concat('/v/a6/browse/', country, '/deep') from fx_location
+ union all select distinct concat('/v/a6/browse/', country), concat('/v/a5/browse/', continent, '/', country) from fx_location
+ union all select concat('/v/a6/browse/', country, '/deep'), concat('/v/a6/files/', country, '/', locality, '.mp4') from fx_location where c_custkey % 2 = 0)
 """

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .codes import IMAGE_EXTENSIONS
-from .text import MISSING_FILTER_NAME, basename, clean_name
+from .text import MISSING_FILTER_NAME, basename, clean_name, strip
 
 
 def quote(c: Column) -> Column:
@@ -72,7 +72,7 @@ def file_name(url: Column) -> Column:
 
 def anchor_name(label: Column, url: Column) -> Column:
     """What a link is called: its text, else the end of its address."""
-    return F.when(F.trim(F.coalesce(label, F.lit(""))) != "", F.trim(label)).otherwise(basename(unquote(F.regexp_replace(path_of(url), "/+$", ""))))
+    return F.when(strip(F.coalesce(label, F.lit(""))) != "", strip(label)).otherwise(basename(unquote(F.regexp_replace(path_of(url), "/+$", ""))))
 
 
 def is_folder_link(path: Column) -> Column:

@@ -8,10 +8,10 @@ from functools import reduce
 from itertools import count
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import MISSING_FILTER_NAME, basename, clean_name, folded
+from ..functions.text import MISSING_FILTER_NAME, basename, clean_name, folded, strip
 from ..functions.urls import is_file_link, is_folder_link, join, path_of, quote, unquote
 from ..sources.folders import cut
 from ..sources.logs import logger
@@ -74,39 +74,59 @@ def browse_links(links: DataFrame) -> DataFrame:
     return at.select("page_url", clean_name(basename(unquote(path)), MISSING_FILTER_NAME).alias("name"), "url", kind.alias("kind")).where("kind is not null").distinct()
 
 
-def reachable(edges: DataFrame, roots: DataFrame, pages: int | None = None) -> DataFrame:
-    """node, depth: all that can be reached along edges (parent, child), at its least depth, however deep.
+def walk(edges: DataFrame, roots: DataFrame, pages: int | None = None) -> DataFrame:
+    """node, rank, depth of all that can be reached along edges (parent, child) from roots (node, rank), however deep.
+
+    Roots of a lower rank go first, as aliases are searched in their order: what they have visited is not visited again, nor passed through, by
+    those after them. `depth` is the least from a node's own roots. With `pages` each rank's walk ends after so many nodes, by depth and then by name,
+    and a warning tells that it was cut; what it has left is open to the next.
 
     Each round joins the frontier with the edges, keeps what is new and stores it; what was found is stored anew as one table only when
-    there are as many tables as MOST_TABLES, so plans stay short and nothing is copied each round. With `pages` the walk ends after so many nodes, by depth
-    and then by name, and a warning tells that it was cut.
+    there are as many tables as MOST_TABLES, so plans stay short and nothing is copied each round. Ranks are a few (the aliases of a setting).
     """
-    found = [cut(roots.select("node", F.lit(0).alias("depth")).distinct())]
-    every = lambda: reduce(DataFrame.unionByName, found)
-    total = found[0].count()
-    for depth in count(1):
-        if pages is not None and total > pages:
-            logger("fieldloom.links").warning("walk cut after %d of at least %d nodes", pages, total)
-            return every().orderBy("depth", "node").limit(pages)
-        step = found[-1].where(F.col("depth") == depth - 1).select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
-        frontier = cut(step.join(every(), "node", "left_anti").select("node", F.lit(depth).alias("depth")))
-        new = frontier.count()
-        if not new:
-            return every()
-        total += new
-        found.append(frontier)
-        if len(found) > MOST_TABLES:
-            found = [cut(every())]
-
-
-def locate(files: DataFrame, wanted: DataFrame) -> DataFrame:
-    """name, url of the first file of each wanted name, in any case: by priority, then depth, then address. A file is named by the end of its
-    address and, where `files` has a `label`, by its anchor's text."""
+    starts = cut(roots.groupBy("node").agg(F.min("rank").cast("int").alias("rank")))
+    found: list[DataFrame] = []
+    for (rank,) in starts.select("rank").distinct().orderBy("rank").collect():
+        frontier = starts.where(F.col("rank") == rank).select("node")
+        total = 0
+        for depth in count():
+            if found:
+                frontier = frontier.join(reduce(DataFrame.unionByName, found).select("node"), "node", "left_anti")
+            frontier = cut(frontier.select("node", F.lit(rank).alias("rank"), F.lit(depth).alias("depth")))
+            new = frontier.count()
+            if not new:
+                break
+            if pages is not None and total + new > pages:
+                logger("fieldloom.links").warning("walk of rank %d cut after %d of at least %d nodes", rank, pages, total + new)
+                found.append(cut(frontier.orderBy("node").limit(pages - total)))
+                break
+            total += new
+            found.append(frontier)
+            if len(found) > MOST_TABLES:
+                found = [cut(reduce(DataFrame.unionByName, found))]
+            frontier = frontier.select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
+    return reduce(DataFrame.unionByName, found) if found else starts.select("node", "rank", F.lit(0).alias("depth"))
+
+
+def reachable(edges: DataFrame, roots: DataFrame, pages: int | None = None) -> DataFrame:
+    """node, depth: the same from roots (node) that are all alike."""
+    return walk(edges, roots.select("node", F.lit(0).alias("rank")), pages).drop("rank")
+
+
+def alias_roots(spark: SparkSession, aliases: list[str], base: str = "") -> DataFrame:
+    """node and rank of the browse pages where the walks of aliases begin, in the order in which aliases are tried."""
+    return spark.createDataFrame([(f"{base.rstrip('/')}/v/{a}/browse", i) for i, a in enumerate(dict.fromkeys(aliases))], "node string, rank int")
+
+
+def locate(files: DataFrame, wanted: DataFrame, each: bool = False) -> DataFrame:
+    """name, url of the first file of each wanted name, in any case: by priority, then depth, then address. With `each`, the first one of every
+    priority, and this. A file is named by the end of its address and, where `files` has a `label`, by its anchor's text."""
     asked = wanted.select(folded(F.col("name")).alias("key"), F.col("name").alias("asked")).distinct()
     tail = folded(basename(unquote(path_of(F.col("url")))))
-    names = F.array(tail, folded(F.trim("label"))) if "label" in files.columns else F.array(tail)
+    names = F.array(tail, folded(strip(F.col("label")))) if "label" in files.columns else F.array(tail)
     found = files.withColumn("key", F.explode(F.array_distinct(F.filter(names, lambda x: x.isNotNull() & (x != "")))))
-    return found.join(asked, "key").groupBy("asked").agg(F.min_by("url", F.struct("priority", "depth", "url")).alias("url")).withColumnRenamed("asked", "name")
+    by = ["asked", "priority"] if each else ["asked"]
+    return found.join(asked, "key").groupBy(*by).agg(F.min_by("url", F.struct("priority", "depth", "url")).alias("url")).withColumnRenamed("asked", "name")
 
 
 def direct_urls(wanted: DataFrame, base: str, aliases: list[str]) -> DataFrame:
@@ -123,4 +143,4 @@ def fetched(wanted: DataFrame, pages: DataFrame) -> DataFrame:
     return two.join(a, "__slash", "left").join(b, "__bare", "left").withColumn("html", F.coalesce("__h1", "__h2")).drop("__bare", "__slash", "__h1", "__h2")
 
 
-__all__ = ["anchors", "anchors_of", "browse_links", "direct_urls", "fetched", "hrefs", "is_folder_link", "locate", "reachable"]
+__all__ = ["alias_roots", "anchors", "anchors_of", "browse_links", "direct_urls", "fetched", "hrefs", "is_folder_link", "locate", "reachable", "walk"]

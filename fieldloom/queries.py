@@ -420,6 +420,46 @@ def locate_file(spark, sf):
     return links.locate(walked_files(_labelled(spark, sf), _root(spark), Settings(crawl_pages=100_000)), _wanted(spark, sf))
 
 
+# The walks of two aliases, of which each may visit 12 pages; the second one's does not pass through what the first has visited.
+_WALKS = """, reach0(node, depth) as (select '/v/a5/browse', 0 union select child, depth + 1 from reach0 join fx_browse_two on parent = node and child not like '%/files/%'),
+first0 as materialized (select node, min(depth)::int as depth from reach0 group by 1 order by 2, 1 limit {most}),
+reach1(node, depth) as (select '/v/a6/browse', 0 union select child, depth + 1 from reach1 join fx_browse_two on parent = node and child not like '%/files/%' and child not in (select node from first0)),
+first1 as (select node, min(depth)::int as depth from reach1 group by 1 order by 2, 1 limit {most}),
+walked as (select node, 0 as rank, depth from first0 union all select node, 1, depth from first1)"""
+
+
+@query(_WALKS.format(most=12) + " select * from walked")
+def walk_by_alias(spark, sf):
+    edges = fx.browse_two(spark, sf)
+    return links.walk(edges.where(~urls.is_file_link(F.col("child"))), links.alias_roots(spark, ["a5", "a6"]), pages=12)
+
+
+_BY_ALIAS = """, files as (select child as url, rank, depth, lower(split_part(child, '/', -1)) as name from walked join fx_browse_two on parent = node where child like '%/files/%'),
+asked as (select concat(upper(locality), '.mp4') as name, lower(locality) || '.mp4' as low from fx_location)"""
+
+
+def _coded_two(spark, sf):
+    return fx.browse_two(spark, sf).select("parent", F.replace("child", F.lit("#"), F.lit("%23")).alias("child"), F.lit(None).cast("string").alias("label"))
+
+
+@query(f"{_WALKS.format(most=60)}{_BY_ALIAS} select a.name, replace(min_by(url, (rank, depth, url)), '#', '%23') as url from asked a join files f on f.name = low group by a.name")
+def locate_by_alias(spark, sf):
+    """The first alias has a file, however deep it lies there; the second what the first one's walk did not reach."""
+    from .plans.lookup import walked_files
+
+    files = walked_files(_coded_two(spark, sf), links.alias_roots(spark, ["a5", "a6"]), Settings(crawl_pages=60))
+    return links.locate(files, _wanted(spark, sf))
+
+
+@query(f"""{_WALKS.format(most=60)}{_BY_ALIAS}, direct as (select concat(upper(locality), '.mp4') as name, i::int as priority, concat('https://files.test/v/', a, '/files/', replace(url_encode(concat(upper(locality), '.mp4')), '+', '%20')) as url from fx_location, (values (0, 'a5'), (1, 'a6')) t(i, a))
+select * from direct union all select a.name, (2 + rank)::int, replace(min_by(url, (depth, url)), '#', '%23') from asked a join files f on f.name = low group by a.name, rank""")
+def video_sources_by_alias(spark, sf):
+    from .plans.lookup import video_sources as sources
+
+    wanted = fx.locations(spark, sf).select(F.concat(F.upper("locality"), F.lit(".mp4")).alias("name"))
+    return sources(_coded_two(spark, sf), links.alias_roots(spark, ["a5", "a6"]), wanted, Settings(base_url=fx.BASE, crawl_pages=60), ["a5", "a6"])
+
+
 _DIRECT = "select concat(upper(locality), kind) as name, i::int as priority, concat('https://files.test/v/', a, '/files/', replace(url_encode(concat(upper(locality), kind)), '+', '%20')) as url from fx_location, (values (0, 'a1'), (1, 'a2')) t(i, a), (values ('.mp4'), ('.mov')) k(kind)"
 
 
