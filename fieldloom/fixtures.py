@@ -114,6 +114,23 @@ def labels_of_links(spark: SparkSession, sf: str) -> DataFrame:
     return at.select(F.concat(F.lit("/v/a5/browse/"), folder).alias("parent"), child.alias("child"), F.concat(F.lit(" "), "locality", F.lit(".MOV ")).alias("label"))
 
 
+def browse_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """url and html of the browse pages of the whole inventory, every second one with a slash at its end."""
+    levels = ("continent", "country", "state", "city", "day_night", "vehicle", "video_id")
+    coded = lambda c: F.replace(F.replace(c, F.lit(" "), F.lit("%20")), F.lit("#"), F.lit("%23"))
+    at = lambda n: F.concat_ws("/", F.lit(f"{BASE}/v/a5/browse"), *(coded(F.col(c)) for c in levels[:n]))
+    frames = inventory(spark, sf)
+    files = frames.select(at(7).alias("url"), coded(F.col("url")).alias("href"), F.col("filename").alias("label"))
+    folders = frames.select(*levels).distinct()
+    links = files
+    for n in range(7):
+        links = links.unionByName(folders.select(at(n).alias("url"), at(n + 1).alias("href"), F.col(levels[n]).alias("label")).distinct())
+    anchor = F.concat(F.lit('<li><a href="'), "href", F.lit('">'), "label", F.lit("</a>"))
+    pages = links.groupBy("url").agg(F.array_join(F.sort_array(F.collect_list(anchor)), "").alias("a"))
+    html = F.concat(F.lit('<a href="../">..</a><a href="'), "url", F.lit('">here</a><a href="notes.txt">n</a>'), "a")
+    return pages.select(F.when(F.length("url") % 2 == 0, F.concat("url", F.lit("/"))).otherwise(F.col("url")).alias("url"), html.alias("html"))
+
+
 def mapping_csv(spark: SparkSession, sf: str) -> str:
     """A mapping table with a row for each nation, of which there are 25, as a CSV file below the shared folder; returns its path."""
     n = F.col("n_nationkey")

@@ -136,11 +136,11 @@ def direct_urls(wanted: DataFrame, base: str, aliases: list[str]) -> DataFrame:
 
 
 def fetched(wanted: DataFrame, pages: DataFrame) -> DataFrame:
-    """html of each url, looked up with a slash at its end first, then without."""
+    """html of each url, looked up with a slash at its end first, then without, and `form`, how it was found."""
     bare = F.regexp_replace("url", "/+$", "")
     two = wanted.withColumn("__bare", bare).withColumn("__slash", F.concat(bare, F.lit("/")))
     a, b = pages.select(F.col("url").alias("__slash"), F.col("html").alias("__h1")), pages.select(F.col("url").alias("__bare"), F.col("html").alias("__h2"))
-    return two.join(a, "__slash", "left").join(b, "__bare", "left").withColumn("html", F.coalesce("__h1", "__h2")).drop("__bare", "__slash", "__h1", "__h2")
+    return two.join(a, "__slash", "left").join(b, "__bare", "left").withColumns({"html": F.coalesce("__h1", "__h2"), "form": F.when(F.col("__h1").isNotNull(), F.col("__slash")).when(F.col("__h2").isNotNull(), F.col("__bare"))}).drop("__bare", "__slash", "__h1", "__h2")
 
 
 __all__ = ["alias_roots", "anchors", "anchors_of", "browse_links", "direct_urls", "fetched", "hrefs", "is_folder_link", "locate", "reachable", "walk"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import day_filter, vehicle_filter, video_filter
@@ -20,11 +20,15 @@ def _values(spark, values: tuple[str, ...], normal) -> list[str]:
     return list(row.v or [])
 
 
+def wanted_values(spark: SparkSession, settings: Settings) -> dict[str, list[str]]:
+    """The values that the settings let through, by the inventory's column; none stands for all."""
+    return {"day_night": _values(spark, settings.day_nights, day_filter), "vehicle": _values(spark, settings.vehicles, vehicle_filter), "video_id": _values(spark, settings.video_ids, video_filter)}
+
+
 def plan_sample(inventory: DataFrame, settings: Settings) -> DataFrame:
     """The sampled frames. FileNotFoundError if no frame matches."""
     spark = inventory.sparkSession
-    days, vehicles, videos = (_values(spark, v, f) for v, f in ((settings.day_nights, day_filter), (settings.vehicles, vehicle_filter), (settings.video_ids, video_filter)))
-    chosen = select_frames(matching(inventory, location_filters(spark, settings.location_tree)), days, vehicles, videos)
+    chosen = select_frames(matching(inventory, location_filters(spark, settings.location_tree)), *wanted_values(spark, settings).values())
     if settings.balanced:
         sample = balanced_sample(chosen, settings.num_images, settings.seed, settings.images_per_folder, settings.fill_images_per_folder, settings.folders_per_city)
     else:

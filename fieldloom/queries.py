@@ -13,6 +13,7 @@ from .operators import filters, frames, links, manifests, sampling
 from .plans.extraction import plan_extraction
 from .plans.sample import plan_sample
 from .sources import adapters
+from .sources.folders import cut
 from .sources.inventory import video_index
 from .sources.mapping import read_mapping
 from .sources.settings import Settings
@@ -655,6 +656,27 @@ def planned_sample(spark, sf):
     return plan_sample(fx.inventory(spark, sf), Settings(num_images=TARGET, seed=SEED, day_nights=("0",), vehicles=("car", "Bus"), location_tree={"ASIA": "all"})).select("url")
 
 
+_TREE_SETTINGS = Settings(base_url=fx.BASE, num_images=TARGET, seed=SEED, day_nights=("0", "Dusk"), vehicles=("car", "Bus", "Tram"), location_tree={"ASIA": "all", "EUROPE": {"NATION_3": {"unknown": "all", "BUILDING": None}, "no such country": None}})
+_TREE_WHERE = "day_night = 'Day' and vehicle in ('Car', 'Bus') and (continent = 'ASIA' or (continent = 'EUROPE' and country = 'NATION_3' and state in ('unknown', 'BUILDING')))"
+_CODED = "select * replace (replace(replace(url, ' ', '%20'), '#', '%23') as url) from fx_inventory"
+
+
+@query(f"{_CODED} where {_TREE_WHERE}")
+def inventory_from_pages(spark, sf):
+    """Places that are named and places that are listed."""
+    from .plans.browse import browse_inventory, stored_pages
+
+    return browse_inventory(spark, stored_pages(cut(fx.browse_pages(spark, sf))), _TREE_SETTINGS, ["a5"]).frames
+
+
+@query(f"{_BALANCED} select url from sample".replace("inv as (select * from fx_inventory)", f"inv as ({_CODED} where {_TREE_WHERE})"))
+def planned_sample_from_pages(spark, sf):
+    from .plans.browse import browse_inventory, stored_pages
+
+    frames_found = browse_inventory(spark, stored_pages(cut(fx.browse_pages(spark, sf))), _TREE_SETTINGS, ["a5"]).frames
+    return plan_sample(frames_found, _TREE_SETTINGS).select("url")
+
+
 def _size_of(path: str) -> tuple[int, int, float] | None:
     key = int(path.removesuffix(".mp4").rsplit("/", 1)[1])
     if key % 7 == 0:

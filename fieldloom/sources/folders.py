@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at a path; made and written only where it is not there as a whole, so that a run that was stopped goes on where it was."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def safe_parts(*parts: str) -> str:
     """A relative path of these parts; `.` and `..` are refused."""
     for p in parts:
