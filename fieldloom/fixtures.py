@@ -145,6 +145,23 @@ def mapping_csv(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """A mapping row for each customer; each order is a video with a range for each line item. Some cells are wrong: of every 11th video the first
+    start is no number, of every 13th the last end is not there. Every second video has its name with an extension."""
+    listed = lambda c: F.concat(F.lit("["), F.array_join(c, ","), F.lit("]"))
+    own = segments(spark, sf).groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("pos", "s", "e", "tcode_raw"))).alias("l"), F.max("vcode_raw").alias("vehicle"))
+    starts = F.transform("l.s", lambda s, i: F.when((F.col("vid") % 11 == 0) & (i == 0), "abc").otherwise(s.cast("string")))
+    ends = F.slice(F.col("l.e").cast("array<string>"), F.lit(1), F.size("l") - (F.col("vid") % 13 == 0).cast("int"))
+    codes = F.filter(F.col("l.tcode_raw").cast("array<string>"), lambda x: x.isNotNull())
+    name = F.concat(F.lit("v"), "vid", F.when(F.col("vid") % 2 == 0, ".mp4").otherwise(""))
+    cells = own.select("vid", name.alias("videos"), listed(starts).alias("start_time"), listed(ends).alias("end_time"), listed(codes).alias("time_of_day"), listed(F.array(F.col("vehicle").cast("string"))).alias("vehicle_type"))
+    columns = ("videos", "start_time", "end_time", "time_of_day", "vehicle_type")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("vid"), F.col("o_custkey").alias("c_custkey"))
+    rows = cells.join(orders, "vid").groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("vid", *columns))).alias("r"))
+    at = locations(spark, sf).select("c_custkey", F.col("row_num").cast("long").alias("row_num"), "continent", "country", F.col("state_raw").alias("state"), "locality")
+    return at.join(rows, "c_custkey", "left").select("row_num", "continent", "country", "state", "locality", *(F.coalesce(listed(F.col(f"r.{c}")), F.lit("[]")).alias(c) for c in columns))
+
+
 # The same in SQL.
 VEHICLE_CASE = """case vcode when 0 then 'Car' when 1 then 'Bus' when 2 then 'Truck' when 3 then 'Two wheeler' when 4 then 'Bicycle' when 5 then 'Automated car'
  when 6 then 'Electric scooter' when 7 then 'Monowheel unicycle' when 8 then 'Emergency vehicle' when 9 then 'Automated bus' when 10 then 'Automated truck'
@@ -171,5 +188,9 @@ fx_browse as (select distinct '/v/a5/browse' as parent, concat('/v/a5/browse/',
 fx_browse_two as (select * from fx_browse union all select distinct '/v/a6/browse', concat('/v/a6/browse/', country) from fx_location
  union all select distinct concat('/v/a6/browse/', country), concat('/v/a6/browse/', country, '/deep') from fx_location
  union all select distinct concat('/v/a6/browse/', country), concat('/v/a5/browse/', continent, '/', country) from fx_location
- union all select concat('/v/a6/browse/', country, '/deep'), concat('/v/a6/files/', country, '/', locality, '.mp4') from fx_location where c_custkey % 2 = 0)
+ union all select concat('/v/a6/browse/', country, '/deep'), concat('/v/a6/files/', country, '/', locality, '.mp4') from fx_location where c_custkey % 2 = 0),
+fx_videos as materialized (select o_custkey + 2 as row_num, row_number() over (partition by o_custkey order by vid) - 1 as vpos, vid, concat('v', vid, case when vid % 2 = 0 then '.mp4' else '' end) as video,
+  count(*) as n, count(*) - (vid % 13 = 0)::int as pairs, count(tcode_raw) as codes from fx_segments join orders on o_orderkey = vid group by o_custkey, vid),
+fx_pairs as materialized (select v.*, s.pos, s.s, s.e, (vid % 11 = 0 and s.pos = 0) as bad, s.e >= s.s and not (vid % 11 = 0 and s.pos = 0) as valid from fx_videos v join fx_segments s using (vid) where s.pos < pairs),
+fx_codes as (select vid, row_number() over (partition by vid order by pos) - 1 as i, tcode_raw from fx_segments where tcode_raw is not null)
 """

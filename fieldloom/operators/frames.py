@@ -50,12 +50,15 @@ def pending(counts: DataFrame) -> DataFrame:
 
 
 def pending_frames(planned: DataFrame, existing: DataFrame, group: list[str], key: list[str]) -> DataFrame:
-    """The frames of incomplete groups, each once. Where the group is part of the frame's key, they are counted where they were dealt to, so
-    nothing is planned twice."""
+    """The frames of incomplete groups, each once; a group's missing frames are counted beside its frames, so nothing is planned twice. Where the group
+    is part of the frame's key, they are counted where they were dealt to."""
+    missing = lambda absent: F.count_if(absent).over(Window.partitionBy(*group))
     if set(group) <= set(key) and set(planned.columns) == set(key):
-        told = _told(planned, existing, group, key).withColumn("__missing", F.count_if(~F.col("__e")).over(Window.partitionBy(*group)))
-        return told.where(F.col("__missing") > 0).select(*planned.columns)
-    return planned.join(pending(existing_counts(planned, existing, group, key)).select(*group), group, "left_semi")
+        told = _told(planned, existing, group, key).withColumn("__missing", missing(~F.col("__e")))
+    else:
+        there = existing.select(*key).distinct().withColumn("__e", F.lit(True))
+        told = planned.join(there, key, "left").withColumn("__missing", missing(F.col("__e").isNull()))
+    return told.where(F.col("__missing") > 0).select(*planned.columns)
 
 
 def use_counts(references: DataFrame, video: str) -> DataFrame:

@@ -2,23 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.brackets import bracket_list, bracket_table
 from ..functions.lists import align, flat_values, paired, pick, seconds
-from ..functions.text import frame_name, output_folder, stem, time_label, vehicle_label, basename, video_key
+from ..functions.text import frame_name, output_folder, stem, time_label, vehicle_label, basename, video_key, whole_number
+
+
+_CELLS = ("start_time", "end_time", "time_of_day", "vehicle_type")
+
+
+def _each_video(mapping: DataFrame, explode: Callable[[str], Column]) -> DataFrame:
+    parsed = mapping.select("row_num", "continent", "country", "state", "locality", bracket_list(F.col("videos")).alias("refs"), *(bracket_table(F.col(c)).alias(c) for c in _CELLS))
+    each = parsed.select("*", explode("refs").alias("pos", "video"))
+    part = lambda c: F.coalesce(pick(F.col(c), F.col("pos")), F.array().cast("array<string>")).alias(c)
+    return each.select("row_num", "pos", "video", "continent", "country", "state", "locality", *(part(c) for c in _CELLS))
 
 
 def videos_of(mapping: DataFrame) -> DataFrame:
     """One row for each video of each mapping row, with its own part of the other cells. Rows without videos give none."""
-    parsed = mapping.select(
-        "row_num", "continent", "country", "state", "locality", bracket_list(F.col("videos")).alias("refs"),
-        *(bracket_table(F.col(c)).alias(c) for c in ("start_time", "end_time", "time_of_day", "vehicle_type")),
+    return _each_video(mapping, F.posexplode)
+
+
+def checked_videos(mapping: DataFrame) -> DataFrame:
+    """The same with `problems` (reason and detail of each), and with a row without a video for mapping rows that list none."""
+    pair = lambda c: F.filter(F.col(c), lambda x: x.isNotNull() & (x != ""))
+    n = F.least(F.size("__s"), F.size("__e"))
+    pairs = paired(F.col("__s"), F.col("__e"))
+    text = lambda x: F.coalesce(x.cast("string"), F.lit("?"))
+    problem = lambda reason, detail: F.struct(F.lit(reason).alias("reason"), detail.alias("detail"))
+    when = lambda c, reason, detail: F.when(c, F.array(problem(reason, detail))).otherwise(F.array().cast("array<struct<reason:string,detail:string>>"))
+    bad = F.filter(F.concat(pair("start_time"), pair("end_time")), lambda x: whole_number(x).isNull())
+    backward = F.filter(pairs, lambda p: p["end"] < p["start"])
+
+    def labels(cell: str, name: str) -> Column:
+        given = F.size(flat_values(F.array(F.col(cell))))
+        kind = F.when(given == 0, "missing").when((given > 1) & (given < n), "too few").when(given > n, "too many")
+        return F.when((n > 0) & kind.isNotNull(), F.array(F.struct(F.concat(kind, F.lit(f" {name}")).alias("reason"), F.concat_ws(" for ", given.cast("string"), n.cast("string")).alias("detail")))).otherwise(F.array().cast("array<struct<reason:string,detail:string>>"))
+
+    found = F.concat(
+        F.transform(bad, lambda x: problem("bad time", x)),
+        when(F.size("__s") != F.size("__e"), "unequal times", F.concat_ws(" and ", F.size("__s").cast("string"), F.size("__e").cast("string"))),
+        labels("time_of_day", "times of day"), labels("vehicle_type", "vehicle types"),
+        F.transform(backward, lambda p: problem("end before start", F.concat_ws(" to ", text(p["start"]), text(p["end"])))),
+        when(~F.exists(pairs, lambda p: F.coalesce(p["end"] >= p["start"], F.lit(False))), "no valid range", F.lit("")),
     )
-    each = parsed.where(F.size("refs") > 0).select("*", F.posexplode("refs").alias("pos", "video"))
-    part = lambda c: F.coalesce(pick(F.col(c), F.col("pos")), F.array().cast("array<string>")).alias(c)
-    return each.select("row_num", "pos", "video", "continent", "country", "state", "locality", *(part(c) for c in ("start_time", "end_time", "time_of_day", "vehicle_type")))
+    listed = F.when(F.col("pos").isNull(), F.array(problem("no videos", F.lit("")))).otherwise(found)
+    parsed = _each_video(mapping, F.posexplode_outer).withColumns({"__s": seconds(F.col("start_time"), False), "__e": seconds(F.col("end_time"), False)})
+    return parsed.withColumn("problems", listed).drop("__s", "__e")
+
+
+def problem_rows(checked: DataFrame) -> DataFrame:
+    """row_num, pos, video, reason and detail of each problem."""
+    return checked.select("row_num", "pos", "video", F.inline("problems"))
 
 
 def ranges_of(videos: DataFrame, strict: bool = True) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import frame_index, video_key
-from ..operators.frames import deletable, existing_counts, pending, remaining_uses, resolve_videos
-from ..operators.segments import mapping_frames, ranges_of, videos_of
+from ..operators.frames import deletable, existing_counts, pending_frames, remaining_uses, resolve_videos
+from ..operators.segments import checked_videos, mapping_frames, problem_rows, ranges_of, videos_of
 from ..sources.settings import Settings
 
 GROUP = ["row_num", "pos", "day_night", "vehicle"]
@@ -17,25 +17,29 @@ GROUP = ["row_num", "pos", "day_night", "vehicle"]
 
 @dataclass
 class Plan:
-    """videos: every reference; frames: all planned frames; groups: counts of each group; todo: frames of incomplete groups."""
+    """videos: every reference; frames: all planned frames; groups: counts of each group; todo: frames of incomplete groups; uses: what follows
+    each reference; problems: what is wrong with the mapping, with its rows."""
 
     videos: DataFrame
     frames: DataFrame
     groups: DataFrame
     todo: DataFrame
     uses: DataFrame
+    problems: DataFrame
 
 
-def plan_extraction(mapping: DataFrame, existing: DataFrame, index: DataFrame, settings: Settings) -> Plan:
-    """`existing` has the paths of frames that are there, `index` the videos (key, path). Complete groups need no video at all."""
-    videos = videos_of(mapping)
+def plan_extraction(mapping: DataFrame, existing: DataFrame, index: DataFrame, settings: Settings, checked: DataFrame | None = None) -> Plan:
+    """`existing` has the paths of frames that are there, `index` the videos (key, path). Complete groups need no video at all. `checked` may be
+    given as `checked_videos(mapping)` where it has been stored, so that frames and problems come from one pass over the mapping."""
+    told = checked_videos(mapping) if checked is None else checked
+    videos = videos_of(mapping) if checked is None else checked.where("pos is not null").drop("problems")
     frames = mapping_frames(ranges_of(videos, settings.strict_times), settings.frames, settings.interval_seconds)
     groups = existing_counts(frames, existing.select("path"), GROUP, ["path"])
-    todo = frames.join(pending(groups).select(*GROUP), GROUP, "left_semi")
+    todo = pending_frames(frames, existing.select("path"), GROUP, ["path"])
     keyed = videos.select("row_num", "pos", "video", video_key(F.col("video")).alias("video_key")).where("video_key != ''")
     here = resolve_videos(keyed, "video", index).withColumn("was_downloaded", F.col("path").isNull() & F.lit(settings.delete_downloaded_videos))
     uses = deletable(remaining_uses(here, "video_key", ["row_num", "pos"]))
-    return Plan(videos, frames, groups, todo, uses)
+    return Plan(videos, frames, groups, todo, uses, problem_rows(told))
 
 
 def decode_plan(todo: DataFrame, index: DataFrame, fps: DataFrame) -> DataFrame:

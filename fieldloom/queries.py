@@ -233,7 +233,8 @@ def pending_groups(spark, sf):
     return frames.pending(frames.existing_counts(fx.frames(spark, sf), fx.existing(spark, sf), _GROUP, _FRAME))
 
 
-@query(f", {_COUNTS} select f.vid, f.day_night, f.vehicle, f.t from fx_frames f join counts using (vid, day_night, vehicle) where existing < total")
+@query("""select vid, day_night, vehicle, t from (select p.vid, p.day_night, p.vehicle, p.t, count(*) filter (where e.vid is null) over (partition by p.vid, p.day_night, p.vehicle) as missing
+from fx_frames p left join fx_existing e on e.vid = p.vid and e.day_night = p.day_night and e.vehicle = p.vehicle and e.t = p.t) where missing > 0""")
 def pending_frames(spark, sf):
     return frames.pending_frames(fx.frames(spark, sf), fx.existing(spark, sf), _GROUP, _FRAME).select(*_FRAME)
 
@@ -650,6 +651,18 @@ def extraction_todo(spark, sf):
     return plan_extraction(mapping, there, index, Settings()).todo.select("row_num", "pos", "t", "path")
 
 
+@query("""select row_num, null::int as pos, null as video, 'no videos' as reason, '' as detail from fx_location where row_num not in (select row_num from fx_videos)
+union all select row_num, vpos::int, video, 'bad time', 'abc' from fx_videos where vid % 11 = 0
+union all select row_num, vpos::int, video, 'unequal times', concat(n, ' and ', pairs) from fx_videos where pairs < n
+union all select row_num, vpos::int, video, case when codes = 0 then 'missing' when codes > pairs then 'too many' else 'too few' end || ' times of day', concat(codes, ' for ', pairs) from fx_videos where pairs > 0 and (codes = 0 or codes > pairs or (codes > 1 and codes < pairs))
+union all select row_num, vpos::int, video, 'end before start', concat(s, ' to ', e) from fx_pairs where e < s and not bad
+union all select row_num, vpos::int, video, 'no valid range', '' from fx_videos v where not exists (select 1 from fx_pairs p where p.vid = v.vid and valid)""")
+def mapping_problems(spark, sf):
+    from .operators.segments import checked_videos, problem_rows
+
+    return problem_rows(checked_videos(fx.mapping(spark, sf)))
+
+
 @query(f"{_BALANCED} select url from sample".replace("inv as (select * from fx_inventory)", "inv as (select * from fx_inventory where day_night = 'Day' and vehicle in ('Car', 'Bus') and continent = 'ASIA')"))
 def planned_sample(spark, sf):
     """A sample by settings: filters of place, day and vehicle, then both passes."""

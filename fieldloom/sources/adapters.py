@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections import OrderedDict
+from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -19,16 +20,26 @@ class Fetcher(Protocol):
         """The content of an address, None if it cannot be had."""
 
 
+class Opener(Protocol):
+    def __call__(self, url: str) -> bytes | Iterable[bytes] | None:
+        """The content of an address, large ones in chunks; None if it cannot be had."""
+
+
 class Decoder(Protocol):
-    def __call__(self, path: str, frames: list[int]) -> dict[int, bytes]:
-        """PNG bytes of some frames of a video."""
+    def __call__(self, path: str, frames: list[int]) -> dict[int, bytes] | Iterable[tuple[int, bytes]]:
+        """PNG bytes of some frames of a video, given in rising order; one after the other where they are many."""
 
 
 class Store(Protocol):
-    def __call__(self, path: str, content: bytes) -> None:
+    def __call__(self, path: str, content: bytes | Iterable[bytes]) -> None:
         """Puts a file in its place at once, so that no part of it is ever seen."""
 
 
+class Mover(Protocol):
+    def __call__(self, source: str, path: str) -> bool:
+        """Moves a file to its place, over what lies there. True as well if the source is gone and the file is in its place."""
+
+
 class Prober(Protocol):
     def __call__(self, path: str) -> tuple[int, int, float] | None:
         """Width, height and frames per second of a video, None if it cannot be read."""
@@ -59,14 +70,18 @@ def download(frames: DataFrame, fetch: Fetcher, store: Store, url: str = "source
 
 
 class Remembering:
-    """A fetcher that asks for each address once: what was had is given again, what failed is tried anew."""
+    """A fetcher that gives what it had lately again; what failed is tried anew. It holds `most` contents, those asked for last."""
 
-    def __init__(self, fetch: Fetcher) -> None:
-        self.fetch, self.had = fetch, {}
+    def __init__(self, fetch: Fetcher, most: int = 32) -> None:
+        self.fetch, self.most, self.had = fetch, most, OrderedDict()
 
     def __call__(self, url: str) -> bytes | None:
-        if url not in self.had and (content := self.fetch(url)) is not None:
+        if url in self.had:
+            self.had.move_to_end(url)
+        elif (content := self.fetch(url)) is not None:
             self.had[url] = content
+            if len(self.had) > self.most:
+                self.had.popitem(last=False)
         return self.had.get(url)
 
 
@@ -83,31 +98,32 @@ def folder_page(fetch: Fetcher, url: str) -> tuple[str, bytes] | None:
 
 
 def fetch_pages(wanted: DataFrame, fetch: Fetcher, url: str = "url") -> DataFrame:
-    """asked, url, html of the distinct browse pages that can be had; each task asks for an address once."""
+    """asked, url, html of the distinct browse pages that can be had; each address is asked for once, and no page is held."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        remembering = Remembering(fetch)
         for pdf in batches:
-            rows = [(u, *got) for u in pdf[url] if (got := folder_page(remembering, u))]
-            yield pd.DataFrame([(u, form, content.decode("utf-8", "replace")) for u, form, content in rows], columns=["asked", "url", "html"])
+            for u in pdf[url]:
+                if got := folder_page(fetch, u):
+                    yield pd.DataFrame({"asked": [u], "url": [got[0]], "html": [got[1].decode("utf-8", "replace")]})
 
     return wanted.select(url).distinct().mapInPandas(run, "asked string, url string, html string")
 
 
-def first_available(candidates: DataFrame, fetch: Fetcher, name: str = "name", store: Store | None = None, path: Callable[[str], str] = str) -> DataFrame:
-    """For each name the first address by priority that can be had; a failed one leads to the next. With `store` its content is put
-    at path(name) as it was fetched, so that nothing is fetched twice."""
+def first_available(candidates: DataFrame, fetch: Opener, name: str = "name", store: Store | None = None, path: Callable[[str], str] = str) -> DataFrame:
+    """For each name the first address by priority that can be had; a failed one leads to the next, also where its content cannot be stored. With
+    `store` its content is put at path(name) as it was fetched, so that nothing is fetched twice."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         for row in pdf.sort_values(["priority", "url"]).itertuples():
             try:
                 content = fetch(row.url)
-            except OSError:
-                continue
-            if content is not None:
+                if content is None:
+                    continue
                 if store is not None:
                     store(path(getattr(row, name)), content)
-                return pd.DataFrame({name: [getattr(row, name)], "url": [row.url]})
+            except OSError:
+                continue
+            return pd.DataFrame({name: [getattr(row, name)], "url": [row.url]})
         return pd.DataFrame({name: [], "url": []}, dtype=object)
 
     return candidates.select(name, "url", "priority").groupBy(name).applyInPandas(run, f"{name} string, url string")
@@ -148,41 +164,39 @@ def delete_videos(videos: DataFrame, remove: Remover, path: str = "path", downlo
     return mine.mapInPandas(run, "path string, outcome string")
 
 
-def extract(plan: DataFrame, decode: Decoder, store: Store) -> DataFrame:
-    """Decodes the planned frames of each video and stores them. Columns of the plan: video_path, frame, path.
-
-    A video's frames are decoded by one task, in one pass over the video.
-    """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("frame")
-        try:
-            got = decode(pdf["video_path"].iloc[0], [int(f) for f in pdf["frame"].unique()])
-        except OSError:
-            got = {}
-        done = []
-        for frame, path in zip(pdf["frame"], pdf["path"]):
-            if (content := got.get(int(frame))) is not None:
-                store(path, content)
-            done.append(content is not None)
-        return pd.DataFrame({"path": pdf["path"], "stored": done})
-
-    return plan.select("video_path", "frame", "path").groupBy("video_path").applyInPandas(run, "path string, stored boolean")
-
-
 class LocalStore:
     """Files below a folder that all tasks see. A file is written beside its place first, then moved there."""
 
     def __init__(self, root: str) -> None:
         self.root = root
 
-    def __call__(self, path: str, content: bytes) -> None:
-        at = os.path.join(self.root, safe_parts(*path.strip("/").split("/")))
+    def place(self, path: str) -> str:
+        return os.path.join(self.root, safe_parts(*path.strip("/").split("/")))
+
+    def __call__(self, path: str, content: bytes | Iterable[bytes]) -> None:
+        at = self.place(path)
         os.makedirs(os.path.dirname(at), exist_ok=True)
         beside = f"{at}.{os.getpid()}.tmp"
-        with open(beside, "wb") as f:
-            f.write(content)
-        os.replace(beside, at)
+        try:
+            with open(beside, "wb") as f:
+                for chunk in (content,) if isinstance(content, bytes) else content:
+                    f.write(chunk)
+            os.replace(beside, at)
+        finally:
+            if os.path.exists(beside):  # the content broke off
+                os.remove(beside)
+
+    def move(self, source: str, path: str) -> bool:
+        at = self.place(path)
+        os.makedirs(os.path.dirname(at), exist_ok=True)
+        try:
+            os.replace(self.place(source), at)
+        except FileNotFoundError:
+            return os.path.exists(at)
+        return True
+
+    def remove(self, path: str) -> bool:
+        return remove_file(self.place(path))
 
 
 def remove_file(path: str) -> bool:
@@ -203,8 +217,13 @@ class MemoryFiles:
     def fetch(self, url: str) -> bytes | None:
         return self.contents.get(url)
 
-    def store(self, path: str, content: bytes) -> None:
-        self.contents[path] = content
+    def store(self, path: str, content: bytes | Iterable[bytes]) -> None:
+        self.contents[path] = content if isinstance(content, bytes) else b"".join(content)
+
+    def move(self, source: str, path: str) -> bool:
+        if source in self.contents:
+            self.contents[path] = self.contents.pop(source)
+        return path in self.contents
 
     def remove(self, path: str) -> bool:
         return self.contents.pop(path, None) is not None
