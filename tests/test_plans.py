@@ -9,7 +9,7 @@ from fieldloom.operators import links, manifests, sampling
 from fieldloom.operators.filters import location_rows
 from fieldloom.plans.extraction import decode_plan, plan_extraction
 from fieldloom.plans.sample import sample_manifest, save_sample
-from fieldloom.sources import adapters, folders, logs
+from fieldloom.sources import adapters, folders, frames_out, logs
 from fieldloom.sources.inventory import add_video, remove_video, scan_files, video_index
 from fieldloom.sources.mapping import numbered, read_mapping, require_columns
 from fieldloom.sources.settings import Settings, complete, read_settings
@@ -55,8 +55,8 @@ def test_mapping_to_frames_and_rerun(spark, mapping):
     fps = spark.createDataFrame([("/v/va.mp4", 29.97)], "path string, fps double")
     todo = decode_plan(plan.todo, index, fps)
     files = adapters.MemoryFiles({})
-    out = adapters.extract(todo, lambda path, frames: {f: b"png" for f in frames if f < 1000}, files.store).collect()
-    assert len(out) == 7 and sum(r.stored for r in out) == 5
+    out = frames_out.stage(todo, lambda path, frames: {f: b"png" for f in frames if f < 1000}, files.store).collect()
+    assert len(out) == 7 and sum(r.at is not None for r in out) == 5 and {r.reason for r in out} == {None, "not decoded"}
 
 
 def test_mapping_checks(spark, tmp_path):
