@@ -5,7 +5,9 @@ Every random order is the order of md5 over seed, level and key, so a sample is
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,10 +80,37 @@ def first_pass(inventory: DataFrame, folders: DataFrame, cities: DataFrame, targ
     return frames.withColumn("pick", F.row_number().over(Window.partitionBy(*LEVELS).orderBy(*walk_order(seed)))).where(F.col("pick") <= quota)
 
 
-def fill_pass(inventory: DataFrame, taken: DataFrame, remaining: int, seed: str, per_folder: int = 5) -> DataFrame:
-    """Frames not taken yet, city by city in a new order, at most so many from each folder, until nothing is missing."""
-    left = cap_per_folder(inventory.join(taken.select("url"), "url", "left_anti"), per_folder, seed)
-    return left.orderBy(draw(seed, "fill", *LEVELS), *walk_order(seed)).limit(max(0, remaining))
+def fill_folders(folders: DataFrame, taken: DataFrame, remaining: int, seed: str, per_folder: int) -> DataFrame:
+    """The folders, in the fill pass' order, that are needed until so many frames are there.
+
+    What folders have left, by their counts, is added up city by city, then folder by folder within the cities that are reached. A row for each city is
+    added up in one task; folders are only ordered within cities that are reached, at most `remaining` of them.
+    """
+    used = taken.groupBy(*FOLDER).agg(F.count("*").alias("used"))
+    same = reduce(and_, (folders[c].eqNullSafe(used[c]) for c in FOLDER))
+    left = folders.join(used, same, "left").select(*(folders[c] for c in FOLDER), F.least(folders["n"] - F.coalesce("used", F.lit(0)), F.lit(per_folder)).alias("n")).where("n > 0")
+    turn = Window.orderBy(draw(seed, "fill", *LEVELS), *LEVELS).rowsBetween(Window.unboundedPreceding, -1)
+    cities = left.groupBy(*LEVELS).agg(F.sum("n").alias("own")).withColumn("before", F.coalesce(F.sum("own").over(turn), F.lit(0))).where(F.col("before") < remaining)
+    earlier = Window.partitionBy(*LEVELS).orderBy(*walk_order(seed)[:3], *FOLDER[4:]).rowsBetween(Window.unboundedPreceding, -1)
+    reached = left.join(cities.drop("own"), list(LEVELS)).withColumn("__before", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return reached.where(F.col("__before") < remaining).select(*FOLDER)
+
+
+def fill_pass(inventory: DataFrame, folders: DataFrame, taken: DataFrame, remaining: int, seed: str, per_folder: int = 5) -> DataFrame:
+    """Frames not taken yet, city by city in a new order, at most so many from each folder, until nothing is missing.
+
+    Folders' counts (`n`) tell which folders are needed; only their frames are ranked. Where addresses stand on several rows, counts are too
+    high, and more folders are taken until there are frames enough or no folders are left.
+    """
+    want, n_folders = remaining, None
+    while True:
+        needed = cut(fill_folders(folders, taken, want, seed, per_folder))
+        left = cap_per_folder(inventory.join(needed, list(FOLDER), "left_semi").join(taken.select("url"), "url", "left_anti"), per_folder, seed)
+        found = cut(left.orderBy(draw(seed, "fill", *LEVELS), *walk_order(seed)).limit(max(0, remaining)))
+        before, n_folders = n_folders, needed.count()
+        if found.count() >= remaining or n_folders == before:
+            return found
+        want *= 4
 
 
 def balanced_sample(inventory: DataFrame, target: int, seed: str, per_folder: int = 1, fill_per_folder: int = 5, folders: int = 5000) -> DataFrame:
@@ -95,8 +124,7 @@ def balanced_sample(inventory: DataFrame, target: int, seed: str, per_folder: in
     n = one.count()
     if n >= target:
         return random_first(one.dropDuplicates(["url"]), target, seed, "final", "url")
-    near = inventory.join(walked.select(*FOLDER), list(FOLDER), "left_semi")
-    both = one.unionByName(fill_pass(near, one, target - n, seed, fill_per_folder).select(*columns))
+    both = one.unionByName(fill_pass(inventory, walked, one, target - n, seed, fill_per_folder).select(*columns))
     return random_first(both.dropDuplicates(["url"]), target, seed, "final", "url")
 
 

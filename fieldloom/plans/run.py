@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import basename
 from ..operators.frames import resolve_videos
-from ..operators.links import direct_urls
+from ..operators.links import direct_urls, locate
 from ..operators.segments import checked_videos
 from ..sources.adapters import Decoder, Mover, Opener, Prober, Remover, Store, delete_videos, first_available, probe
-from ..sources.folders import once, shared_folder
+from ..sources.folders import cut, once, shared_folder
 from ..sources.frames_out import complete_groups, promote, remove_staged, stage
 from ..sources.inventory import add_video, remove_video, video_index
 from ..sources.logs import logger
 from ..sources.settings import Settings
 from .extraction import GROUP, decode_plan, plan_extraction
-from .lookup import video_sources
+from .lookup import walked_files
 
 REASONS = ("no videos", "bad time", "unequal times", "end before start", "no valid range")
 
@@ -66,12 +66,13 @@ def available_videos(wanted: DataFrame, index: DataFrame, sources: Sources, outs
     extension = F.when(F.lower("video").endswith(".mp4"), "").otherwise(".mp4")
     named = here.withColumn("name", F.concat(F.trim("video"), extension))
     absent = named.where(F.col("path").isNull() & ~F.col("name").rlike(r"(^|/)\s*\.{0,2}\s*(/|$)|\\")).select("name").distinct()
-    if sources.edges is not None:
-        tried = video_sources(sources.edges, sources.roots, absent, settings, sources.aliases)
-    else:
-        tried = direct_urls(absent, settings.base_url, sources.aliases)
     root = settings.videos.rstrip("/")
-    had = first_available(tried, outside.fetch, "name", outside.store, lambda name: f"{root}/{name}")
+    fetched = lambda tried: first_available(tried, outside.fetch, "name", outside.store, lambda name: f"{root}/{name}")
+    had = cut(fetched(direct_urls(absent, settings.base_url, sources.aliases)))
+    left = absent.join(had, "name", "left_anti")
+    if sources.edges is not None and not left.isEmpty():  # only what has no direct address is walked for
+        found = locate(walked_files(sources.edges, sources.roots, settings), left, each=True)
+        had = had.unionByName(fetched(found))
     told = named.join(had, "name", "left")
     path = F.coalesce("path", F.when(F.col("url").isNotNull(), F.concat(F.lit(f"{root}/"), "name")))
     return told.select("video_key", "video", path.alias("path"), "url", F.col("url").isNotNull().alias("was_downloaded"))

@@ -38,14 +38,15 @@ def plan_sample(inventory: DataFrame, settings: Settings) -> DataFrame:
     return sample
 
 
-def sample_manifest(inventory: DataFrame, settings: Settings) -> DataFrame:
-    return manifest(plan_sample(inventory, settings), settings.local_output_root, ["url"])
+def sample_manifest(inventory: DataFrame, settings: Settings, taken: DataFrame | None = None) -> DataFrame:
+    """The manifest of a sample; `taken` (column `name`) are names of files that lie in the output folder already."""
+    return manifest(plan_sample(inventory, settings), settings.local_output_root, ["url"], taken)
 
 
-def save_sample(inventory: DataFrame, settings: Settings, path: str) -> DataFrame:
-    """The manifest of a sample; also written to `path` if the settings ask for it."""
-    rows = sample_manifest(inventory, settings)
+def save_sample(inventory: DataFrame, settings: Settings, path: str, taken: DataFrame | None = None) -> DataFrame:
+    """The manifest of a sample; also written to `path`, or to a free name beside it, if the settings ask for it."""
+    rows = sample_manifest(inventory, settings, taken)
     if settings.save_manifest:
         rows = cut(rows)
-        write_manifest(rows, path, overwrite=True)
+        write_manifest(rows, path)
     return rows

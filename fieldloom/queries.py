@@ -337,6 +337,19 @@ def collision_suffix(spark, sf):
     return manifests.without_collisions(named, "name", ["url"]).select("url", "local_name")
 
 
+@query("""
+, named as (select url, concat(day_night, '_', city, '.png') as name, row_number() over (partition by city, day_night order by url) - 1 as k from fx_inventory),
+there as (select concat('Day_', locality, x, '.png') as name from fx_location, (values (''), ('_1'), ('_3')) t(x) where c_custkey % 3 = 0),
+tried as (select name, case when i = 0 then name else concat(name[:-5], '_', i, '.png') end as made, i from (select name, unnest(range(max(k) + 5)) as i from named group by name)),
+free as (select name, made, row_number() over (partition by name order by i) - 1 as k from tried where made not in (select name from there))
+select url, made as local_name from named join free using (name, k)""")
+def free_names(spark, sf):
+    """Of some names three are taken."""
+    named = fx.inventory(spark, sf).select("url", F.concat("day_night", F.lit("_"), "city", F.lit(".png")).alias("name"))
+    there = fx.locations(spark, sf).where("c_custkey % 3 = 0").select(F.explode(F.array(*(F.concat(F.lit("Day_"), "locality", F.lit(x)) for x in (".png", "_1.png", "_3.png")))).alias("name"))
+    return manifests.without_collisions(named, "name", ["url"], taken=there).select("url", "local_name")
+
+
 @query(f"{_BALANCED} select concat('random_frames/', filename) as local_path, url as source_url, alias, continent, country, state, city, day_night, vehicle, video_id, filename as file_name from sample")
 def manifest(spark, sf):
     return manifests.manifest(sampling.balanced_sample(fx.inventory(spark, sf), TARGET, SEED), "random_frames", ["url"])

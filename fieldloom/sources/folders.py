@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.codes import IMAGE_EXTENSIONS
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,16 +49,6 @@ def safe_parts(*parts: str) -> str:
     return "/".join(parts)
 
 
-def free_name(path: str) -> str:
-    """The path, or with _1, _2, ... before its extension the first that is not taken."""
-    stem, dot = os.path.splitext(path)
-    n, at = 0, path
-    while os.path.exists(at):
-        n += 1
-        at = f"{stem}_{n}{dot}"
-    return at
-
-
 def refuse_precious(path: str) -> Path:
     """The path, unless it is the root, the home folder or the working folder (or above one of them)."""
     at = Path(path).resolve()
@@ -64,18 +58,67 @@ def refuse_precious(path: str) -> Path:
     return at
 
 
-def clean_output(path: str, suffixes: tuple[str, ...] = (".png", ".jpg", ".jpeg", ".webp", ".csv", ".tmp")) -> dict[str, int]:
-    """Deletes images, their temporary files and manifests below a local folder, then empty folders; tells what was done."""
-    at, done = refuse_precious(path), {"deleted": 0, "failed": 0, "missing": 0}
-    if not at.is_dir():
-        return done | {"missing": 1}
-    for f in sorted(at.rglob("*"), reverse=True):
-        try:
-            if f.is_file() and f.suffix.lower() in suffixes:
-                f.unlink()
-                done["deleted"] += 1
-            elif f.is_dir() and not any(f.iterdir()):
-                f.rmdir()
-        except OSError:
-            done["failed"] += 1
+def own_outputs(spark: SparkSession, path: str) -> DataFrame:
+    """path of the files below a folder that a sampling run leaves: images, images that were not finished, manifests. Listed by Spark, on any store that
+    Hadoop knows, so without those whose name begins with `_` or `.`; files are not read. None if there is no such folder."""
+    at, endings = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), "|".join(IMAGE_EXTENSIONS)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], "path string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return files.where(F.lower("path").rlike(rf"\.(?:(?:{endings})(?:\.tmp)?|csv)$"))
+
+
+def clean_output(spark: SparkSession, path: str, remove: Callable[[str], bool], remove_folder: Callable[[str], bool] | None = None) -> DataFrame:
+    """path and outcome (deleted, missing, failed) of the files that earlier runs have left below a folder, deleted in tasks. Other files stay. With
+    `remove_folder`, which deletes a folder if it is empty, folders that are left empty go too, the deepest first; that is not done for stores without folders.
+
+    Refused are the root, the home folder and the working folder.
+    """
+    if "://" not in path:
+        refuse_precious(path)
+    outcome = lambda rows, how: cut(rows.mapInPandas(_removing(how), "path string, outcome string"))
+    done = outcome(own_outputs(spark, path), remove)
+    if remove_folder is not None:
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toString()
+        above = lambda rows: rows.where("outcome = 'deleted'").select(F.regexp_replace("path", "/[^/]*$", "").alias("path")).distinct().where(F.col("path").startswith(at.rstrip("/") + "/"))
+        empty = above(done)
+        while not empty.isEmpty():  # a round for each level of folders
+            empty = above(outcome(empty, remove_folder))
     return done
+
+
+def _removing(how: Callable[[str], bool]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            done = []
+            for p in pdf["path"]:
+                try:
+                    done.append("deleted" if how(p) else "missing")
+                except OSError:
+                    done.append("failed")
+            yield pd.DataFrame({"path": pdf["path"], "outcome": done})
+
+    return run
+
+
+def local_path(path: str) -> str:
+    """The path in the file system that all tasks see of one that Spark lists with `file:`; such paths are not encoded."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:/") else path
+
+
+def remove_local(path: str) -> bool:
+    try:
+        os.remove(local_path(path))
+        return True
+    except FileNotFoundError:
+        return False
+
+
+def remove_empty_local(path: str) -> bool:
+    """Deletes a folder if nothing is in it."""
+    at = local_path(path)
+    if not os.path.isdir(at) or os.listdir(at):
+        return False
+    os.rmdir(at)
+    return True
