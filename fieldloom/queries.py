@@ -407,11 +407,12 @@ def crawl_first_pages(spark, sf):
     return links.reachable(edges.where(~urls.is_file_link(F.col("child"))), _root(spark), pages=20)
 
 
-@query("select concat('n', i) as node, i::int as depth from range(71) t(i)", False)
+@query("select concat('n', n_nationkey) as node, n_nationkey::int as depth from nation", False)
 def crawl_deep(spark, sf):
-    """A chain, deeper than any tree of folders."""
-    chain = spark.range(70).select(F.concat(F.lit("n"), "id").alias("parent"), F.concat(F.lit("n"), (F.col("id") + 1).cast("string")).alias("child"))
-    return links.reachable(chain.coalesce(1), spark.createDataFrame([("n0",)], "node string"))
+    """The nations as a chain, deeper than any tree of folders."""
+    n = F.col("n_nationkey")
+    chain = fx.table(spark, sf, "nation").where("n_nationkey > 0").select(F.concat(F.lit("n"), n - 1).alias("parent"), F.concat(F.lit("n"), n).alias("child"))
+    return links.reachable(chain, spark.createDataFrame([("n0",)], "node string"))
 
 
 def _wanted(spark, sf):
@@ -529,22 +530,34 @@ def _sql_text(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
+def _cases(values: list[str | None], key: str) -> F.Column:
+    """Each row's case of a list, by its key."""
+    return F.get(F.array(*(F.lit(v) for v in values)), F.col(key) % len(values))
+
+
+def _cases_sql(values: list[str | None], key: str) -> str:
+    return f"([{', '.join('null' if v is None else _sql_text(v) for v in values)}])[{key} % {len(values)} + 1]"
+
+
 _NAMES = [*countries.CORRECTIONS, "Kosovo", "France", "Atlantis", "Germany"]
 
 
-@query(f"select country, case country {' '.join(f'when {_sql_text(a)} then {_sql_text(b)}' for a, b in countries.CORRECTIONS.items())} else country end as corrected from (select unnest([{', '.join(map(_sql_text, _NAMES))}]) as country)", False)
+@query(f"select c_custkey, country, case country {' '.join(f'when {_sql_text(a)} then {_sql_text(b)}' for a, b in countries.CORRECTIONS.items())} else country end as corrected from (select c_custkey, case when c_custkey % 2 = 0 then n_name else {_cases_sql(_NAMES, 'c_custkey')} end as country from customer join nation on n_nationkey = c_nationkey)", False)
 def country_corrections(spark, sf):
-    return spark.createDataFrame([(n,) for n in _NAMES], "country string").select("country", countries.correct_country(F.col("country")).alias("corrected"))
+    """Of each customer the nation, or one of the names that are corrected."""
+    own = fx.table(spark, sf, "customer").join(F.broadcast(fx.table(spark, sf, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))
+    country = F.when(F.col("c_custkey") % 2 == 0, F.col("n_name")).otherwise(_cases(_NAMES, "c_custkey"))
+    return own.select("c_custkey", country.alias("country")).withColumn("corrected", countries.correct_country(F.col("country")))
 
 
 _ISO_SQL = f"(values {', '.join(f'({_sql_text(a)}, {_sql_text(b)}, {_sql_text(c)})' for a, b, c in countries.ISO)}) iso(name, a2, a3)"
 
 
-@query(f"select n as country, case when n = 'Kosovo' then 'XK' else coalesce(a2, 'Country not found') end as iso2, case when n = 'Kosovo' then 'XKX' else coalesce(a3, 'Country not found') end as iso3, name as country_name from (select unnest([{', '.join(map(_sql_text, _NAMES))}]) as n) left join {_ISO_SQL} on name = n", False)
+@query(f"select c_custkey, n as country, case when n = 'Kosovo' then 'XK' else coalesce(a2, 'Country not found') end as iso2, case when n = 'Kosovo' then 'XKX' else coalesce(a3, 'Country not found') end as iso3, name as country_name from (select c_custkey, {_cases_sql(_NAMES, 'c_custkey')} as n from customer) left join {_ISO_SQL} on name = n", False)
 def iso_codes(spark, sf):
     iso = countries.iso_table(spark)
-    coded = countries.with_codes(spark.createDataFrame([(n,) for n in _NAMES], "country string"), "country", iso)
-    return countries.with_country_name(coded.withColumn("low", F.lower("iso3")), "low", iso).select("country", "iso2", "iso3", "country_name")
+    coded = countries.with_codes(fx.table(spark, sf, "customer").select("c_custkey", _cases(_NAMES, "c_custkey").alias("country")), "country", iso)
+    return countries.with_country_name(coded.withColumn("low", F.lower("iso3")), "low", iso).select("c_custkey", "country", "iso2", "iso3", "country_name")
 
 
 @query("select p_partkey, case when contains('abc', p_name) or contains(p_name, 'abc') then 'k1' when contains('part', p_name[:2]) or contains(p_name[:2], 'part') then 'k2' end as found from (select p_partkey, case when p_partkey % 3 = 0 then 'xabcx' when p_partkey % 3 = 1 then 'pa' else 'zz' end as p_name from part)", False)
@@ -554,15 +567,16 @@ def dict_search(spark, sf):
     return fx.table(spark, sf, "part").select("p_partkey", lists.search_map(table, needle).alias("found"))
 
 
-_VALUES = ["0", "day", " DayTime ", "1", "night", "1.9", "2", "ALL", "[]", "dusk", "nan", "Car", "cAR", "bus", "13", "14"]
+_FILTERS = [
+    ("0", "Day", "Car"), ("day", "Day", "day"), (" DayTime ", "Day", "DayTime"), ("1", "Night", "Bus"), ("night", "Night", "night"), ("1.9", "Night", "Bus"), ("2", "2", "Truck"), ("ALL", None, None), ("[]", None, None),
+    ("dusk", "dusk", "dusk"), ("nan", None, None), ("Car", "Car", "Car"), ("cAR", "cAR", "Car"), ("bus", "bus", "Bus"), ("13", "13", "Pedestrian"), ("14", "14", "14"),
+]
 
 
-@query(
-    "select * from (values ('0', 'Day', 'Car'), ('day', 'Day', 'day'), (' DayTime ', 'Day', 'DayTime'), ('1', 'Night', 'Bus'), ('night', 'Night', 'night'), ('1.9', 'Night', 'Bus'), ('2', '2', 'Truck'), ('ALL', null, null), ('[]', null, null), ('dusk', 'dusk', 'dusk'), ('nan', null, null), ('Car', 'Car', 'Car'), ('cAR', 'cAR', 'Car'), ('bus', 'bus', 'Bus'), ('13', '13', 'Pedestrian'), ('14', '14', '14')) t(v, day_night, vehicle)",
-    False,
-)
+@query(f"select o_orderkey, {', '.join(f'{_cases_sql([r[i] for r in _FILTERS], "o_orderkey")} as {c}' for i, c in enumerate(('v', 'day_night', 'vehicle')))} from orders", False)
 def filter_values(spark, sf):
-    return spark.createDataFrame([(v,) for v in _VALUES], "v string").select("v", text.day_filter(F.col("v")).alias("day_night"), text.vehicle_filter(F.col("v")).alias("vehicle"))
+    rows = fx.table(spark, sf, "orders").select("o_orderkey", _cases([r[0] for r in _FILTERS], "o_orderkey").alias("v"))
+    return rows.withColumns({"day_night": text.day_filter(F.col("v")), "vehicle": text.vehicle_filter(F.col("v"))})
 
 
 @query("select p_partkey, case when p_size % 5 > 0 and p_partkey % 3 > 0 then concat(p_size % 5, 'x', p_partkey % 3) else 'unknown' end as resolution from part", False)
@@ -570,72 +584,71 @@ def video_resolution(spark, sf):
     return fx.table(spark, sf, "part").select("p_partkey", text.resolution((F.col("p_size") % 5).cast("int"), (F.col("p_partkey") % 3).cast("int")).alias("resolution"))
 
 
-def _values_sql(rows: list[tuple], *names: str) -> str:
-    cell = lambda v: "null" if v is None else _sql_text(v) if isinstance(v, str) else str(v)
-    return f"select * from (values {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) t({', '.join(names)})"
-
+_KEYS = [("Straße", "strasse"), (" STRASSE ", "strasse"), ("ΟΔΟΣ", "οδοσ"), ("οδός", "οδόσ"), ("A  b/C", "a b_c"), ("ﬁn", "fin"), ("ı", "ı"), ("{}x", "{}x"), ("", "")]
 
-_KEYS = [("Straße", "strasse"), (" STRASSE ", "strasse"), ("ΟΔΟΣ", "οδοσ"), ("οδός", "οδόσ"), ("A  b/C", "a b_c"), ("ﬁn", "fin"), ("ı", "ı"), ("{}", "unknown"), (None, "unknown")]
 
-
-@query(_values_sql(_KEYS, "v", "key"), False)
+@query(f"select p_partkey, concat(v, ' ', p_name) as v, ltrim(concat(key, ' ', lower(p_name))) as key from (select p_partkey, p_name, {_cases_sql([k for k, _ in _KEYS], 'p_partkey')} as v, {_cases_sql([k for _, k in _KEYS], 'p_partkey')} as key from part)", False)
 def match_keys(spark, sf):
-    return spark.createDataFrame([(v,) for v, _ in _KEYS], "v string").select("v", text.match_key(F.col("v")).alias("key"))
+    rows = fx.table(spark, sf, "part").select("p_partkey", F.concat(_cases([k for k, _ in _KEYS], "p_partkey"), F.lit(" "), "p_name").alias("v"))
+    return rows.withColumn("key", text.match_key(F.col("v")))
 
 
-_VIDEOS = [("a/b.c.mp4", "a_b.c"), (" x.MP4 ", "x"), ("all", None), ("[]", None), (".x", ".x"), ("a", "a"), (None, None)]
+_VIDEO_FORMS = [("a/b.c", ".mp4"), (" x", ".MP4 "), ("all", None), ("[]", None), (".x", ""), ("a", "")]
 
 
-@query(_values_sql(_VIDEOS, "v", "video"), False)
+@query("select p_partkey, case p_partkey % 6 when 0 then concat('a_b.c', p_name) when 1 then concat('x', p_name) when 4 then concat('.x', p_name) when 5 then concat('a', p_name) end as video from part", False)
 def video_filters(spark, sf):
-    return spark.createDataFrame([(v,) for v, _ in _VIDEOS], "v string").select("v", text.video_filter(F.col("v")).alias("video"))
-
+    before, after = (_cases([f[i] for f in _VIDEO_FORMS], "p_partkey") for i in (0, 1))
+    video = F.when(after.isNull(), before).otherwise(F.concat(before, "p_name", after))
+    return fx.table(spark, sf, "part").select("p_partkey", text.video_filter(video).alias("video"))
 
-_ANCHORS = [("  ", "http://h/a/b%20c/", "b c"), (" Name ", "/a/b", "Name"), (None, "/a/x%zzy", "x%zzy"), ("", "http://h/v/%C3%BC?q=/z", "ü")]
 
-
-@query(_values_sql(_ANCHORS, "label", "url", "name"), False)
+@query("select page_id, case page_id % 4 when 1 then concat('Name ', url) else 'ü x' end as name from pages", False)
 def anchor_names(spark, sf):
-    return spark.createDataFrame([r[:2] for r in _ANCHORS], "label string, url string").select("label", "url", urls.anchor_name(F.col("label"), F.col("url")).alias("name"))
+    label = F.when(F.col("page_id") % 4 == 0, "\t \n").when(F.col("page_id") % 4 == 1, F.concat(F.lit("\u00a0Name "), "url", F.lit(" "))).when(F.col("page_id") % 4 == 2, "")
+    url = F.concat(F.regexp_extract("url", "^([^?#]*)", 1), F.lit("/%C3%BC%20x/?q=/z"))
+    return fx.table(spark, sf, "pages").select("page_id", urls.anchor_name(label, url).alias("name"))
 
 
-# What RFC 3986 gives for them.
-_JOINS = [
-    ("http://h/v/a/browse/x/", "../y", "http://h/v/a/browse/y"), ("http://h/v/a/browse/x/", "../../y/./z/..", "http://h/v/a/y/"), ("http://h/v/a/browse/x", "y", "http://h/v/a/browse/y"),
-    ("http://h/v/a", "../../../z", "http://h/z"), ("http://h/v/a/", "./", "http://h/v/a/"), ("http://h/v/a/?q=1", "#f", "http://h/v/a/?q=1#f"), ("http://h/v/a/b?q=1", "?r=../s", "http://h/v/a/b?r=../s"),
-    ("http://h/v/", "/w/../x?a=/../b", "http://h/x?a=/../b"), ("http://h", "y", "http://h/y"), ("http://h/v/", "//o/z", "http://o/z"), ("http://h/v/", "ftp://o/z", "ftp://o/z"), ("http://h/v/x", "", "http://h/v/x"),
-]
+# What RFC 3986 gives for them; b: the address without query and fragment, o: its origin, f: its folder, u: the folder above, s: its scheme.
+_JOINS = {
+    "../y": "concat(o, u, 'y')", "../../y/./z/..": "concat(o, regexp_replace(u, '[^/]+/$', ''), 'y/')", "y?q=1": "concat(o, f, 'y?q=1')", "../../../../../z": "concat(o, '/z')", "./": "concat(o, f)", "a/./b/../c/.": "concat(o, f, 'a/c/')",
+    "#f": "concat(regexp_replace(url, '#.*$', ''), '#f')", "?r=../s": "concat(b, '?r=../s')", "/w/../x?a=/../b": "concat(o, '/x?a=/../b')", "//o/z": "concat(s, '//o/z')", "ftp://o/z": "'ftp://o/z'", "": "url",
+}
 
 
-@query(_values_sql(_JOINS, "page", "href", "url"), False)
+@query(f"""with p as (select url, regexp_extract(url, '^[^?#]*') as b, regexp_extract(url, '^[a-z]+://[^/?#]*') as o, regexp_extract(url, '^[a-z]+:') as s from pages),
+q as (select *, regexp_replace(substr(b, length(o) + 1), '[^/]*$', '') as f from p), r as (select *, regexp_replace(f, '[^/]+/$', '') as u from q)
+{' union all '.join(f"select url as page, {_sql_text(h)} as href, {sql} as url from r" for h, sql in _JOINS.items())}""", False)
 def joined_urls(spark, sf):
-    return spark.createDataFrame([r[:2] for r in _JOINS], "page string, href string").select("page", "href", urls.join(F.col("page"), F.col("href")).alias("url"))
+    rows = fx.table(spark, sf, "pages").select(F.col("url").alias("page"), F.explode(F.array(*map(F.lit, _JOINS))).alias("href"))
+    return rows.withColumn("url", urls.join(F.col("page"), F.col("href")))
 
 
-_LISTS = [("Day, Night", 1, "Day|Night", "Night"), ("[]", 1, "", None), (" ", 1, "", None), ("x", 1, "x", None), (None, 0, "", None), ("a,,b ,c", 1, "a|b|c", "b")]
-
-
-@query(_values_sql(_LISTS, "v", "n_scalar", "parts", "second"), False)
+@query("""select p_partkey, (v is not null)::int as n_scalar, parts, second from (select p_partkey, case p_partkey % 6 when 0 then concat(p_name, ', ', p_type) when 1 then '[]' when 2 then ' ' when 3 then p_name when 5 then concat(p_name, ',,b ,c') end as v,
+case p_partkey % 6 when 0 then concat(p_name, '|', p_type) when 3 then p_name when 5 then concat(p_name, '|b|c') else '' end as parts, case p_partkey % 6 when 0 then p_type when 5 then 'b' end as second from part)""", False)
 def list_cells(spark, sf):
+    k, name = F.col("p_partkey") % 6, F.col("p_name")
+    cell = F.when(k == 0, F.concat(name, F.lit(", "), "p_type")).when(k == 1, "[]").when(k == 2, " ").when(k == 3, name).when(k == 5, F.concat(name, F.lit(",,b ,c")))
     v, parts = F.col("v"), lists.as_filter_list(F.col("v"))
-    return spark.createDataFrame([r[:1] for r in _LISTS], "v string").select("v", F.size(lists.as_list(v)).alias("n_scalar"), F.array_join(parts, "|").alias("parts"), lists.pick(parts, F.lit(1)).alias("second"))
-
-
-_WANTED = [("Car|all", ""), ("unknown", ""), ("cAR|0|Bus|bus", "Car|Bus"), ("13|tram", "Pedestrian|tram"), ("", "")]
+    return fx.table(spark, sf, "part").select("p_partkey", cell.alias("v")).select("p_partkey", F.size(lists.as_list(v)).alias("n_scalar"), F.array_join(parts, "|").alias("parts"), lists.pick(parts, F.lit(1)).alias("second"))
 
 
-@query(_values_sql(_WANTED, "given", "wanted"), False)
+@query("select p_partkey, case p_partkey % 5 when 2 then concat('Car|Bus|', p_name) when 3 then concat('Pedestrian|', p_name) when 4 then p_name else '' end as wanted from part", False)
 def wanted_values(spark, sf):
-    rows = spark.createDataFrame([r[:1] for r in _WANTED], "given string")
-    return rows.select("given", F.array_join(lists.wanted(F.split("given", r"\|"), text.vehicle_filter), "|").alias("wanted"))
+    """A wildcard takes all; `unknown` is no value; codes and names in any case are the same vehicle."""
+    given = F.concat(_cases(["Car|all|", "unknown|null|unknown", "cAR|0|Bus|bus|", "13|", "unknown|"], "p_partkey"), F.when(F.col("p_partkey") % 5 != 1, F.concat("p_name", F.lit("|"), "p_name")).otherwise(""))
+    return fx.table(spark, sf, "part").select("p_partkey", F.array_join(lists.wanted(F.split(given, r"\|"), text.vehicle_filter), "|").alias("wanted"))
 
 
-_TREE = {"Asia": {"India": {"DL": ["New Delhi", "New Delhi"], "KA": "all"}, "Japan": None}, "Europe": {"Germany": {"unknown": "A, B"}, "Fr:ance": {"x": {}}}}
+_TREE = {"ASIA": {"NATION_2": {"BUILDING": ["Customer#000000017", "Customer#000000097"], "unknown": "all"}, "NATION_12": None}, "EUROPE": {"NATION_3": {"unknown": "no such city, Customer#000000008"}, "NATION_8": {"MACHI:NERY": {}, "FURNITURE": {}}}, "Africa": "all"}
 
 
-@query(_values_sql([("Asia", "India", "DL", "New Delhi"), ("Asia", "India", "KA", None), ("Asia", "Japan", None, None), ("Europe", "Germany", "unknown", "A"), ("Europe", "Germany", "unknown", "B"), ("Europe", "Fr_ance", "x", None)], "continent", "country", "state", "city"), False)
+@query("""select c_custkey from fx_location where (continent = 'ASIA' and (country = 'NATION_12' or (country = 'NATION_2' and (state = 'unknown' or (state = 'BUILDING' and locality in ('Customer#000000017', 'Customer#000000097'))))))
+or (continent = 'EUROPE' and ((country = 'NATION_3' and state = 'unknown' and locality in ('no such city', 'Customer#000000008')) or (country = 'NATION_8' and state in ('MACHI_NERY', 'FURNITURE'))))""")
 def location_tree(spark, sf):
-    return filters.location_filters(spark, _TREE)
+    """The places that a tree of settings covers."""
+    return filters.matching(_cities(spark, sf), filters.location_filters(spark, _TREE)).select("c_custkey")
 
 
 _MAPPED = """with m as (select row_number() over (order by n_nationkey) + 1 as row_num, n_nationkey as k, n_name as country, case when n_nationkey % 2 = 0 then '' else 's' end as state from nation)"""

@@ -102,3 +102,13 @@ def test_folded_letters(spark):
     letters = [c for c in map(chr, range(32, 0x2000)) if c.isalpha() and not 0x13A0 <= ord(c) < 0x1400]  # not Cherokee
     got = values(spark, letters, text.folded(F.col("v")))
     assert [c for c, g in zip(letters, got) if unicodedata.normalize("NFC", g) != unicodedata.normalize("NFC", c.casefold())] == []
+
+
+def test_names_of_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from fieldloom.functions import text, urls
+
+    rows = [(None, None, "/a/x%zzy"), ("{}", "a/b.c.mp4", "http://h/v/"), (" ", " x.MP4 ", "http://h/a/b%20c/")]
+    got = spark.createDataFrame(rows, "v string, w string, u string").select(text.match_key(F.col("v")).alias("k"), text.video_filter(F.col("w")).alias("f"), urls.anchor_name(F.lit(None).cast("string"), F.col("u")).alias("a")).collect()
+    assert [tuple(r) for r in got] == [("unknown", None, "x%zzy"), ("unknown", "a_b.c", "v"), ("unknown", "x", "b c")]
