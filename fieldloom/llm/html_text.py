@@ -57,15 +57,20 @@ HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mte
 #: A tag that closes itself, which holds in drawings and formulas; at the end of a value without quotes the slash belongs to it.
 CLOSED = re.compile(r"(?<!=)(?:^|[\s\"'])/\Z|\A[^=]*/\Z|\s[^\s=\"']+/\Z")
 
-# Style sheets: the screen that conditions are tried on, and the values of the two properties that count here.
+# Style sheets: the screen that conditions are tried on, and the values of the properties that count here.
 SCREEN = {"width": 1280.0, "height": 800.0, "orientation": "landscape", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "scripting": "none"}
 COMMON = "inherit initial unset revert revert-layer"
 VALUES = {
     "display": frozenset(f"{COMMON} none contents block inline inline-block flow-root flex inline-flex grid inline-grid list-item run-in table inline-table table-row table-cell table-caption table-column table-column-group table-row-group table-header-group table-footer-group ruby ruby-base ruby-text -webkit-box -webkit-flex -webkit-inline-box -ms-flexbox -ms-grid math".split()),
     "visibility": frozenset(f"{COMMON} visible hidden collapse".split()),
+    "white-space": frozenset(f"{COMMON} normal nowrap pre pre-wrap pre-line break-spaces".split()),
 }
+#: Values of `display` that make no block of an element, and what white space values keep: all, line ends, or nothing.
+IN_LINE = frozenset("inline inline-block inline-flex inline-grid inline-table -webkit-inline-box contents run-in ruby ruby-base ruby-text math initial unset".split())
+KEEPS = {"pre": "all", "pre-wrap": "all", "break-spaces": "all", "pre-line": "lines", "normal": "", "nowrap": "", "initial": ""}
+CONTROLS = frozenset("button select meter progress".split())
 COMMENT, CSS = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL), re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|\\.|[{};]", re.DOTALL)
-DECLARED = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+)(?:\s+[a-z-]+)?\s*(!\s*important)?\s*", re.I)
+DECLARED = re.compile(r"\s*(display|visibility|white-space)\s*:\s*([a-z-]+)(?:\s+[a-z-]+)?\s*(!\s*important)?\s*", re.I)
 _IDENT = r"(?:[\w-]|[^\x00-\x7f]|\\[0-9a-fA-F]{1,6}\s?|\\.)++"
 SIMPLE = re.compile(rf"(\*)|([#.]?)({_IDENT})|\[\s*([\w-]+)\s*(?:([~|^$*]?=)\s*(\"[^\"]*\"|'[^']*'|[^\]\s]+)\s*[is]?\s*)?\]", re.I)
 COMBINED = re.compile(r"\s*(>)\s*|\s+")
@@ -173,7 +178,7 @@ def _meets(condition: tuple, tag: str, a: dict[str, str], classes: list[str]) ->
 
 
 class Styles:
-    """Rules on `display` and `visibility`. Each part of a selector has a bit; an element's bits say which parts it, with what is around
+    """Rules on `display`, `visibility` and `white-space`. Each part of a selector has a bit; an element's bits say which parts it, with what is around
     it, meets, so an element costs the same at any depth."""
 
     def __init__(self) -> None:
@@ -245,7 +250,7 @@ class Styles:
         return around[0] | own, own
 
     def won(self, own: int, style: str) -> dict[str, str]:
-        """The values of the two properties by the rules that an element meets and its own style."""
+        """The values of the properties by the rules that an element meets and its own style."""
         best: dict[str, tuple] = {}
         found = []
         while own:
@@ -552,15 +557,33 @@ class Renderer:
         self.flows, self.tables = [Flow()], []
         self.lists: list[list] = []  # of each open list: its next number or None, the step to the one after it, its type
         self.items = 0  # of the list that begins
-        self.stack: list[tuple[str, bool, int]] = []  # tag, whether its text is seen, prefixes that it has added
-        self.skip = self.pre = 0
+        self.stack: list[tuple[str, bool, int, str, str]] = []  # tag, whether its text is seen, prefixes that it has added, its box, what white space it keeps
+        self.skip = 0
 
-    def _seen(self, tag: str, a: dict[str, str], own: int) -> bool | None:
-        """None: no box at all. False: no text of its own. True: text is seen."""
-        style, around = a.get("style", ""), self.stack[-1][1] if self.stack else True
+    def _won(self, a: dict[str, str], own: int) -> dict[str, str]:
+        style = a.get("style", "")
         won = self.styles.won(own, style) if own or style else {}
         if self.drawn:  # attributes of drawings are the weakest rules
             won = {k: a[k].strip().lower() for k in VALUES if k in a} | won
+        return won
+
+    def _box(self, tag: str, display: str | None) -> str:
+        """What an element is in its line: `block`, `cell` (set off by a space) or nothing of its own. Parts of tables have their own layout."""
+        if tag == "table" or tag in TABLE_PARTS or self.drawn:
+            return ""
+        if display is None or display in ("inherit", "revert", "revert-layer"):
+            return "block" if tag in BLOCK else "cell" if tag in CONTROLS else ""
+        if display in IN_LINE:
+            return "cell" if tag in CONTROLS else ""
+        return "cell" if display == "table-cell" else "block"
+
+    def _keeps(self, tag: str, value: str | None) -> str:
+        around = self.stack[-1][4] if self.stack else ""
+        return KEEPS[value] if value in KEEPS else "all" if tag in ("pre", "listing", "xmp", "textarea") and value in (None, "revert", "revert-layer") else around
+
+    def _seen(self, tag: str, a: dict[str, str], won: dict[str, str]) -> bool | None:
+        """None: no box at all. False: no text of its own. True: text is seen."""
+        around = self.stack[-1][1] if self.stack else True
         display, visibility = won.get("display"), won.get("visibility", "inherit")
         if display == "none" or (tag == "input" and a.get("type", "").lower() == "hidden"):
             return None
@@ -574,12 +597,18 @@ class Renderer:
             return
         a = attributes(written) if written and (self.styles or self.drawn or "=" in written or "hidden" in written or "open" in written or "reversed" in written.lower()) else {}
         met = self.styles.meets(tag, a, self.met[-1]) if self.styles else (0, 0)
-        seen = self._seen(tag, a, met[1]) if a or met[1] else self.stack[-1][1] if self.stack else True
+        won = self._won(a, met[1]) if a or met[1] else {}
+        seen = self._seen(tag, a, won) if a or met[1] else self.stack[-1][1] if self.stack else True
         closed = bool(self.stack) and self.stack[-1][0] == "details" and tag != "summary"
         if tag in UNSEEN or seen is None or closed or (self.drawn and tag in UNSHOWN):
             self.skip = 1
             return
         flow, added = self.flows[-1], 0
+        box, keeps = self._box(tag, won.get("display")), self._keeps(tag, won.get("white-space"))
+        if box == "cell" and seen:
+            flow.add(" ")
+        elif box == "block" and tag not in BLOCK:
+            flow.block(1)
         if tag == "br":
             if seen:
                 flow.newline()
@@ -595,7 +624,8 @@ class Renderer:
         elif tag == "tr":
             self.tables[-1].rows.append([])
         elif tag in BLOCK:
-            flow.block(2 if tag in SPACED and not (tag in ("ul", "ol", "menu") and self.lists) else 1)
+            if box:
+                flow.block(2 if tag in SPACED and not (tag in ("ul", "ol", "menu") and self.lists) else 1)
             if tag in ("ul", "ol", "menu", "dir"):
                 first, down = _whole(a.get("start", "")), tag == "ol" and "reversed" in a
                 self.lists.append([(first if first is not None else self.items if down else 1) if tag == "ol" else None, -1 if down else 1, a.get("type", "1")])
@@ -605,17 +635,14 @@ class Renderer:
                     given = _whole(a.get("value", ""))
                     value = given if given is not None else self.lists[-1][0]
                     mark, self.lists[-1][0] = mark_of(a.get("type", self.lists[-1][2]), value), value + self.lists[-1][1]
-                flow.prefix.append(" " * len(mark))
-                flow.mark, added = (len(flow.prefix) - 1, mark), 1
-            elif tag in ("blockquote", "dd", "figure"):
+                if box and won.get("display", "list-item") in ("list-item", "inherit", "revert", "revert-layer"):
+                    flow.prefix.append(" " * len(mark))
+                    flow.mark, added = (len(flow.prefix) - 1, mark), 1
+            elif tag in ("blockquote", "dd", "figure") and box:
                 flow.prefix.append("  ")
                 added = 1
-            elif tag in ("pre", "listing", "xmp"):
-                self.pre += 1
         elif tag == "input" and a.get("type", "text").lower() in ("text", "search", "submit", "button", "reset", "email", "url", "tel", "number") and seen:
             flow.add(f" {a.get('value', '')} " if a.get("value") else "")
-        elif tag == "textarea":
-            self.pre += 1
         elif tag == "q" and seen:
             flow.add("“")
         elif self.drawn and tag == "text":
@@ -623,13 +650,13 @@ class Renderer:
         if self.drawn or tag in FOREIGN:
             self.drawn += 1
         self.met.append(met)
-        self.stack.append((("details" if tag == "details" and "open" not in a else tag if tag != "details" else "details open"), bool(seen), added))
+        self.stack.append((("details" if tag == "details" and "open" not in a else tag if tag != "details" else "details open"), bool(seen), added, box, keeps))
 
     def end(self, tag: str) -> None:
         if self.skip:
             self.skip -= 1
             return
-        _, seen, added = self.stack.pop()
+        _, seen, added, box, _ = self.stack.pop()
         self.met.pop()
         if self.drawn:
             self.drawn -= 1
@@ -651,9 +678,8 @@ class Renderer:
                 flow.put(line)
             flow.block(2)
         elif tag in BLOCK:
-            if tag in ("pre", "listing", "xmp"):
-                self.pre -= 1
-            flow.block(2 if tag in SPACED and not (tag in ("ul", "ol", "menu") and len(self.lists) > 1) else 1)
+            if box:
+                flow.block(2 if tag in SPACED and not (tag in ("ul", "ol", "menu") and len(self.lists) > 1) else 1)
             if tag in ("ul", "ol", "menu", "dir") and self.lists:
                 self.lists.pop()
             for _ in range(added):
@@ -661,12 +687,15 @@ class Renderer:
                 if flow.mark is not None and flow.mark[0] >= len(flow.prefix):
                     flow.mark = None
         elif tag == "textarea":
-            self.pre -= 1
             flow.add(" ")
         elif tag == "q" and seen:
             flow.add("”")
         elif self.drawn and tag == "text":
             flow.add(" ")
+        if box == "cell" and seen:
+            flow.add(" ")
+        elif box == "block" and tag not in BLOCK:
+            flow.block(1)
 
     def text(self, text: str) -> None:
         if self.skip or (self.stack and not self.stack[-1][1]):
@@ -674,7 +703,13 @@ class Renderer:
         if self.stack and self.stack[-1][0] == "details" and text.strip():
             return
         flow = self.flows[-1]
-        if self.pre:
+        keeps = self.stack[-1][4] if self.stack else ""
+        if keeps == "lines":
+            for i, part in enumerate(text.replace("\r\n", "\n").replace("\r", "\n").split("\n")):
+                if i:
+                    flow.newline()
+                flow.add(part)
+        elif keeps:
             parts = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
             for i, part in enumerate(parts):
                 if i:

@@ -1,3 +1,5 @@
+import itertools
+import random
 import re
 from html.parser import HTMLParser
 
@@ -140,3 +142,73 @@ def test_tables_by_brute_force(rows):
         want.append(line)
     page = "<table>" + "".join("<tr>" + "".join(f"<td>{c}" for c in row) for row in rows) + "</table>"
     assert [x for x in h.render(page).split("\n") if x] == [x for x in want if x]
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<span style='display:block'>a</span><span style='display:block'>b</span>", "a\nb"), ("<style>.b{display:block}</style><span class=b>a</span><span class=b>b</span>c", "a\nb\nc"),
+        ("<style>.b{display:block} .b{display:inline}</style><span class=b>a</span><span class=b>b</span>", "ab"), ("<a>link</a><button>Go</button>now", "link Go now"),
+        ("<div style='display:inline'>a</div><div style='display:inline'>b</div>", "ab"), ("<p style='white-space:pre'>a  b\n  c</p>", "a  b\n  c"), ("<pre style='white-space:normal'>a  b\n  c</pre>", "a b c"),
+        ("<style>code{white-space:pre-wrap}</style><code>a  b<b>\n c</b></code> d  e", "a  b\n c d e"), ("<div style='white-space:pre-line'>a  b\n  c<b> d\n</b>e</div>", "a b\nc d\ne"), ("<pre>a <i style='white-space:nowrap'>b   c</i></pre>", "a b c"),
+        ("<ul><li style='display:inline'>a</li> <li style='display:inline'>b</li></ul>", "a b"), ("<ol><li style='display:block'>x<li>y</ol>", "x\n2. y"), ("<i style='display:table-cell'>a</i><i style='display:table-cell'>b</i>", "a b"),
+        ("c<textarea>x\n y</textarea>d<select><option>o1<option>o2</select>z", "cx\n y d\no1\no2\nz"), ("<blockquote style='display:contents'>q</blockquote>r", "qr"), ("<table><tr><td style='display:block'>a<td>b</table>", "a  b"),
+    ],
+)
+def test_boxes_by_display(page, text):
+    assert h.render(page) == text
+
+
+def test_blocks_and_lists_by_brute_force():
+    """Trees of boxes against lines that are put together from leaf to leaf."""
+    draw = random.Random(5)
+
+    def tree(depth):
+        kind = draw.choice(("div", "span", "div inline", "span block", "ul", "ol")) if depth else "word"
+        if kind == "word":
+            return ("word", f"w{draw.randrange(100)}", [])
+        if kind in ("ul", "ol"):
+            return (kind, draw.randrange(1, 5), [("li", None, [tree(depth - 1) for _ in range(draw.randrange(1, 3))]) for _ in range(draw.randrange(1, 4))])
+        return (kind, None, [tree(depth - 1) for _ in range(draw.randrange(1, 4))])
+
+    def page(node):
+        kind, value, below = node
+        if kind == "word":
+            return value
+        inner = "".join(map(page, below))
+        tag, _, display = kind.partition(" ")
+        return f"<{tag}{f' style=display:{display}' if display else ''}{f' start={value}' if tag == 'ol' else ''}>{inner}</{tag}>"
+
+    def lines(node, around):
+        """Runs of (path of open items, block number) and text; a new line begins where the block number changes."""
+        kind, value, below = node
+        if kind == "word":
+            around["out"].append((around["block"], tuple(around["marks"]), value))
+            return
+        block = kind in ("div", "span block", "ul", "ol", "li")
+        around["block"] += block
+        for i, b in enumerate(below):
+            if kind in ("ul", "ol"):
+                around["marks"].append([f"{value + i}. " if kind == "ol" else "- ", False])
+            lines(b, around)
+            if kind in ("ul", "ol"):
+                around["marks"].pop()
+        around["block"] += block
+
+    for _ in range(150):
+        made = ("div", None, [tree(3)])
+        around = {"out": [], "block": 0, "marks": []}
+        lines(made, around)
+        want = []
+        for _, run in itertools.groupby(around["out"], lambda x: x[0]):
+            run = list(run)
+            prefix = ""
+            for n, mark in enumerate(run[0][1]):
+                last = n == len(run[0][1]) - 1
+                prefix += mark[0] if last and not mark[1] else " " * len(mark[0])
+                mark[1] = mark[1] or last
+            want.append(prefix + "".join(x[2] for x in run))
+        got = [line for line in h.render(page(made)).split("\n") if line]
+        if all(len(x[1]) < 2 for x in around["out"]):  # of lists in lists only the words
+            assert got == want, page(made)
+        assert [re.sub(r"^(?: |- |\d+\. )*", "", line) for line in got] == [re.sub(r"^(?: |- |\d+\. )*", "", line) for line in want], page(made)
