@@ -8,7 +8,8 @@ hash. Rounds of checks find surrogates that two units share or that are real uni
 domains get longer with each attempt, so there is always room. If a format has more units than free values after ROUNDS attempts (all
 one-letter addresses of a domain, say), its units take the plain permutation of the format, which is distinct for any number of them, and
 surrogates that are real units too are kept. A unit has one surrogate everywhere, so what referred to the same person or account
-still does, whatever its format; a given name has the gender that its mentions agree on. The text between entities stays as it is.
+still does, whatever its format; a given name has the gender that its mentions agree on. Where a text holds a name, the single words of it are replaced
+elsewhere in this text as well (`Schmidt` after `Anna Schmidt`), unless it has them in small letters too. All else between entities stays as it is.
 
 Only entities are shuffled, and texts that hold some, to meet their replacements; a text's replacements are found by the list of its
 entities, each distinct list once. First draws are worked out where they are needed; only units that drew again, and given names, are
@@ -58,7 +59,7 @@ _GIVEN, _TITLE = _one_word_of(FEMALE + MALE), _one_word_of(TITLES_F + TITLES_M +
 _LOUD_GIVEN = _one_word_of([n.upper() for n in FEMALE + MALE])
 #: The first letters of titles and given names, Greek and Cyrillic ones included.
 _FIRST = r"(?=[A-Z\u0370-\u04FF])"
-_LETTERS = r"\u00C0-\u024F\u0370-\u052F"
+_LETTERS = r"\p{L}\p{M}"
 _LOCAL, _LABEL = rf"A-Za-z0-9._%+{_LETTERS}-", rf"[A-Za-z0-9{_LETTERS}-]++"
 _DOMAIN = rf"{_LABEL}(?:\.{_LABEL})++"
 _VALUE = "[A-Za-z0-9+/_.=@#$%^&*!?~-]"
@@ -75,16 +76,16 @@ def _hex(letters: str) -> str:
 #: also right after an ASCII letter.
 KINDS = {
     "key": [r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:\s|\\[nr])*+(?:(?:Proc-Type|DEK-Info): [^\r\n\\]*+(?:\s|\\[nr])++)*+(?:[A-Za-z0-9+/=]++(?:\s|\\[nr])*+)++"],
-    "email": [rf"(?<![{_LOCAL}])[{_LOCAL}]++@{_DOMAIN}"],
+    "email": [rf"(?<![{_LOCAL}])(?<![{_LOCAL}]['’])[{_LOCAL}]++(?:['’][{_LOCAL}]++)*+@{_DOMAIN}"],
     "access": [
         r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", r"sk-[A-Za-z0-9_-]{20,}+", r"gh[pousr]_[A-Za-z0-9]{20,}+", r"xox[abprs]-[A-Za-z0-9-]{10,}+",
         r"AIza[A-Za-z0-9_-]{30,}+", r"eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++",
     ],
     "hex": [_hex("abcdef"), _hex("ABCDEF")],
-    "assigned": [rf"(?:[Pp]assword|[Pp]asswd|PASSWORD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {{0,2}}[:=] {{0,2}}[\"']?(?![{_LOCAL}]++@{_DOMAIN}){_VALUE}{{6,}}+"],
+    "assigned": [rf"(?:[Pp]assword|[Pp]asswd|PASSWORD|[Pp]wd|PWD|[Pp]assphrase|PASSPHRASE|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {{0,2}}[:=] {{0,2}}[\"']?(?![{_LOCAL}]++@{_DOMAIN}){_VALUE}{{6,}}+", rf"[Bb]earer {{1,2}}(?=[A-Za-z._~+/=-]*+[0-9]|{_VALUE}{{24}}){_VALUE}{{12,}}+"],
     "ip": [r"(?<![.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}(?![0-9]|\.[0-9])"],
     "ipv6": [r"(?<![:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])"],
-    "ssn": [r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"],
+    "ssn": [r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])", r"(?<![0-9][ -])[0-9]{3} [0-9]{2} [0-9]{4}(?! ?[0-9]|-[0-9])"],
     "card": [r"(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"],
     "phone": [
         r"(?<![+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", r"(?<![+])\+[0-9]{8,15}(?![0-9])",
@@ -98,20 +99,24 @@ KINDS = {
 }
 
 
+#: Numbers that are one of a phone by the word before them only.
+CALLED = r"(?:[Pp]hone|PHONE|[Tt]el|TEL|[Tt]elephone|[Tt]elefon|[Cc]all|[Mm]obile|[Ff]ax|[Ww]hats[Aa]pp)(?: (?:me|us|no|number|at))?[.:]? {0,2}[0-9]{7,15}+(?![A-Za-z0-9])"
+
+
 def _any(*kinds: str) -> str:
     return "|".join(f"(?:{p})" for k in KINDS if k in kinds for p in KINDS[k])
 
 
 #: By an entity's first character only a few kinds are left to try.
 PATTERN = (
-    r"(?<![A-Za-z0-9])(?:(?=[a-z])(?:" + _any("email", "access", "hex", "assigned", "ipv6") + r")|(?=[A-Z])(?:" + _any("email", "access", "hex", "assigned", "ipv6", "iban", "name") + r")"
+    r"(?<![A-Za-z0-9])(?:(?=[a-z])(?:" + _any("email", "access", "hex", "assigned", "ipv6") + "|" + CALLED + r")|(?=[A-Z])(?:" + _any("email", "access", "hex", "assigned", "ipv6", "iban", "name") + "|" + CALLED + r")"
     r"|(?=[0-9])(?:" + _any("email", "hex", "ip", "ipv6", "ssn", "card", "phone") + r")|(?=[+(])(?:" + _any("email", "phone") + r")|(?=[^\x00-\x7F])(?:" + _any("email", "name") + r")"
     r"|(?=-)(?:" + _any("key", "email") + r")|(?=[._%])(?:" + _any("email") + r"))"
     r"|(?=[0-9])(?<=[A-Za-z])(?:" + _any("ip", "ssn", "card") + r")"
 )
 #: A text without any of these holds no entity; most texts are told by this alone.
 SIGNS = (
-    r"[0-9@=:]|(?<![A-Za-z0-9])(?:(?=[a-z])(?:[a-f]{32}|sk-|gh[pousr]_|xox[abprs]-|eyJ)|" + _FIRST + "(?:[A-F]{32}|AKIA|ASIA|AIza|" + _any("name") + "))"
+    r"[0-9@=:]|(?<![A-Za-z0-9])(?:[Bb]earer |(?=[a-z])(?:[a-f]{32}|sk-|gh[pousr]_|xox[abprs]-|eyJ)|" + _FIRST + "(?:[A-F]{32}|AKIA|ASIA|AIza|" + _any("name") + "))"
 )
 ROUNDS, SHORT, TURNS = 6, 32, 8
 _SEPARATOR = "\u0001"
@@ -165,7 +170,7 @@ def _unit(kind: str | Column, norm: Column, gender: Column | None = None) -> Col
 
 
 #: What stands before the value of an assignment, before a key's body, and before the first letter or digit of an address.
-_ASSIGNS, _BEGINS, _LEADS = r"\A[A-Za-z_-]+ {0,2}[:=] {0,2}[\"']?", r"\A-----BEGIN [A-Z ]*-----", r"\A[._%+-]+(?=[^@._%+-])"
+_ASSIGNS, _BEGINS, _LEADS = r"\A(?:[A-Za-z_-]+ {0,2}[:=] {0,2}[\"']?|[Bb]earer {1,2})", r"\A-----BEGIN [A-Z ]*-----", r"\A[._%+-]+(?=[^@._%+-])"
 
 
 def _units(kind: Column, entity: Column) -> Column:
@@ -329,7 +334,7 @@ def drawn(units: DataFrame, key: str) -> DataFrame:
     seed = F.concat_ws("|", F.lit(key), kind, F.when(kind == "ip", F.greatest(attempt, F.lit(0))).otherwise(attempt).cast("string"))
     random = kind.rlike("^(?:domain|given .*|family .*)$")
     seed = F.concat_ws("|", seed, F.when(random, norm).when(kind == "email", domain))
-    part = F.when(kind == "email", local).when(kind == "domain", F.regexp_extract(norm, r"\A([^.]*)", 1)).otherwise(norm)
+    part = F.when(kind == "email", local).when(kind == "domain", F.regexp_replace(F.regexp_extract(norm, r"\A([^.]*)", 1), r"[^\x00-\x7F]", "x")).otherwise(norm)
     rows = units.withColumns({"__part": part, "__seed": seed})
     part, seed = F.col("__part"), F.col("__seed")
     rows = rows.withColumn("__new", F.when(kind == "ip", _machine(norm, seed)).when(kind.rlike("^(?:given|family) "), _made_up(kind, F.col("gender"), seed, attempt)).otherwise(_filled(kind, part, seed, plain)))
@@ -424,7 +429,8 @@ def _rendered(kind: Column, entity: Column, got: Column) -> Column:
 
 
 def replacements(lists: DataFrame, key: str) -> DataFrame:
-    """(list_key, found, new): for each distinct list of entities `found` the list of their replacements."""
+    """(list_key, new, mentions): for each distinct list of entities `found` the list of their replacements, and for single words of the names
+    among them what stands for these."""
     single = cut(lists.select(F.explode("found").alias("entity")).distinct().withColumn("kind", _kind(F.col("entity"))))
     units = _units(F.col("kind"), F.col("entity"))
     parts = single.select("entity", F.col("kind").alias("what"), F.posexplode(units).alias("at", "unit")).select("entity", "what", "at", "unit.kind", "unit.norm")
@@ -433,9 +439,23 @@ def replacements(lists: DataFrame, key: str) -> DataFrame:
     told = final.where((F.col("attempt") != 0) | F.col("kind").startswith("given ")).select("kind", "norm", F.col("surrogate").alias("told"))
     first = drawn(parts.join(told, ["kind", "norm"], "left").withColumns({"gender": F.lit("n"), "attempt": F.lit(0)}), key)
     got = first.withColumn("surrogate", F.coalesce("told", "surrogate")).groupBy("entity", "what").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("got"))
-    mapped = cut(got.select("entity", _rendered(F.col("what"), F.col("entity"), F.col("got.surrogate")).alias("new")))
+    mapped = cut(got.select("entity", "what", _rendered(F.col("what"), F.col("entity"), F.col("got.surrogate")).alias("new")))
     each = lists.select("list_key", F.posexplode("found").alias("at", "entity"))
-    return each.join(mapped, "entity").groupBy("list_key").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("all")).select("list_key", F.col("all.new").alias("new"))
+    listed = each.join(mapped, "entity").groupBy("list_key").agg(F.array_sort(F.collect_list(F.struct("at", "new", "entity", "what"))).alias("all"))
+    pairs = F.flatten(F.transform(F.filter("all", lambda x: x["what"] == "name"), lambda x: F.arrays_zip(_words(x["entity"]).alias("old"), _words(x["new"]).alias("made"))))
+    usual = F.filter(pairs, lambda p: p["old"].rlike(r"\A\p{Lu}[\p{L}\p{M}]{2,}\z"))
+    # a word that stands for two units is the earlier one's
+    once = F.transform(F.array_distinct(F.transform(usual, lambda p: p["old"])), lambda w: F.struct(w.alias("key"), F.get(F.filter(usual, lambda p: p["old"] == w), F.lit(0))["made"].alias("value")))
+    return listed.select("list_key", F.col("all.new").alias("new"), F.map_from_entries(once).alias("mentions"))
+
+
+#: Where words with a capital begin, and where words end.
+_EDGE = r"(?<![\p{L}\p{M}])(?=\p{Lu})|(?<=[\p{L}\p{M}])(?![\p{L}\p{M}])"
+
+
+def mentioned(part: Column, mentions: Column) -> Column:
+    """Text between entities with single words of the names among them replaced too."""
+    return F.array_join(F.transform(F.split(part, _EDGE, -1), lambda w: F.coalesce(F.try_element_at(mentions, w), w)), "")
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities", copies: int = HOT_ROWS) -> DataFrame:
@@ -446,11 +466,14 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     lists = cut(found.where(F.size("__found") > 0).select(list_key.alias("list_key"), F.col("__found").alias("found")).groupBy("list_key").agg(F.first("found").alias("found"), F.count("*").alias("n")))
     # texts with the same entities as very many others, copies above all, are dealt to several tasks by the tasks that read them
     many = hot_keys(lists.select(F.col("list_key").alias("__key"), "n"), lists.agg(F.sum("n")).first()[0] or 0, copies)
-    new = for_each_salt(replacements(lists.drop("n"), key).select(F.col("list_key").alias("__key"), F.col("new").alias("__new")), many, ["__key"])
+    new = for_each_salt(replacements(lists.drop("n"), key).select(F.col("list_key").alias("__key"), F.col("new").alias("__new"), F.col("mentions").alias("__mentions")), many, ["__key"])
     own = found.where(F.size("__found") > 0).withColumn("__key", list_key)
     held = salted(own, many, ["__key"], F.pmod(F.spark_partition_id(), F.col("__salts"))).join(new, ["__key", "__salt"])
     between = F.split(F.col(text), PATTERN, -1)
-    done = F.array_join(F.zip_with(between, F.col("__new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    # a name that is also a word of the text in small letters is no mention
+    names = F.map_filter("__mentions", lambda w, _: ~F.contains(F.col(text), F.concat(F.lit(" "), F.lower(w))))
+    told = F.when(F.size(names) > 0, F.transform(between, lambda a: mentioned(a, names))).otherwise(between)
+    done = F.array_join(F.zip_with(told, F.col("__new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     counted = [F.size("__found").alias(count)] if count else []
     none = [F.lit(0).alias(count)] if count else []
     changed = held.select(*(done.alias(c) if c == text else F.col(c) for c in columns), *counted)

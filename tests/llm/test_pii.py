@@ -183,3 +183,25 @@ def test_copies_are_dealt_to_several_tasks(spark):
     whole, split = ({r.doc_id: tuple(r) for r in pii.pseudonymise(docs, KEY, copies=n).collect()} for n in (1000, 7))
     assert whole == split and len(split) == 63
     assert len({split[i][1] for i in range(60)}) == 1 and "info@shop" not in split[0][1] and split[102][1] == "plain"
+
+
+def test_single_words_of_names_that_a_text_holds(spark):
+    got = run(spark, [(1, "Anna Schmidt arrived. Schmidt left, and Anna too; Schmidt's hat, (Schmidt) Schmidtin ANNA."), (2, "Schmidt and Anna stay here."), (3, "Mrs. Rose Will came. She will go; Rose will not, Will rose."), (4, "Иван Петров и Петров; Anna Schmidt. Anna Meyer, Anna, Meyer")])
+    one = re.fullmatch(r"(\w+) (\w+) arrived\. (\w+) left, and (\w+) too; (\w+)'s hat, \((\w+)\) Schmidtin ANNA\.", got[1].text)
+    assert one and one[1] == one[4] != "Anna" and one[2] == one[3] == one[5] == one[6] != "Schmidt" and got[1].n_entities == 1
+    assert got[2].text == "Schmidt and Anna stay here."
+    assert re.fullmatch(r"Mrs\. (?!Rose)\w+ (?!Will)\w+ came\. She will go; Rose will not, Will rose\.", got[3].text)
+    four = re.fullmatch(r"(\w+) (\w+) и (\w+); (\w+) (\w+)\. (\w+) (\w+), (\w+), (\w+)", got[4].text)
+    assert four and four[2] == four[3] and four[4] == four[6] == four[8] == one[1] and four[7] == four[9] and four[5] == one[2]
+
+
+def test_more_ways_to_write_them(spark):
+    rows = ["mail o'brien@site.org now", "to user@例え.jp.", "'anna@site.org' or anna@site.org", "phone: 2125550199", "Tel. 2125550199 x", "id 123 45 6789 ok", "pwd=hunter22", "passphrase: correct-horse", "Authorization: Bearer abcdef0123456789abcd"]
+    got = run(spark, list(enumerate(rows)))
+    for i, secret in enumerate(["brien", "例え", "anna", "2125550199", "2125550199", "123 45 6789", "hunter22", "correct-horse", "abcdef0123456789abcd"]):
+        assert secret not in got[i].text and got[i].n_entities == (2 if i == 2 else 1), got[i]
+    assert re.fullmatch(r"mail [a-z]'[a-z]{5}@[a-z]{4}\.example\.org now", got[0].text) and re.fullmatch(r"'(\S+)' or \1", got[2].text)
+    assert got[3].text[-10:] == got[4].text[5:15] and got[3].text.startswith("phone: ") and re.fullmatch(r"id \d{3} \d{2} \d{4} ok", got[5].text)
+    plain = ["the bearer of this letter", "call 911", "a 123 45 67890 b", "1 123 45 6789", "it's o'clock", "phone 12"]
+    same = run(spark, list(enumerate(plain)))
+    assert [same[i].text for i in range(len(plain))] == plain
