@@ -41,9 +41,23 @@ class Settings:
             raise ValueError("base_url must be given")
 
 
-def read_settings(path: str) -> Settings:
-    """Settings from a JSON object; names in any case, unknown ones are an error, missing ones take their default."""
-    given = json.loads(Path(path).read_text(encoding="utf-8"))
+def _object(path: str) -> dict:
+    """The JSON object in a file; anything else is a ValueError that names the file."""
+    try:
+        found = json.loads(Path(path).read_text(encoding="utf-8-sig"))
+    except (OSError, ValueError) as e:
+        raise ValueError(f"settings cannot be read from {path}: {e}") from e
+    if not isinstance(found, dict):
+        raise ValueError(f"settings in {path} are no object")
+    return found
+
+
+def read_settings(path: str, default: str | None = None) -> Settings:
+    """Settings from a JSON object; names in any case, unknown ones are an error, missing ones take their default. With `default`, a file that a run
+    ships with, it is an error too if one of both cannot be read or there are fewer entries than there."""
+    given = _object(path)
+    if default is not None and not complete(given, _object(default)):
+        raise ValueError(f"settings in {path} have fewer entries than {default}")
     known = {f.name: f for f in fields(Settings)}
     values = {k.lower(): tuple(v) if isinstance(v, list) else v for k, v in given.items()}
     if wrong := sorted(set(values) - set(known)):

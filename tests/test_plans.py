@@ -74,6 +74,14 @@ def test_settings(tmp_path):
         with pytest.raises(ValueError):
             Settings(**bad)
     assert complete({"a": 1}, {"b": 2}) and not complete({}, {"b": 2})
+    (tmp_path / "d.json").write_text(json.dumps(dict.fromkeys("abc", 1)))
+    assert read_settings(str(tmp_path / "c.json"), str(tmp_path / "d.json")).num_images == 5
+    (tmp_path / "d.json").write_text(json.dumps(dict.fromkeys("abcd", 1)))
+    (tmp_path / "e.json").write_text("{")
+    (tmp_path / "f.json").write_text("[]")
+    for path, default, said in (("c", "d", "fewer"), ("c", "e", "e.json"), ("e", "d", "e.json"), ("f", "d", "no object"), ("none", "d", "none.json")):
+        with pytest.raises(ValueError, match=said):
+            read_settings(str(tmp_path / f"{path}.json"), str(tmp_path / f"{default}.json"))
 
 
 def test_location_tree():
