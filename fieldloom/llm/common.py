@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.folders import cut  # noqa: F401, the operators use it
+from ..sources.folders import shared_folder as shared_dir  # noqa: F401
+
 #: Python works on slices of about so many bytes of text, however large the batches are that Spark hands over.
 SLICE_BYTES = 6_000_000
 #: A key is split where it has more rows than this, and than one in so many of all rows: so fewer keys than the second are split.
@@ -24,31 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares. Only where the session names none and runs in one process (tests), a local one is set."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        if not sc.master.split("[")[0] == "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        named = tempfile.mkdtemp(prefix="fieldloom-checkpoint-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(named)
-    return named
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of ours, in whatever store it lies."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: later steps read it from the shared folder, also after executors are lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def give_back() -> None:
     """Returns memory that this worker no longer uses to the system; workers live on for later tasks."""
     pa.default_memory_pool().release_unused()

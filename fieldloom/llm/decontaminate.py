@@ -10,7 +10,7 @@ documents, which are not shuffled. Several are sent and passed one after the oth
 (md5), then its block is dropped, so memory does not grow with the benchmark; at the end the finds, which only contaminated texts have,
 are joined to the documents once.
 
-Defined cases: texts of any length are read whole, a slice of rows at a time; null text has no words and no hits; an item without words has no windows; words of an item with a null id are hit but
+Defined cases: of a window's equally rare shingles the first is its prefix, which changes no result; texts of any length are read whole, a slice of rows at a time; null text has no words and no hits; an item without words has no windows; words of an item with a null id are hit but
 the item is not listed; repeated items are listed once; repeated documents each get a row. Columns of the documents are kept unless
 named like an output; other columns of the benchmark are ignored. Without documents the result is empty, without items all is clean.
 """

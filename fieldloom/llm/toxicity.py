@@ -6,8 +6,8 @@ category and no amount of harmless text around an insult takes that away; what t
 probabilities do, whose weights are free. For training, those come from models of other folds (out of fold),
 so that a later model sees them as uncertain as they will be on new documents. The threshold is set on such predictions too.
 
-The fit takes at most `most` labelled rows, those whose ids hash lowest; that is the only bound, and every document is scored by
-its whole text. Defined cases: null text is empty; texts of any length are read whole, a slice of rows at a time; labels of a null id or a null value are left out; of repeated labels the
+The fit takes at most `most` labelled rows, those whose ids hash lowest, and each model the FEATURES words that speak most; these are the only bounds, and every
+document is scored by its whole text. Defined cases: null text is empty; texts of any length are read whole, a slice of rows at a time; labels of a null id or a null value are left out; of repeated labels the
 largest value counts; repeated documents get the same scores; of the features that speak equally much the smaller hash comes first; of a labelled id on several rows the smallest text counts; an empty table of documents gives an empty one; without labelled rows every probability is 0; a category with one
 value only gets that value's share. Other columns, whatever their names, are carried along or left out by `keep`.
 """
