@@ -14,7 +14,7 @@ from .plans.extraction import plan_extraction
 from .plans.sample import plan_sample
 from .sources import adapters
 from .sources.folders import cut
-from .sources.inventory import video_index
+from .sources.inventory import add_video, remove_video, video_index
 from .sources.mapping import read_mapping
 from .sources.settings import Settings
 
@@ -219,6 +219,17 @@ def video_index_lookup(spark, sf):
     return frames.resolve_videos(named, "ref", video_index(files)).select("l_orderkey", "path")
 
 
+@query("""with k as (select o_orderkey as n from orders), f as (select n, concat('/videos/', n, '.MP4') as path from k where n % 3 = 0 and n % 2 = 1 and n % 9 <> 0 union all select n, concat('/new/', n, '.mp4') from k where n % 2 = 0)
+select unnest([concat(n, '.mp4'), n::varchar]) as key, path from f""", False)
+def video_index_changes(spark, sf):
+    """Of the videos that are there every second one comes again in another folder, and every third one of the old ones goes."""
+    n = F.col("o_orderkey")
+    orders = fx.table(spark, sf, "orders").select("o_orderkey")
+    at = lambda rows, folder, end: rows.select(F.concat(F.lit(folder), n, F.lit(end)).alias("path"), F.concat(n, F.lit(end)).alias("file_name"))
+    changed = add_video(video_index(at(orders.where(n % 3 == 0), "/videos/", ".MP4")), at(orders.where(n % 2 == 0), "/new/", ".mp4"))
+    return remove_video(changed, at(orders.where(n % 9 == 0), "/videos/", ".MP4"))
+
+
 _GROUP, _FRAME = ["vid", "day_night", "vehicle"], ["vid", "day_night", "vehicle", "t"]
 _COUNTS = "counts as materialized (select p.vid, p.day_night, p.vehicle, count(*) as total, count(e.vid) as existing from fx_frames p left join fx_existing e using (vid, day_night, vehicle, t) group by all)"
 
