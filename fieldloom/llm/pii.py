@@ -59,8 +59,9 @@ _GIVEN, _TITLE = _one_word_of(FEMALE + MALE), _one_word_of(TITLES_F + TITLES_M +
 _LOUD_GIVEN = _one_word_of([n.upper() for n in FEMALE + MALE])
 #: The first letters of titles and given names, Greek and Cyrillic ones included.
 _FIRST = r"(?=[A-Z\u0370-\u04FF])"
-_LETTERS = r"\p{L}\p{M}"
-_LOCAL, _LABEL = rf"A-Za-z0-9._%+{_LETTERS}-", rf"[A-Za-z0-9{_LETTERS}-]++"
+#: As a part of a class; what the letters are is only asked beyond ASCII.
+_LETTERS = r"[\x{80}-\x{10FFFF}&&[\p{L}\p{M}]]"
+_LOCAL, _LABEL = rf"A-Za-z0-9._%+\-{_LETTERS}", rf"[A-Za-z0-9\-{_LETTERS}]++"
 _DOMAIN = rf"{_LABEL}(?:\.{_LABEL})++"
 _VALUE = "[A-Za-z0-9+/_.=@#$%^&*!?~-]"
 
@@ -461,13 +462,12 @@ def mentioned(part: Column, mentions: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities", copies: int = HOT_ROWS) -> DataFrame:
     """`docs` with the entities in its texts replaced, and how many each text held (if `count` names a column)."""
     columns = [c for c in docs.columns if c != count]
-    found = docs.select(*columns, entities(F.col(text)).alias("__found"))
-    list_key = F.md5(F.array_join("__found", _SEPARATOR))
-    lists = cut(found.where(F.size("__found") > 0).select(list_key.alias("list_key"), F.col("__found").alias("found")).groupBy("list_key").agg(F.first("found").alias("found"), F.count("*").alias("n")))
+    # stored, as what follows reads them three times; all texts are only searched for a first entity, here and where the others are kept
+    own = cut(docs.where(holds(F.col(text))).select(*columns, entities(F.col(text)).alias("__found")).withColumn("__key", F.md5(F.array_join("__found", _SEPARATOR))))
+    lists = cut(own.groupBy(F.col("__key").alias("list_key")).agg(F.first("__found").alias("found"), F.count("*").alias("n")))
     # texts with the same entities as very many others, copies above all, are dealt to several tasks by the tasks that read them
     many = hot_keys(lists.select(F.col("list_key").alias("__key"), "n"), lists.agg(F.sum("n")).first()[0] or 0, copies)
     new = for_each_salt(replacements(lists.drop("n"), key).select(F.col("list_key").alias("__key"), F.col("new").alias("__new"), F.col("mentions").alias("__mentions")), many, ["__key"])
-    own = found.where(F.size("__found") > 0).withColumn("__key", list_key)
     held = salted(own, many, ["__key"], F.pmod(F.spark_partition_id(), F.col("__salts"))).join(new, ["__key", "__salt"])
     between = F.split(F.col(text), PATTERN, -1)
     # a name that is also a word of the text in small letters is no mention
