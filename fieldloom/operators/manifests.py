@@ -20,7 +20,8 @@ def without_collisions(files: DataFrame, name: str, order: list[str], out: str =
 
     `taken` (column `name`) are names that are not free. The first row that has a name keeps it if it is free, so rows with a suffix as part of
     their own name are not given to others. Free numbers are the gaps between taken ones: before the i-th taken number t (from 0) there are
-    t - i free ones, so the k-th row gets k + (taken numbers with t - i <= k). One window over each name's rows and taken numbers.
+    t - i free ones, so the k-th row gets k + (taken numbers with t - i <= k). One window over each name's rows and taken numbers: rows of one name are
+    numbered in one task, as those of a sample can be.
     """
     base, dot = (lambda c: stem(c)), (lambda c: F.substr(c, F.length(stem(c)) + 1))
     pattern = r"\A(.*)_(0|[1-9][0-9]{0,17})\z"

@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from .adapters import Decoder, Mover, Remover, Store
 
 STAGED = "video_path string, path string, at string, reason string"
+#: Frames of a video that one task decodes at most, about an hour.
+STRETCH = 100_000
 
 
 def stage(plan: DataFrame, decode: Decoder, store: Store, below: str = ".staged") -> DataFrame:
     """video_path, path, at and reason of each planned frame: where it was put, or why it was not. Columns of the plan: video_path, frame, path.
 
-    A video's frames are decoded by one task, in one pass over the video, and are not held.
+    A stretch of a video is decoded by one task, in one pass, and its frames are not held.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -43,7 +45,8 @@ def stage(plan: DataFrame, decode: Decoder, store: Store, below: str = ".staged"
             reason = f"{type(e).__name__}: {e}"
         return pd.DataFrame([(video, p, put.get(p), None if p in put else reason) for p in pdf["path"]], columns=["video_path", "path", "at", "reason"])
 
-    return plan.select("video_path", "frame", "path").groupBy("video_path").applyInPandas(run, STAGED)
+    rows = plan.select("video_path", "frame", "path", F.floor(F.col("frame") / STRETCH).alias("stretch"))
+    return rows.groupBy("video_path", "stretch").applyInPandas(run, STAGED)
 
 
 def complete_groups(plan: DataFrame, staged: DataFrame, group: list[str]) -> DataFrame:
