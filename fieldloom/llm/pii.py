@@ -429,10 +429,11 @@ def _rendered(kind: Column, entity: Column, got: Column) -> Column:
     )
 
 
-def replacements(lists: DataFrame, key: str) -> DataFrame:
+def replacements(lists: DataFrame, key: str, often: int = HOT_ROWS) -> DataFrame:
     """(list_key, new, mentions): for each distinct list of entities `found` the list of their replacements, and for single words of the names
-    among them what stands for these."""
-    single = cut(lists.select(F.explode("found").alias("entity")).distinct().withColumn("kind", _kind(F.col("entity"))))
+    among them what stands for these. Entities with more than `often` places, and very many of all, are dealt to several tasks by these."""
+    every = lists.select(F.explode("found").alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
+    single = cut(every.withColumn("kind", _kind(F.col("entity"))))
     units = _units(F.col("kind"), F.col("entity"))
     parts = single.select("entity", F.col("kind").alias("what"), F.posexplode(units).alias("at", "unit")).select("entity", "what", "at", "unit.kind", "unit.norm")
     final = surrogates(single.select(F.explode(units).alias("u")).select("u.*"), key)
@@ -442,7 +443,9 @@ def replacements(lists: DataFrame, key: str) -> DataFrame:
     got = first.withColumn("surrogate", F.coalesce("told", "surrogate")).groupBy("entity", "what").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("got"))
     mapped = cut(got.select("entity", "what", _rendered(F.col("what"), F.col("entity"), F.col("got.surrogate")).alias("new")))
     each = lists.select("list_key", F.posexplode("found").alias("at", "entity"))
-    listed = each.join(mapped, "entity").groupBy("list_key").agg(F.array_sort(F.collect_list(F.struct("at", "new", "entity", "what"))).alias("all"))
+    many = hot_keys(single.select("entity", "n"), single.agg(F.sum("n")).first()[0] or 0, often)
+    spread = salted(each, many, ["entity"], F.pmod(F.xxhash64("list_key", "at"), F.col("__salts")))
+    listed = spread.join(for_each_salt(mapped, many, ["entity"]), ["entity", "__salt"]).groupBy("list_key").agg(F.array_sort(F.collect_list(F.struct("at", "new", "entity", "what"))).alias("all"))
     pairs = F.flatten(F.transform(F.filter("all", lambda x: x["what"] == "name"), lambda x: F.arrays_zip(_words(x["entity"]).alias("old"), _words(x["new"]).alias("made"))))
     usual = F.filter(pairs, lambda p: p["old"].rlike(r"\A\p{Lu}[\p{L}\p{M}]{2,}\z"))
     # a word that stands for two units is the earlier one's

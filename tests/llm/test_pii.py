@@ -185,6 +185,15 @@ def test_copies_are_dealt_to_several_tasks(spark):
     assert len({split[i][1] for i in range(60)}) == 1 and "info@shop" not in split[0][1] and split[102][1] == "plain"
 
 
+def test_entities_of_many_lists_are_dealt_to_several_tasks(spark):
+    rows = [(f"k{i}", ["info@shop.example.com", f"10.2.3.{i}", "info@shop.example.com", "Mrs. Anna Schmidt"]) for i in range(60)] + [("k60", ["10.9.9.9"])]
+    lists = spark.createDataFrame(rows, "list_key string, found array<string>").repartition(5)
+    whole, split = ({r.list_key: (r.new, r.mentions) for r in pii.replacements(lists, KEY, often=n).collect()} for n in (1000, 7))
+    assert whole == split and len(split) == 61
+    assert len({(new[0], new[2], new[3]) for new, _ in split.values() if len(new) == 4}) == 1 and split["k0"][0][0] == split["k0"][0][2]
+    assert pii.replacements(lists.limit(0), KEY).count() == 0
+
+
 def test_single_words_of_names_that_a_text_holds(spark):
     got = run(spark, [(1, "Anna Schmidt arrived. Schmidt left, and Anna too; Schmidt's hat, (Schmidt) Schmidtin ANNA."), (2, "Schmidt and Anna stay here."), (3, "Mrs. Rose Will came. She will go; Rose will not, Will rose."), (4, "Иван Петров и Петров; Anna Schmidt. Anna Meyer, Anna, Meyer")])
     one = re.fullmatch(r"(\w+) (\w+) arrived\. (\w+) left, and (\w+) too; (\w+)'s hat, \((\w+)\) Schmidtin ANNA\.", got[1].text)
