@@ -113,20 +113,29 @@ def first_available(candidates: DataFrame, fetch: Opener, name: str = "name", st
     """For each name the first address by priority that can be had; a failed one leads to the next, also where its content cannot be stored. With
     `store` its content is put at path(name) as it was fetched, so that nothing is fetched twice."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        for row in pdf.sort_values(["priority", "url"]).itertuples():
-            try:
-                content = fetch(row.url)
-                if content is None:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked, found = object(), False  # a name's rows follow each other, also over the end of a batch
+        for pdf in batches:
+            had = []
+            for own, url in zip(pdf[name], pdf["url"]):
+                if own != asked:
+                    asked, found = own, False
+                if found:
+                    continue
+                try:
+                    content = fetch(url)
+                    if content is None:
+                        continue
+                    if store is not None:
+                        store(path(own), content)
+                except OSError:
                     continue
-                if store is not None:
-                    store(path(getattr(row, name)), content)
-            except OSError:
-                continue
-            return pd.DataFrame({name: [getattr(row, name)], "url": [row.url]})
-        return pd.DataFrame({name: [], "url": []}, dtype=object)
-
-    return candidates.select(name, "url", "priority").groupBy(name).applyInPandas(run, f"{name} string, url string")
+                found = True
+                had.append((own, url))
+            yield pd.DataFrame(had, columns=[name, "url"], dtype=object)
+
+    rows = candidates.select(name, "url", "priority").repartition(name).sortWithinPartitions(name, "priority", "url")
+    return rows.select(name, "url").mapInPandas(run, f"{name} string, url string")
 
 
 def probe(videos: DataFrame, read: Prober, path: str = "path") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .adapters import Decoder, Mover, Remover, Store
 
 STAGED = "video_path string, path string, at string, reason string"
+COLUMNS = ["video_path", "path", "at", "reason"]
 #: Frames of a video that one task decodes at most, about an hour.
 STRETCH = 100_000
 
@@ -28,25 +29,39 @@ def stage(plan: DataFrame, decode: Decoder, store: Store, below: str = ".staged"
     A stretch of a video is decoded by one task, in one pass, and its frames are not held.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        attempt, video = f"{below}/{uuid.uuid4().hex}", pdf["video_path"].iloc[0]
+    def put(video: str, rows: list[tuple[int, str]]) -> list[tuple[str, str, str | None, str | None]]:
+        attempt = f"{below}/{uuid.uuid4().hex}"
         paths: dict[int, list[str]] = {}
-        for frame, path in zip(pdf["frame"], pdf["path"]):
+        for frame, path in rows:
             paths.setdefault(int(frame), []).append(path)
-        put: dict[str, str] = {}
+        done: dict[str, str] = {}
         reason = "not decoded"
         try:
             got = decode(video, sorted(paths))
             for frame, content in got.items() if isinstance(got, dict) else got:
                 for path in paths.get(int(frame), ()):
                     store(f"{attempt}/{path}", content)
-                    put[path] = f"{attempt}/{path}"
+                    done[path] = f"{attempt}/{path}"
         except OSError as e:
             reason = f"{type(e).__name__}: {e}"
-        return pd.DataFrame([(video, p, put.get(p), None if p in put else reason) for p in pdf["path"]], columns=["video_path", "path", "at", "reason"])
+        return [(video, p, done.get(p), None if p in done else reason) for _, p in rows]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, rows = None, []  # the stretch that is read; it may go on in the next batch
+        for pdf in batches:
+            told = []
+            for video, stretch, frame, path in zip(pdf["video_path"], pdf["stretch"], pdf["frame"], pdf["path"]):
+                if (video, stretch) != own:
+                    if rows:
+                        told += put(own[0], rows)
+                    own, rows = (video, stretch), []
+                rows.append((frame, path))
+            yield pd.DataFrame(told, columns=COLUMNS)
+        if rows:
+            yield pd.DataFrame(put(own[0], rows), columns=COLUMNS)
 
     rows = plan.select("video_path", "frame", "path", F.floor(F.col("frame") / STRETCH).alias("stretch"))
-    return rows.groupBy("video_path", "stretch").applyInPandas(run, STAGED)
+    return rows.repartition("video_path", "stretch").sortWithinPartitions("video_path", "stretch").mapInPandas(run, STAGED)
 
 
 def complete_groups(plan: DataFrame, staged: DataFrame, group: list[str]) -> DataFrame:
