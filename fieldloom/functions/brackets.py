@@ -78,13 +78,31 @@ def _flat(c: pd.Series) -> pd.Series:
     return c.map(lambda t: _leaves(parse(t)))
 
 
+# Tokens that stand for themselves: whole numbers in their shortest form, and names of plain letters. Possessive, so that long cells need no stack.
+_TOKEN = r"(?:0|-?[1-9][0-9]*+|[A-Za-z_][A-Za-z0-9_.\-]*+)(?=[,\]])"
+_INNER = rf"\[(?:{_TOKEN}(?:,(?=[^\]]))?+)*+\]"
+_PLAIN_TABLE = rf"\A\[(?:{_INNER}(?:,(?=\[)|(?=\])))*+\]\z"
+_PLAIN_LIST = rf"\A\[(?:{_TOKEN}(?:,(?=[^\]]))?+)*+\]\z"
+
+
+def _items(inside: Column) -> Column:
+    return F.when(inside == "", F.array().cast("array<string>")).otherwise(F.split(inside, ","))
+
+
+def _inside(c: Column, n: int) -> Column:
+    return F.substr(c, F.lit(n + 1), F.length(c) - 2 * n)
+
+
 def bracket_table(c: Column) -> Column:
-    """Exact reading, in batches of Python. See `well_formed_table` for cells that need no forgiving."""
-    return _tables(c)
+    """Exact reading: plain cells in the JVM, others in batches of Python. See `well_formed_table` for cells that need no forgiving."""
+    plain = F.coalesce(c.rlike(_PLAIN_TABLE), F.lit(False))
+    split = F.when(c == "[]", F.array().cast("array<array<string>>")).otherwise(F.transform(F.split(_inside(c, 2), r"\],\["), _items))
+    return F.when(plain, split).otherwise(_tables(F.when(~plain, c)))
 
 
 def bracket_list(c: Column) -> Column:
-    return _flat(c)
+    plain = F.coalesce(c.rlike(_PLAIN_LIST), F.lit(False))
+    return F.when(plain, _items(_inside(c, 1))).otherwise(_flat(F.when(~plain, c)))
 
 
 def well_formed_table(c: Column) -> Column:
