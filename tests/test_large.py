@@ -36,3 +36,31 @@ def test_plain_cells_need_no_python(spark):
     rows = spark.createDataFrame([(c,) for c in cells], "c string").select("c", brackets.bracket_table(F.col("c")).alias("t"), brackets.bracket_list(F.col("c")).alias("l"), F.col("c").rlike(brackets._PLAIN_TABLE).alias("plain")).collect()
     assert [(r.t, r.l) for r in rows] == [(brackets.table_of(c), brackets._leaves(brackets.parse(c))) for c in cells]
     assert [r.c for r in rows if r.plain] == cells[:3]
+
+
+def test_chains_are_deeper_than_the_nations(spark):
+    from fieldloom.queries import QUERIES
+
+    assert QUERIES["crawl_deep"](spark, "/root/testdata/sf0.001").agg(F.max("depth")).first()[0] == 70
+
+
+def _inventory(spark, n=60):
+    rows = [(f"u{i}", f"f{i}", "A" if i % 3 else "B", f"C{i % 4}", "s", f"city{i % 7}", "Day", "Car", f"v{i % 20}") for i in range(n)]
+    return spark.createDataFrame(rows, "url string, filename string, continent string, country string, state string, city string, day_night string, vehicle string, video_id string")
+
+
+def test_samples_neither_move_the_inventory_nor_number_it_in_one_task(spark):
+    from fieldloom.operators import filters, sampling
+
+    frames = _inventory(spark)
+    folders = frames.groupBy(*sampling.FOLDER).agg(F.collect_list(F.struct("url", "filename")).alias("frames"))
+    for most in (1, 2):
+        listed = sampling.cap_listed(folders, most, "7")
+        assert "Window" not in listed._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.url for r in listed.collect()) == sorted(r.url for r in sampling.cap_per_folder(frames, most, "7").collect())
+    orders = sampling.country_round_robin(frames, "7")
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition, ENSURE" not in plan.split("HashAggregate")[0] and sorted(r.city_order for r in orders.collect()) == list(range(1, orders.count() + 1))
+    told = filters.matching(frames, filters.location_filters(spark, {"A": {"C1": "all"}, "B": "all"}))
+    assert "Exchange hashpartitioning(continent" not in told._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.url for r in told.collect()) == sorted(r.url for r in frames.where("continent = 'B' or country = 'C1'").collect())
