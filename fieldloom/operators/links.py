@@ -8,7 +8,7 @@ from functools import reduce
 from itertools import count
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import MISSING_FILTER_NAME, basename, clean_name, folded, strip
@@ -136,11 +136,11 @@ def direct_urls(wanted: DataFrame, base: str, aliases: list[str]) -> DataFrame:
 
 
 def fetched(wanted: DataFrame, pages: DataFrame) -> DataFrame:
-    """html of each url, looked up with a slash at its end first, then without, and `form`, how it was found."""
-    bare = F.regexp_replace("url", "/+$", "")
-    two = wanted.withColumn("__bare", bare).withColumn("__slash", F.concat(bare, F.lit("/")))
-    a, b = pages.select(F.col("url").alias("__slash"), F.col("html").alias("__h1")), pages.select(F.col("url").alias("__bare"), F.col("html").alias("__h2"))
-    return two.join(a, "__slash", "left").join(b, "__bare", "left").withColumns({"html": F.coalesce("__h1", "__h2"), "form": F.when(F.col("__h1").isNotNull(), F.col("__slash")).when(F.col("__h2").isNotNull(), F.col("__bare"))}).drop("__bare", "__slash", "__h1", "__h2")
+    """html of each url, looked up with a slash at its end first, then without, and `form`, how it was found. Pages are joined once, by their address without
+    this slash; only what was found of both forms is compared."""
+    there = pages.where("html is not null").select(F.regexp_replace("url", "/$", "").alias("__bare"), F.col("url").alias("form"), "html")
+    both = wanted.withColumn("__bare", F.regexp_replace("url", "/+$", "")).join(there, "__bare", "left").withColumn("__slash", F.coalesce(F.endswith("form", F.lit("/")), F.lit(False)))
+    return both.withColumn("__any", F.max("__slash").over(Window.partitionBy("__bare"))).where(F.col("__slash") == F.col("__any")).drop("__bare", "__slash", "__any")
 
 
 __all__ = ["alias_roots", "anchors", "anchors_of", "browse_links", "direct_urls", "fetched", "hrefs", "is_folder_link", "locate", "reachable", "walk"]

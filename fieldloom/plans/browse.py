@@ -14,17 +14,36 @@ from ..operators.filters import LEVELS, among, location_rows, missing_values
 from ..operators.links import anchors, browse_links, fetched
 from ..operators.sampling import FOLDER, first_folders
 from ..sources.adapters import Fetcher, fetch_pages
-from ..sources.folders import once, shared_folder
+from ..sources.folders import cut, once, shared_folder
 from ..sources.settings import Settings
 from .sample import wanted_values
 
+#: Addresses of which a hash (8 bytes) is sent to all tasks at most.
+MOST_HASHES = 1_000_000
 #: Gives url (as it was had, with or without a slash at its end) and html of the pages in a column `url`, as far as there are any.
 Reader = Callable[[DataFrame], DataFrame]
 
 
 def stored_pages(pages: DataFrame) -> Reader:
-    """Reads from a table of pages (url, html)."""
-    return lambda wanted: fetched(wanted.select("url").distinct(), pages).where("html is not null").select(F.col("form").alias("url"), "html")
+    """Reads from a table of pages (url, html). If it is in parts by `depth` (of how many pieces between slashes the address is, without slashes at its end), only
+    parts that are asked for are read.
+
+    Pages stay where they are: a hash of each wanted address goes to them, and only pages with such a hash are moved to be joined by their
+    addresses. Beyond MOST_HASHES addresses all are moved.
+    """
+
+    def read(wanted: DataFrame) -> DataFrame:
+        asked = cut(wanted.select(_bare("url").alias("url")).distinct())
+        near = pages
+        if "depth" in pages.columns:
+            depths = asked.select(F.size(F.split("url", "/")).alias("n")).distinct().collect()  # a few: folders of one level
+            near = near.where(F.col("depth").isin([r.n for r in depths]))
+        if asked.count() <= MOST_HASHES:
+            hashes = asked.select(F.xxhash64("url").alias("__hash")).distinct()
+            near = near.withColumn("__hash", F.xxhash64(F.regexp_replace("url", "/$", ""))).join(F.broadcast(hashes), "__hash", "left_semi")
+        return fetched(asked, near.select("url", "html")).where("html is not null").select(F.col("form").alias("url"), "html")
+
+    return read
 
 
 def fetched_pages(fetch: Fetcher) -> Reader:

@@ -64,3 +64,22 @@ def test_samples_neither_move_the_inventory_nor_number_it_in_one_task(spark):
     told = filters.matching(frames, filters.location_filters(spark, {"A": {"C1": "all"}, "B": "all"}))
     assert "Exchange hashpartitioning(continent" not in told._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.url for r in told.collect()) == sorted(r.url for r in frames.where("continent = 'B' or country = 'C1'").collect())
+
+
+def test_pages_stay_where_they_are_and_are_looked_up_once(spark, monkeypatch):
+    import re
+
+    from fieldloom.operators.links import fetched
+    from fieldloom.plans import browse
+
+    rows = [("h://a/b", "1", 4), ("h://a/b/", "2", 4), ("h://a/c", "3", 4), ("h://a/d/", "4", 4), ("h://a/e/", None, 4), ("h://a/e", "5", 4), ("h://a/f//", "6", 4), ("h://g", "7", 3)]
+    pages = spark.createDataFrame(rows, "url string, html string, depth int")
+    wanted = spark.createDataFrame([(u,) for u in ("h://a/b", "h://a/c/", "h://a/d", "h://a/e//", "h://a/f", "h://a/no")], "url string")
+    joins = lambda frame: re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join (.*)", frame._jdf.queryExecution().executedPlan().toString())
+    assert len(joins(fetched(wanted, pages))) == 1
+    moved = browse.stored_pages(pages)(wanted)
+    assert any("LeftSemi" in j for j in joins(moved))
+    for most in (browse.MOST_HASHES, 0):
+        monkeypatch.setattr(browse, "MOST_HASHES", most)
+        for table in (pages, pages.drop("depth")):
+            assert sorted(map(tuple, browse.stored_pages(table)(wanted).collect())) == [("h://a/b/", "2"), ("h://a/c", "3"), ("h://a/d/", "4"), ("h://a/e", "5")]
