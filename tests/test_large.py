@@ -83,3 +83,22 @@ def test_pages_stay_where_they_are_and_are_looked_up_once(spark, monkeypatch):
         monkeypatch.setattr(browse, "MOST_HASHES", most)
         for table in (pages, pages.drop("depth")):
             assert sorted(map(tuple, browse.stored_pages(table)(wanted).collect())) == [("h://a/b/", "2"), ("h://a/c", "3"), ("h://a/d/", "4"), ("h://a/e", "5")]
+
+
+def test_more_items_are_dealt_to_more_tasks(spark, monkeypatch):
+    import re
+
+    from fieldloom import fixtures
+    from fieldloom.queries import QUERIES
+
+    sf, names = "/root/testdata/sf0.001", ("frame_plan_by_location", "missing_vehicle_report", "image_links", "file_names_from_url", "random_topk_md5", "collision_suffix", "free_names", "frame_times_dedup")
+    rows = lambda name: sorted(map(tuple, QUERIES[name](spark, sf).collect()))
+    few = {name: rows(name) for name in names}
+    monkeypatch.setattr(fixtures, "ITEMS", 500)
+    n = -(-fixtures.table(spark, sf, "lineitem").count() // 500)
+    plan = lambda name: QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    for name in names:
+        assert rows(name) == few[name]
+        dealt = re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L?, (\d+)\)", plan(name))
+        assert dealt and set(dealt) == {str(n)}
+    assert f", {2 * n})" in plan("collision_suffix") and f", {2 * n})" in plan("free_names")
