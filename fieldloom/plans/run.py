@@ -16,11 +16,11 @@ from ..operators.links import direct_urls, locate
 from ..operators.segments import checked_videos
 from ..sources.adapters import Decoder, Mover, Opener, Prober, Remover, Store, delete_videos, first_available, probe
 from ..sources.folders import cut, once, shared_folder
-from ..sources.frames_out import complete_groups, promote, remove_staged, stage
+from ..sources.frames_out import promote_folders, remove_left, stage_folders, whole_groups
 from ..sources.inventory import add_video, remove_video, video_index
 from ..sources.logs import logger
 from ..sources.settings import Settings
-from .extraction import GROUP, decode_plan, plan_extraction
+from .extraction import GROUP, located_folders, plan_extraction
 from .lookup import walked_files
 
 REASONS = ("no videos", "bad time", "unequal times", "end before start", "no valid range")
@@ -104,7 +104,7 @@ def run_extraction(
     for counts in seen:  # filled in the pass in which the rows were stored
         logger("fieldloom.run").info("mapping, rows with problems: %s", counts.get)
     plan = plan_extraction(mapping, existing, index, settings, checked)
-    todo = step("todo", lambda: plan.todo)
+    todo = step("todo", lambda: plan.folders.select(*GROUP, "video_key", "video", "folder", "ranges", "total"))
     done = [_wave(todo.where(F.pmod(F.xxhash64("video_key"), F.lit(waves)) == w), index, settings, outside, sources, lambda name, make, w=w: step(f"wave-{w}-{name}", make)) for w in range(waves)]
     videos, groups = (reduce(DataFrame.unionByName, part) for part in zip(*done))
     _tell(videos)
@@ -117,14 +117,16 @@ def _wave(todo: DataFrame, index: DataFrame, settings: Settings, outside: Outsid
     videos = step("videos", lambda: available_videos(wanted, index, sources, outside, settings))
     now = indexed(index, videos)
     fps = step("sizes", lambda: probe(videos.where("path is not null").select("path"), outside.probe)).where("fps > 0")
-    staged = step("staged", lambda: stage(decode_plan(todo, now, fps).distinct(), outside.decode, outside.store, f"{settings.frames.rstrip('/')}/.staged"))
-    committed = step("committed", lambda: complete_groups(todo, staged, GROUP))
-    promoted = step("promoted", lambda: promote(committed.select("path", "at").distinct(), outside.move))
-    step("left", lambda: remove_staged(staged, promoted, outside.remove))
+    own, seconds = [*GROUP, "video_key"], settings.interval_seconds
+    staged = step("staged", lambda: stage_folders(located_folders(todo, now, fps), own, seconds, outside.decode, outside.store, f"{settings.frames.rstrip('/')}/.staged"))
+    told = whole_groups(staged, GROUP)  # follows from the stored table, which is what commits
+    promoted = step("promoted", lambda: promote_folders(told.where("whole"), own, seconds, outside.move))
+    torn = told.where("not whole").select("folder", "at", "starts", "ends")
+    unmoved = staged.join(promoted.where("left").select("folder", "at").distinct(), ["folder", "at"], "left_semi").select("folder", "at", "starts", "ends")
+    step("left", lambda: remove_left(torn.unionByName(unmoved), seconds, outside.remove))
     deleted = step("deleted", lambda: delete_videos(videos.withColumn("mine", F.col("was_downloaded") & F.lit(settings.delete_downloaded_videos)), outside.remove, downloaded="mine"))
-    new = committed.join(promoted.where("stored").select("path").distinct(), "path", "left_semi").groupBy(*GROUP).agg(F.count("*").alias("new"))
-    per_group = todo.groupBy(*GROUP, "video_key").agg(F.count("*").alias("planned")).join(new, GROUP, "left").withColumn("new", F.coalesce("new", F.lit(0)))
-    groups = step("groups", lambda: per_group)
+    planned, new = todo.select(*own, F.col("total").alias("planned"), F.lit(0).cast("bigint").alias("new")), promoted.select(*own, F.lit(0).cast("bigint").alias("planned"), "new")
+    groups = step("groups", lambda: planned.unionByName(new).groupBy(*own).agg(F.sum("planned").alias("planned"), F.sum("new").alias("new")))
     per_video = groups.groupBy("video_key").agg(F.sum("planned").alias("planned"), F.sum("new").alias("new"))
     return step("done", lambda: per_video.join(videos, "video_key", "left").join(deleted, "path", "left")), groups
 

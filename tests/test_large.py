@@ -102,3 +102,46 @@ def test_more_items_are_dealt_to_more_tasks(spark, monkeypatch):
         dealt = re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L?, (\d+)\)", plan(name))
         assert dealt and set(dealt) == {str(n)}
     assert f", {2 * n})" in plan("collision_suffix") and f", {2 * n})" in plan("free_names")
+
+
+def test_a_run_moves_and_stores_folders_not_frames(spark, tmp_path):
+    from fieldloom.plans.run import Outside, Sources, run_extraction
+    from fieldloom.sources.settings import Settings
+
+    kinds = "row_num long, continent string, country string, state string, locality string, videos string, time_of_day string, start_time string, end_time string, vehicle_type string"
+    rows = [(2, "Asia", "India", "DL", "Agra", "[long,torn,short]", "[[0],[0],[0,1]]", "[[0],[0],[0,5]]", "[[60000],[60000],[20,30]]", "[[0],[0],[0]]")]
+    files = spark.createDataFrame([(f"/v/{n}.mp4", f"{n}.mp4") for n in ("long", "torn", "short")], "path string, file_name string")
+
+    def decode(path, frames):
+        for f in frames:
+            if "torn" in path and f > 1_000_000:
+                raise OSError("torn")
+            yield f, b"f"
+
+    outside = Outside(lambda url: None, decode, lambda path: (640, 480, 25.0), lambda path, content: None, lambda source, path: not path.endswith("_5.png"), lambda path: True)
+    run = run_extraction(spark.createDataFrame(rows, kinds), spark.createDataFrame([], "path string"), files, Settings(), outside, Sources(["a1"]), store=str(tmp_path / "s"))
+    assert sorted(map(tuple, run.groups.select("video_key", "day_night", "planned", "new").collect())) == [("long", "Day", 6001, 6001), ("short", "Day", 3, 3), ("short", "Night", 3, 2), ("torn", "Day", 6001, 0)]
+    # 12,008 frames: four folders, of long ones a part for each of 16 stretches
+    table = lambda name: spark.read.parquet(str(tmp_path / "s" / name))
+    assert [table(n).count() for n in ("todo", "wave-0-staged", "wave-0-promoted")] == [4, 34, 18]
+    # what is not in its place goes: of the torn video what had been put, of the other what could not be moved
+    gone = {r.folder.rsplit("/", 1)[1]: r.n for r in table("wave-0-left").groupBy("folder").agg(F.sum("n").alias("n")).collect()}
+    assert gone == {"torn": table("wave-0-staged").where("folder like '%torn'").agg(F.sum(F.col("planned") - F.col("missing"))).first()[0], "short": 3}
+
+
+def test_folders_have_the_frames_of_their_ranges(spark):
+    from fieldloom.operators import frames, segments
+
+    cells = [("[0,1]", "[0,30,5]", "[20,10,45]", "[2]"), ("[0]", "[-30,0,7]", "[15,40,7]", "[]"), ("", "[a,10,10,10]", "[5,20,x,90]", "[0,14]"), ("[1,1,0]", "[50,0,25,5]", "[90,60,35]", "[3]"), ("[dusk]", "[]", "[]", "[0]")]
+    rows = [(i + 2, "As/ia", "India", "", "Agra", f"[{'v' if i % 2 else 'x_1.mp4'}]", f"[{d}]", f"[{s}]", f"[{e}]", f"[{v}]") for i, (d, s, e, v) in enumerate(cells)]
+    videos = segments.videos_of(spark.createDataFrame(rows, "row_num long, continent string, country string, state string, locality string, videos string, time_of_day string, start_time string, end_time string, vehicle_type string"))
+    group, folders = ["row_num", "pos", "day_night", "vehicle"], segments.mapping_folders(videos, "data", 10, False)
+    plain, told = segments.mapping_frames(segments.ranges_of(videos, False), "data", 10), segments.folder_frames(folders, 10)
+    rows_of = lambda frame: sorted(map(tuple, frame.collect()))
+    assert told.columns == plain.columns and rows_of(told) == rows_of(plain) and told.count() > 20
+    assert "Exchange" not in folders._jdf.queryExecution().executedPlan().toString()
+    odd = spark.createDataFrame([("data/x_0.png",), ("x.png",), ("",), (None,), ("data/v/v_00.png",)], "path string")
+    there = plain.where("t % 3 > 0").select("path").unionByName(plain.where("t % 4 = 0").select("path")).unionByName(plain.select(F.concat("path", F.lit("\n"))).toDF("path")).unionByName(odd)
+    counted = frames.counted_folders(folders, there, 10)
+    assert rows_of(counted.select(*group, "total", "existing")) == rows_of(frames.existing_counts(plain, there, group, ["path"]).select(*group, "total", "existing"))
+    assert rows_of(segments.folder_frames(frames.pending(counted), 10)) == rows_of(frames.pending_frames(plain, there, group, ["path"]))
